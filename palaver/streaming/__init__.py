@@ -1,0 +1,5 @@
+"""Empty on purpose: the data work covered here has no streaming surface.
+
+There is no watermark, event-time window or state in it, so no streaming
+operator is offered (see "Left out" in the README).
+"""
