@@ -98,16 +98,16 @@ def payload_sums(conversations: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def payload_scores(conversations: DataFrame, key: str = "dataset_type",
-                   score_as: str | None = None, breakdown: bool = True, **options) -> DataFrame:
+                   kind: Column | None = None, breakdown: bool = True, **options) -> DataFrame:
     """Scores per dataset, with raw factors and their normalised values.
 
-    ``score_as`` scores every group under one type name (for a mixture taken
-    as a whole); by default each group is scored under its own type.
+    ``kind`` is the family a group is scored as, an expression over ``key``
+    (a literal scores a mixture as one family); by default the key itself.
     """
     sums = payload_sums(conversations, [key])
     cols = {name: F.col(name) for name in
             ("n", "tokens", "chars", "turns", "ratios", "ratio_n", "tools")}
-    kind = F.lit(score_as) if score_as else F.col(key)
+    kind = F.col(key) if kind is None else kind
     out = [F.col(key), F.col("n").alias("conversations")]
     out += [c.alias(n) for n, c in score_columns(cols, kind, **options).items()]
     if breakdown:

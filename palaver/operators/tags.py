@@ -53,14 +53,16 @@ def merge_tags(*lists: Column) -> Column:
 
 
 def dataset_tags(conversations: DataFrame, key: str = "dataset_type",
-                 user_tags: Sequence[str] = (), extra_tags: Sequence[str] = ()) -> DataFrame:
+                 user_tags: Sequence[str] = (), extra_tags: Sequence[str] = (),
+                 kind: Column | None = None) -> DataFrame:
     """``user_tags``, ``auto_tags`` and ``all_tags`` per dataset."""
     facts = conversations.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("estimated_tokens").alias("_tokens"),
         F.max("num_turns").alias("_turns"))
     user = F.array(*[F.lit(t) for t in user_tags]).cast("array<string>")
     extra = F.array(*[F.lit(t) for t in extra_tags]).cast("array<string>")
-    auto = F.concat(auto_tags(F.col(key), F.col("_n"), F.col("_tokens"), F.col("_turns")), extra)
+    kind = F.col(key) if kind is None else kind
+    auto = F.concat(auto_tags(kind, F.col("_n"), F.col("_tokens"), F.col("_turns")), extra)
     return (facts.select(key, F.col("_n").alias("conversations"),
                          F.col("_tokens").alias("total_tokens"),
                          user.alias("user_tags"), auto.alias("auto_tags"))

@@ -157,7 +157,7 @@ SELECT task_type, n AS conversations, round(pre, 6) AS prefill_score,
 FROM scored""")
 def payload_runs(spark, sf_dir):
     runs = task_runs(spark, sf_dir).withColumn("growth_ratio", F.lit(None).cast("double"))
-    out = p.payload_scores(runs, "task_type", score_as="agentic", breakdown=False)
+    out = p.payload_scores(runs, "task_type", kind=F.lit("agentic"), breakdown=False)
     return out.select("task_type", "conversations", *[
         r6(c).alias(c) for c in ("prefill_score", "decode_score", "total_payload_score")])
 
