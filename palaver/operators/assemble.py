@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver.functions.content import content_parts, parse_messages, part_chars
 from palaver.functions.text import chars, tokens
-from palaver.operators.metrics import KEY, is_role, with_growth
-from palaver.operators.scan import TURN_BLOCK, prefix_sums, turn_bucket
+from palaver.operators.metrics import KEY, context_scan, is_role, with_growth
+from palaver.operators.scan import TURN_BLOCK
 
 
 def conversation_rows(messages: DataFrame, granularity: str = "turn",
@@ -21,12 +21,8 @@ def conversation_rows(messages: DataFrame, granularity: str = "turn",
     part list: only the characters of its text parts are counted.
     """
     size = part_chars(F.col("text")) if typed_parts else chars(F.col("text"))
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    rows = messages.select(KEY, "turn", "role", "text", size.alias("n_chars"))
-    scanned = prefix_sums(
-        rows, [KEY], turn_bucket("turn", part_size), ["turn"],
-        {"cum_chars": F.col("n_chars"), "position": one,
-         "reply_no": F.when(is_role("assistant"), one).otherwise(zero)},
+    scanned = context_scan(
+        messages.select(KEY, "turn", "role", "text"), part_size, size,
         totals={"num_messages": "position", "total_characters": "cum_chars",
                 "num_turns": "reply_no"}, bucket_name="part")
     entry = is_role("assistant") if granularity == "turn" else F.lit(True)

@@ -41,7 +41,7 @@ def _magnitude_bucket(value: Column) -> Column:
     Its width is about 0.2 % of the value, which bounds the buckets of a group
     by the logarithm of its range, whatever the distribution looks like.
     """
-    return F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(512.0))
+    return F.coalesce(F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(512.0)), F.lit(0.0))
 
 
 def quantiles(counts: DataFrame, keys: Sequence[str],
@@ -160,7 +160,8 @@ def ranges(df: DataFrame, keys: Sequence[str], labelled: Sequence[tuple[str, Col
             .withColumn("percentage", share(F.col("count"), F.col("_all"))).drop("_all"))
 
 
-def turn_buckets(df: DataFrame, keys: Sequence[str], column: str = "num_turns") -> DataFrame:
+def turn_bucket_tests(column: str = "num_turns") -> list[tuple[str, Column]]:
+    """Label and condition of every turn-count bucket."""
     tests = []
     for label, above, upto in TURN_BUCKETS:
         test = F.lit(True)
@@ -169,22 +170,38 @@ def turn_buckets(df: DataFrame, keys: Sequence[str], column: str = "num_turns")
         if upto is not None:
             test = test & (F.col(column) <= upto)
         tests.append((label, test))
-    return ranges(df, keys, tests)
+    return tests
 
 
-def numeric_summary(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Long summary per metric: n, total, min, max, mean, median, stdev.
+def turn_buckets(df: DataFrame, keys: Sequence[str], column: str = "num_turns") -> DataFrame:
+    return ranges(df, keys, turn_bucket_tests(column))
 
-    ``stdev`` is the sample deviation, 0.0 for a single row.
+
+def moments(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """n, total, min, max, mean and stdev from value counts.
+
+    ``stdev`` is the sample deviation, 0.0 for a single row; it is summed
+    around the mean in a second pass over the small table.
     """
     keys = list(keys)
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"),
-                               F.col(m).cast("double").alias("value")) for m in metrics])
-    stats = (df.select(*keys, F.inline(pairs)).filter(F.col("value").isNotNull())
-             .groupBy(*keys, "metric").agg(
-                 F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
-                 F.min("value").alias("min"), F.max("value").alias("max"),
-                 F.avg("value").alias("mean"),
-                 F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("stdev")))
-    mid = medians(value_counts(df, keys, metrics), [*keys, "metric"])
-    return stats.join(mid, [*keys, "metric"])
+    n, v = F.col("n"), F.col("value")
+    stats = (counts.groupBy(*keys).agg(
+        F.sum(n).alias("_n"), F.sum(v * n).alias("total"), F.min(v).alias("min"),
+        F.max(v).alias("max")).withColumnRenamed("_n", "n")
+        .withColumn("mean", F.col("total") / F.col("n")))
+    around = counts.withColumnRenamed("n", "_n").join(stats.select(*keys, "n", "mean"), keys)
+    spread = around.groupBy(*keys, "n").agg(
+        F.sum(F.col("_n") * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss"))
+    spread = spread.select(*keys, F.coalesce(F.sqrt(F.try_divide(F.col("_ss"), n - 1)),
+                                             F.lit(0.0)).alias("stdev"))
+    return stats.join(spread, keys)
+
+
+def summary_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The moments and the median."""
+    return moments(counts, keys).join(medians(counts, keys), list(keys))
+
+
+def numeric_summary(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Long summary per metric: n, total, min, max, mean, median, stdev."""
+    return summary_from_counts(value_counts(df, keys, metrics), [*keys, "metric"])

@@ -56,8 +56,7 @@ def sessions(messages: DataFrame, keep_empty: bool = False, content: str = "text
 
 def _scan_with_text(messages: DataFrame, part_size: int) -> DataFrame:
     """Context scan that keeps the text; ``_bkt`` is the part number."""
-    rows = messages.select(KEY, "turn", "role", "text", chars(F.col("text")).alias("n_chars"))
-    return context_scan(rows, part_size)
+    return context_scan(messages.select(KEY, "turn", "role", "text"), part_size)
 
 
 def _with_prefix(scanned: DataFrame) -> DataFrame:
@@ -135,12 +134,15 @@ def mixed_trace(messages: DataFrame, granularity: str = "turn",
 def replay_trace(messages: DataFrame, default_length: int = 100, nested: bool = True,
                  part_size: int = PART_SIZE) -> DataFrame:
     """One row per message; the output length looks ahead to the next reply."""
-    rows = messages.select(KEY, "turn", "role", "text", chars(F.col("text")).alias("n_chars"))
-    if not nested:
-        rows = rows.drop("text")
-    rows = rows.withColumn("_bkt", turn_bucket("turn", part_size))
-    ahead = neighbour(rows, [KEY], F.col("_bkt"), ["turn"],
-                      {"next_role": "role", "next_chars": "n_chars"}, ahead=True)
+    size = chars(F.col("text"))
+    if nested:
+        rows = messages.select(KEY, "turn", "role", "text")
+    else:
+        rows = messages.select(KEY, "turn", "role", size.alias("n_chars"))
+    ahead = neighbour(rows, [KEY], turn_bucket("turn", part_size), ["turn"],
+                      {"next_role": "role", "next_chars": "text" if nested else "n_chars"})
+    if nested:
+        ahead = ahead.withColumn("next_chars", chars(F.col("next_chars")))
     length = F.when(F.col("next_role") == "assistant", F.col("next_chars")).otherwise(
         F.lit(default_length)).cast("bigint")
     if nested:
@@ -159,8 +161,7 @@ def replay_split(messages: DataFrame, by_role: bool = True,
     Otherwise exchanges are positions (2,3), (4,5), ... counted from zero,
     whatever their roles.
     """
-    rows = messages.select(KEY, "turn", "role", "text", chars(F.col("text")).alias("n_chars"))
-    scanned = context_scan(rows, part_size)
+    scanned = _scan_with_text(messages, part_size)
     ahead = neighbour(scanned, [KEY], F.col("_bkt"), ["turn"],
                       {"next_role": "role", "next_text": "text"}, ahead=True)
     before = F.col("position") - 1
@@ -174,7 +175,7 @@ def replay_split(messages: DataFrame, by_role: bool = True,
     new_turn = F.filter(pair, lambda m: m["role"].isNotNull())
     return ahead.filter(starts).select(
         F.col(KEY).alias("session_id"), "turn", before.alias("prefix_messages"),
-        (F.col("cum_chars") - F.col("n_chars")).alias("prefix_chars"),
+        (F.col("cum_chars") - chars(F.col("text"))).alias("prefix_chars"),
         new_turn.alias("new_turn"))
 
 

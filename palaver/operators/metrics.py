@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver.functions.text import chars, preview, share, tokens
@@ -19,18 +21,22 @@ def message_sizes(messages: DataFrame, *keep: str) -> DataFrame:
     return messages.select(KEY, "turn", "role", *keep, chars(F.col("text")).alias("n_chars"))
 
 
-def context_scan(sized: DataFrame, block: int = TURN_BLOCK) -> DataFrame:
+def context_scan(rows: DataFrame, block: int = TURN_BLOCK, size: Column | None = None,
+                 totals: Mapping[str, str] | None = None, bucket_name: str = "_bkt") -> DataFrame:
     """Running characters, position and reply index at every message.
 
     Adds ``cum_chars``, ``position`` (1-based), ``reply_no`` (assistant
-    messages so far) and ``num_messages`` of the conversation.
+    messages so far) and ``num_messages`` of the conversation.  ``size`` is the
+    length of a message; rows that keep their text derive it after the shuffle.
     """
     one = F.lit(1).cast("bigint")
+    if size is None:
+        size = F.col("n_chars") if "n_chars" in rows.columns else chars(F.col("text"))
     return prefix_sums(
-        sized, [KEY], turn_bucket("turn", block), ["turn"],
-        {"cum_chars": F.col("n_chars"), "position": one,
+        rows, [KEY], turn_bucket("turn", block), ["turn"],
+        {"cum_chars": size, "position": one,
          "reply_no": F.when(is_role("assistant"), one).otherwise(F.lit(0).cast("bigint"))},
-        totals={"num_messages": "position"})
+        totals=totals or {"num_messages": "position"}, bucket_name=bucket_name)
 
 
 def cumulative_per_turn(messages: DataFrame, granularity: str = "turn",
@@ -47,8 +53,9 @@ def cumulative_per_turn(messages: DataFrame, granularity: str = "turn",
 
 def turn_growth(messages: DataFrame, block: int = TURN_BLOCK) -> DataFrame:
     """Per reply: cumulative characters and tokens, growth since the previous one."""
-    entries = cumulative_per_turn(messages, "turn", block)
-    linked = neighbour(entries, [KEY], turn_bucket("turn", block), ["turn"],
+    entries = (context_scan(message_sizes(messages), block).filter(is_role("assistant"))
+               .select(KEY, "_bkt", "turn", F.col("reply_no").alias("entry"), "cum_chars"))
+    linked = neighbour(entries, [KEY], F.col("_bkt"), ["turn"],
                        {"prev_chars": "cum_chars"}, ahead=False)
     return linked.select(KEY, "entry", "cum_chars", tokens(F.col("cum_chars")).alias("cum_tokens"),
                          (F.col("cum_chars") - F.col("prev_chars")).alias("growth_chars"))

@@ -3,7 +3,12 @@
 A window over ``partitionBy(key)`` puts a whole key into one task.  Here each
 key is cut into buckets along its order, so the large window is partitioned by
 ``(key, bucket)``; only one pre-aggregated row per bucket is scanned per key.
-Keys that fit into their first bucket get no offset row at all.
+Keys that fit into one bucket get no offset row at all.
+
+The rows are shuffled once.  The per-bucket totals are computed from the same
+exchange as the window: both branches read the same columns after an explicit
+repartition, which lets Spark reuse the exchange instead of scanning the
+source twice.  So pass in only columns that the result needs.
 """
 
 from __future__ import annotations
@@ -28,6 +33,21 @@ def hash_bucket(drawn: str, bits: int = HASH_BITS) -> Column:
     return F.shiftright(F.col(drawn), 32 - bits).cast("bigint")
 
 
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that have a key; a row without one belongs to no group."""
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
+
+
+def _read_all(columns: Sequence[str]) -> Column:
+    """A count that refers to every column, so that none is pruned."""
+    total = F.count(F.lit(1))
+    for column in columns:
+        total = total + F.count(F.col(column))
+    return total
+
+
 def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: Column,
                 order: Sequence[str], sums: Mapping[str, Column],
                 totals: Mapping[str, str] | None = None,
@@ -36,36 +56,36 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: Column,
 
     ``bucket`` must not decrease along ``order``.  ``totals`` maps new column
     names to entries of ``sums`` whose whole-key total is wanted on every row.
-    The bucket column stays in the result (``bucket_name``) so that callers can
-    add further windows over the same partitioning without another shuffle.
+    The bucket column stays in the result (``bucket_name``): further windows
+    over ``(keys, bucket)`` need no shuffle.  Keys must not be NULL; rows
+    without a key are left out.
     """
     totals = dict(totals or {})
     keys = list(keys)
-    work = df.withColumn(bucket_name, bucket)
-    for name, measure in sums.items():
-        work = work.withColumn(f"_m_{name}", measure)
+    shared = with_key(df, keys).repartition(*keys, bucket).withColumn(bucket_name, bucket)
 
-    per_bucket = work.groupBy(*keys, bucket_name).agg(
-        *[F.sum(f"_m_{n}").alias(f"_s_{n}") for n in sums])
+    per_bucket = shared.groupBy(*keys, bucket_name).agg(
+        _read_all(df.columns).alias("_read"),
+        *[F.sum(measure).alias(f"_s_{n}") for n, measure in sums.items()])
     along = Window.partitionBy(*keys).orderBy(bucket_name)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_bucket.select(
-        *keys, bucket_name,
+        *keys, bucket_name, "_read",
         F.count(F.lit(1)).over(whole).alias("_n_bkt"),
         *[F.sum(f"_s_{n}").over(earlier).alias(f"_o_{n}") for n in sums],
         *[F.sum(f"_s_{src}").over(whole).alias(f"_t_{dst}") for dst, src in totals.items()],
-    ).filter(F.col("_n_bkt") > 1).drop("_n_bkt")
+    ).filter((F.col("_n_bkt") > 1) & (F.col("_read") > 0)).drop("_n_bkt", "_read")
 
-    joined = work.join(offsets, [*keys, bucket_name], "left")
+    joined = shared.join(offsets, [*keys, bucket_name], "left")
     inside = Window.partitionBy(*keys, bucket_name).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = {n: F.sum(f"_m_{n}").over(upto) + F.coalesce(F.col(f"_o_{n}"), F.lit(0))
-           for n in sums}
+    out = {n: F.sum(measure).over(upto) + F.coalesce(F.col(f"_o_{n}"), F.lit(0))
+           for n, measure in sums.items()}
     for dst, src in totals.items():
-        out[dst] = F.coalesce(F.col(f"_t_{dst}"), F.sum(f"_m_{src}").over(local))
-    kept = [c for c in work.columns if not c.startswith("_m_") and c not in out]
+        out[dst] = F.coalesce(F.col(f"_t_{dst}"), F.sum(sums[src]).over(local))
+    kept = [c for c in shared.columns if c not in out]
     return joined.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
@@ -74,18 +94,22 @@ def neighbour(df: DataFrame, keys: Sequence[str], bucket: Column,
               ahead: bool = True, bucket_name: str = "_bkt") -> DataFrame:
     """Add the next (or previous) row's values per key, across bucket edges.
 
-    ``columns`` maps new names to existing columns.
+    ``columns`` maps new names to existing columns.  When the frame already has
+    the bucket column its partitioning is used as it is.
     """
     keys = list(keys)
-    work = df if bucket_name in df.columns else df.withColumn(bucket_name, bucket)
+    work = df
+    if bucket_name not in df.columns:
+        work = with_key(df, keys).repartition(*keys, bucket).withColumn(bucket_name, bucket)
     packed = F.struct(*[F.col(src).alias(dst) for dst, src in columns.items()])
     position = F.struct(*[F.col(o) for o in order])
     edge = F.min_by(packed, position) if ahead else F.max_by(packed, position)
     shift = F.lead if ahead else F.lag
     along = Window.partitionBy(*keys).orderBy(bucket_name)
-    edges = (work.groupBy(*keys, bucket_name).agg(edge.alias("_edge"))
-             .select(*keys, bucket_name, shift("_edge").over(along).alias("_outer"))
-             .filter(F.col("_outer").isNotNull()))
+    edges = (work.groupBy(*keys, bucket_name)
+             .agg(edge.alias("_edge"), _read_all(df.columns).alias("_read"))
+             .select(*keys, bucket_name, "_read", shift("_edge").over(along).alias("_outer"))
+             .filter(F.col("_outer").isNotNull() & (F.col("_read") > 0)).drop("_read"))
     inside = Window.partitionBy(*keys, bucket_name).orderBy(*order)
     return (work.join(edges, [*keys, bucket_name], "left")
             .withColumn("_inner", shift(packed).over(inside))

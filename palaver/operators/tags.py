@@ -85,13 +85,14 @@ def with_all_tags(tagged: DataFrame, required: Sequence[str]) -> DataFrame:
     return tagged.filter(F.size(F.array_except(wanted, F.col("all_tags"))) == 0)
 
 
-def descriptive_name(base: Column | str, conversations: Column, seed: int, version: str,
+def descriptive_name(base: Column | str, conversations: Column, seed: int, version: Column | str,
                      day: Column | None = None, suffix: str | None = None) -> Column:
     """``base_n{count}_s{seed}_v{version}_{yyyymmdd}[_suffix]``."""
     stem = F.replace(base if isinstance(base, Column) else F.lit(base), F.lit(".parquet"), F.lit(""))
     stamp = F.date_format(day if day is not None else F.current_timestamp(), "yyyyMMdd")
     parts = [stem, F.concat(F.lit("n"), conversations.cast("string")), F.lit(f"s{seed}"),
-             F.lit(f"v{version}"), stamp]
+             F.concat(F.lit("v"), version if isinstance(version, Column) else F.lit(version)),
+             stamp]
     if suffix:
         parts.append(F.lit(suffix))
     return F.concat_ws("_", *parts)

@@ -4,29 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from palaver.functions.text import hms, share
 from palaver.operators import distribution as d
 
 
 def context_growth_profile(conversations: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Growth ratio and first/last context over conversations with two entries."""
+    """Growth ratio and first/last context over conversations with two entries.
+
+    All figures come from one table of value counts.
+    """
     keys = list(keys)
     rows = conversations.filter(F.col("growth_ratio").isNotNull())
-    metrics = ["growth_ratio", "first_chars", "last_chars"]
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("growth_ratio").alias("ratio_min"), F.max("growth_ratio").alias("ratio_max"),
-        F.avg("growth_ratio").alias("ratio_mean"),
-        F.avg("first_chars").alias("first_mean"), F.avg("last_chars").alias("last_mean"))
-    mid = d.medians(d.value_counts(rows, keys, metrics), [*keys, "metric"])
-    wide = mid.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("metric") == m, F.col("median"))).alias(f"{short}_median")
-        for m, short in zip(metrics, ("ratio", "first", "last"))])
-    return stats.join(wide, keys).select(
-        *keys, "n", "ratio_min", "ratio_max", "ratio_mean", "ratio_median",
-        "first_mean", "first_median", "last_mean", "last_median")
+    names = {"growth_ratio": "ratio", "first_chars": "first", "last_chars": "last"}
+    counts = d.value_counts(rows, keys, list(names))
+    n, v = F.col("n"), F.col("value")
+    stats = counts.groupBy(*keys, "metric").agg(
+        F.sum(n).alias("_n"), F.min(v).alias("min"), F.max(v).alias("max"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"))
+    both = stats.join(d.medians(counts, [*keys, "metric"]), [*keys, "metric"])
+
+    def of(metric: str, stat: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col(stat))).alias(
+            f"{names[metric]}_{stat}")
+
+    return both.groupBy(*keys).agg(
+        F.max("_n").alias("n"), *[of("growth_ratio", x) for x in ("min", "max", "mean", "median")],
+        *[of(m, x) for m in ("first_chars", "last_chars") for x in ("mean", "median")])
 
 
 def compare_datasets(conversations: DataFrame, key: str = "dataset_type") -> DataFrame:
@@ -57,20 +62,26 @@ def side_by_side(conversations: DataFrame, types: Sequence[str],
 
 
 def agentic_profile(runs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Score summary, tool-call totals and error rate."""
+    """Score summary, tool-call totals and error rate, from one table of counts."""
     keys = list(keys)
-    stats = runs.groupBy(*keys).agg(
-        F.min("success_score").alias("score_min"), F.max("success_score").alias("score_max"),
-        F.avg("success_score").alias("score_mean"),
-        F.sum("num_tool_calls").alias("tool_calls"), F.avg("num_tool_calls").alias("tools_mean"),
-        F.max("num_tool_calls").alias("tools_max"), F.sum("num_errors").alias("errors"))
-    stats = stats.withColumn("error_rate", F.coalesce(
+    counts = d.value_counts(runs, keys, ["success_score", "num_tool_calls", "num_errors"])
+    n, v = F.col("n"), F.col("value")
+    stats = counts.groupBy(*keys, "metric").agg(
+        F.min(v).alias("min"), F.max(v).alias("max"), F.sum(v * n).alias("total"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"))
+    both = stats.join(d.medians(counts, [*keys, "metric"]), [*keys, "metric"])
+
+    def of(metric: str, stat: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col(stat)))
+
+    wide = both.groupBy(*keys).agg(
+        *[of("success_score", x).alias(f"score_{x}") for x in ("min", "max", "mean", "median")],
+        of("num_tool_calls", "total").cast("bigint").alias("tool_calls"),
+        of("num_tool_calls", "mean").alias("tools_mean"),
+        of("num_tool_calls", "max").cast("bigint").alias("tools_max"),
+        of("num_errors", "total").cast("bigint").alias("errors"))
+    return wide.withColumn("error_rate", F.coalesce(
         share(F.col("errors"), F.col("tool_calls")), F.lit(0.0)))
-    mid = d.medians(d.value_counts(runs, keys, ["success_score"]), [*keys, "metric"],
-                    "score_median").drop("metric")
-    if keys:
-        return stats.join(mid, keys)
-    return stats.withColumn("score_median", mid.scalar())
 
 
 def multimodal_profile(conversations: DataFrame, item: str, category: str,
