@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once.
+
+    Higher-order functions are interpreted, so an expression written in several
+    places is computed several times; a one-element ``transform`` names it.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def chars(text: Column) -> Column:
     """Length in code points."""
     return F.length(text).cast("bigint")
@@ -84,7 +93,7 @@ def cut_at_sentence(text: Column, n_words: Column, share: float = 0.7) -> Column
     ``share`` of the shortened text.
     """
     short = F.array_join(F.slice(words(text), F.lit(1), n_words.cast("int")), " ")
-    return _back_to_period(short, share)
+    return bind(short, lambda s: _back_to_period(s, share))
 
 
 def _back_to_period(short: Column, share: float) -> Column:
@@ -116,18 +125,19 @@ def fit_words(text: Column, extension: Column, n_words: Column,
     ``pad_then_trim`` the trim also applies to what was just padded and the
     bound is the integer part of ``slack * target``.
     """
-    base = words(text)
-    padded = pad_words(base, extension, n_words)
-    if pad_then_trim:
-        over = F.size(padded) > F.floor(n_words * F.lit(slack))
-        source = padded
-    else:
-        over = F.size(base) > n_words * F.lit(slack)
-        source = F.when(F.size(base) < n_words, padded).otherwise(base)
-    joined = F.array_join(source, " ")
-    cut = _back_to_period(
-        F.array_join(F.slice(source, F.lit(1), n_words.cast("int")), " "), 0.7)
-    return F.when(over, cut).otherwise(joined)
+    def trim(source: Column, over: Column) -> Column:
+        short = F.array_join(F.slice(source, F.lit(1), n_words.cast("int")), " ")
+        return F.when(over, bind(short, lambda s: _back_to_period(s, 0.7))).otherwise(
+            F.array_join(source, " "))
+
+    def fit(base: Column) -> Column:
+        padded = pad_words(base, extension, n_words)
+        if pad_then_trim:
+            return bind(padded, lambda p: trim(p, F.size(p) > F.floor(n_words * F.lit(slack))))
+        return F.when(F.size(base) < n_words, F.array_join(padded, " ")).otherwise(
+            trim(base, F.size(base) > n_words * F.lit(slack)))
+
+    return bind(words(text), fit)
 
 
 def sentence_case(word_list: Column, comma_at: Column | None = None) -> Column:

@@ -1 +1,349 @@
-"""placeholder"""
+"""Synthetic conversations, grown from the given tables.
+
+One conversation is generated per conversation id of the message table; word
+pools are the words of its own first message, so the work and the data both
+come from the tables.
+"""
+
+from pyspark.sql import functions as F
+
+from palaver.functions import synth as y
+from palaver.functions.text import fit_words, words
+from palaver.operators import generate as g
+from palaver.operators.assemble import conversation_rows
+from registry.base import (SEED, TOPIC_WEIGHTS, messages, query, sql_choice, sql_draw, sql_unit,
+                           table)
+
+BUCKETS = ((100, 2, 5), (150, 6, 15), (150, 16, 30), (100, 31, 50))
+REPEAT_WEIGHTS = {k: 0.2 for k in y.REPEAT_BOUNDS}
+RANDOM_WEIGHTS = {k: 0.2 for k in y.USER_BOUNDS}
+FREE = ((150, 2, 4), (200, 5, 8), (150, 9, 15))
+
+
+def _ids(spark, sf_dir):
+    return messages(spark, sf_dir).select("conv_id").distinct()
+
+
+_IDS_SQL = "ids AS (SELECT DISTINCT conv_id FROM conversations)"
+
+
+def _turn_case(bucket: str) -> str:
+    draw = sql_draw("turns", "conv_id")
+    return (f"CASE {bucket} WHEN 0 THEN 2 + {draw} % 4 WHEN 1 THEN 6 + {draw} % 10 "
+            f"WHEN 2 THEN 16 + {draw} % 15 ELSE 31 + {draw} % 20 END")
+
+
+@query("gen_turns", f"""WITH {_IDS_SQL},
+p AS (SELECT conv_id, row_number() OVER (ORDER BY {sql_draw('bucket', 'conv_id')}, conv_id) AS k,
+             count(*) OVER () AS n FROM ids),
+b AS (SELECT conv_id, CASE WHEN k <= n * 100 // 500 THEN 0 WHEN k <= n * 250 // 500 THEN 1
+             WHEN k <= n * 400 // 500 THEN 2 ELSE 3 END AS b FROM p)
+SELECT conv_id, {sql_choice(sql_unit('topic', 'conv_id'), TOPIC_WEIGHTS)} AS topic,
+       ({_turn_case('b')})::BIGINT AS num_turns FROM b""")
+def gen_turns(spark, sf_dir):
+    ids = g.with_topic(_ids(spark, sf_dir), TOPIC_WEIGHTS, SEED)
+    return g.allocated_turns(ids, BUCKETS, SEED)
+
+
+@query("gen_free_turns", f"""WITH {_IDS_SQL}
+SELECT conv_id, (CASE {sql_draw('bucket', 'conv_id')} % 3
+   WHEN 0 THEN 2 + {sql_draw('turns', 'conv_id')} % 3 WHEN 1 THEN 5 + {sql_draw('turns', 'conv_id')} % 4
+   ELSE 9 + {sql_draw('turns', 'conv_id')} % 7 END)::BIGINT AS num_turns FROM ids""")
+def gen_free_turns(spark, sf_dir):
+    return g.free_bucket_turns(_ids(spark, sf_dir), FREE, SEED)
+
+
+def _phase_sql(first: int, second: int) -> str:
+    unit = sql_unit("length", "conv_id", "turn_no")
+    e, mi, la = (sql_choice(unit, g.LENGTH_WEIGHTS[p]) for p in ("early", "middle", "late"))
+    t = sql_draw("target", "conv_id", "turn_no")
+    return f"""turns AS (SELECT conv_id, num_turns, unnest(range(num_turns)) AS turn_no FROM plan),
+classed AS (SELECT *, CASE WHEN turn_no < {first} THEN {e} WHEN turn_no < {second} THEN {mi}
+            ELSE {la} END AS length_class FROM turns),
+sized AS (SELECT *, (CASE length_class WHEN 'short' THEN 20 + {t} % 61 WHEN 'medium' THEN 80 + {t} % 171
+          ELSE 250 + {t} % 351 END)::BIGINT AS target_words FROM classed)"""
+
+
+_UNIFORM_PLAN = f"""{_IDS_SQL},
+plan AS (SELECT conv_id, (2 + {sql_draw('turns', 'conv_id')} % 24)::BIGINT AS num_turns FROM ids)"""
+
+
+@query("gen_lengths", f"""WITH {_UNIFORM_PLAN}, {_phase_sql(5, 20)}
+SELECT conv_id, turn_no, length_class, target_words FROM sized""")
+def gen_lengths(spark, sf_dir):
+    turns = g.turn_rows(g.uniform_turns(_ids(spark, sf_dir), 2, 25, SEED))
+    return g.with_target_words(turns, SEED).select("conv_id", "turn_no", "length_class",
+                                                   "target_words")
+
+
+def _pools(spark, sf_dir):
+    """First message of every conversation, as words."""
+    first = messages(spark, sf_dir).filter("turn = 0")
+    return first.select("conv_id", words(F.col("text")).alias("pool"))
+
+
+_POOL_SQL = r"""pools AS (SELECT conv_id, list_filter(regexp_split_to_array(text, '\s+'),
+   lambda w: w <> '') AS pool FROM conversations WHERE turn = 0)"""
+
+
+def _repeat_turns(spark, sf_dir, most=9):
+    plan = g.uniform_turns(g.with_topic(_pools(spark, sf_dir), REPEAT_WEIGHTS, SEED, "style"),
+                           2, most, SEED)
+    base = F.when(F.col("style") == "single_word", F.col("pool")[0]).when(
+        F.col("style") == "letter_repeat", F.substring(F.col("pool")[0], 1, 3)).otherwise(
+        F.array_join(F.slice("pool", 1, 4), " "))
+    return g.turn_rows(plan.withColumn("base", base).drop("pool"))
+
+
+def _repeat_text():
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    return y.repeated_text(F.col("style"), F.col("base"), d)
+
+
+_R = sql_draw("repeat", "conv_id", "turn_no")
+
+
+def _repeat_cte(most: int) -> str:
+    return f"""{_POOL_SQL},
+rp AS (SELECT conv_id, pool, (2 + {sql_draw('turns', 'conv_id')} % {most - 1})::BIGINT AS num_turns,
+        {sql_choice(sql_unit('style', 'conv_id'), REPEAT_WEIGHTS)} AS style FROM pools),
+rb AS (SELECT conv_id, num_turns, style, CASE style WHEN 'single_word' THEN pool[1]
+        WHEN 'letter_repeat' THEN substr(pool[1], 1, 3)
+        ELSE array_to_string(pool[1:4], ' ') END AS base FROM rp),
+rt AS (SELECT *, unnest(range(num_turns)) AS turn_no FROM rb),
+rn AS (SELECT *, (CASE style WHEN 'single_word' THEN 5 + {_R} % 96 WHEN 'phrase_repeat' THEN 3 + {_R} % 48
+        WHEN 'counting_repeat' THEN 5 + {_R} % 26 WHEN 'letter_repeat' THEN 50 + {_R} % 451
+        ELSE 2 + {_R} % 19 END) AS k FROM rt),
+ru AS (SELECT *, CASE WHEN style = 'letter_repeat'
+        THEN substr(repeat(base, k // length(base) + 1), 1, k)
+        ELSE array_to_string(list_transform(range(k), lambda i: base), ' ') END AS user_text FROM rn)"""
+
+
+@query("gen_repeat", f"""WITH {_repeat_cte(9)}
+SELECT conv_id, turn_no, style, length(user_text) AS n_chars, md5(user_text) AS text_md5 FROM ru""")
+def gen_repeat(spark, sf_dir):
+    rows = _repeat_turns(spark, sf_dir).withColumn("user_text", _repeat_text())
+    return rows.select("conv_id", "turn_no", "style", F.length("user_text").cast("bigint")
+                       .alias("n_chars"), F.md5("user_text").alias("text_md5"))
+
+
+def _random_pools():
+    pool = F.col("pool")
+    return {name: pool for name in ("words", "lorem", "subjects", "adverbs", "verbs", "objects",
+                                    "phrases", "fillers")}
+
+
+def _random_turns(spark, sf_dir, most):
+    plan = g.with_topic(_pools(spark, sf_dir), RANDOM_WEIGHTS, SEED, "style")
+    return g.turn_rows(g.uniform_turns(plan, 2, most, SEED))
+
+
+def _pk(salt: str, *idx: str) -> str:
+    return f"pool[({sql_draw(salt, 'conv_id', 'turn_no', *idx)} % len(pool) + 1)::BIGINT]"
+
+
+def _rd(salt: str, *idx: str) -> str:
+    return sql_draw(salt, "conv_id", "turn_no", *idx)
+
+
+def _rn(salt: str, a: int, b: int, c: int, e: int) -> str:
+    low = f"(CASE WHEN turn_no < 3 THEN {a} ELSE {b} END)"
+    high = f"(CASE WHEN turn_no < 5 THEN {c} ELSE {e} END)"
+    return f"({low} + {_rd(salt)} % ({high} - {low} + 1))"
+
+
+def _run_sql(alphabet: str, salt: str, least: int, most: int) -> str:
+    quoted = alphabet.replace("'", "''")
+    return (f"array_to_string(list_transform(range(({least} + {_rd(salt + '_n', 'i')} % "
+            f"{most - least + 1})::BIGINT), lambda j: substr('{quoted}', "
+            f"({_rd(salt, 'i', 'j')} % {len(alphabet)} + 1)::BIGINT, 1)), '')")
+
+
+_REAL = f"(-1000.0::DOUBLE + 2000.0::DOUBLE * {sql_unit('number', 'conv_id', 'turn_no', 'i')})"
+_NUMBER = f"""CASE {_rd('format', 'i')} % 4 WHEN 0 THEN ({_rd('number', 'i')} % 10000)::VARCHAR
+  WHEN 1 THEN CASE {_rd('digits', 'i')} % 6 """ + " ".join(
+    f"WHEN {k - 1} THEN printf('%.{k}f', {_REAL})" for k in range(1, 7)) + f""" END
+  WHEN 2 THEN '0x' || lpad(upper(to_hex({_rd('number', 'i')} % 16777216)), 6, '0')
+  ELSE (100000 + {_rd('number', 'i')} % 99900000)::VARCHAR END"""
+_KIND = sql_choice(sql_unit("kind", "conv_id", "turn_no", "i"), y.MIXED_WEIGHTS)
+
+RANDOM_SQL = f"""WITH {_POOL_SQL},
+rp AS (SELECT conv_id, pool, (2 + {sql_draw('turns', 'conv_id')} % 11)::BIGINT AS num_turns,
+        {sql_choice(sql_unit('style', 'conv_id'), RANDOM_WEIGHTS)} AS style FROM pools),
+rt AS (SELECT *, unnest(range(num_turns)) AS turn_no FROM rp),
+tw AS (SELECT conv_id, turn_no, style, array_to_string(list_transform(
+         range({_rn('words', 3, 5, 15, 30)}), lambda i: {_pk('word', 'i')}), ' ') AS t
+       FROM rt WHERE style = 'random_words'),
+ts AS (SELECT conv_id, turn_no, style, array_to_string(list_transform(
+         range({_rn('sentences', 1, 2, 3, 6)}), lambda i: {_pk('subject', 'i')}
+         || CASE WHEN {_rd('has_adverb', 'i')}::DOUBLE / 4294967296.0::DOUBLE < 0.4
+            THEN ' ' || {_pk('adverb', 'i')} ELSE '' END
+         || ' ' || {_pk('verb', 'i')} || ' ' || {_pk('object', 'i')}
+         || CASE WHEN {_rd('has_phrase', 'i')}::DOUBLE / 4294967296.0::DOUBLE < 0.5
+            THEN ' ' || {_pk('phrase', 'i')} ELSE '' END || '.'), ' ') AS t
+       FROM rt WHERE style = 'random_sentences'),
+tm AS (SELECT conv_id, turn_no, style, array_to_string(list_transform(
+         range({_rn('parts', 5, 8, 15, 25)}), lambda i: CASE {_KIND}
+           WHEN 'word' THEN {_pk('word', 'i')} WHEN 'number' THEN {_NUMBER}
+           WHEN 'symbol' THEN {_run_sql(y.SYMBOLS, 'symbol', 1, 4)}
+           ELSE {_run_sql(y.ALPHANUMERIC, 'run', 3, 10)} END), ' ') AS t
+       FROM rt WHERE style = 'random_mixed'),
+l0 AS (SELECT *, {_rn('words', 10, 15, 30, 60)} AS n FROM rt WHERE style = 'random_lorem'),
+l1 AS (SELECT *, unnest(range(ceil(n / 4.0)::BIGINT)) AS s FROM l0),
+l2 AS (SELECT *, 4 + {_rd('length', 's')} % 9 AS len FROM l1),
+l3 AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY conv_id, turn_no ORDER BY s
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM l2),
+l4 AS (SELECT *, least(len, n - start) AS size FROM l3 WHERE start < n),
+l5 AS (SELECT *, CASE WHEN size > 5 AND {_rd('has_comma', 's')}::DOUBLE / 4294967296.0::DOUBLE < 0.4
+         THEN 2 + {_rd('comma', 's')} % (size - 3) ELSE -1 END AS comma FROM l4),
+l6 AS (SELECT *, unnest(range(size::BIGINT)) AS q FROM l5),
+l7 AS (SELECT *, pool[({sql_draw('word', 'conv_id', 'turn_no', '(start + q)::BIGINT')} % len(pool) + 1)::BIGINT]
+         AS w FROM l6),
+l8 AS (SELECT conv_id, turn_no, style, s, string_agg(CASE WHEN q = 0
+         THEN upper(substr(w, 1, 1)) || lower(substr(w, 2)) ELSE w END
+         || CASE WHEN q = comma THEN ',' ELSE '' END, ' ' ORDER BY q) || '.' AS x
+       FROM l7 GROUP BY conv_id, turn_no, style, s),
+tl AS (SELECT conv_id, turn_no, style, string_agg(x, ' ' ORDER BY s) AS t FROM l8
+       GROUP BY conv_id, turn_no, style)
+SELECT conv_id, turn_no, style, length(t) AS n_chars, md5(t) AS text_md5
+FROM (SELECT * FROM tw UNION ALL SELECT * FROM ts UNION ALL SELECT * FROM tm
+      UNION ALL SELECT * FROM tl)"""
+
+
+@query("gen_random", RANDOM_SQL)
+def gen_random(spark, sf_dir):
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    rows = _random_turns(spark, sf_dir, 12).filter("style <> 'random_chars'")
+    text = y.random_text(F.col("style"), _random_pools(), d, y.user_bounds(F.col("turn_no")))
+    return rows.withColumn("t", text).select(
+        "conv_id", "turn_no", "style", F.length("t").cast("bigint").alias("n_chars"),
+        F.md5("t").alias("text_md5"))
+
+
+@query("gen_random_chars")
+def gen_random_chars(spark, sf_dir):
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    low, high = y.user_bounds(F.col("turn_no"))["random_chars"]
+    rows = _random_turns(spark, sf_dir, 12).filter("style = 'random_chars'")
+    return rows.select("conv_id", "turn_no", y.random_characters(d, low, high).alias("text"))
+
+
+@query("gen_random_reply")
+def gen_random_reply(spark, sf_dir):
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    rows = g.with_target_words(_random_turns(spark, sf_dir, 4), SEED, ranges={
+        "short": (20, 40), "medium": (40, 80), "long": (80, 120)})
+    reply = y.random_reply(F.col("style"), _random_pools(), d, F.col("target_words"))
+    return rows.select("conv_id", "turn_no", "style", "target_words", reply.alias("reply"))
+
+
+TEMPLATE = "About {title} at {url}: {word}, {word} and {missing}{word}."
+
+
+def _pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+
+
+def _media_turns(spark, sf_dir):
+    plan = g.uniform_turns(_pools(spark, sf_dir), 2, 6, SEED)
+    from palaver.functions.draws import draw
+    picked = g.pick_from_table(plan, _pages(spark, sf_dir), "page_id",
+                               draw(SEED, "page", F.col("conv_id")), SEED)
+    return g.by_turn_kind(g.turn_rows(picked))
+
+
+def _rendered():
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    template = F.when(F.col("kind") == "opener", F.lit(TEMPLATE)).otherwise(
+        F.lit("And {word}, {unknown} what of {title}?"))
+    return y.render(template, {"title": F.col("title"), "url": F.col("url")},
+                    {"word": F.col("pool")}, d)
+
+
+_MEDIA_CTE = f"""{_POOL_SQL},
+pg AS (SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+         row_number() OVER (ORDER BY {sql_draw('pool', 'page_id')}, page_id) AS no,
+         count(*) OVER () AS k FROM pages),
+mp AS (SELECT conv_id, pool, (2 + {sql_draw('turns', 'conv_id')} % 5)::BIGINT AS num_turns,
+         {sql_draw('page', 'conv_id')} AS d FROM pools),
+mj AS (SELECT mp.*, url, title FROM mp JOIN pg ON pg.no = mp.d % (SELECT count(*) FROM pages) + 1),
+mt AS (SELECT *, unnest(range(num_turns)) AS turn_no FROM mj),
+mu AS (SELECT *, trim(CASE WHEN turn_no = 0 THEN 'About ' || title || ' at ' || url || ': '
+           || {_pk('word', '1')} || ', ' || {_pk('word', '2')} || ' and ' || {_pk('word', '3')} || '.'
+         ELSE 'And ' || {_pk('word', '1')} || ',  what of ' || title || '?' END) AS user_text FROM mt)"""
+
+
+@query("gen_template", f"""WITH {_MEDIA_CTE}
+SELECT conv_id, turn_no, user_text FROM mu""")
+def gen_template(spark, sf_dir):
+    return _media_turns(spark, sf_dir).select("conv_id", "turn_no", _rendered().alias("user_text"))
+
+
+FILLER = "please note that this goes on for a while longer."
+
+
+def _reply(user_text):
+    template = F.lit("You said {word} here: {count} times in {length} characters.")
+    base = y.repeat_reply(F.col("style"), template, F.col("base"), user_text)
+    return fit_words(base, F.array(*[F.lit(w) for w in FILLER.split()]), F.col("target_words"))
+
+
+def generated_messages(spark, sf_dir):
+    turns = g.with_target_words(_repeat_turns(spark, sf_dir), SEED)
+    turns = turns.withColumn("user_text", _repeat_text())
+    return g.chat_messages(turns, F.concat(F.lit("Style: "), F.col("style")), F.col("user_text"),
+                           _reply(F.col("user_text")))
+
+
+_GEN_CTE = f"""{_repeat_cte(9)},
+plan AS (SELECT conv_id, num_turns FROM rb), {_phase_sql(5, 20)},
+gr AS (SELECT ru.*, target_words, list_filter(regexp_split_to_array('You said ' || base || ' here: '
+        || ((length(user_text) - length(replace(user_text, base, ''))) // length(base))
+        || ' times in ' || length(user_text) || ' characters.', '\\s+'), lambda w: w <> '') AS bw
+       FROM ru JOIN sized USING (conv_id, turn_no)),
+gp AS (SELECT *, CASE WHEN len(bw) < target_words THEN bw || flatten(list_transform(
+         range(ceil((target_words - len(bw)) / {len(FILLER.split())}.0)::BIGINT),
+         lambda i: string_split('{FILLER}', ' '))) ELSE bw END AS rw FROM gr),
+msgs AS (SELECT conv_id, 0::BIGINT AS turn, 'system' AS role, 'Style: ' || style AS text FROM rb
+  UNION ALL SELECT conv_id, turn_no * 2 + 1, 'user', user_text FROM ru
+  UNION ALL SELECT conv_id, turn_no * 2 + 2, 'assistant', array_to_string(rw, ' ') FROM gp)"""
+
+
+@query("gen_messages", f"""WITH {_GEN_CTE}
+SELECT conv_id, turn, role, length(text) AS n_chars, md5(text) AS text_md5 FROM msgs""")
+def gen_messages(spark, sf_dir):
+    return generated_messages(spark, sf_dir).select(
+        "conv_id", "turn", "role", F.length("text").cast("bigint").alias("n_chars"),
+        F.md5("text").alias("text_md5"))
+
+
+@query("gen_conversations", f"""WITH {_GEN_CTE},
+c AS (SELECT *, sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS cum FROM msgs)
+SELECT conv_id AS conversation_id, count(*) FILTER (role = 'assistant') AS num_turns,
+       count(*) AS num_messages, min(text) FILTER (role = 'system') AS system_prompt,
+       sum(length(text))::BIGINT AS total_characters,
+       (sum(length(text)) // 4)::BIGINT AS estimated_tokens,
+       string_agg(cum::BIGINT::VARCHAR, ',' ORDER BY turn) FILTER (role = 'assistant') AS cumulative
+FROM c GROUP BY conv_id""")
+def gen_conversations(spark, sf_dir):
+    rows = conversation_rows(generated_messages(spark, sf_dir))
+    return rows.select("conversation_id", "num_turns", "num_messages", "system_prompt",
+                       "total_characters", "estimated_tokens",
+                       F.array_join(F.transform("cumulative_char_lengths",
+                                                lambda x: x.cast("string")), ",").alias("cumulative"))
+
+
+@query("gen_multimodal", f"""WITH {_MEDIA_CTE}
+SELECT conv_id, count(*) AS num_turns, (1 + 2 * count(*))::BIGINT AS num_messages,
+       (7 + sum(length(user_text)) + 2 * count(*))::BIGINT AS total_characters,
+       max(CASE WHEN turn_no = 0 THEN url END) AS media_url
+FROM mu GROUP BY conv_id""")
+def gen_multimodal(spark, sf_dir):
+    rows = _media_turns(spark, sf_dir)
+    made = g.chat_messages(rows, F.lit("Look it"), _rendered(), F.lit("ok"), "file", F.col("url"))
+    conv = conversation_rows(made, typed_parts=True)
+    first = F.element_at("messages", 2)["parts"]
+    return conv.select(
+        F.col("conversation_id").alias("conv_id"), "num_turns", "num_messages", "total_characters",
+        F.element_at(first, 2)["file"]["url"].alias("media_url"))
