@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver.functions.text import contains_any
-from palaver.operators.scan import prefix_sums, turn_bucket
+from palaver.operators.scan import prefix_sums, settle, turn_bucket
 
 # What makes a media entry unusable.
 SKIP_EXTENSIONS = (".svg", ".gif", ".tif")
@@ -51,17 +51,19 @@ def balanced_cap(df: DataFrame, category: str, category_order: str, position: st
     quota = F.call_function("div", F.lit(target).cast("bigint"), k)
     sized = counts.withColumn("_quota", quota).withColumn(
         "_over", F.greatest(F.lit(0).cast("bigint"), F.col("_n") - F.col("_quota")))
-    missing = F.lit(target) - sized.agg(F.sum(F.least("_n", "_quota"))).scalar()
-    # Over the category table only: one row per category.
+    # Windows over the category table only: one row per category.
     earlier = Window.orderBy(category_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sized.select(category, "_quota", F.coalesce(
-        F.sum("_over").over(earlier), F.lit(0)).alias("_skip"))
+    everything = Window.orderBy(category_order).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = settle(sized.select(
+        category, "_quota", F.coalesce(F.sum("_over").over(earlier), F.lit(0)).alias("_skip"),
+        (F.lit(target) - F.sum(F.least("_n", "_quota")).over(everything)).alias("_missing")))
     ranked = prefix_sums(df, [category], turn_bucket(position, block), [position],
                          {"_rank": F.lit(1).cast("bigint")}).drop("_bkt")
     spare = F.col("_skip") + F.col("_rank") - F.col("_quota")
     return (ranked.join(offsets, [category])
-            .filter((F.col("_rank") <= F.col("_quota")) | (spare <= missing))
-            .drop("_quota", "_skip", "_rank"))
+            .filter((F.col("_rank") <= F.col("_quota")) | (spare <= F.col("_missing")))
+            .drop("_quota", "_skip", "_missing", "_rank"))
 
 
 def invalid_messages(df: DataFrame, column: str = "messages") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from palaver.functions.draws import draw
 from palaver.operators.payload import additive_inputs, score_columns
-from palaver.operators.scan import hash_bucket, prefix_sums
+from palaver.operators.scan import hash_bucket, prefix_sums, settle
 
 MIN_BALANCED_ROWS = 10
 
@@ -64,15 +64,17 @@ def stratified_sample(df: DataFrame, by: str, ids: Sequence[str], seed: int,
                       salt: str = "sample") -> DataFrame:
     """Up to ``k`` rows per stratum, or a quota per stratum.
 
-    Strata without a quota row, or with quota zero, give no rows.
+    Strata without a quota row, or with quota zero, give no rows.  The
+    cut-offs (one row per stratum) are computed first, so that the rows can be
+    filtered where they lie.
     """
     cuts = sample_cutoffs(df, ids, seed, [by], k, quotas, salt)
     if quotas is not None:
         cuts = (quotas.filter(F.col("quota") > 0).select(by)
                 .join(cuts, [by], "left"))
-        joined = df.join(cuts, [by])
+        joined = df.join(settle(cuts), [by])
     else:
-        joined = df.join(cuts, [by], "left")
+        joined = df.join(settle(cuts), [by], "left")
     here = F.struct(draw(seed, salt, *[F.col(i) for i in ids]).alias("_d"), *ids)
     return joined.filter(F.col("cut").isNull() | (here <= F.col("cut"))).drop("cut")
 
@@ -130,6 +132,6 @@ def balanced_subset(conversations: DataFrame, target: float, ids: Sequence[str],
     """The rows of the payload-balanced sample of every dataset."""
     sizes = balanced_sizes(conversations, target, ids, seed, key, salt=salt, **options)
     here = F.struct(draw(seed, salt, *[F.col(i) for i in ids]).alias("_d"), *ids)
-    return (conversations.join(sizes.select(key, "cut"), [key])
+    return (conversations.join(settle(sizes.select(key, "cut")), [key])
             .filter(here <= F.col("cut")).drop("cut"))
 

@@ -21,6 +21,7 @@ from palaver.functions.text import floor_div
 
 TURN_BLOCK = 1024
 HASH_BITS = 12
+SMALL_ROWS = 10_000
 
 
 def turn_bucket(order: str = "turn", block: int = TURN_BLOCK) -> Column:
@@ -48,6 +49,19 @@ def _read_all(columns: Sequence[str]) -> Column:
     return total
 
 
+def settle(small: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """A table to join against a large one without shuffling the large one.
+
+    Runs the plan of ``small`` and, if it has at most ``limit`` rows, returns
+    them as a broadcast table.  A larger table is returned as the plan it was,
+    to be joined by shuffle.
+    """
+    rows = small.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return small
+    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
+
+
 def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: Column,
                 order: Sequence[str], sums: Mapping[str, Column],
                 totals: Mapping[str, str] | None = None,
@@ -103,7 +117,10 @@ def neighbour(df: DataFrame, keys: Sequence[str], bucket: Column,
         work = with_key(df, keys).repartition(*keys, bucket).withColumn(bucket_name, bucket)
     packed = F.struct(*[F.col(src).alias(dst) for dst, src in columns.items()])
     position = F.struct(*[F.col(o) for o in order])
-    edge = F.min_by(packed, position) if ahead else F.max_by(packed, position)
+    # Buckets start at 0 and nothing looks ahead into the first one, so its
+    # values (perhaps long texts) need not travel.
+    edge = (F.min_by(F.when(F.col(bucket_name) > 0, packed), position) if ahead
+            else F.max_by(packed, position))
     shift = F.lead if ahead else F.lag
     along = Window.partitionBy(*keys).orderBy(bucket_name)
     edges = (work.groupBy(*keys, bucket_name)

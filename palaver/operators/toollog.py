@@ -8,7 +8,7 @@ reduced before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver.functions.text import chars, share, tokens
 from palaver.operators.distribution import ranges
@@ -34,7 +34,7 @@ SCORE_BANDS = (
 )
 
 
-def failed():
+def failed() -> Column:
     return F.col("status") == "error"
 
 
@@ -157,20 +157,26 @@ def error_rates(runs: DataFrame) -> DataFrame:
 
 
 def overview(runs: DataFrame) -> DataFrame:
-    """Totals of the run table as ``(section, metric, value)`` rows."""
-    totals = runs.agg(
-        F.count(F.lit(1)).alias("conversations"), F.sum("num_turns").alias("turns"),
-        F.sum("num_tool_calls").alias("tool_calls"), F.sum("num_errors").alias("errors"),
-        F.sum("estimated_tokens").alias("tokens"),
-        F.avg("success_score").alias("score_mean"), F.min("success_score").alias("score_min"),
-        F.max("success_score").alias("score_max"))
-    rows = [(("overview" if not c.startswith("score") else "score"), c) for c in totals.columns]
-    long = totals.select(F.inline(F.array(*[
-        F.struct(F.lit(s).alias("section"), F.lit(c).alias("metric"),
-                 F.col(c).cast("double").alias("value")) for s, c in rows])))
-    tasks = runs.groupBy("task_type").agg(F.count(F.lit(1)).cast("double").alias("value"))
-    return long.unionByName(tasks.select(F.lit("task").alias("section"),
-                                         F.col("task_type").alias("metric"), "value"))
+    """Totals of the run table as ``(section, metric, value)`` rows.
+
+    Task counts and overall figures come from one rollup over the runs.
+    """
+    totals = {
+        "conversations": F.count(F.lit(1)), "turns": F.sum("num_turns"),
+        "tool_calls": F.sum("num_tool_calls"), "errors": F.sum("num_errors"),
+        "tokens": F.sum("estimated_tokens"), "score_mean": F.avg("success_score"),
+        "score_min": F.min("success_score"), "score_max": F.max("success_score")}
+    rolled = runs.rollup("task_type").agg(
+        F.grouping("task_type").alias("_whole"), *[c.alias(n) for n, c in totals.items()])
+
+    def row(section: Column, metric: Column, value: Column) -> Column:
+        return F.struct(section.alias("section"), metric.alias("metric"),
+                        value.cast("double").alias("value"))
+
+    overall = F.array(*[row(F.lit("score" if n.startswith("score") else "overview"), F.lit(n),
+                            F.col(n)) for n in totals])
+    task = F.array(row(F.lit("task"), F.col("task_type"), F.col("conversations")))
+    return rolled.select(F.inline(F.when(F.col("_whole") == 1, overall).otherwise(task)))
 
 
 def compare_runs(runs: DataFrame, left: DataFrame | str, right: DataFrame | str) -> DataFrame:

@@ -110,21 +110,33 @@ def time_estimate(conversations: DataFrame, key: str = "dataset_type",
 
 
 def run_summary(conversations: DataFrame, key: str, category: str) -> DataFrame:
-    """What a generation run reports: size, turn range, category shares, tokens."""
-    totals = conversations.groupBy(key).agg(
-        F.count(F.lit(1)).alias("conversations"), F.min("num_turns").alias("turns_min"),
-        F.max("num_turns").alias("turns_max"), F.avg("num_turns").alias("turns_mean"),
-        F.sum("estimated_tokens").alias("tokens_total"),
-        F.avg("estimated_tokens").alias("tokens_mean"),
-        F.max("estimated_tokens").alias("tokens_max"))
-    facts = totals.select(key, F.inline(F.array(*[
-        F.struct(F.lit("size").alias("section"), F.lit(c).alias("metric"),
-                 F.col(c).cast("double").alias("value"))
-        for c in totals.columns if c != key])))
-    shares = d.frequency(conversations, [key], category).select(
-        key, F.lit("category").alias("section"), F.col("value").alias("metric"),
-        F.col("percentage").alias("value"))
-    return facts.unionByName(shares)
+    """What a generation run reports: size, turn range, category shares, tokens.
+
+    Rows are aggregated once per (key, category); everything else works on
+    that small table.
+    """
+    small = conversations.groupBy(key, category).agg(
+        F.count(F.lit(1)).alias("n"), F.min("num_turns").alias("t_min"),
+        F.max("num_turns").alias("t_max"), F.sum("num_turns").alias("t_sum"),
+        F.sum("estimated_tokens").alias("k_sum"), F.max("estimated_tokens").alias("k_max"))
+    share_row = F.struct(F.col(category).alias("metric"), F.col("n"))
+    whole = small.groupBy(key).agg(
+        F.sum("n").alias("conversations"), F.min("t_min").alias("turns_min"),
+        F.max("t_max").alias("turns_max"), F.sum("t_sum").alias("t_sum"),
+        F.sum("k_sum").alias("tokens_total"), F.max("k_max").alias("tokens_max"),
+        # one entry per configured category
+        F.collect_list(share_row).alias("categories"))
+    n = F.col("conversations")
+    facts = {"conversations": n, "turns_min": F.col("turns_min"), "turns_max": F.col("turns_max"),
+             "turns_mean": F.col("t_sum") / n, "tokens_total": F.col("tokens_total"),
+             "tokens_mean": F.col("tokens_total") / n, "tokens_max": F.col("tokens_max")}
+    sizes = F.array(*[F.struct(F.lit("size").alias("section"), F.lit(name).alias("metric"),
+                               value.cast("double").alias("value"))
+                      for name, value in facts.items()])
+    shares = F.transform("categories", lambda c: F.struct(
+        F.lit("category").alias("section"), c["metric"].alias("metric"),
+        share(c["n"], n).alias("value")))
+    return whole.select(key, F.inline(F.concat(sizes, shares)))
 
 
 def mixture_summary(mixed: DataFrame, key: str = "source_dataset") -> DataFrame:

@@ -23,7 +23,7 @@ def write_sessions(messages: DataFrame, path: str, mode: str = "errorifexists",
 
 
 def write_traces(messages: DataFrame, path: str, mode: str = "errorifexists",
-                 records_per_file: int = 50_000, variant: str = "reply") -> None:
+                 records_per_file: int = 10_000, variant: str = "reply") -> None:
     """Trace lines; file size is bounded because contexts repeat.
 
     The variant is ``reply``, ``words``, ``mixed`` or ``replay``.  Lines of a
