@@ -38,7 +38,7 @@ def output_tokens(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Split on runs of white space, dropping empty pieces."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def word_count(text: Column) -> Column:
@@ -168,12 +168,17 @@ def url_tail(url: Column, marker: str = "/abs/") -> Column:
 
 
 def contains_any(text: Column, needles: Sequence[str]) -> Column:
-    """Case-insensitive test for any of the fixed substrings."""
-    low = F.lower(text)
-    test = F.lit(False)
-    for needle in needles:
-        test = test | F.contains(low, F.lit(needle))
-    return test
+    """Case-insensitive test for any of the fixed substrings.
+
+    The lower-cased text is computed once, however many needles there are.
+    """
+    def test(low: Column) -> Column:
+        found = F.lit(False)
+        for needle in needles:
+            found = found | F.contains(low, F.lit(needle))
+        return found
+
+    return bind(F.lower(text), test)
 
 
 def hex_code(value: Column, width: int = 6) -> Column:

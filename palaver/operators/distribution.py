@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver.functions.text import share
+from palaver.operators.scan import settle
 
 # Reported percentiles, and the turn-count buckets.
 PERCENTILES = (0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
@@ -28,11 +29,15 @@ def value_counts(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) ->
 
     NULL metrics are left out.
     """
+    return _long(df, keys, metrics).groupBy(*keys, "metric", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _long(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """``(keys, metric, value)`` without NULL values."""
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"),
                                F.col(m).cast("double").alias("value")) for m in metrics])
-    return (df.select(*keys, F.inline(pairs))
-            .filter(F.col("value").isNotNull())
-            .groupBy(*keys, "metric", "value").agg(F.count(F.lit(1)).alias("n")))
+    return df.select(*keys, F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
 def _magnitude_bucket(value: Column) -> Column:
@@ -44,15 +49,10 @@ def _magnitude_bucket(value: Column) -> Column:
     return F.coalesce(F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(512.0)), F.lit(0.0))
 
 
-def quantiles(counts: DataFrame, keys: Sequence[str],
-              probabilities: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles: ``(keys, p, value)``.
-
-    First finds the magnitude bucket that holds each wanted rank from bucket
-    totals, then ranks values inside those buckets only.
-    """
+def _ranked_buckets(work: DataFrame, keys: Sequence[str],
+                    probabilities: Sequence[float]) -> DataFrame:
+    """Magnitude buckets that hold a wanted rank, with the ranks they hold."""
     keys = list(keys)
-    work = counts.withColumn("_bkt", _magnitude_bucket(F.col("value")))
     per_bucket = work.groupBy(*keys, "_bkt").agg(F.sum("n").alias("_nb"))
     along = Window.partitionBy(*keys).orderBy("_bkt")
     ranked = per_bucket.select(
@@ -61,7 +61,7 @@ def quantiles(counts: DataFrame, keys: Sequence[str],
                    F.lit(0)).alias("_before"),
         F.sum("_nb").over(along.rowsBetween(Window.unboundedPreceding,
                                             Window.unboundedFollowing)).alias("_total"))
-    wanted = (
+    return (
         ranked.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumn("_pos", (F.col("_total") - 1) * F.col("p"))
         .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
@@ -69,6 +69,11 @@ def quantiles(counts: DataFrame, keys: Sequence[str],
                 & (F.col("_before") + F.col("_nb") > F.col("_lo")))
         .groupBy(*keys, "_bkt", "_before")
         .agg(F.collect_list(F.struct("p", "_pos", "_lo", "_hi")).alias("_probes")))
+
+
+def _pick(work: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rank the distinct values inside the wanted buckets and interpolate."""
+    keys = list(keys)
     inside = Window.partitionBy(*keys, "_bkt").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cells = (work.join(wanted, [*keys, "_bkt"])
@@ -88,6 +93,33 @@ def quantiles(counts: DataFrame, keys: Sequence[str],
     return picked.select(*keys, "p", value.alias("value"))
 
 
+def quantiles(counts: DataFrame, keys: Sequence[str],
+              probabilities: Sequence[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles of value counts: ``(keys, p, value)``.
+
+    First finds the magnitude bucket that holds each wanted rank from bucket
+    totals, then ranks values inside those buckets only.
+    """
+    work = counts.withColumn("_bkt", _magnitude_bucket(F.col("value")))
+    return _pick(work, _ranked_buckets(work, keys, probabilities), keys)
+
+
+def row_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
+                  probabilities: Sequence[float]) -> DataFrame:
+    """The same for columns with hardly any repeated values.
+
+    Value counts of such a column are as large as the column.  Here the rows
+    are read twice and only those in a wanted bucket are shuffled.
+    """
+    by = [*keys, "metric"]
+    rows = (_long(df, keys, metrics).withColumn("n", F.lit(1).cast("bigint"))
+            .withColumn("_bkt", _magnitude_bucket(F.col("value"))))
+    wanted = settle(_ranked_buckets(rows, by, probabilities))
+    hits = (rows.join(wanted.select(*by, "_bkt"), [*by, "_bkt"], "left_semi")
+            .groupBy(*by, "_bkt", "value").agg(F.sum("n").alias("n")))
+    return _pick(hits, wanted, by)
+
+
 def medians(counts: DataFrame, keys: Sequence[str], name: str = "median") -> DataFrame:
     return quantiles(counts, keys, [0.5]).select(*keys, F.col("value").alias(name))
 

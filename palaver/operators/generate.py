@@ -85,8 +85,14 @@ def free_bucket_turns(ids: DataFrame, buckets: Sequence[TurnBucket], seed: int)
     return ids.withColumn("num_turns", _turns_in_bucket(bucket, buckets, seed))
 
 
-def turn_rows(plan: DataFrame) -> DataFrame:
-    """One row per turn, numbered from zero."""
+def turn_rows(plan: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One row per turn, numbered from zero.
+
+    Plans are tiny next to the texts made from them: ``partitions`` spreads
+    them over that many tasks first.
+    """
+    if partitions is not None:
+        plan = plan.repartition(partitions, KEY)
     return plan.withColumn("turn_no", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.col("num_turns") - 1)))
 

@@ -155,10 +155,9 @@ q AS (SELECT l_returnflag, metric, quantile_cont(value, {_P}::DOUBLE[]) AS qs FR
 SELECT l_returnflag, metric, unnest({_P}::DOUBLE[]) AS p, round(unnest(qs), 4) AS value FROM q""")
 def lineitem_percentiles(spark, sf_dir):
     from registry.base import table
-    counts = d.value_counts(table(spark, sf_dir, "lineitem"), ["l_returnflag"],
-                            ["l_quantity", "l_extendedprice"])
-    return (d.quantiles(counts, ["l_returnflag", "metric"], d.PERCENTILES)
-            .withColumn("value", F.round("value", 4)))
+    out = d.row_quantiles(table(spark, sf_dir, "lineitem"), ["l_returnflag"],
+                          ["l_quantity", "l_extendedprice"], d.PERCENTILES)
+    return out.withColumn("value", F.round("value", 4))
 
 
 @query("typed_roles", f"""

@@ -20,6 +20,10 @@ RANDOM_WEIGHTS = {k: 0.2 for k in y.USER_BOUNDS}
 FREE = ((150, 2, 4), (200, 5, 8), (150, 9, 15))
 
 
+def _tasks(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _ids(spark, sf_dir):
     return messages(spark, sf_dir).select("conv_id").distinct()
 
@@ -92,7 +96,7 @@ def _repeat_turns(spark, sf_dir, most=9):
     base = F.when(F.col("style") == "single_word", F.col("pool")[0]).when(
         F.col("style") == "letter_repeat", F.substring(F.col("pool")[0], 1, 3)).otherwise(
         F.array_join(F.slice("pool", 1, 4), " "))
-    return g.turn_rows(plan.withColumn("base", base).drop("pool"))
+    return g.turn_rows(plan.withColumn("base", base).drop("pool"), _tasks(spark))
 
 
 def _repeat_text():
@@ -135,7 +139,7 @@ def _random_pools():
 
 def _random_turns(spark, sf_dir, most):
     plan = g.with_topic(_pools(spark, sf_dir), RANDOM_WEIGHTS, SEED, "style")
-    return g.turn_rows(g.uniform_turns(plan, 2, most, SEED))
+    return g.turn_rows(g.uniform_turns(plan, 2, most, SEED), _tasks(spark))
 
 
 def _pk(salt: str, *idx: str) -> str:
@@ -250,7 +254,7 @@ def _media_turns(spark, sf_dir):
     from palaver.functions.draws import draw
     picked = g.pick_from_table(plan, _pages(spark, sf_dir), "page_id",
                                draw(SEED, "page", F.col("conv_id")), SEED)
-    return g.by_turn_kind(g.turn_rows(picked))
+    return g.by_turn_kind(g.turn_rows(picked, _tasks(spark)))
 
 
 def _rendered():

@@ -36,9 +36,13 @@ def frame(spark):
     return spark.createDataFrame(rows, "g string, v double")
 
 
-def test_quantiles(frame):
-    counts = d.value_counts(frame, ["g"], ["v"])
-    got = {(r.g, r.p): r.value for r in d.quantiles(counts, ["g", "metric"], d.PERCENTILES).collect()}
+@pytest.mark.parametrize("by_rows", [False, True])
+def test_quantiles(frame, by_rows):
+    if by_rows:
+        out = d.row_quantiles(frame, ["g"], ["v"], d.PERCENTILES)
+    else:
+        out = d.quantiles(d.value_counts(frame, ["g"], ["v"]), ["g", "metric"], d.PERCENTILES)
+    got = {(r.g, r.p): r.value for r in out.collect()}
     for g, values in SHAPES.items():
         for p in d.PERCENTILES:
             assert got[g, p] == pytest.approx(percentile(values, p), rel=1e-12, abs=1e-12)
