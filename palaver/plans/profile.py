@@ -139,6 +139,26 @@ def run_summary(conversations: DataFrame, key: str, category: str) -> DataFrame:
     return whole.select(key, F.inline(F.concat(sizes, shares)))
 
 
+def family_statistics(conversations: DataFrame, key: str, category: str,
+                      metrics: Sequence[str] = ("num_turns", "estimated_tokens",
+                                                "total_characters")) -> DataFrame:
+    """Long statistics per dataset: ``(key, section, metric, stat, value)``.
+
+    Numeric summaries (with success score and tool calls where they exist) and
+    the number of conversations per category.
+    """
+    extra = [c for c in ("success_score", "num_tool_calls", "num_errors")
+             if c in conversations.columns]
+    wide = d.numeric_summary(conversations, [key], [*metrics, *extra])
+    stats = ("min", "max", "mean", "median", "stdev", "total")
+    numbers = wide.select(key, F.lit("numbers").alias("section"), "metric", F.inline(F.array(*[
+        F.struct(F.lit(x).alias("stat"), F.col(x).cast("double").alias("value")) for x in stats])))
+    counts = conversations.groupBy(key, F.col(category).alias("metric")).agg(
+        F.count(F.lit(1)).cast("double").alias("value"))
+    return numbers.unionByName(counts.select(
+        key, F.lit("categories").alias("section"), "metric", F.lit("count").alias("stat"), "value"))
+
+
 def mixture_summary(mixed: DataFrame, key: str = "source_dataset") -> DataFrame:
     """Share and means per source of a mixture."""
     counted = mixed.groupBy(key).agg(

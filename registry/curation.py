@@ -189,3 +189,28 @@ SELECT doc_id, CASE WHEN i > 0 AND length(t) - i > 0.7 * length(t)
 def sentence_cut(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id", tx.cut_at_sentence(F.col("text"), F.lit(40)).alias("cut"))
+
+
+@query("metadata_fields", rf"""WITH {MEDIA_CTE},
+t AS (SELECT *, list_filter(regexp_split_to_array(replace(title, '&', ' '), '\s+'), lambda w: w <> '')
+        AS names FROM media)
+SELECT page_id, list_last(string_split(url, '.com/')) AS tail,
+       array_to_string(names[1:3], ', ') || CASE WHEN len(names) > 3 THEN ' et al.' ELSE '' END
+         AS authors,
+       replace(trim(title), E'\n', ' ') AS title, printf('%.3f', width / 7.0::DOUBLE) AS ratio,
+       page_id::VARCHAR || 'px' AS label
+FROM t""")
+def metadata_fields(spark, sf_dir):
+    names = tx.words(F.replace(F.col("title"), F.lit("&"), F.lit(" ")))
+    return media(spark, sf_dir).select(
+        "page_id", tx.url_tail(F.col("url"), r"\.com/").alias("tail"),
+        tx.author_list(names).alias("authors"), tx.one_line(F.col("title")).alias("title"),
+        F.format_string("%.3f", F.col("width") / F.lit(7.0)).alias("ratio"),
+        F.format_string("%dpx", F.col("page_id")).alias("label"))
+
+
+@query("event_days", """
+SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS count FROM events GROUP BY ALL""")
+def event_days(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy(
+        tx.utc_stamp(F.col("ts")).alias("day")).agg(F.count(F.lit(1)).alias("count"))

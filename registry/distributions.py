@@ -167,3 +167,17 @@ FROM (SELECT *, {TYPE_SQL} AS dataset_type
       FROM conversations) GROUP BY dataset_type, role""")
 def typed_roles(spark, sf_dir):
     return d.frequency(typed_messages(spark, sf_dir), ["dataset_type"], "role")
+
+
+@query("family_stats", f"""WITH {LONG_CTE},
+s AS (SELECT dataset_type, metric, min(value) AS min, max(value) AS max, avg(value) AS mean,
+        quantile_cont(value, 0.5) AS median, coalesce(stddev_samp(value), 0.0) AS stdev,
+        sum(value) AS total FROM long WHERE metric <> 'num_messages' GROUP BY ALL),
+u AS (UNPIVOT s ON min, max, mean, median, stdev, total INTO NAME stat VALUE value)
+SELECT dataset_type, 'numbers' AS section, metric, stat, round(value, 6) AS value FROM u
+UNION ALL SELECT dataset_type, 'categories', topic, 'count', count(*)::DOUBLE FROM conv
+GROUP BY dataset_type, topic""")
+def family_stats(spark, sf_dir):
+    from palaver.plans.profile import family_statistics
+    out = family_statistics(_sized(spark, sf_dir), "dataset_type", "topic")
+    return out.withColumn("value", r6("value"))

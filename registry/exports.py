@@ -6,8 +6,9 @@ Nested results are compared through their JSON text (MD5) or their sizes.
 from pyspark.sql import functions as F
 
 from palaver.functions.content import media_content
+from palaver.operators import assemble as a
 from palaver.operators import export as e
-from registry.base import (SCAN_CTE, TYPE_SQL, messages, query, type_of)
+from registry.base import CONV_CTE, SCAN_CTE, TYPE_SQL, messages, query, type_of
 
 
 def _digest(column: str):
@@ -202,3 +203,23 @@ def inline_sessions(spark, sf_dir):
     out = e.sessions(_multimodal(spark, sf_dir), content="inline")
     return out.select("session_id", "part", F.size("turns").cast("bigint").alias("n_turns"),
                       _digest("turns").alias("turns_md5"))
+
+
+@query("stored_round_trip", "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations")
+def stored_round_trip(spark, sf_dir):
+    """Wide rows with JSON text columns, parsed back into messages."""
+    stored = a.to_stored(a.conversation_rows(messages(spark, sf_dir)))
+    return a.explode_messages(stored).select("conv_id", "turn", "role",
+                                             F.md5("text").alias("text_md5"))
+
+
+@query("stored_profile", f"""WITH {CONV_CTE}
+SELECT conv_id AS conversation_id, num_turns, num_messages, total_characters, estimated_tokens,
+       num_entries, first_chars, last_chars, growth_ratio FROM conv""")
+def stored_profile(spark, sf_dir):
+    """Metrics recovered from stored rows."""
+    stored = a.to_stored(a.conversation_rows(messages(spark, sf_dir)))
+    return a.profile_input(stored).select(
+        "conversation_id", "num_turns", "num_messages", "total_characters", "estimated_tokens",
+        "num_entries", "first_chars", "last_chars", "growth_ratio")
+

@@ -351,3 +351,27 @@ def gen_multimodal(spark, sf_dir):
     return conv.select(
         F.col("conversation_id").alias("conv_id"), "num_turns", "num_messages", "total_characters",
         F.element_at(first, 2)["file"]["url"].alias("media_url"))
+
+
+def _templates(spark, sf_dir):
+    """``benchmark`` as a template table with openers and follow-ups."""
+    return table(spark, sf_dir, "benchmark").select("item_id", F.when(
+        F.col("item_id") % 4 == 0, "opener").otherwise("followup").alias("kind"), "text")
+
+
+@query("gen_openers", f"""WITH {_UNIFORM_PLAN},
+t AS (SELECT conv_id, unnest(range(num_turns)) AS turn_no FROM plan),
+k AS (SELECT *, CASE WHEN turn_no = 0 THEN 'opener' ELSE 'followup' END AS kind FROM t),
+b AS (SELECT item_id, CASE WHEN item_id % 4 = 0 THEN 'opener' ELSE 'followup' END AS kind, text
+      FROM benchmark),
+n AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY {sql_draw('pool', 'item_id')}, item_id) AS no,
+             count(*) OVER (PARTITION BY kind) AS size FROM b)
+SELECT conv_id, turn_no, k.kind, item_id, md5(text) AS text_md5
+FROM k JOIN n ON n.kind = k.kind AND n.no = {sql_draw('template', 'conv_id', 'turn_no')} % n.size + 1""")
+def gen_openers(spark, sf_dir):
+    from palaver.functions.draws import draw
+    turns = g.by_turn_kind(g.turn_rows(g.uniform_turns(_ids(spark, sf_dir), 2, 25, SEED)))
+    picked = g.pick_from_table(turns, _templates(spark, sf_dir), "item_id",
+                               draw(SEED, "template", F.col("conv_id"), F.col("turn_no")),
+                               SEED, ["kind"])
+    return picked.select("conv_id", "turn_no", "kind", "item_id", F.md5("text").alias("text_md5"))
