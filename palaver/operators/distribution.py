@@ -132,8 +132,12 @@ def histogram(counts: DataFrame, keys: Sequence[str], bins: Column | int) -> Dat
     """
     keys = list(keys)
     wanted = bins if isinstance(bins, Column) else F.lit(bins)
+    # The row total keeps this an aggregate of the counts: minimum and maximum
+    # alone would be taken from the rows in a second scan.
     bounds = (counts.groupBy(*keys)
-              .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+              .agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
+                   F.sum("n").alias("_rows"))
+              .filter(F.col("_rows") > 0).drop("_rows")
               .withColumn("k", F.when(F.col("lo") == F.col("hi"), F.lit(1))
                           .otherwise(wanted).cast("bigint"))
               .withColumn("w", (F.col("hi") - F.col("lo")) / F.col("k")))

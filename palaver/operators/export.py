@@ -180,5 +180,12 @@ def replay_split(messages: DataFrame, by_role: bool = True,
 
 
 def fine_tuning(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """``{"messages": [...]}`` records."""
-    return nested_messages(messages, part_size).select("messages")
+    """``{"messages": [...]}`` records.
+
+    Only records of a conversation that may have several parts also name the
+    conversation and the part; both are NULL (absent in JSON) otherwise.
+    """
+    nested = nested_messages(messages, part_size)
+    split = (F.col("part") > 0) | (F.size("messages") >= part_size)
+    return nested.select("messages", F.when(split, F.col(KEY)).alias(KEY),
+                         F.when(split, F.col("part")).alias("part"))

@@ -200,7 +200,9 @@ def _profile_struct(kind: Column, tasks: bool, media: bool) -> Column:
 def dataset_facts(conversations: DataFrame, key: str, kind: Column) -> DataFrame:
     """One row per dataset with everything its manifest needs."""
     counts = profile_counts(conversations, key, kind)
-    numbers = counts.filter(F.col("value").isNotNull()).drop("label")
+    # Not a filter: it would be pushed below the counting and split the shared
+    # exchange.  Labels collapse to one row per metric and are not looked at.
+    numbers = counts.groupBy(key, "metric", "value").agg(F.sum("n").alias("n"))
     return _number_sections(numbers, key).join(_label_sections(counts, key), [key])
 
 

@@ -101,6 +101,13 @@ def test_word_trace(hot_messages, by_conversation):
     assert {k: (len(r.messages), r.output_length) for k, r in rows.items()} == want
 
 
+def test_fine_tuning_names_only_split_conversations(hot_messages, by_conversation):
+    rows = e.fine_tuning(hot_messages, 16).collect()
+    assert {r.conv_id for r in rows if r.conv_id is not None} == {7}
+    assert sorted(r.part for r in rows if r.conv_id == 7) == [0, 1, 2, 3]
+    assert sum(len(r.messages) for r in rows) == sum(map(len, by_conversation.values()))
+
+
 PDF = json.dumps([{"type": "text", "text": "Read"}, {"type": "text", "text": "this"},
                   {"type": "file", "file": {"url": "http://a/1.pdf", "mime_type": "application/pdf"}},
                   {"type": "file", "file": {"url": "http://a/2.pdf"}}])

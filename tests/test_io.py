@@ -124,6 +124,15 @@ def test_batch_manifests(spark, dataset_dir, by_conversation):
     assert got["agentic"].payload_scores.decode_breakdown.raw.tool_call_penalty == pytest.approx(0.4 * n)
 
 
+def test_manifest_scans_its_input_once(spark, dataset_dir):
+    path = str(dataset_dir / "multi_turn_text_chat.parquet")
+    rows = a.profile_input(r.read_dataset(spark, path, "text")).withColumn("dataset_type", F.lit("text"))
+    df = build_manifests(rows)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+
+
 def test_batch_survives_a_broken_file(spark, tmp_path, dataset_dir):
     df = spark.read.parquet(str(dataset_dir / "multi_turn_text_chat.parquet"))
     df.write.parquet(str(tmp_path / "multi_turn_text_chat.parquet"))
