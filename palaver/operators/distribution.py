@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver.functions.text import share
-from palaver.operators.scan import settle
+from palaver.operators.scan import settle, with_key
 
 # Reported percentiles, and the turn-count buckets.
 PERCENTILES = (0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
@@ -128,9 +128,11 @@ def histogram(counts: DataFrame, keys: Sequence[str], bins: Column | int) -> Dat
     """Equal-width bins: ``(keys, bin, edge_lo, edge_hi, count)``.
 
     The last bin is closed, a group with one value has one bin, empty bins are
-    kept.  ``bins`` may use the columns ``lo`` and ``hi`` of the group.
+    kept.  ``bins`` may use the columns ``lo`` and ``hi`` of the group.  Groups
+    need a key that is not NULL.
     """
     keys = list(keys)
+    counts = with_key(counts, keys)
     wanted = bins if isinstance(bins, Column) else F.lit(bins)
     # The row total keeps this an aggregate of the counts: minimum and maximum
     # alone would be taken from the rows in a second scan.
