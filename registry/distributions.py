@@ -56,7 +56,7 @@ def quantile_90(spark, sf_dir):
 
 
 def _hist_sql(where: str, bins: str) -> str:
-    """Reference semantics directly: each bin compares values with its edges."""
+    """Each bin compares every value with its edges."""
     return f"""WITH {LONG_CTE},
 src AS (SELECT * FROM long WHERE {where}),
 b AS (SELECT dataset_type, metric, min(value) AS lo, max(value) AS hi FROM src GROUP BY ALL),
