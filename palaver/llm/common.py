@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SLICE_BYTES = 2 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -174,3 +176,29 @@ def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
         h *= ODD
         h += words.hashes[k:size + k]
     return at, mix(h[at])
+
+
+# ---------------------------------------------------------------- per-text columns
+
+def map_slices(docs: DataFrame, text: str, keep: list[str], fields: list[T.StructField],
+               work: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:
+    """``keep`` columns of each row with columns that ``work`` makes from its text.
+
+    ``work(data, offsets)`` gets a slice of whole texts and returns a value per
+    text for each of ``fields``.  Texts are read in the tasks; nothing is shuffled.
+    """
+    made = {f.name for f in fields}
+    keep = [c for c in keep if c not in made]
+    schema = T.StructType([docs.schema[c] for c in keep] + fields)
+    types = [to_arrow_type(f.dataType) for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in slices(batch.column(len(keep))):
+                values = [v if isinstance(v, pa.Array) else pa.array(v, t)
+                          for v, t in zip(work(data, offsets), types)]
+                rest = [c.slice(row, end - row) for c in batch.columns[:len(keep)]]
+                yield pa.RecordBatch.from_arrays(rest + values, names=schema.names)
+
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep), utf8(text).alias("__bytes"))
+    return rows.mapInArrow(run, schema)

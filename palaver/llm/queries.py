@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe
+from palaver.llm import bpe, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,9 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE),
                            outputs=("n_tokens", "ids_sha256", "decoded_sha256"),
                            keep=("doc_id",))
+
+
+@query()
+def op6_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures, longest repeat, covered fraction and verdict of every document."""
+    return repetition.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
