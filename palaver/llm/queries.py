@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, repetition
+from palaver.llm import bpe, licenses, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,3 +39,9 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures, longest repeat, covered fraction and verdict of every document."""
     return repetition.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query()
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels, base places and score of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
