@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, licenses, repetition
+from palaver.llm import bpe, licenses, repetition, toxicity
+from palaver.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +46,18 @@ def op6_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels, base places and score of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+#: Labelled rows of which the toxicity model learns, at most.
+TOXICITY_ROWS = 20_000
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model that saw no row of remainder 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_remainder("doc_id", 4) == 2
+    rows = toxicity.training_rows(docs, table(spark, sf_dir, "labels"), ~held_out,
+                                  "doc_id", "text", "toxic", TOXICITY_ROWS)
+    scored = toxicity.with_scores(docs, toxicity.train(rows), keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
