@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, licenses, repetition, toxicity
+from palaver.llm import bpe, licenses, repetition, spacedseed, toxicity
 from palaver.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "doc_id", "text", "toxic", TOXICITY_ROWS)
     scored = toxicity.with_scores(docs, toxicity.train(rows), keep=["doc_id"])
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds a passage of."""
+    return spacedseed.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
