@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import bpe, licenses, repetition, spacedseed, toxicity
+from palaver.llm import bagminhash, bpe, licenses, repetition, spacedseed, toxicity
 from palaver.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it holds a passage of."""
     return spacedseed.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document: the smallest id among its near duplicates."""
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
