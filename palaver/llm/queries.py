@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from palaver.llm import bagminhash, bpe, licenses, repetition, spacedseed, toxicity
+from palaver.llm import bagminhash, bpe, licenses, repetition, spacedseed, toxicity, urlrules
 from palaver.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +74,17 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document: the smallest id among its near duplicates."""
     return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, list rule and verdict of every page's url.
+
+    Pages without a list rule are labelled by the label of their id: low quality
+    or toxic is block, else allow.
+    """
+    bad = (F.min("quality") == 0) | (F.max("toxic") == 1)
+    labels = (table(spark, sf_dir, "labels").where("doc_id is not null")
+              .groupBy(F.col("doc_id").alias("page_id"))
+              .agg(F.when(bad, "block").otherwise("allow").alias("verdict")))
+    return urlrules.judge(table(spark, sf_dir, "pages"), labels)
