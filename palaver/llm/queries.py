@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm import bagminhash, bpe, licenses, repetition, spacedseed, toxicity, urlrules
+from palaver.llm import bagminhash, bpe, licenses, repetition, spacedseed, toxicity, urlrules, warc
 from palaver.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,25 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy(F.col("doc_id").alias("page_id"))
               .agg(F.when(bad, "block").otherwise("allow").alias("verdict")))
     return urlrules.judge(table(spark, sf_dir, "pages"), labels)
+
+
+@query("""
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hexadecimal,
+               row_number() OVER same AS number, max(page_id) OVER same AS first
+        FROM pages
+        WINDOW same AS (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST))
+    SELECT page_id, strlen(payload) AS payload_bytes,
+           array_to_string(list_transform(range(32), k -> substr(
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + (((('0x' || substr(hexadecimal, 1 + 5 * (k // 4), 5))::INT)
+                     >> (15 - 5 * (k % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+           CASE WHEN number = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN number > 1 THEN first END AS refers_to
+    FROM p
+""")
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record type, digest and size of every page, read back from its archive."""
+    index = warc.archived(table(spark, sf_dir, "pages"))
+    return warc.read(index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
