@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm import bagminhash, bpe, licenses, repetition, spacedseed, toxicity, urlrules, warc
+from palaver.llm import bagminhash, bpe, licenses, repair, repetition, spacedseed, toxicity, urlrules, warc
 from palaver.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,7 +97,7 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM pages
         WINDOW same AS (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST))
     SELECT page_id, strlen(payload) AS payload_bytes,
-           array_to_string(list_transform(range(32), k -> substr(
+           array_to_string(list_transform(range(32), lambda k: substr(
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                1 + (((('0x' || substr(hexadecimal, 1 + 5 * (k // 4), 5))::INT)
                      >> (15 - 5 * (k % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
@@ -110,3 +110,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archived(table(spark, sf_dir, "pages"))
     return warc.read(index, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op8_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, size and checksum of every document's ids, read back from the shards."""
+    shards = repair.stored(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return repair.read(shards, outputs=("ids_crc32",)).withColumnRenamed("id", "doc_id")
