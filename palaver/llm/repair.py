@@ -279,7 +279,7 @@ def write(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text:
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), utf8(text).alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     shards = written(rows.mapInArrow(
-        run, "part int, number int, path string, n_docs long, n_ids long"), "shards")
+        run, "part long, number long, path string, n_docs long, n_ids long"), "shards")
     # One row per task of the write; their order is that of the id ranges.
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n"))
