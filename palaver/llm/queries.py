@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm import bagminhash, bpe, licenses, repair, repetition, spacedseed, toxicity, urlrules, warc
+from palaver.llm import bagminhash, bpe, licenses, repair, repetition, spacedseed, suffixdedup, toxicity, urlrules, warc
 from palaver.llm.common import crc_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,11 @@ def op8_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, size and checksum of every document's ids, read back from the shards."""
     shards = repair.stored(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
     return repair.read(shards, outputs=("ids_crc32",)).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that earlier 100-byte strings repeat, and what is left."""
+    return suffixdedup.deduplicated(
+        table(spark, sf_dir, "documents"), keep=["doc_id"],
+        outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
