@@ -58,6 +58,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows that name files, dealt over as many tasks as shuffles have.
+
+    The number is given, so that few small rows are not put into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def utf8(column: str | Column) -> Column:
     """The UTF-8 bytes of a text, empty for NULL."""
     column = F.col(column) if isinstance(column, str) else column

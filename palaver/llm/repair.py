@@ -19,6 +19,7 @@ id sort by the text.  Files of lost tasks are in no manifest and never read.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,14 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import shared_folder, slices, utf8, written
+from palaver.llm.common import shared_folder, slices, spread, utf8, written
 
 END_ID = 1
 SHARD_IDS = 2_000_000
 MIN_COUNT = 32
 SLOT_BITS = 18
-MAX_ROUNDS = 5
-MEMO = 1_000_000
+MAX_ROUNDS = 20
+MIN_GAIN = 0.02
+MEMO = 500_000
+MARKS = tuple("!#$%&*,.:;?")
+PLAIN_CHUNK = re.compile(b"([A-Za-z]+)([!#$%&*,.:;?]*)")
 
 
 # ---------------------------------------------------------------- tokens
@@ -46,8 +50,10 @@ MEMO = 1_000_000
 class Encoder:
     """Ids of texts by the tokenizers library, equal chunks encoded once.
 
-    The file must drop white space, so that texts can be split on it; the memo of
-    chunks is bounded and only saves time.
+    The file must drop white space, so that texts can be split on it.  Chunks of
+    letters with closing marks are put together from their parts if the file cuts
+    there.  The memo holds two generations of at most ``MEMO`` chunks each and only
+    saves time.
     """
 
     def __init__(self, path: str):
@@ -58,33 +64,75 @@ class Encoder:
         self.library.no_padding()
         if self._ids("a b") != self._ids("a") + self._ids("b"):
             raise ValueError("the tokenizer file keeps white space")
+        with open(path, encoding="utf-8") as f:
+            suffix = json.load(f)["model"].get("end_of_word_suffix")
+        vocab = self.library.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.plain = suffix and all(
+            self._ids(f"Ab{m}") == self._ids("ab") + self._ids(m) for m in (*MARKS, "!!", ".,"))
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, chunks: list[bytes]) -> None:
+    def _by_offsets(self, chunks: list[bytes]) -> None:
         for first in range(0, len(chunks), 5000):
             part = [c.decode("utf-8", "replace") for c in chunks[first:first + 5000]]
             found = self.library.encode(" ".join(part), add_special_tokens=False)
-            ends = np.cumsum([len(c) + 1 for c in part])
             begun = np.array([o[0] for o in found.offsets], np.int64)
-            cuts = np.searchsorted(begun, ends)
-            ids = np.array(found.ids, "<u4")
-            for chunk, low, high in zip(chunks[first:], np.append(0, cuts[:-1]), cuts):
-                self.memo[chunk] = ids[low:high].tobytes()
+            self._cut(chunks[first:first + 5000], found.ids,
+                      np.searchsorted(begun, np.cumsum([len(c) + 1 for c in part])))
+
+    def _by_ends(self, words: list[bytes]) -> None:
+        """Words of one piece each: a piece ends with the suffix."""
+        for first in range(0, len(words), 5000):
+            part = words[first:first + 5000]
+            ids = self.library.encode_batch_fast([b" ".join(part).decode()],
+                                                 add_special_tokens=False)[0].ids
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part):
+                self._cut(part, ids, cuts)
+            else:
+                self._by_offsets(part)
+
+    def _cut(self, chunks: list[bytes], ids: list[int], cuts: np.ndarray) -> None:
+        data, cuts = np.array(ids, "<u4").tobytes(), (4 * cuts).tolist()
+        self.memo.update(zip(chunks, (data[a:b] for a, b in zip([0] + cuts, cuts))))
+
+    def _recall(self, chunks: set[bytes]) -> set[bytes]:
+        """Chunks that neither generation knows; what the older one knows is young again."""
+        known = chunks & self.older.keys()
+        self.memo.update((c, self.older[c]) for c in known)
+        return chunks - known
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        chunks = self._recall(chunks)
+        composed, other = {}, []
+        for chunk in chunks:
+            parts = self.plain and PLAIN_CHUNK.fullmatch(chunk)
+            if parts:
+                composed[chunk] = parts[1].lower(), parts[2]
+            else:
+                other.append(chunk)
+        memo = self.memo
+        self._by_ends(list(self._recall({w for w, _ in composed.values() if w not in memo})))
+        self._by_offsets(other + list({m for _, m in composed.values()
+                                       if m and m not in memo} - set(other)))
+        for chunk, (word, marks) in composed.items():
+            memo[chunk] = memo[word] + memo[marks] if marks else memo[word]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
-        memo = self.memo
-        wanted = set().union(*split)
-        missing = wanted.difference(memo)
-        if len(memo) + len(missing) > MEMO:
-            memo.clear()
-            missing = wanted
+        if len(self.memo) > MEMO:
+            self.memo, self.older = {}, self.memo
+        missing = set().union(*split).difference(self.memo)
         if missing:
-            self._learn(list(missing))
-        return [np.frombuffer(b"".join(map(memo.__getitem__, chunks)), "<u4") for chunks in split]
+            self._learn(missing)
+        get = self.memo.__getitem__
+        return [np.frombuffer(b"".join(map(get, chunks)), "<u4") for chunks in split]
 
 
 @lru_cache(maxsize=2)
@@ -99,7 +147,7 @@ def _slot(key: np.ndarray, turn: int) -> np.ndarray:
 
 
 def compress(ids: np.ndarray, end_id: int = END_ID, min_count: int = MIN_COUNT,
-             rounds: int = MAX_ROUNDS) -> tuple[np.ndarray, np.ndarray, int]:
+             rounds: int = MAX_ROUNDS, min_gain: float = MIN_GAIN) -> tuple[np.ndarray, np.ndarray, int]:
     """Symbols, rules (pairs) and the first symbol that stands for a rule."""
     symbols = ids.astype(np.int64)
     base = int(symbols.max(initial=0)) + 1
@@ -124,39 +172,63 @@ def compress(ids: np.ndarray, end_id: int = END_ID, min_count: int = MIN_COUNT,
         # A pair gives way to a more frequent neighbour, and to itself further left.
         padded = np.concatenate(([none], here, [none]))
         taken = (here < none) & (here < padded[:-2]) & (here <= padded[2:])
-        taken |= _alternate(here, none, padded, taken)
+        taken[_alternate(here, none, padded, taken)] = True
         at = np.flatnonzero(taken)
         used, named = np.unique(here[at], return_inverse=True)
         symbols[at] = base + len(rules) + named
         left = np.ones(len(symbols), bool)
         left[at + 1] = False
-        symbols = symbols[left]
+        before, symbols = len(symbols), symbols[left]
         chosen = by_rank[used]
         rules = np.concatenate((rules, np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)))
+        if len(symbols) > (1 - min_gain) * before:
+            break
     return symbols, rules, base
 
 
 def _alternate(here: np.ndarray, none: int, padded: np.ndarray, taken: np.ndarray) -> np.ndarray:
-    """Further pairs of a run of one symbol: every second place after one that is taken."""
-    run = (here < none) & (here == padded[:-2])
-    if not run.any():
-        return np.zeros(len(here), bool)
-    start = np.maximum.accumulate(np.where(run, 0, np.arange(len(here))))
-    inside = run & taken[start] & ((np.arange(len(here)) - start) % 2 == 0)
-    return inside & (here <= padded[2:])
+    """Places of further pairs of runs of one symbol: every second one after a taken one."""
+    run = np.flatnonzero((here == padded[:-2]) & (here < none))
+    new = np.ones(len(run), bool)
+    new[1:] = run[1:] != run[:-1] + 1
+    start = run[new][np.cumsum(new) - 1] - 1
+    return run[taken[start] & ((run - start) % 2 == 0) & (here[run] <= padded[2:][run])]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     """The ids that symbols stand for."""
-    symbols = symbols.astype(np.int64)
-    while (named := symbols >= base).any():
-        at = np.cumsum(1 + named) - 1 - named
-        out = np.empty(len(symbols) + int(named.sum()), np.int64)
-        out[at] = symbols
-        pairs = rules[symbols[named] - base]
-        out[at[named]], out[at[named] + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
-    return symbols
+    lengths = expansions(rules, base)
+    # One table of what every rule stands for; the sides of a rule come before it.
+    table, starts = np.zeros(int(lengths.sum()), np.int64), np.cumsum(lengths) - lengths
+    depth = np.zeros(len(rules), np.int64)
+    while True:
+        deeper = np.where(rules >= base, depth[np.maximum(rules - base, 0)] + 1, 0).max(1, initial=0)
+        if (deeper == depth).all():
+            break
+        depth = deeper
+    for level in range(int(depth.max(initial=-1)) + 1):
+        now = np.flatnonzero(depth == level)
+        table[_runs(starts[now], lengths[now])] = _filled(
+            rules[now].ravel(), base, table, starts, lengths)
+    return _filled(symbols.astype(np.int64), base, table, starts, lengths)
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return np.arange(int(lengths.sum())) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+
+
+def _filled(symbols, base, table, starts, lengths) -> np.ndarray:
+    named = np.flatnonzero(symbols >= base)
+    if not len(named):
+        return symbols
+    rule = symbols[named] - base
+    size = np.ones(len(symbols), np.int64)
+    size[named] = lengths[rule]
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.int64)
+    out[at] = symbols
+    out[_runs(at[named], lengths[rule])] = table[_runs(starts[rule], lengths[rule])]
+    return out
 
 
 def expansions(rules: np.ndarray, base: int) -> np.ndarray:
@@ -315,7 +387,7 @@ def read(shards: DataFrame, outputs: tuple[str, ...] = ("ids", "ids_crc32")) ->
                         names=["id", "start", "n_tokens", *outputs])
 
     schema = "id long, start long, n_tokens long" + "".join(f", {o} {kinds[o]}" for o in outputs)
-    return shards.select("path", "start").repartition(F.col("path")).mapInArrow(run, schema)
+    return spread(shards.select("path", "start"), "path").mapInArrow(run, schema)
 
 
 def stored(docs: DataFrame, path: str, **columns) -> DataFrame:

@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import shared_folder, utf8, written
+from palaver.llm.common import shared_folder, spread, utf8, written
 
 ARCHIVE_BYTES = 64 << 20
 CHUNK = 1 << 20
@@ -187,8 +187,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 out.stream.close()
                 yield pa.RecordBatch.from_pylist(found, INDEX)
 
-    spread = archives.select("path").repartition(F.col("path"))
-    return written(spread.mapInArrow(
+    return written(spread(archives.select("path"), "path").mapInArrow(
         run, "path string, place long, length long, page_id long"), "warc-index")
 
 
