@@ -146,7 +146,8 @@ def _digest(around: np.ndarray, low: np.ndarray, high: np.ndarray, which: int) -
 
 # ---------------------------------------------------------------- cores
 
-def settle_cores(rows: DataFrame) -> DataFrame:
+def settle_cores(rows: DataFrame, chunk_size: int = CHUNK, held_rows: int = HELD_ROWS
+                 ) -> DataFrame:
     """Anchors that are covered as a whole, and those whose suffixes must be sorted.
 
     ``rows`` come dealt by core and sorted.  ``chunk`` is -1 for covered ones, else
@@ -175,12 +176,12 @@ def settle_cores(rows: DataFrame) -> DataFrame:
         rank -= (np.cumsum(first) - first)[begin][group]
         if hot:
             rank[group == 0] += number
-        many = windows > CHUNK
+        many = windows > chunk_size
         if hot:
             many[0] = True
         sort = first & ((windows[group] > 1) | many[group])
         cover = same & ~again
-        chunk = np.where(cover, -1, rank // CHUNK)
+        chunk = np.where(cover, -1, rank // chunk_size)
         pick = np.flatnonzero(sort | cover)
         arrays = [c[0][pick], *(v[pick] for v in c[2:]), chunk[pick].astype(np.int64),
                   many[group][pick]]
@@ -198,10 +199,9 @@ def settle_cores(rows: DataFrame) -> DataFrame:
         for batch in batches:
             held.append([batch.column(names.index(n)).to_numpy() for n in names])
             count += batch.num_rows
-            if count < HELD_ROWS:
+            if count < held_rows:
                 continue
             c = [np.concatenate(v) for v in zip(*held)]
-            cut = int(np.searchsorted(c[0] != c[0][-1], False)) if c[0][0] != c[0][-1] else 0
             cut = int(np.flatnonzero(c[0] == c[0][-1])[0])
             if cut == 0:
                 # One core fills what may be held: it goes in parts.
@@ -373,7 +373,7 @@ def windows_of(wanted: DataFrame, rows: DataFrame) -> DataFrame:
         "high short, around binary")
 
 
-def sorted_suffixes(windows: DataFrame) -> DataFrame:
+def sorted_suffixes(windows: DataFrame, chunk_size: int = CHUNK) -> DataFrame:
     """Covered spans ``id, tie, start, stop``, and with ``h1, h2`` the early strings of chunks."""
     def settle(c: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         core, chunk, hot, id_, tie, place, low, high, around = c
@@ -408,7 +408,7 @@ def sorted_suffixes(windows: DataFrame) -> DataFrame:
                                    ).reshape(-1, SPAN))
             held.append(c)
             count += len(c[0])
-            if count >= 16 * CHUNK:
+            if count >= 16 * chunk_size:
                 c = [np.concatenate(v) for v in zip(*held)]
                 last = (c[0] == c[0][-1]) & (c[1] == c[1][-1])
                 cut = int(np.flatnonzero(last)[0])
@@ -437,15 +437,17 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                        (F.crc32(body) - (1 << 31)).cast("int").alias("tie"), body.alias("text"))
 
 
-def covered_spans(rows: DataFrame) -> DataFrame:
+def covered_spans(rows: DataFrame, chunk_size: int = CHUNK, held_rows: int = HELD_ROWS
+                  ) -> DataFrame:
     """``id, tie, spans`` (start, stop pairs, unmerged) of texts with covered bytes."""
     dealt = anchor_rows(rows).repartition("core").sortWithinPartitions(
         "core", "around", "id", "tie", "place")
-    settled = written(settle_cores(dealt), "settled-anchors")
+    settled = written(settle_cores(dealt, chunk_size, held_rows), "settled-anchors")
     whole = settled.where("chunk < 0").select(
         "id", "tie", (F.col("place") - F.col("low")).cast("long").alias("start"),
         (F.col("place") + F.col("high")).cast("long").alias("stop"))
-    found = written(sorted_suffixes(windows_of(settled.where("chunk >= 0"), rows)), "suffix-spans")
+    windows = windows_of(settled.where("chunk >= 0"), rows)
+    found = written(sorted_suffixes(windows, chunk_size), "suffix-spans")
     place = F.struct("id", "tie", "start")
     early = found.where("h1 is not null")
     first = early.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
@@ -466,7 +468,8 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  keep: list[str] | None = None,
-                 outputs: tuple[str, ...] = ("kept", "spans", "n_bytes", "n_removed")) -> DataFrame:
+                 outputs: tuple[str, ...] = ("kept", "spans", "n_bytes", "n_removed"),
+                 **sizes: int) -> DataFrame:
     """Columns ``keep`` (default: all) with what is left of each text.
 
     Outputs: ``kept`` (bytes), ``kept_text`` (without characters that lost a byte),
@@ -514,7 +517,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                          for o in outputs], names=schema.names)
 
     same = Window.partitionBy("id", "tie").orderBy("id", "tie")
-    joined = rows.join(covered_spans(rows), ["id", "tie"], "left").withColumn(
+    joined = rows.join(covered_spans(rows, **sizes), ["id", "tie"], "left").withColumn(
         "copy", F.row_number().over(same))
-    return joined.select(*(F.col(f"in_{c}").alias(c) for c in keep), "text", "copy",
-                         "spans").mapInArrow(run, schema)
+    return joined.select(*(f"`in_{c}`" for c in keep), "text", "copy", "spans").mapInArrow(
+        run, schema)

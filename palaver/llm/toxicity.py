@@ -104,8 +104,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: s
               .withColumn("draw", F.xxhash64(doc_id))
               .orderBy("draw", doc_id).limit(max_rows))
     # At most max_rows lean rows are broadcast.
-    return (docs.join(F.broadcast(chosen), doc_id)
-            .select("draw", "label", utf8(text).alias("text")))
+    texts = docs.select(doc_id, utf8(text).alias("text"))
+    return texts.join(F.broadcast(chosen), doc_id).select("draw", "label", "text")
 
 
 def train(rows: DataFrame, epochs: int = 6, **settings: float) -> Model:
