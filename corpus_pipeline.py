@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm import bagminhash, bpe, repetition, spacedseed, suffixdedup
-from palaver.llm.common import written
+from palaver.llm.common import findable, written
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -70,6 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the whole ``documents`` table."""
+    findable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")

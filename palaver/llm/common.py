@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,19 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
 
-# ---------------------------------------------------------------- shared folder
+# ---------------------------------------------------------------- session
+
+def findable(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it.
+
+    A cluster has the package installed or gets it with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors see.

@@ -4,7 +4,7 @@ One pass over all texts counts in how many of them each licence word stands.
 Every template is indexed under its ``RARE`` words of highest inverse document
 frequency, with their places in the template.  A second pass looks up the rare
 words of each text; postings of one template that agree on where it would start
-intersect to a candidate place.  There the template's mandatory key phrases must
+(``AGREEING`` different words at least) intersect to a candidate place.  There the template's mandatory key phrases must
 stand at their own places, and enough of its words must agree.
 
 Besides, the base phrases are found wherever their words stand consecutively.
@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from palaver.llm.common import ALNUM, LOWER, Words, map_slices, slices, utf8
 
 RARE = 3
+AGREEING = 2
 MIN_AGREE = 0.7
 FIELDS = [T.StructField(n, t) for n, t in (
     ("n_words", T.LongType()), ("n_base", T.LongType()), ("first_word", T.LongType()),
@@ -173,7 +174,7 @@ class Index:
         place, agreeing = np.unique(np.unique(key, axis=0)[:, :2], axis=0, return_counts=True)
         for number, (ids, required, bit) in enumerate(self.templates):
             rare = len(np.unique(self.posted[self.posted_template == number]))
-            at = place[(place[:, 0] == number) & (agreeing == rare), 1]
+            at = place[(place[:, 0] == number) & (agreeing >= min(AGREEING, rare)), 1]
             at = at[(at >= 0) & (at + len(ids) <= len(known))]
             at = at[doc[at] == doc[at + len(ids) - 1]]
             same = known[at[:, None] + np.arange(len(ids))] == ids

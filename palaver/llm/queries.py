@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm import bagminhash, bpe, licenses, repair, repetition, spacedseed, suffixdedup, toxicity, urlrules, warc
-from palaver.llm.common import crc_remainder
+from palaver.llm.common import crc_remainder, findable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,10 +19,15 @@ WORD_BPE = "word_bpe_49k.json"
 
 def query(sql: str | None = None):
     def register(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            findable(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
             ORACLE[f.__name__] = sql
-        return f
+        return run
     return register
 
 
