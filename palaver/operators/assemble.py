@@ -7,45 +7,37 @@ from pyspark.sql import Column, DataFrame, functions as F
 from palaver.functions.content import content_parts, parse_messages, part_chars
 from palaver.functions.text import chars, tokens
 from palaver.operators.metrics import KEY, context_scan, is_role, with_growth
-from palaver.operators.scan import TURN_BLOCK
 
 
 def conversation_rows(messages: DataFrame, granularity: str = "turn",
-                      part_size: int = TURN_BLOCK, typed_parts: bool = False) -> DataFrame:
+                      typed_parts: bool = False) -> DataFrame:
     """One row per conversation with nested messages and the cumulative list.
 
     The scan and the nesting use the same partitioning, so message texts are
-    shuffled once.  A conversation beyond ``part_size`` turn positions gets
-    further rows (``part`` > 0) that carry only messages and list entries; its
-    totals stand in part 0.  With ``typed_parts`` the content may be a JSON
-    part list: only the characters of its text parts are counted.
+    shuffled once.  With ``typed_parts`` the content may be a JSON part list:
+    only the characters of its text parts are counted.
     """
     size = part_chars(F.col("text")) if typed_parts else chars(F.col("text"))
     scanned = context_scan(
-        messages.select(KEY, "turn", "role", "text"), part_size, size,
+        messages.select(KEY, "turn", "role", "text"), size=size,
         totals={"num_messages": "position", "total_characters": "cum_chars",
-                "num_turns": "reply_no"}, bucket_name="part")
+                "num_turns": "reply_no"}, whole_keys=True)
     entry = is_role("assistant") if granularity == "turn" else F.lit(True)
     fields = [F.col("role"), F.col("text").alias("content")]
     if typed_parts:
         fields.append(content_parts(F.col("text")).alias("parts"))
-    grouped = scanned.groupBy(KEY, "part").agg(
+    grouped = scanned.groupBy(KEY).agg(
         F.max("num_turns").alias("num_turns"), F.max("num_messages").alias("num_messages"),
         F.max("total_characters").alias("total_characters"),
         F.coalesce(F.min_by("text", F.when(is_role("system"), F.col("turn"))),
                    F.lit("")).alias("system_prompt"),
         F.array_sort(F.collect_list(F.struct(F.col("turn"), *fields))).alias("m"),
         F.array_sort(F.collect_list(F.when(entry, F.col("cum_chars")))).alias("cum"))
-    head = F.col("part") == 0
     names = ["role", "content"] + (["parts"] if typed_parts else [])
     return grouped.select(
-        F.col(KEY).alias("conversation_id"), "part",
-        F.when(head, F.col("num_turns")).alias("num_turns"),
-        F.when(head, F.col("num_messages")).alias("num_messages"),
-        F.when(head, F.col("system_prompt")).alias("system_prompt"),
+        F.col(KEY).alias("conversation_id"), "num_turns", "num_messages", "system_prompt",
         F.transform("m", lambda x: F.struct(*[x[n].alias(n) for n in names])).alias("messages"),
-        F.when(head, F.col("total_characters")).alias("total_characters"),
-        F.when(head, tokens(F.col("total_characters"))).alias("estimated_tokens"),
+        "total_characters", tokens(F.col("total_characters")).alias("estimated_tokens"),
         F.col("cum").alias("cumulative_char_lengths"))
 
 
@@ -58,14 +50,16 @@ def to_stored(rows: DataFrame) -> DataFrame:
     return out
 
 
-def explode_messages(stored: DataFrame, part_size: int = TURN_BLOCK) -> DataFrame:
-    """The long message table of stored rows: ``conv_id, turn, role, text``."""
-    base = F.col("part") * part_size if "part" in stored.columns else F.lit(0)
+def explode_messages(stored: DataFrame) -> DataFrame:
+    """The long message table of stored rows: ``conv_id, turn, role, text``.
+
+    Rows without messages give no row here; :func:`curate.invalid_messages` lists them.
+    """
     nested = (parse_messages(F.col("messages"))
               if dict(stored.dtypes)["messages"] == "string" else F.col("messages"))
-    return stored.select(F.col("conversation_id").alias(KEY), base.cast("bigint").alias("_base"),
+    return stored.select(F.col("conversation_id").alias(KEY),
                          F.posexplode(nested).alias("_pos", "m")).select(
-        KEY, (F.col("_base") + F.col("_pos")).alias("turn"),
+        KEY, F.col("_pos").cast("bigint").alias("turn"),
         F.col("m.role").alias("role"), F.col("m.content").alias("text"))
 
 
@@ -76,20 +70,10 @@ def _cumulative(df: DataFrame) -> Column:
 
 
 def profile_input(rows: DataFrame) -> DataFrame:
-    """Conversation rows with first/last context and growth, ready to profile.
-
-    Rows of further parts are folded into their conversation.
-    """
+    """Conversation rows with first/last context and growth, ready to profile."""
     cum = _cumulative(rows)
-    out = (rows.withColumn("num_entries", F.coalesce(F.size(cum), F.lit(0)).cast("bigint"))
-           .withColumn("first_chars", F.try_element_at(cum, F.lit(1)))
-           .withColumn("last_chars", F.try_element_at(cum, F.lit(-1)))
-           .drop("messages", "cumulative_char_lengths", "tool_calls"))
-    if "part" in rows.columns:
-        special = {"conversation_id", "part", "num_entries", "first_chars", "last_chars",
-                   "estimated_tokens"}
-        plain = [c for c in out.columns if c not in special]
-        out = out.groupBy("conversation_id").agg(
-            *[F.max(c).alias(c) for c in plain], F.sum("num_entries").alias("num_entries"),
-            F.min("first_chars").alias("first_chars"), F.max("last_chars").alias("last_chars"))
-    return with_growth(out)
+    return with_growth(
+        rows.withColumn("num_entries", F.coalesce(F.size(cum), F.lit(0)).cast("bigint"))
+        .withColumn("first_chars", F.try_element_at(cum, F.lit(1)))
+        .withColumn("last_chars", F.try_element_at(cum, F.lit(-1)))
+        .drop("messages", "cumulative_char_lengths", "tool_calls"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver.functions.text import contains_any
-from palaver.operators.scan import prefix_sums, settle, turn_bucket
+from palaver.operators.scan import prefix_sums, turn_bucket
 
 # What makes a media entry unusable.
 SKIP_EXTENSIONS = (".svg", ".gif", ".tif")
@@ -55,9 +55,9 @@ def balanced_cap(df: DataFrame, category: str, category_order: str, position: st
     earlier = Window.orderBy(category_order).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(category_order).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = settle(sized.select(
+    offsets = sized.select(
         category, "_quota", F.coalesce(F.sum("_over").over(earlier), F.lit(0)).alias("_skip"),
-        (F.lit(target) - F.sum(F.least("_n", "_quota")).over(everything)).alias("_missing")))
+        (F.lit(target) - F.sum(F.least("_n", "_quota")).over(everything)).alias("_missing"))
     ranked = prefix_sums(df, [category], turn_bucket(position, block), [position],
                          {"_rank": F.lit(1).cast("bigint")}).drop("_bkt")
     spare = F.col("_skip") + F.col("_rank") - F.col("_quota")

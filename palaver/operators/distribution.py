@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver.functions.text import share
-from palaver.operators.scan import settle, with_key
+from palaver.operators.scan import with_key
 
 # Reported percentiles, and the turn-count buckets.
 PERCENTILES = (0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
@@ -114,7 +114,7 @@ def row_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     by = [*keys, "metric"]
     rows = (_long(df, keys, metrics).withColumn("n", F.lit(1).cast("bigint"))
             .withColumn("_bkt", _magnitude_bucket(F.col("value"))))
-    wanted = settle(_ranked_buckets(rows, by, probabilities))
+    wanted = _ranked_buckets(rows, by, probabilities)
     hits = (rows.join(wanted.select(*by, "_bkt"), [*by, "_bkt"], "left_semi")
             .groupBy(*by, "_bkt", "value").agg(F.sum("n").alias("n")))
     return _pick(hits, wanted, by)

@@ -1,11 +1,12 @@
 """Export shapes: sessions, full-context traces, replay splits.
 
-Nested results are built per ``(conversation, part)``.  A part covers
-``PART_SIZE`` turn positions, so an ordinary conversation is exactly one row
-(part 0) and a huge one becomes several bounded rows instead of one array that
-no task could hold.  Nothing is cut: a trace row of part *k* carries the
-messages of its own part and ``context_parts = k`` says how many whole parts of
-:func:`nested_messages` come before them.
+A session, a fine-tuning record and a stored conversation are one row for each
+conversation, so its messages meet in one array whatever their number.  A trace
+row carries the whole context up to its message.  Traces are built per
+``(conversation, part)`` of ``PART_SIZE`` turn positions, which spreads a huge
+conversation over tasks; the arrays of earlier parts are then put before the
+part's own.  :func:`trace_index` is the linear form for when copied text is not
+wanted.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from palaver.functions.content import flatten_content, inline_content
 from palaver.functions.text import chars, floor_div, output_tokens, word_count
 from palaver.operators.metrics import KEY, context_scan, is_role
-from palaver.operators.scan import TURN_BLOCK, neighbour, turn_bucket
+from palaver.operators.scan import TURN_BLOCK, neighbour, turn_bucket, with_key
 
 PART_SIZE = TURN_BLOCK
 
@@ -25,19 +26,20 @@ def _in_turn_order(entry: Column) -> Column:
     return F.array_sort(F.collect_list(entry))
 
 
-def nested_messages(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """``(conv_id, part, messages)`` with messages as role/content structs."""
+def _role_content(entries: Column) -> Column:
+    return F.transform(entries, lambda x: F.struct(x["role"].alias("role"),
+                                                   x["content"].alias("content")))
+
+
+def nested_messages(messages: DataFrame) -> DataFrame:
+    """``(conv_id, messages)`` with messages as role/content structs."""
     entry = F.struct("turn", "role", F.col("text").alias("content"))
-    grouped = messages.groupBy(KEY, turn_bucket("turn", part_size).alias("part")).agg(
-        _in_turn_order(entry).alias("m"))
-    return grouped.select(KEY, "part", F.transform(
-        "m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
-        .alias("messages"))
+    return with_key(messages, [KEY]).groupBy(KEY).agg(
+        _role_content(_in_turn_order(entry)).alias("messages"))
 
 
-def sessions(messages: DataFrame, keep_empty: bool = False, content: str = "text",
-             part_size: int = PART_SIZE) -> DataFrame:
-    """User texts per conversation: ``(session_id, part, turns)``.
+def sessions(messages: DataFrame, keep_empty: bool = False, content: str = "text") -> DataFrame:
+    """User texts per conversation: ``(session_id, turns)``.
 
     ``keep_empty`` keeps conversations without a user message.  ``content``
     says how list content is flattened: ``text`` (not at all), ``media``
@@ -47,24 +49,40 @@ def sessions(messages: DataFrame, keep_empty: bool = False, content: str = "text
     text = flatten(F.col("text"))
     rows = messages if keep_empty else messages.filter(is_role("user"))
     entry = F.when(is_role("user"), F.struct(F.col("turn"), text.alias("text")))
-    grouped = (rows.select(KEY, "turn", entry.alias("entry"))
-               .groupBy(KEY, turn_bucket("turn", part_size).alias("part"))
+    grouped = (with_key(rows, [KEY]).select(KEY, entry.alias("entry")).groupBy(KEY)
                .agg(_in_turn_order(F.col("entry")).alias("t")))
-    return grouped.select(F.col(KEY).alias("session_id"), "part", F.transform(
+    return grouped.select(F.col(KEY).alias("session_id"), F.transform(
         "t", lambda x: F.struct(x["text"].alias("text"))).alias("turns"))
 
 
 def _scan_with_text(messages: DataFrame, part_size: int) -> DataFrame:
-    """Context scan that keeps the text; ``_bkt`` is the part number."""
-    return context_scan(messages.select(KEY, "turn", "role", "text"), part_size)
+    """Context scan that keeps the text; ``_bkt`` is the part, ``_parts`` their number."""
+    return context_scan(messages.select(KEY, "turn", "role", "text"), part_size, buckets="_parts")
+
+
+def _earlier_parts(scanned: DataFrame) -> DataFrame:
+    """``(conv_id, _bkt, _earlier)``: messages of all parts before a later part.
+
+    Conversations of one part, the usual ones, leave before anything is shuffled.
+    """
+    long = scanned.filter(F.col("_parts") > 1)
+    entry = F.struct("turn", "role", F.col("text").alias("content"))
+    parts = long.groupBy(KEY, "_bkt").agg(_in_turn_order(entry).alias("m"))
+    before = Window.partitionBy(KEY).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(KEY, "_bkt", _role_content(F.flatten(F.collect_list("m").over(before)))
+                        .alias("_earlier"))
 
 
 def _with_prefix(scanned: DataFrame) -> DataFrame:
-    """Messages of the same part up to and including each row."""
+    """``messages``: all messages of the conversation up to and including each row."""
     upto = Window.partitionBy(KEY, "_bkt").orderBy("turn").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     entry = F.struct("role", F.col("text").alias("content"))
-    return scanned.withColumn("messages", F.collect_list(entry).over(upto))
+    local = scanned.withColumn("_own", F.collect_list(entry).over(upto))
+    whole = F.when(F.col("_earlier").isNull(), F.col("_own")).otherwise(
+        F.concat("_earlier", "_own"))
+    return (local.join(_earlier_parts(scanned), [KEY, "_bkt"], "left")
+            .withColumn("messages", whole).drop("_own", "_earlier"))
 
 
 def _delay() -> Column:
@@ -76,8 +94,7 @@ def trace(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """One row per assistant message with the context up to it."""
     rows = _with_prefix(_scan_with_text(messages, part_size)).filter(is_role("assistant"))
     return rows.select(F.col(KEY).alias("session_id"), "turn",
-                       F.col("_bkt").alias("context_parts"), "messages",
-                       output_tokens(F.col("text")).alias("output_length"),
+                       "messages", output_tokens(F.col("text")).alias("output_length"),
                        _delay().alias("delay"))
 
 
@@ -100,62 +117,59 @@ def word_trace(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Pair-based trace: contexts end at every second message, length in words."""
     rows = _with_prefix(_scan_with_text(messages, part_size))
     ends = rows.filter((F.col("position") >= 3) & (F.col("position") % 2 == 1))
-    return ends.select(F.col(KEY).alias("session_id"), "turn",
-                       F.col("_bkt").alias("context_parts"), "messages",
+    return ends.select(F.col(KEY).alias("session_id"), "turn", "messages",
                        word_count(F.col("text")).alias("output_length"))
 
 
-def mixed_trace(messages: DataFrame, granularity: str = "turn",
+def mixed_trace(messages: DataFrame, granularity: str | Column = "turn",
                 part_size: int = PART_SIZE) -> DataFrame:
     """Trace over the cumulative list: entry *i* gets the first 2i+3 messages.
 
     The output length is the cumulative number of characters.  Positions past
     the end fall back to the whole conversation, so every cumulative entry
-    gives exactly one row.
+    gives exactly one row.  ``granularity`` is ``turn`` or ``message``, or a
+    column over the messages that says which, when sources differ.
     """
-    lean = messages.select(KEY, "turn", "role", chars(F.col("text")).alias("n_chars"))
-    entries = context_scan(lean, part_size)
-    if granularity == "turn":
-        entries = entries.filter(is_role("assistant"))
-        entry_no = F.col("reply_no")
-    else:
-        entry_no = F.col("position")
+    kind = F.lit(granularity) if isinstance(granularity, str) else granularity
+    by_turn = (kind == "turn").alias("_by_turn")
+    scanned = context_scan(messages.select(KEY, "turn", "role", "text", by_turn), part_size,
+                           buckets="_parts")
     # entry_no is 1-based: entry i = entry_no - 1 covers 2 * i + 3 messages.
-    wanted = entries.select(
+    entry_no = F.when(F.col("_by_turn"), F.col("reply_no")).otherwise(F.col("position"))
+    wanted = scanned.filter(~F.col("_by_turn") | is_role("assistant")).select(
         F.col(KEY), entry_no.alias("entry"),
         F.least(F.col("num_messages"), entry_no * 2 + 1).alias("position"),
         F.col("cum_chars").alias("output_length"))
-    contexts = _with_prefix(_scan_with_text(messages, part_size)).select(
-        KEY, "position", F.col("_bkt").alias("context_parts"), "messages")
-    return wanted.join(contexts, [KEY, "position"]).select(
-        F.col(KEY).alias("session_id"), "entry", "context_parts", "messages", "output_length")
+    # Entries that end at the same message share one context.
+    ends = wanted.groupBy(KEY, "position").agg(
+        F.collect_list(F.struct("entry", "output_length")).alias("_entries"))
+    contexts = _with_prefix(scanned).select(KEY, "position", "messages")
+    return contexts.join(ends, [KEY, "position"]).select(
+        F.col(KEY).alias("session_id"), "messages", F.inline("_entries")).select(
+        "session_id", "entry", "messages", "output_length")
 
 
 def replay_trace(messages: DataFrame, default_length: int = 100, nested: bool = True,
                  part_size: int = PART_SIZE) -> DataFrame:
     """One row per message; the output length looks ahead to the next reply."""
-    size = chars(F.col("text"))
     if nested:
-        rows = messages.select(KEY, "turn", "role", "text")
+        rows = _scan_with_text(messages, part_size)
     else:
-        rows = messages.select(KEY, "turn", "role", size.alias("n_chars"))
+        rows = messages.select(KEY, "turn", "role", chars(F.col("text")).alias("n_chars"))
     ahead = neighbour(rows, [KEY], turn_bucket("turn", part_size), ["turn"],
                       {"next_role": "role", "next_chars": "text" if nested else "n_chars"})
     if nested:
-        ahead = ahead.withColumn("next_chars", chars(F.col("next_chars")))
+        ahead = _with_prefix(ahead.withColumn("next_chars", chars(F.col("next_chars"))))
     length = F.when(F.col("next_role") == "assistant", F.col("next_chars")).otherwise(
         F.lit(default_length)).cast("bigint")
-    if nested:
-        ahead = _with_prefix(ahead)
     shown = ["messages"] if nested else []
-    return ahead.select(F.col(KEY).alias("session_id"), "turn",
-                        F.col("_bkt").alias("context_parts"), *shown,
+    return ahead.select(F.col(KEY).alias("session_id"), "turn", *shown,
                         length.alias("output_length"))
 
 
 def replay_split(messages: DataFrame, by_role: bool = True,
                  part_size: int = PART_SIZE) -> DataFrame:
-    """Context before each new exchange, and the exchange itself.
+    """The messages before each new exchange, and the exchange itself.
 
     By role, an exchange is a user message and the reply right after it.
     Otherwise exchanges are positions (2,3), (4,5), ... counted from zero,
@@ -173,19 +187,14 @@ def replay_split(messages: DataFrame, by_role: bool = True,
                    F.struct(F.col("next_role").alias("role"),
                             F.col("next_text").alias("content")))
     new_turn = F.filter(pair, lambda m: m["role"].isNotNull())
-    return ahead.filter(starts).select(
+    # The exchange starts after the prefix, which therefore lacks the last message.
+    prefix = F.slice("messages", 1, before.cast("int"))
+    return _with_prefix(ahead).filter(starts).select(
         F.col(KEY).alias("session_id"), "turn", before.alias("prefix_messages"),
         (F.col("cum_chars") - chars(F.col("text"))).alias("prefix_chars"),
-        new_turn.alias("new_turn"))
+        prefix.alias("prefix"), new_turn.alias("new_turn"))
 
 
-def fine_tuning(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """``{"messages": [...]}`` records.
-
-    Only records of a conversation that may have several parts also name the
-    conversation and the part; both are NULL (absent in JSON) otherwise.
-    """
-    nested = nested_messages(messages, part_size)
-    split = (F.col("part") > 0) | (F.size("messages") >= part_size)
-    return nested.select("messages", F.when(split, F.col(KEY)).alias(KEY),
-                         F.when(split, F.col("part")).alias("part"))
+def fine_tuning(messages: DataFrame) -> DataFrame:
+    """``{"messages": [...]}`` records, one for each conversation."""
+    return nested_messages(messages).select("messages")

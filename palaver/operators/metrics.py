@@ -22,12 +22,13 @@ def message_sizes(messages: DataFrame, *keep: str) -> DataFrame:
 
 
 def context_scan(rows: DataFrame, block: int = TURN_BLOCK, size: Column | None = None,
-                 totals: Mapping[str, str] | None = None, bucket_name: str = "_bkt") -> DataFrame:
+                 totals: Mapping[str, str] | None = None, **options) -> DataFrame:
     """Running characters, position and reply index at every message.
 
     Adds ``cum_chars``, ``position`` (1-based), ``reply_no`` (assistant
     messages so far) and ``num_messages`` of the conversation.  ``size`` is the
     length of a message; rows that keep their text derive it after the shuffle.
+    Options are those of :func:`prefix_sums`.
     """
     one = F.lit(1).cast("bigint")
     if size is None:
@@ -36,7 +37,7 @@ def context_scan(rows: DataFrame, block: int = TURN_BLOCK, size: Column | None =
         rows, [KEY], turn_bucket("turn", block), ["turn"],
         {"cum_chars": size, "position": one,
          "reply_no": F.when(is_role("assistant"), one).otherwise(F.lit(0).cast("bigint"))},
-        totals=totals or {"num_messages": "position"}, bucket_name=bucket_name)
+        totals=totals or {"num_messages": "position"}, **options)
 
 
 def cumulative_per_turn(messages: DataFrame, granularity: str = "turn",

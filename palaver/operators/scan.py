@@ -21,7 +21,6 @@ from palaver.functions.text import floor_div
 
 TURN_BLOCK = 1024
 HASH_BITS = 12
-SMALL_ROWS = 10_000
 
 
 def turn_bucket(order: str = "turn", block: int = TURN_BLOCK) -> Column:
@@ -49,34 +48,25 @@ def _read_all(columns: Sequence[str]) -> Column:
     return total
 
 
-def settle(small: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """A table to join against a large one without shuffling the large one.
-
-    Runs the plan of ``small`` and, if it has at most ``limit`` rows, returns
-    them as a broadcast table.  A larger table is returned as the plan it was,
-    to be joined by shuffle.
-    """
-    rows = small.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return small
-    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
-
-
 def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: Column,
                 order: Sequence[str], sums: Mapping[str, Column],
                 totals: Mapping[str, str] | None = None,
-                bucket_name: str = "_bkt") -> DataFrame:
+                bucket_name: str = "_bkt", buckets: str | None = None,
+                whole_keys: bool = False) -> DataFrame:
     """Add inclusive running sums of ``sums`` per key along ``order``.
 
     ``bucket`` must not decrease along ``order``.  ``totals`` maps new column
     names to entries of ``sums`` whose whole-key total is wanted on every row.
     The bucket column stays in the result (``bucket_name``): further windows
-    over ``(keys, bucket)`` need no shuffle.  Keys must not be NULL; rows
-    without a key are left out.
+    over ``(keys, bucket)`` need no shuffle.  ``buckets`` names a column for the
+    number of buckets of the key.  With ``whole_keys`` rows are dealt by key
+    alone, for results that need the rows of a key together anyway.  Keys must
+    not be NULL; rows without a key are left out.
     """
     totals = dict(totals or {})
     keys = list(keys)
-    shared = with_key(df, keys).repartition(*keys, bucket).withColumn(bucket_name, bucket)
+    dealt = keys if whole_keys else [*keys, bucket]
+    shared = with_key(df, keys).repartition(*dealt).withColumn(bucket_name, bucket)
 
     per_bucket = shared.groupBy(*keys, bucket_name).agg(
         _read_all(df.columns).alias("_read"),
@@ -89,7 +79,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: Column,
         F.count(F.lit(1)).over(whole).alias("_n_bkt"),
         *[F.sum(f"_s_{n}").over(earlier).alias(f"_o_{n}") for n in sums],
         *[F.sum(f"_s_{src}").over(whole).alias(f"_t_{dst}") for dst, src in totals.items()],
-    ).filter((F.col("_n_bkt") > 1) & (F.col("_read") > 0)).drop("_n_bkt", "_read")
+    ).filter((F.col("_n_bkt") > 1) & (F.col("_read") > 0)).drop("_read")
 
     joined = shared.join(offsets, [*keys, bucket_name], "left")
     inside = Window.partitionBy(*keys, bucket_name).orderBy(*order)
@@ -99,6 +89,8 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: Column,
            for n, measure in sums.items()}
     for dst, src in totals.items():
         out[dst] = F.coalesce(F.col(f"_t_{dst}"), F.sum(sums[src]).over(local))
+    if buckets:
+        out[buckets] = F.coalesce(F.col("_n_bkt"), F.lit(1))
     kept = [c for c in shared.columns if c not in out]
     return joined.select(*kept, *[c.alias(n) for n, c in out.items()])
 

@@ -16,26 +16,22 @@ def write_dataset(rows: DataFrame, path: str, mode: str = "errorifexists",
 
 
 def write_sessions(messages: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
-    """Session lines.  A conversation of several parts writes one line per part."""
-    out = export.sessions(messages, **options)
-    split = F.when(F.col("part") > 0, F.col("part")).alias("part")
-    out.select("session_id", "turns", split).write.mode(mode).json(path)
+    """Session lines, one for each conversation."""
+    export.sessions(messages, **options).write.mode(mode).json(path)
 
 
 def write_traces(messages: DataFrame, path: str, mode: str = "errorifexists",
-                 records_per_file: int = 10_000, variant: str = "reply") -> None:
+                 records_per_file: int = 10_000, variant: str = "reply", **options) -> None:
     """Trace lines; file size is bounded because contexts repeat.
 
-    The variant is ``reply``, ``words``, ``mixed`` or ``replay``.  Lines of a
-    later part name the whole parts before them in ``context_parts``.
+    The variant is ``reply``, ``words``, ``mixed`` (with its ``granularity``) or
+    ``replay``.
     """
     build = {"reply": export.trace, "words": export.word_trace, "mixed": export.mixed_trace,
              "replay": export.replay_trace}[variant]
-    out = build(messages)
-    earlier = F.when(F.col("context_parts") > 0, F.col("context_parts")).alias("context_parts")
+    out = build(messages, **options)
     keep = [c for c in ("session_id", "messages", "output_length", "delay") if c in out.columns]
-    (out.select(*keep, earlier).write.mode(mode)
-     .option("maxRecordsPerFile", records_per_file).json(path))
+    out.select(*keep).write.mode(mode).option("maxRecordsPerFile", records_per_file).json(path)
 
 
 def write_fine_tuning(messages: DataFrame, path: str, mode: str = "errorifexists") -> None:

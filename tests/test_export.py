@@ -14,11 +14,9 @@ def plain(rows):
     return [r.asDict(recursive=True) for r in rows]
 
 
-@pytest.mark.parametrize("size", [4, 16, 1024])
-def test_sessions(hot_messages, by_conversation, size):
-    got = {}
-    for r in plain(e.sessions(hot_messages, part_size=size).orderBy("part").collect()):
-        got.setdefault(r["session_id"], []).extend(t["text"] for t in r["turns"])
+def test_sessions(hot_messages, by_conversation):
+    got = {r["session_id"]: [t["text"] for t in r["turns"]]
+           for r in plain(e.sessions(hot_messages).collect())}
     want = {k: [t for _, role, t in v if role == "user"] for k, v in by_conversation.items()}
     assert got == {k: v for k, v in want.items() if v}
     kept = {r.session_id for r in e.sessions(hot_messages, keep_empty=True).collect()}
@@ -26,12 +24,8 @@ def test_sessions(hot_messages, by_conversation, size):
 
 
 @pytest.mark.parametrize("size", [4, 10, 1024])
-def test_trace_is_complete_across_parts(hot_messages, by_conversation, size):
-    parts = {(r.conv_id, r.part): [tuple(x) for x in r.messages]
-             for r in e.nested_messages(hot_messages, size).collect()}
-    rows = e.trace(hot_messages, size).collect()
-    assert max(len(r.messages) for r in rows) <= size
-    by_key = {(r.session_id, r.turn): r for r in rows}
+def test_trace_is_whole_at_every_part_size(hot_messages, by_conversation, size):
+    by_key = {(r.session_id, r.turn): r for r in e.trace(hot_messages, size).collect()}
     expected = 0
     for conv, msgs in by_conversation.items():
         replies = 0
@@ -41,12 +35,10 @@ def test_trace_is_complete_across_parts(hot_messages, by_conversation, size):
             expected += 1
             replies += 1
             r = by_key[conv, turn]
-            before = [m for k in range(r.context_parts) for m in parts[conv, k]]
-            whole = before + [tuple(x) for x in r.messages]
-            assert whole == [(ro, t) for _, ro, t in msgs[: i + 1]]
+            assert [tuple(x) for x in r.messages] == [(ro, t) for _, ro, t in msgs[: i + 1]]
             assert r.output_length == max(1, len(text) // 4)
             assert r.delay == (0 if replies > 1 else None)
-    assert expected == len(rows)
+    assert expected == len(by_key)
 
 
 @pytest.mark.parametrize("size", [4, 1024])
@@ -64,14 +56,14 @@ def test_replay_and_splits(hot_messages, by_conversation, size):
             assert ((conv, turn) in pairs) == is_pair
             if is_pair:
                 assert pairs[conv, turn].prefix_messages == i
+                assert [tuple(m) for m in pairs[conv, turn].prefix] == [
+                    (ro, t) for _, ro, t in msgs[:i]]
                 assert [m.role for m in pairs[conv, turn].new_turn] == ["user", "assistant"]
 
 
 @pytest.mark.parametrize("size", [6, 1024])
 @pytest.mark.parametrize("granularity", ["turn", "message"])
 def test_mixed_trace(hot_messages, by_conversation, size, granularity):
-    parts = {(r.conv_id, r.part): [tuple(x) for x in r.messages]
-             for r in e.nested_messages(hot_messages, size).collect()}
     rows = {(r.session_id, r.entry): r for r in e.mixed_trace(
         hot_messages, granularity, size).collect()}
     count = 0
@@ -84,8 +76,7 @@ def test_mixed_trace(hot_messages, by_conversation, size, granularity):
         for i, cum in enumerate(entries):
             count += 1
             r = rows[conv, i + 1]
-            before = [m for k in range(r.context_parts) for m in parts[conv, k]]
-            assert before + [tuple(x) for x in r.messages] == [
+            assert [tuple(x) for x in r.messages] == [
                 (ro, t) for _, ro, t in msgs[: (i + 1) * 2 + 1]]
             assert r.output_length == cum
     assert count == len(rows)
@@ -101,11 +92,19 @@ def test_word_trace(hot_messages, by_conversation):
     assert {k: (len(r.messages), r.output_length) for k, r in rows.items()} == want
 
 
-def test_fine_tuning_names_only_split_conversations(hot_messages, by_conversation):
-    rows = e.fine_tuning(hot_messages, 16).collect()
-    assert {r.conv_id for r in rows if r.conv_id is not None} == {7}
-    assert sorted(r.part for r in rows if r.conv_id == 7) == [0, 1, 2, 3]
-    assert sum(len(r.messages) for r in rows) == sum(map(len, by_conversation.values()))
+def test_mixed_trace_with_granularity_per_source(hot_messages, by_conversation):
+    kind = F.when(F.col("conv_id") == 7, "message").otherwise("turn")
+    rows = e.mixed_trace(hot_messages, kind, 8).groupBy("session_id").count().collect()
+    want = {k: len(v) if k == 7 else sum(role == "assistant" for _, role, _ in v)
+            for k, v in by_conversation.items()}
+    assert {r.session_id: r["count"] for r in rows} == {k: n for k, n in want.items() if n}
+
+
+def test_fine_tuning(hot_messages, by_conversation):
+    rows = e.fine_tuning(hot_messages)
+    assert rows.columns == ["messages"]
+    got = sorted([tuple(m) for m in r.messages] for r in rows.collect())
+    assert got == sorted([(ro, t) for _, ro, t in v] for v in by_conversation.values())
 
 
 PDF = json.dumps([{"type": "text", "text": "Read"}, {"type": "text", "text": "this"},
@@ -141,13 +140,12 @@ def test_media_content_round_trip(spark):
         'say "hi"\n[x]\n\n[PDF: http://u/1]'
 
 
-@pytest.mark.parametrize("size", [8, 1024])
-def test_conversation_rows_round_trip(hot_messages, by_conversation, size):
-    rows = a.conversation_rows(hot_messages, part_size=size)
+def test_conversation_rows_round_trip(hot_messages, by_conversation):
+    rows = a.conversation_rows(hot_messages)
     stored = a.to_stored(rows)
     assert dict(stored.dtypes)["messages"] == "string"
     back = {}
-    for r in a.explode_messages(stored, size).orderBy("conv_id", "turn").collect():
+    for r in a.explode_messages(stored).orderBy("conv_id", "turn").collect():
         back.setdefault(r.conv_id, []).append((r.turn, r.role, r.text))
     assert back == by_conversation
     profile = {r.conversation_id: r for r in a.profile_input(stored).collect()}

@@ -17,7 +17,7 @@ from palaver.sources import schemas, writers as w
 @pytest.fixture(scope="module")
 def dataset_dir(tmp_path_factory, hot_messages):
     root = tmp_path_factory.mktemp("data")
-    rows = a.conversation_rows(hot_messages, part_size=1024).drop("part").withColumn(
+    rows = a.conversation_rows(hot_messages).withColumn(
         "topic", F.when(F.col("conversation_id") % 2 == 0, "even").otherwise("odd")).withColumn(
         "conversation_id", F.col("conversation_id").cast("string"))
     w.write_dataset(rows, str(root / "multi_turn_text_chat.parquet"))
