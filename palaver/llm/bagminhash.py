@@ -10,12 +10,14 @@ weighted Jaccard similarity.  Points beyond a text's limit are never made; the
 limit is raised for texts with an empty register.
 
 Texts with equal multisets form a copy class first, and one representative stands
-for it.  Signatures are cut into bands.  In every bucket all representatives are
-compared with the smallest one, exactly, by multiset overlap.  What these links
-connect needs no more comparison; representatives of a bucket that are still
-apart are compared pair by pair.  A bucket with more than ``WIDE`` separate
-groups is first dealt again by each other band, so what is compared there has met
-twice.
+for it.  Signatures are cut into bands.  Every representative is compared with the
+smallest one that shares a bucket with it, exactly, by multiset overlap.  What
+these links connect needs no more comparison.  Representatives of a bucket that are
+still apart are compared by a byte of each register: each is verified with its
+likeliest partner, and after that all pairs that are still apart and agree in
+``LIKELY`` of the registers or more (four standard deviations below what a
+similarity of 0.8 gives).  A bucket with more than ``WIDE`` separate groups is first
+dealt again by each other band, so what is compared there has met twice.
 
 Words are parted by ASCII white space.  A text of one to four words is one shingle;
 an empty or NULL text has none and is a class of its own.  Rows of one id are one
@@ -38,7 +40,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 7
 REGISTERS = BANDS * ROWS
-WIDE = 100
+WIDE = 5000
+LIKELY = 0.69
+HELD_ROWS = 20_000
 _LEVEL = np.uint64(0xD6E8FEB86659FD93)
 _POINT = np.uint64(0xA0761D6478BD642F)
 
@@ -112,16 +116,19 @@ def bands(least: np.ndarray) -> np.ndarray:
 
 
 def signed(rows: DataFrame) -> DataFrame:
-    """``id, k1, k2, n, bands`` of the columns ``id`` and ``text`` (bytes).
+    """``id, k1, k2, n, bands, sketch`` of the columns ``id`` and ``text`` (bytes).
 
-    ``k1`` and ``k2`` hash the multiset of shingles, ``n`` is its size.
+    ``k1`` and ``k2`` hash the multiset of shingles, ``n`` is its size; the sketch has
+    a byte of each register.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in slices(batch.column(1), 1 << 20):
                 size = end - row
                 doc, h, weight = shingles(data, offsets)
-                found = bands(signatures(doc, h, weight, size))
+                least = signatures(doc, h, weight, size)
+                found = bands(least)
+                sketch = mix(least.view(np.uint64)).astype(np.uint8)
                 keys = []
                 for salt in (_LEVEL, _POINT):
                     key = np.zeros(size, np.uint64)
@@ -132,11 +139,12 @@ def signed(rows: DataFrame) -> DataFrame:
                     pa.array(found.view(np.int64).ravel()))
                 n = np.bincount(doc, weight, size).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, size), *keys, pa.array(n), lists],
-                    names=["id", "k1", "k2", "n", "bands"])
+                    [batch.column(0).slice(row, size), *keys, pa.array(n), lists,
+                     pa.array([x.tobytes() for x in sketch], pa.binary())],
+                    names=["id", "k1", "k2", "n", "bands", "sketch"])
 
     return rows.select("id", "text").mapInArrow(
-        run, "id long, k1 long, k2 long, n long, bands array<long>")
+        run, "id long, k1 long, k2 long, n long, bands array<long>, sketch binary")
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -171,15 +179,73 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     texts = written(rows.join(ids, "id", "left_semi"), "candidate-texts")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    # The last join sorts by ``a``, so a text with many partners is cut up once.
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
     return written(joined.mapInArrow(_verify, "a long, b long, similarity double"), "verified")
 
 
-def _wide_buckets_again(apart: DataFrame) -> DataFrame:
-    """Deal the members of wide buckets once more by each of their bands."""
-    groups = apart.groupBy("bucket").agg(F.count_distinct("component").alias("groups"))
-    known = apart.join(groups, "bucket").where("groups > 1")
-    again = known.where(F.col("groups") > WIDE).select(
+def likely_pairs(id_: np.ndarray, component: np.ndarray, sketch: np.ndarray, best_only: bool
+                 ) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a bucket that are apart and likely enough; or each one's likeliest partner."""
+    a, b = [], []
+    step = max(1, (8 << 20) // sketch.size)
+    for low in range(0, len(id_), step):
+        part = slice(low, low + step)
+        agree = (sketch[part, None] == sketch).sum(2, dtype=np.int16)
+        agree[component[part, None] == component] = 0
+        agree[agree < LIKELY * sketch.shape[1]] = 0
+        if best_only:
+            other = agree.argmax(1)
+            row = np.flatnonzero(agree[np.arange(len(other)), other])
+            other = other[row]
+        else:
+            row, other = np.nonzero(agree)
+        a.append(id_[part][row])
+        b.append(id_[other])
+    a, b = np.concatenate(a), np.concatenate(b)
+    if not best_only:
+        a, b = a[a < b], b[a < b]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _candidates(apart: DataFrame, sketches: DataFrame, best_only: bool) -> DataFrame:
+    """Distinct likely pairs ``a, b`` of all buckets; buckets stream through the tasks."""
+    def pairs(c: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, *rest = c
+        cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+        a, b = zip(*(likely_pairs(*(v[low:high] for v in rest), best_only) for low, high in zip(
+            np.append(0, cuts), np.append(cuts, len(bucket)))))
+        once = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])],
+                                          names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            c = [v.to_numpy() for v in batch.columns[:3]]
+            c.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8
+                                   ).reshape(-1, REGISTERS))
+            held.append(c)
+            count += len(c[0])
+            if count >= HELD_ROWS:
+                c = [np.concatenate(v) for v in zip(*held)]
+                cut = int(np.searchsorted(c[0], c[0][-1]))
+                if cut:
+                    yield pairs([v[:cut] for v in c])
+                held, count = [[v[cut:] for v in c]], len(c[0]) - cut
+        if count:
+            yield pairs([np.concatenate(v) for v in zip(*held)])
+
+    dealt = (apart.join(sketches, "id").select("bucket", "id", "component", "sketch")
+             .repartition("bucket").sortWithinPartitions("bucket"))
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _wide_buckets_again(placed: DataFrame, bands: DataFrame) -> DataFrame:
+    """Members of buckets with several groups, those of wide ones dealt again by other bands."""
+    groups = placed.groupBy("bucket").agg(F.count_distinct("component").alias("groups"))
+    known = placed.join(groups.where("groups > 1"), "bucket")
+    again = known.where(F.col("groups") > WIDE).join(bands, "id").select(
         F.explode(F.array_except("bands", F.array("bucket"))).alias("other"), "bucket", "id",
         "component")
     again = again.select(F.xxhash64("bucket", "other").alias("bucket"), "id", "component")
@@ -196,28 +262,27 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.col(doc_id).cast("long").alias("id"), utf8(text).alias("text"))
     signs = written(signed(rows), "signatures")
     copies = (signs.where("n > 0").groupBy("k1", "k2", "n")
-              .agg(F.min("id").alias("copy_id"), F.min_by("bands", "id").alias("bands")))
+              .agg(F.min("id").alias("copy_id"), F.min_by("bands", "id").alias("bands"),
+                   F.min_by("sketch", "id").alias("sketch")))
     copies = written(copies, "copies")
-    placed = copies.select(F.col("copy_id").alias("id"), "bands",
-                           F.explode("bands").alias("bucket"))
+    placed = copies.select(F.col("copy_id").alias("id"), F.explode("bands").alias("bucket"))
     led = placed.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
     led = led.where("lead < last").select("bucket", "lead")
     members = written(placed.join(led, "bucket"), "members")
-    stars = written(members.where("id <> lead")
-                    .select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    links = verified(stars, rows)
+    stars = written(members.where("id <> lead").groupBy(F.col("id").alias("b"))
+                    .agg(F.min("lead").alias("a")).select("a", "b"), "stars")
+    links, tried = verified(stars, rows), stars
     groups = written(components(links), "groups")
-
-    apart = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", "bands", F.coalesce("component", "id").alias("component"), "lead")
-    apart = _wide_buckets_again(apart)
-    apart = written(apart.distinct(), "apart")
-    other = apart.toDF("bucket", "other", "other_component")
-    rest = (apart.join(other, "bucket").where("id < other and component <> other_component")
-            .select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    more = verified(written(rest, "apart-pairs"), rows)
-    groups = written(components(links.union(more)), "groups")
+    members = members.select("bucket", "id")
+    sketches = copies.select(F.col("copy_id").alias("id"), "sketch")
+    for best_only in (True, False):
+        placed = written(members.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
+            "bucket", "id", F.coalesce("component", "id").alias("component")), "placed")
+        apart = _wide_buckets_again(placed, copies.select(F.col("copy_id").alias("id"), "bands"))
+        pairs = written(_candidates(apart.distinct(), sketches, best_only).join(
+            tried, ["a", "b"], "left_anti"), "apart-pairs")
+        links, tried = links.union(verified(pairs, rows)), tried.union(pairs)
+        groups = written(components(links), "groups")
 
     by_copy = copies.join(groups.withColumnRenamed("node", "copy_id"), "copy_id", "left").select(
         "k1", "k2", "n", "copy_id", F.coalesce("component", "copy_id").alias("class_id"))

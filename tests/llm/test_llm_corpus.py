@@ -237,11 +237,12 @@ def test_classes_equal_brute_force(spark, documents):
 
 
 def test_wide_buckets_are_dealt_again(spark):
-    apart = spark.createDataFrame(
-        [(7, i, [7, 100 + i // 2, 900 + i], i) for i in range(bagminhash.WIDE + 20)]
-        + [(8, 1, [8, 1], 1), (8, 2, [8, 2], 2), (9, 5, [9], 3), (9, 6, [9], 3)],
-        "bucket bigint, id bigint, bands array<bigint>, component bigint")
-    again = bagminhash._wide_buckets_again(apart).groupBy("bucket").agg(
+    n = bagminhash.WIDE + 20
+    placed = spark.createDataFrame([(7, i, i) for i in range(n)] + [
+        (8, 1, 1), (8, 2, 2), (9, 5, 3), (9, 6, 3)], "bucket bigint, id bigint, component bigint")
+    bands = spark.createDataFrame([(i, [7, 10_000 + i // 2, 1_000_000 + i]) for i in range(n)],
+                                  "id bigint, bands array<bigint>")
+    again = bagminhash._wide_buckets_again(placed, bands).groupBy("bucket").agg(
         F.sort_array(F.collect_list("id")).alias("ids")).where("size(ids) > 1").collect()
     assert sorted(r.ids for r in again) == sorted(
         [[2 * k, 2 * k + 1] for k in range(bagminhash.WIDE // 2 + 10)] + [[1, 2]])
