@@ -44,9 +44,11 @@ def balanced_cap(df: DataFrame, category: str, category_order: str, position: st
     Each category first gives ``target div categories`` rows in ``position``
     order; the shortfall is filled from what is left over, category by
     category in ``category_order``.  ``position`` is an integer unique within
-    the category.
+    the category.  Rows without a category (NULL) are a category of their own.
     """
-    counts = df.groupBy(category, category_order).agg(F.count(F.lit(1)).alias("_n"))
+    # A struct is never NULL, so it can be a key of the scan and of the join.
+    df = df.withColumn("_category", F.struct(category))
+    counts = df.groupBy("_category", category_order).agg(F.count(F.lit(1)).alias("_n"))
     k = counts.agg(F.count(F.lit(1))).scalar()
     quota = F.call_function("div", F.lit(target).cast("bigint"), k)
     sized = counts.withColumn("_quota", quota).withColumn(
@@ -56,14 +58,14 @@ def balanced_cap(df: DataFrame, category: str, category_order: str, position: st
     everything = Window.orderBy(category_order).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = sized.select(
-        category, "_quota", F.coalesce(F.sum("_over").over(earlier), F.lit(0)).alias("_skip"),
+        "_category", "_quota", F.coalesce(F.sum("_over").over(earlier), F.lit(0)).alias("_skip"),
         (F.lit(target) - F.sum(F.least("_n", "_quota")).over(everything)).alias("_missing"))
-    ranked = prefix_sums(df, [category], turn_bucket(position, block), [position],
+    ranked = prefix_sums(df, ["_category"], turn_bucket(position, block), [position],
                          {"_rank": F.lit(1).cast("bigint")}).drop("_bkt")
     spare = F.col("_skip") + F.col("_rank") - F.col("_quota")
-    return (ranked.join(offsets, [category])
+    return (ranked.join(offsets, ["_category"])
             .filter((F.col("_rank") <= F.col("_quota")) | (spare <= F.col("_missing")))
-            .drop("_quota", "_skip", "_missing", "_rank"))
+            .drop("_category", "_quota", "_skip", "_missing", "_rank"))
 
 
 def invalid_messages(df: DataFrame, column: str = "messages") -> DataFrame:

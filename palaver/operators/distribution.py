@@ -2,7 +2,8 @@
 
 ``value_counts`` is the only step that reads rows; it combines on the map side,
 so a hot group costs no more than its number of distinct values.  Quantiles,
-histograms and frequency tables then work on that small table.
+histograms and frequency tables then work on that small table.  Rows whose key
+is NULL are a group of their own.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palaver.functions.text import share
-from palaver.operators.scan import with_key
+from palaver.operators.scan import join_groups
 
 # Reported percentiles, and the turn-count buckets.
 PERCENTILES = (0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
@@ -76,7 +77,7 @@ def _pick(work: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
     inside = Window.partitionBy(*keys, "_bkt").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cells = (work.join(wanted, [*keys, "_bkt"])
+    cells = (join_groups(work, wanted, [*keys, "_bkt"])
              .withColumn("_end", F.col("_before") + F.sum("n").over(inside))
              .withColumn("_start", F.col("_end") - F.col("n"))
              .select(*keys, "value", "_start", "_end", F.inline("_probes")))
@@ -115,7 +116,7 @@ def row_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     rows = (_long(df, keys, metrics).withColumn("n", F.lit(1).cast("bigint"))
             .withColumn("_bkt", _magnitude_bucket(F.col("value"))))
     wanted = _ranked_buckets(rows, by, probabilities)
-    hits = (rows.join(wanted.select(*by, "_bkt"), [*by, "_bkt"], "left_semi")
+    hits = (join_groups(rows, wanted.select(*by, "_bkt"), [*by, "_bkt"], "left_semi")
             .groupBy(*by, "_bkt", "value").agg(F.sum("n").alias("n")))
     return _pick(hits, wanted, by)
 
@@ -128,11 +129,9 @@ def histogram(counts: DataFrame, keys: Sequence[str], bins: Column | int) -> Dat
     """Equal-width bins: ``(keys, bin, edge_lo, edge_hi, count)``.
 
     The last bin is closed, a group with one value has one bin, empty bins are
-    kept.  ``bins`` may use the columns ``lo`` and ``hi`` of the group.  Groups
-    need a key that is not NULL.
+    kept.  ``bins`` may use the columns ``lo`` and ``hi`` of the group.
     """
     keys = list(keys)
-    counts = with_key(counts, keys)
     wanted = bins if isinstance(bins, Column) else F.lit(bins)
     # The row total keeps this an aggregate of the counts: minimum and maximum
     # alone would be taken from the rows in a second scan.
@@ -148,11 +147,11 @@ def histogram(counts: DataFrame, keys: Sequence[str], bins: Column | int) -> Dat
     # Bins are defined by comparing with the edges, so correct a rounded guess.
     fixed = (F.when(v < lo + guess * w, guess - 1)
              .when(v >= lo + (guess + 1) * w, guess + 1).otherwise(guess))
-    binned = (counts.join(bounds, keys)
+    binned = (join_groups(counts, bounds, keys)
               .withColumn("bin", F.greatest(F.lit(0), F.least(k - 1, fixed)))
               .groupBy(*keys, "bin").agg(F.sum("n").alias("count")))
     frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1)))
-    return (frame.join(binned, [*keys, "bin"], "left")
+    return (join_groups(frame, binned, [*keys, "bin"], "left")
             .select(*keys, "bin", (lo + F.col("bin") * w).alias("edge_lo"),
                     (lo + (F.col("bin") + 1) * w).alias("edge_hi"),
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
@@ -177,7 +176,7 @@ def with_share(counted: DataFrame, keys: Sequence[str], count: str = "count",
         whole = counted.agg(F.sum(count).alias("_whole"))
         return counted.withColumn(name, share(F.col(count), whole.scalar()))
     totals = counted.groupBy(*keys).agg(F.sum(count).alias("_whole"))
-    return (counted.join(totals, keys)
+    return (join_groups(counted, totals, keys)
             .withColumn(name, share(F.col(count), F.col("_whole"))).drop("_whole"))
 
 
@@ -227,17 +226,17 @@ def moments(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum(n).alias("_n"), F.sum(v * n).alias("total"), F.min(v).alias("min"),
         F.max(v).alias("max")).withColumnRenamed("_n", "n")
         .withColumn("mean", F.col("total") / F.col("n")))
-    around = counts.withColumnRenamed("n", "_n").join(stats.select(*keys, "n", "mean"), keys)
+    around = join_groups(counts.withColumnRenamed("n", "_n"), stats.select(*keys, "n", "mean"), keys)
     spread = around.groupBy(*keys, "n").agg(
         F.sum(F.col("_n") * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss"))
     spread = spread.select(*keys, F.coalesce(F.sqrt(F.try_divide(F.col("_ss"), n - 1)),
                                              F.lit(0.0)).alias("stdev"))
-    return stats.join(spread, keys)
+    return join_groups(stats, spread, keys)
 
 
 def summary_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The moments and the median."""
-    return moments(counts, keys).join(medians(counts, keys), list(keys))
+    return join_groups(moments(counts, keys), medians(counts, keys), keys)
 
 
 def numeric_summary(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:

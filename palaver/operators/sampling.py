@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from palaver.functions.draws import draw
 from palaver.operators.payload import additive_inputs, score_columns
-from palaver.operators.scan import hash_bucket, prefix_sums
+from palaver.operators.scan import hash_bucket, join_groups, prefix_sums
 
 MIN_BALANCED_ROWS = 10
 
@@ -35,14 +35,14 @@ def sample_cutoffs(df: DataFrame, ids: Sequence[str], seed: int, by: Sequence[st
     along = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.withColumn("_before", F.coalesce(F.sum("_nb").over(along), F.lit(0)))
     if quotas is not None:
-        placed = placed.join(quotas.select(*by, F.col("quota").alias("_q")), by)
+        placed = join_groups(placed, quotas.select(*by, F.col("quota").alias("_q")), by)
     else:
         placed = placed.withColumn("_q", F.lit(n).cast("bigint"))
     edge = (placed.filter((F.col("_before") < F.col("_q"))
                           & (F.col("_before") + F.col("_nb") >= F.col("_q")))
             .select(*by, "_bkt", (F.col("_q") - F.col("_before")).alias("_left")))
     inside = Window.partitionBy(*by, "_bkt").orderBy("_d", *ids)
-    return (rows.join(edge, [*by, "_bkt"])
+    return (join_groups(rows, edge, [*by, "_bkt"])
             .withColumn("_rn", F.row_number().over(inside))
             .filter(F.col("_rn") == F.col("_left"))
             .select(*by, F.struct("_d", *ids).alias("cut")))
@@ -64,17 +64,16 @@ def stratified_sample(df: DataFrame, by: str, ids: Sequence[str], seed: int,
                       salt: str = "sample") -> DataFrame:
     """Up to ``k`` rows per stratum, or a quota per stratum.
 
-    Strata without a quota row, or with quota zero, give no rows.  The
-    cut-offs (one row per stratum) are computed first, so that the rows can be
+    Strata without a quota row, or with quota zero, give no rows; rows without
+    a stratum (NULL) are a stratum of their own.  The cut-offs (one row per stratum) are computed first, so that the rows can be
     filtered where they lie.
     """
     cuts = sample_cutoffs(df, ids, seed, [by], k, quotas, salt)
     if quotas is not None:
-        cuts = (quotas.filter(F.col("quota") > 0).select(by)
-                .join(cuts, [by], "left"))
-        joined = df.join(cuts, [by])
+        cuts = join_groups(quotas.filter(F.col("quota") > 0).select(by), cuts, [by], "left")
+        joined = join_groups(df, cuts, [by])
     else:
-        joined = df.join(cuts, [by], "left")
+        joined = join_groups(df, cuts, [by], "left")
     here = F.struct(draw(seed, salt, *[F.col(i) for i in ids]).alias("_d"), *ids)
     return joined.filter(F.col("cut").isNull() | (here <= F.col("cut"))).drop("cut")
 

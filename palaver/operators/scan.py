@@ -40,6 +40,16 @@ def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                how: str = "inner") -> DataFrame:
+    """Join on keys where NULL is a group like any other; keys come from ``left``."""
+    names = {k: f"_right_{k}" for k in keys}
+    other = right.select(*[F.col(k).alias(n) for k, n in names.items()],
+                         *[c for c in right.columns if c not in names])
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return left.join(other, same, how).drop(*names.values())
+
+
 def _read_all(columns: Sequence[str]) -> Column:
     """A count that refers to every column, so that none is pruned."""
     total = F.count(F.lit(1))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from palaver.operators import distribution as d
 from palaver.operators import metrics as m
-from registry.base import (CONV_CTE, TYPE_SQL, messages, query, r6, topic_of, type_of, typed_conversations,
+from registry.base import (CONV_CTE, TYPE_SQL, messages, query, r6, table, topic_of, type_of, typed_conversations,
                            typed_messages)
 
 METRICS = ["num_turns", "num_messages", "estimated_tokens", "total_characters"]
@@ -181,3 +181,44 @@ def family_stats(spark, sf_dir):
     from palaver.plans.profile import family_statistics
     out = family_statistics(_sized(spark, sf_dir), "dataset_type", "topic")
     return out.withColumn("value", r6("value"))
+
+
+# Documents without a label have no quality and no toxic mark: their groups are NULL.
+_LABELLED_CTE = """
+labelled AS (SELECT d.doc_id, d.n_chars, d.lang, l.quality, l.toxic
+             FROM documents d LEFT JOIN labels l USING (doc_id))"""
+
+
+def labelled(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
+    return docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
+@query("null_group_summary", f"""WITH {_LABELLED_CTE}
+SELECT quality, toxic, count(*) AS n, sum(n_chars)::DOUBLE AS total, min(n_chars)::DOUBLE AS min,
+       max(n_chars)::DOUBLE AS max, round(avg(n_chars), 6) AS mean,
+       round(coalesce(stddev_samp(n_chars), 0.0), 6) AS stdev,
+       round(quantile_cont(n_chars, 0.5), 6) AS median
+FROM labelled GROUP BY quality, toxic""")
+def null_group_summary(spark, sf_dir):
+    out = d.numeric_summary(labelled(spark, sf_dir), ["quality", "toxic"], ["n_chars"])
+    return out.select("quality", "toxic", "n", "total", "min", "max", r6("mean").alias("mean"),
+                      r6("stdev").alias("stdev"), r6("median").alias("median"))
+
+
+@query("null_group_percentiles", f"""WITH {_LABELLED_CTE},
+q AS (SELECT quality, quantile_cont(n_chars, {_P}::DOUBLE[]) AS qs FROM labelled GROUP BY quality)
+SELECT quality, unnest({_P}::DOUBLE[]) AS p, round(unnest(qs), 6) AS value FROM q""")
+def null_group_percentiles(spark, sf_dir):
+    counts = d.value_counts(labelled(spark, sf_dir), ["quality"], ["n_chars"])
+    out = d.quantiles(counts, ["quality", "metric"], d.PERCENTILES)
+    return out.select("quality", "p", r6("value").alias("value"))
+
+
+@query("null_group_frequency", f"""WITH {_LABELLED_CTE}
+SELECT quality, lang AS value, count(*) AS count,
+       round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY quality), 6) AS percentage
+FROM labelled GROUP BY quality, lang""")
+def null_group_frequency(spark, sf_dir):
+    out = d.frequency(labelled(spark, sf_dir), ["quality"], "lang")
+    return out.withColumn("percentage", r6("percentage"))

@@ -42,6 +42,19 @@ def stratified(spark, sf_dir):
     return s.stratified_sample(docs, "source", ["doc_id"], SEED, k=40)
 
 
+@query("null_group_stratified", f"""
+WITH r AS (SELECT d.doc_id, l.quality, row_number() OVER (PARTITION BY l.quality
+  ORDER BY {sql_draw('sample', 'd.doc_id')}, d.doc_id) AS rn
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, quality FROM r WHERE rn <= 40""")
+def null_group_stratified(spark, sf_dir):
+    """Documents without a label are a stratum of their own."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return s.stratified_sample(docs.join(labels, "doc_id", "left"), "quality", ["doc_id"], SEED,
+                               k=40)
+
+
 @query("first_n", f"""WITH {SIZED_CTE}
 SELECT conv_id, num_turns, estimated_tokens FROM sized ORDER BY conv_id LIMIT 50""")
 def first_n(spark, sf_dir):
