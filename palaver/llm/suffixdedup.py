@@ -43,7 +43,7 @@ CORE = 24
 BEFORE = LENGTH - CORE
 SPAN = BEFORE + LENGTH
 SHALLOW = 16
-CHUNK = 4096
+CHUNK = 1 << 15
 HELD_ROWS = 1 << 20
 _RANDOM = np.random.default_rng(20240229)
 _COEFFICIENTS = _RANDOM.integers(1, 1 << 63, (2, SPAN + 2)).astype(np.uint64) * np.uint64(2) + \
@@ -107,10 +107,11 @@ def surroundings(data: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.nda
 
 
 def anchor_rows(rows: DataFrame) -> DataFrame:
-    """``core, around, id, tie, place, low, high`` of every anchor of ``id, tie, text``.
+    """``core, around, id, tie, place, low, high, done`` of every anchor of ``id, tie, text``.
 
     ``around`` hashes the surroundings, which reach from ``place - low`` to
-    ``place + high``.
+    ``place + high``.  Anchors whose surroundings stand earlier in the same text are
+    done; they get a core of their own, so that periodic texts are dealt evenly.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,17 +126,24 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
                     part = slice(k, k + 8192)
                     around[part] = _digest(surroundings(data, at[part], low[part], high[part]),
                                            low[part], high[part], 0)
+                order = np.lexsort((at, around, h, doc))
+                done = np.zeros(len(at), bool)
+                done[order[1:]] = np.all(
+                    [v[order[1:]] == v[order[:-1]] for v in (doc, h, around)], axis=0)
+                h = np.where(done, mix(h + at.astype(np.uint64) * ODD), h)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(around.view(np.int64)),
                      pa.array(ids[row + doc]), pa.array(ties[row + doc]),
                      pa.array((at - offsets[doc]).astype(np.int32)),
-                     pa.array(low.astype(np.int16)), pa.array(high.astype(np.int16))],
-                    names=["core", "around", "id", "tie", "place", "low", "high"])
+                     pa.array(low.astype(np.int16)), pa.array(high.astype(np.int16)),
+                     pa.array(done)],
+                    names=["core", "around", "id", "tie", "place", "low", "high", "done"])
 
     return rows.select("id", "tie", "text").mapInArrow(run, ANCHOR)
 
 
-ANCHOR = "core long, around long, id long, tie int, place int, low short, high short"
+ANCHOR = ("core long, around long, id long, tie int, place int, low short, high short, "
+          "done boolean")
 
 
 def _digest(around: np.ndarray, low: np.ndarray, high: np.ndarray, which: int) -> np.ndarray:
@@ -154,7 +162,7 @@ def settle_cores(rows: DataFrame, chunk_size: int = CHUNK, held_rows: int = HELD
     the number of their chunk; ``hot`` marks cores of several chunks.  Columns stream
     through; no core is held as a whole.
     """
-    names = ["core", "around", "id", "tie", "place", "low", "high"]
+    names = ["core", "around", "id", "tie", "place", "low", "high", "done"]
 
     def settle(c: list[np.ndarray], last: tuple | None, hot: bool, number: int):
         core, around, id_, tie, place = c[:5]
@@ -179,11 +187,11 @@ def settle_cores(rows: DataFrame, chunk_size: int = CHUNK, held_rows: int = HELD
         many = windows > chunk_size
         if hot:
             many[0] = True
-        sort = first & ((windows[group] > 1) | many[group])
-        cover = same & ~again
+        sort = first & ((windows[group] > 1) | many[group]) & ~c[7]
+        cover = (same & ~again) | c[7]
         chunk = np.where(cover, -1, rank // chunk_size)
         pick = np.flatnonzero(sort | cover)
-        arrays = [c[0][pick], *(v[pick] for v in c[2:]), chunk[pick].astype(np.int64),
+        arrays = [c[0][pick], *(v[pick] for v in c[2:7]), chunk[pick].astype(np.int64),
                   many[group][pick]]
         return arrays, (int(core[-1]), int(around[-1]), id_[-1], tie[-1], place[-1]), int(
             rank[-1]) + 1
@@ -197,7 +205,7 @@ def settle_cores(rows: DataFrame, chunk_size: int = CHUNK, held_rows: int = HELD
                 names=["core", "id", "tie", "place", "low", "high", "chunk", "hot"])
 
         for batch in batches:
-            held.append([batch.column(names.index(n)).to_numpy() for n in names])
+            held.append([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
             count += batch.num_rows
             if count < held_rows:
                 continue
@@ -408,7 +416,7 @@ def sorted_suffixes(windows: DataFrame, chunk_size: int = CHUNK) -> DataFrame:
                                    ).reshape(-1, SPAN))
             held.append(c)
             count += len(c[0])
-            if count >= 16 * chunk_size:
+            if count >= 2 * chunk_size:
                 c = [np.concatenate(v) for v in zip(*held)]
                 last = (c[0] == c[0][-1]) & (c[1] == c[1][-1])
                 cut = int(np.flatnonzero(last)[0])
