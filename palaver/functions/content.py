@@ -9,12 +9,27 @@ PART_TYPE = ("struct<type:string,text:string,"
 MESSAGE_TYPE = "struct<role:string,content:string>"
 
 
+def is_json(text: Column) -> Column:
+    """True for one whole JSON value; NULL counts as none.
+
+    The text is put into a list before a 0.  The length function reads the whole
+    list, so the list has two entries only if the text is just one value.
+    """
+    listed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.coalesce(listed == 2, F.lit(False))
+
+
+def json_list_length(text: Column) -> Column:
+    """Entries of a JSON list; NULL for anything else."""
+    return F.when(is_json(text), F.json_array_length(text))
+
+
 def parse_messages(json: Column) -> Column:
     """JSON text of a message list; part lists stay JSON text in ``content``.
 
-    NULL when the text is not valid JSON.
+    NULL when the text is not a JSON list.
     """
-    return F.when(F.try_parse_json(json).isNotNull(),
+    return F.when(json_list_length(json).isNotNull(),
                   F.from_json(json, f"array<{MESSAGE_TYPE}>"))
 
 
@@ -25,7 +40,7 @@ def content_parts(content: Column) -> Column:
     and its first element has a known part type, so plain text that merely
     starts with a bracket survives.
     """
-    looks = F.startswith(F.ltrim(content), F.lit("[")) & F.try_parse_json(content).isNotNull()
+    looks = F.rlike(content, F.lit(r"^\s*\[")) & json_list_length(content).isNotNull()
     parts = F.from_json(F.when(looks, content), f"array<{PART_TYPE}>")
     first = F.try_element_at(parts, F.lit(1))
     return F.when(first.getField("type").isin("text", "file", "image_url"), parts)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, functions as F
 
 from palaver.functions.draws import draw, pick, uniform_int, unit, weighted_choice
 from palaver.functions.text import (bind, chars, cut_at_sentence, repeat_to_length, repeat_word,
-                                    sentence_case, strip_placeholders, word_count, words)
+                                    sentence_case, strip_placeholders, strip_space, word_count, words)
 
 # Repetition bounds, block weights and length bounds of the
 # repetitive and random families.
@@ -252,27 +252,36 @@ def extension_words(pool: Column, d: Draws, missing: Column) -> Column:
 
 
 def render(template: Column, fills: Mapping[str, Column], pools: Mapping[str, Column], d: Draws,
-           one_draw_per_key: bool = False, letters_only: bool = False) -> Column:
+           one_draw_per_key: bool = False, letters_only: bool = False,
+           numbers: Mapping[str, tuple[int, int]] | None = None, passes: int = 2) -> Column:
     """Fill ``{key}`` markers: row values first, then pool draws, then clean up.
 
     Each occurrence of a pool key gets its own draw, unless
-    ``one_draw_per_key``.  Unknown markers are removed.
+    ``one_draw_per_key``.  Pool values may hold markers, which the next of the
+    ``passes`` fills.  ``numbers`` are keys for a whole number between two
+    bounds.  Unknown markers are removed, and white space around the text.
     """
     out = template
     for name, value in fills.items():
         out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value, F.lit("")))
-    for name, pool in pools.items():
-        if one_draw_per_key:
-            out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(pick(d(name), pool), F.lit("")))
-            continue
-        out = _fill_each(out, name, pool, d)
-    return F.trim(strip_placeholders(out, letters_only))
-
-
-def _fill_each(text: Column, name: str, pool: Column, d: Draws) -> Column:
+    for turn in range(passes):
+        for name, pool in pools.items():
+            salt = name if turn == 0 else f"{name}+{turn}"
+            if one_draw_per_key:
+                out = F.replace(out, F.lit("{" + name + "}"),
+                                F.coalesce(pick(d(salt), pool), F.lit("")))
+            else:
+                out = _fill_each(out, name, salt, pool, d)
+    for name, (low, high) in (numbers or {}).items():
+        out = F.replace(out, F.lit("{" + name + "}"),
+                        uniform_int(d("number", F.lit(name)), low, high).cast("string"))
+    return strip_space(strip_placeholders(out, letters_only))
+
+
+def _fill_each(text: Column, name: str, salt: str, pool: Column, d: Draws) -> Column:
     """Replace every occurrence of one marker by its own draw."""
     def joined(piece: Column, i: Column) -> Column:
-        drawn = F.coalesce(pick(d(name, i), pool), F.lit(""))
+        drawn = F.coalesce(pick(d(salt, i), pool), F.lit(""))
         return F.concat(F.when(i > 0, drawn).otherwise(F.lit("")), piece)
 
     return F.array_join(F.transform(F.split(text, r"\{" + name + r"\}", -1), joined), "")

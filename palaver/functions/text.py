@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -36,9 +37,14 @@ def output_tokens(text: Column) -> Column:
     return F.greatest(F.lit(1).cast("bigint"), tokens(chars(text)))
 
 
+def strip_space(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def words(text: Column) -> Column:
-    """Split on runs of white space, dropping empty pieces."""
-    return F.array_remove(F.split(text, r"\s+"), "")
+    """Split on runs of white space of any kind, dropping empty pieces."""
+    return F.array_remove(F.split(text, r"(?U)\s+"), "")
 
 
 def word_count(text: Column) -> Column:
@@ -78,12 +84,12 @@ def strip_placeholders(text: Column, letters_only: bool = False) -> Column:
 
 
 def strip_tags(html: Column) -> Column:
-    return F.trim(F.regexp_replace(html, "<[^>]+>", ""))
+    return strip_space(F.regexp_replace(html, "<[^>]+>", ""))
 
 
 def one_line(text: Column) -> Column:
     """Trim, then turn line breaks into spaces."""
-    return F.replace(F.trim(text), F.lit("\n"), F.lit(" "))
+    return F.replace(strip_space(text), F.lit("\n"), F.lit(" "))
 
 
 def cut_at_sentence(text: Column, n_words: Column, share: float = 0.7) -> Column:
@@ -168,17 +174,8 @@ def url_tail(url: Column, marker: str = "/abs/") -> Column:
 
 
 def contains_any(text: Column, needles: Sequence[str]) -> Column:
-    """Case-insensitive test for any of the fixed substrings.
-
-    The lower-cased text is computed once, however many needles there are.
-    """
-    def test(low: Column) -> Column:
-        found = F.lit(False)
-        for needle in needles:
-            found = found | F.contains(low, F.lit(needle))
-        return found
-
-    return bind(F.lower(text), test)
+    """Case-insensitive test for any of the fixed substrings, as one compiled pattern."""
+    return F.rlike(F.lower(text), F.lit("|".join(map(re.escape, needles))))
 
 
 def hex_code(value: Column, width: int = 6) -> Column:

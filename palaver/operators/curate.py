@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from palaver.functions.content import is_json, json_list_length
 from palaver.functions.text import contains_any
 from palaver.operators.scan import prefix_sums, turn_bucket
 
@@ -70,7 +71,7 @@ def balanced_cap(df: DataFrame, category: str, category_order: str, position: st
 
 def invalid_messages(df: DataFrame, column: str = "messages") -> DataFrame:
     """Rows whose message JSON is broken or an empty list, with the reason."""
-    size = F.json_array_length(column)
-    reason = (F.when(F.col(column).isNull() | F.try_parse_json(F.col(column)).isNull(), "invalid")
+    size = json_list_length(F.col(column))
+    reason = (F.when(~is_json(F.col(column)), "invalid")
               .when(size.isNull(), "not a list").when(size == 0, "empty"))
     return df.withColumn("problem", reason).filter(F.col("problem").isNotNull())

@@ -2,32 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palaver.operators.assemble import profile_input
 from palaver.plans.manifest import build_manifests
-from palaver.sources.readers import read_all_datasets
+from palaver.sources.readers import list_files, read_all_datasets
 
 FAMILIES = ("text", "reasoning", "random", "repeat", "pdf", "image", "agentic", "mixed")
 
 
-def dataset_family(name):
-    """Family of a dataset, read from its file name."""
+def dataset_family(key: Column, families: Mapping[str, str] | None = None) -> Column:
+    """Family of a dataset: as given, else its folder, else a word of its file name."""
+    folders = F.slice(F.split(key, "/"), F.lit(1), F.size(F.split(key, "/")) - 1)
+    names = F.split(F.regexp_extract(key, r"([^/]+)\.parquet$", 1), "_")
     out = F.lit("mixed")
-    for family in reversed(FAMILIES):
-        out = F.when(F.contains(name, F.lit(family)), family).otherwise(out)
+    for place in (names, folders):
+        for family in reversed(FAMILIES):
+            out = F.when(F.array_contains(place, family), family).otherwise(out)
+    for name, family in (families or {}).items():
+        out = F.when(key == name, family).otherwise(out)
     return out
 
 
-def regenerate_manifests(spark: SparkSession, root: str, seed: int = 42, **options) -> DataFrame:
-    """One manifest row per dataset file found below ``root``.
+def exports_of(files: list[str], dataset: str) -> dict[str, str]:
+    """The dataset and files beside it whose names begin with its name, by kind."""
+    folder, _, name = dataset.rpartition("/")
+    stem = name.removesuffix(".parquet")
+    found = {"parquet": name}
+    for path in sorted(files):
+        where, _, other = path.rpartition("/")
+        if where == folder and other != name and other.startswith(stem):
+            found[other[len(stem):].strip("_.").replace(".", "_")] = other
+    return found
+
+
+def regenerate_manifests(spark: SparkSession, root: str, seed: int = 42,
+                         families: Mapping[str, str] | None = None, **options
+                         ) -> tuple[DataFrame, list[str]]:
+    """A manifest row for each dataset below ``root``, and the datasets left out.
 
-    All files are read in one job and grouped by dataset, instead of a pass
-    per file; an unreadable file does not stop the others.
+    All datasets are read in one job and grouped by their path; one with an
+    unreadable file is left out and named.
     """
-    rows = read_all_datasets(spark, root)
-    files = F.col("dataset_file")
-    return build_manifests(
-        profile_input(rows), "dataset_file", seed, kind=dataset_family(files),
-        output_files=F.create_map(F.lit("parquet"), F.concat(files, F.lit(".parquet"))),
-        **options)
+    rows, broken = read_all_datasets(spark, root)
+    key = F.col("dataset_file")
+    base = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
+    below = [r.path.split(base, 1)[-1] for r in list_files(spark, root).toLocalIterator()]
+    # A directory is an export as a whole, so every leading part of a path counts.
+    top = {"/".join(p.split("/")[:k + 1]) for p in below for k in range(p.count("/") + 1)}
+    listed = rows.select("dataset_file").distinct()
+    outputs = F.create_map().cast("map<string,string>")
+    for name in sorted(r.dataset_file for r in listed.toLocalIterator()):
+        pairs = [F.lit(x) for pair in exports_of(sorted(top), name).items() for x in pair]
+        outputs = F.when(key == name, F.create_map(*pairs)).otherwise(outputs)
+    manifests = build_manifests(profile_input(rows), "dataset_file", seed,
+                                kind=dataset_family(key, families), output_files=outputs,
+                                keep_key=True, **options)
+    return manifests, broken

@@ -251,13 +251,15 @@ def build_manifests(conversations: DataFrame, key: str = "dataset_type", seed: i
                     user_tags: Sequence[str] = (), extra_tags: Sequence[str] = (),
                     output_files: Column | None = None, day: Column | None = None,
                     include_scores: bool = True, suffix: str | None = None,
-                    kind: Column | None = None, **score_options) -> DataFrame:
+                    kind: Column | None = None, keep_key: bool = False,
+                    **score_options) -> DataFrame:
     """One manifest row per dataset.
 
     ``conversations`` has the profile columns (see ``profile_input``) and a
     dataset key; ``kind`` is its family as an expression over the key.  ``meta``
     gives name, version, description and output file name per family.
-    ``output_files`` is a map column expression over the key.
+    ``output_files`` is a map column expression over the key.  With ``keep_key``
+    the key column stays beside the manifest.
     """
     meta = meta or {}
     kind = F.col(key) if kind is None else kind
@@ -292,4 +294,4 @@ def build_manifests(conversations: DataFrame, key: str = "dataset_type", seed: i
         _profile_struct(kind, *_sections(conversations)).alias("distribution_profile")]
     if include_scores:
         sections.append(_payload_struct(kind, **score_options).alias("payload_scores"))
-    return dataset_facts(conversations, key, kind).select(*sections)
+    return dataset_facts(conversations, key, kind).select(*([key] if keep_key else []), *sections)

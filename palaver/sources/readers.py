@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from palaver.operators.assemble import profile_input
 from palaver.operators.mix import SOURCE
@@ -61,11 +64,23 @@ def read_sources(spark: SparkSession, sources: Sequence[Mapping[str, object]]) -
     return found
 
 
+def manifest_schema(spark: SparkSession) -> StructType:
+    """Schema of manifest files: that of a manifest over all known columns."""
+    none = spark.createDataFrame([], schemas.family_schema("mixed"))
+    return build_manifests(profile_input(none).withColumn("dataset_type", F.lit("mixed"))).schema
+
+
+def read_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """All manifest documents below ``path``, one row each."""
+    return (spark.read.schema(manifest_schema(spark)).option("multiLine", True)
+            .option("recursiveFileLookup", True).json(path))
+
+
 def read_manifest(spark: SparkSession, manifest_path: str, dataset_path: str,
                   family: str) -> DataFrame:
     """A stored manifest, else one computed from the dataset itself."""
     try:
-        return spark.read.option("multiLine", True).json(manifest_path)
+        return read_manifests(spark, manifest_path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
@@ -73,31 +88,49 @@ def read_manifest(spark: SparkSession, manifest_path: str, dataset_path: str,
     return build_manifests(rows.withColumn("dataset_type", F.lit(family)))
 
 
+def dataset_key(path: Column, root: str) -> Column:
+    """Path of a dataset below ``root``: up to its first ``.parquet`` file or directory."""
+    below = F.regexp_extract(path, re.escape(root.rstrip("/").split(":", 1)[-1].lstrip("/"))
+                             + "/(.*)$", 1)
+    return F.regexp_extract(below, r"^((?:[^/]+/)*?[^/]+\.parquet)(?:/.*)?$", 1)
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """``path`` of every file below ``root``; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", pattern).load(root).select("path"))
+
+
+def find_datasets(spark: SparkSession, root: str, pattern: str = "*.parquet",
+                  skip: str = "trace") -> list[str]:
+    """Datasets below ``root`` by their path there, derived exports left out."""
+    keys = list_files(spark, root, pattern).select(
+        dataset_key(F.col("path"), root).alias("key")).distinct()
+    return sorted(r.key for r in keys.toLocalIterator()
+                  if r.key and skip not in r.key.rsplit("/", 1)[-1])
+
+
+def readable(spark: SparkSession, path: str) -> bool:
+    """Whether all files of a dataset can be opened; only their footers are read."""
+    try:
+        spark.read.option("ignoreCorruptFiles", False).parquet(path).count()
+    except (AnalysisException, PySparkException, Py4JError):
+        return False
+    return True
+
+
 def read_all_datasets(spark: SparkSession, root: str, pattern: str = "*.parquet",
-                      skip: str = "trace") -> DataFrame:
-    """All stored conversation files below ``root``, each row with its file.
+                      skip: str = "trace") -> tuple[DataFrame, list[str]]:
+    """Rows of all datasets below ``root``, and the datasets that cannot be read.
 
-    ``dataset_file`` is the file or dataset directory name; files whose name
-    contains ``skip`` are derived exports and left out.  Unreadable files are
-    passed over (see :func:`unread_files`).
+    ``dataset_file`` is the path of a row's dataset below ``root``.  A dataset with
+    an unreadable file is left out as a whole, so no result counts a part of it.
     """
-    df = (spark.read.schema(schemas.family_schema("mixed"))
-          .option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-          .option("ignoreCorruptFiles", True).parquet(root))
-    named = df.withColumn("dataset_file", dataset_name(F.col("_metadata.file_path")))
-    return named.filter(~F.contains("dataset_file", F.lit(skip)))
-
-
-def dataset_name(path):
-    """Last path element that names a dataset: ``x.parquet`` (file or directory)."""
-    return F.regexp_extract(path, r"([^/]+)\.parquet(?:/[^/]*)?$", 1)
-
-
-def unread_files(spark: SparkSession, root: str, rows: DataFrame,
-                 pattern: str = "*.parquet", skip: str = "trace") -> DataFrame:
-    """Datasets present below ``root`` from which no row was read."""
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-              .option("pathGlobFilter", pattern).load(root).select("path"))
-    names = listed.select(dataset_name(F.col("path")).alias("dataset_file")).distinct()
-    return (names.filter(~F.contains("dataset_file", F.lit(skip)))
-            .join(rows.select("dataset_file").distinct(), "dataset_file", "left_anti"))
+    found = find_datasets(spark, root, pattern, skip)
+    broken = [k for k in found if not readable(spark, f"{root.rstrip('/')}/{k}")]
+    good = [f"{root.rstrip('/')}/{k}" for k in found if k not in broken]
+    reader = spark.read.schema(schemas.family_schema("mixed")).option("recursiveFileLookup", True)
+    rows = (reader.option("ignoreCorruptFiles", False).parquet(*good) if good
+            else spark.createDataFrame([], schemas.family_schema("mixed")))
+    path = F.col("_metadata.file_path") if good else F.lit("")
+    return rows.withColumn("dataset_file", dataset_key(path, root)), broken

@@ -48,10 +48,25 @@ def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_manifests(manifests: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Indented JSON documents, one per dataset (a handful of rows)."""
-    text = F.to_json(F.struct(*manifests.columns), {"pretty": "true"})
-    manifests.select(F.col("dataset.type").alias("dataset_type"), text.alias("value")) \
-        .write.mode(mode).partitionBy("dataset_type").text(path)
+    """Indented JSON documents, a file for each dataset."""
+    key = "dataset_file" if "dataset_file" in manifests.columns else "dataset.type"
+    text = F.to_json(F.struct(*[c for c in manifests.columns if c != "dataset_file"]),
+                     {"pretty": "true"})
+    (manifests.select(F.col(key).alias("dataset_key"), text.alias("value"))
+     .write.mode(mode).option("maxRecordsPerFile", 1).partitionBy("dataset_key").text(path))
+
+
+def write_json_array(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One JSON array over all rows.
+
+    A single document needs a single writer, so this is for sets that one file
+    should hold; the rows stream through it.
+    """
+    lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).coalesce(1)
+    at = F.monotonically_increasing_id()
+    (lines.select(F.concat(F.when(at == 0, F.lit("[")).otherwise(F.lit(",")), "value").alias("value"))
+     .union(rows.sparkSession.createDataFrame([("]",)], "value string")).coalesce(1)
+     .write.mode(mode).text(path))
 
 
 def subset_name(base: str, kind: str, *parts: object) -> str:

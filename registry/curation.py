@@ -103,8 +103,8 @@ def media_profile(spark, sf_dir):
 
 
 @query("strip_html", """
-SELECT page_id, md5(trim(regexp_replace(html, '<[^>]+>', '', 'g'))) AS text_md5,
-       substr(trim(regexp_replace(html, '<[^>]+>', '', 'g')), 1, 500) AS description
+SELECT page_id, md5(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '^[[:space:]]+|[[:space:]]+$', '', 'g')) AS text_md5,
+       substr(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '^[[:space:]]+|[[:space:]]+$', '', 'g'), 1, 500) AS description
 FROM pages""")
 def strip_html(spark, sf_dir):
     text = tx.strip_tags(F.col("html"))
@@ -114,6 +114,8 @@ def strip_html(spark, sf_dir):
 
 _STORED = """stored AS (
   SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '[]' WHEN doc_id % 7 = 0 THEN text
+         WHEN doc_id % 11 = 0 THEN '[{"role":"user","role":"system","content":"x"}]'
+         WHEN doc_id % 13 = 0 THEN '[{"role":"user"}] and more' WHEN doc_id % 17 = 0 THEN '[1]]'
          ELSE to_json([{'role': 'user', 'content': text}])::VARCHAR END AS messages
   FROM documents)"""
 
@@ -127,22 +129,24 @@ def json_validate(spark, sf_dir):
     good = F.to_json(F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))))
     stored = table(spark, sf_dir, "documents").select("doc_id", F.when(
         F.col("doc_id") % 5 == 0, "[]").when(F.col("doc_id") % 7 == 0, F.col("text"))
+        .when(F.col("doc_id") % 11 == 0, '[{"role":"user","role":"system","content":"x"}]')
+        .when(F.col("doc_id") % 13 == 0, '[{"role":"user"}] and more')
+        .when(F.col("doc_id") % 17 == 0, "[1]]")
         .otherwise(good).alias("messages"))
     return c.invalid_messages(stored).select("doc_id", "problem")
 
 
-@query("null_profile", """
-WITH j AS (SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)),
-s AS (SELECT count(*) AS n, count(doc_id) AS c0, count(lang) AS c1, count(quality) AS c2,
-      count(toxic) AS c3 FROM j)
-SELECT 'doc_id' AS "column", 'bigint' AS type, n AS rows, c0 AS non_null, n - c0 AS nulls FROM s
-UNION ALL SELECT 'lang', 'string', n, c1, n - c1 FROM s
-UNION ALL SELECT 'quality', 'int', n, c2, n - c2 FROM s
-UNION ALL SELECT 'toxic', 'int', n, c3, n - c3 FROM s""")
+_JOINED = ("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), (
+    "n_chars", "bigint"), ("quality", "int"), ("toxic", "int")
+
+
+@query("null_profile", "WITH j AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l "
+       "USING (doc_id))\n" + "\nUNION ALL ".join(
+           f"SELECT '{c}' AS \"column\", '{t}' AS type, count(*) AS rows, count({c}) AS non_null, "
+           f"count(*) - count({c}) AS nulls FROM j" for c, t in _JOINED))
 def null_profile(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    joined = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return plans.column_inspection(joined.select("doc_id", "lang", "quality", "toxic"))
+    labels = table(spark, sf_dir, "labels")
+    return plans.column_inspection(table(spark, sf_dir, "documents").join(labels, "doc_id", "left"))
 
 
 @query("text_functions", rf"""
@@ -151,7 +155,7 @@ WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'),
 SELECT doc_id, length(text) AS n_chars, length(text) // 4 AS n_tokens,
        greatest(1, length(text) // 4) AS out_tokens, len(ws)::BIGINT AS n_words,
        substr(text, 1, 80) AS preview,
-       md5(replace(trim(text), E'\n', ' ')) AS one_line_md5,
+       md5(replace(regexp_replace(text, '^[[:space:]]+|[[:space:]]+$', '', 'g'), E'\n', ' ')) AS one_line_md5,
        ((length(text) - length(replace(text, 'en', ''))) // 2)::BIGINT AS n_en,
        '0x' || lpad(upper(to_hex(doc_id * 7919)), 6, '0') AS code,
        contains(lower(text), 'icon') OR contains(lower(text), 'ent') AS has_key
@@ -197,7 +201,7 @@ t AS (SELECT *, list_filter(regexp_split_to_array(replace(title, '&', ' '), '\s+
 SELECT page_id, list_last(string_split(url, '.com/')) AS tail,
        array_to_string(names[1:3], ', ') || CASE WHEN len(names) > 3 THEN ' et al.' ELSE '' END
          AS authors,
-       replace(trim(title), E'\n', ' ') AS title, printf('%.3f', width / 7.0::DOUBLE) AS ratio,
+       replace(regexp_replace(title, '^[[:space:]]+|[[:space:]]+$', '', 'g'), E'\n', ' ') AS title, printf('%.3f', width / 7.0::DOUBLE) AS ratio,
        page_id::VARCHAR || 'px' AS label
 FROM t""")
 def metadata_fields(spark, sf_dir):

@@ -171,10 +171,24 @@ _NUMBER = f"""CASE {_rd('format', 'i')} % 4 WHEN 0 THEN ({_rd('number', 'i')} %
   ELSE (100000 + {_rd('number', 'i')} % 99900000)::VARCHAR END"""
 _KIND = sql_choice(sql_unit("kind", "conv_id", "turn_no", "i"), y.MIXED_WEIGHTS)
 
-RANDOM_SQL = f"""WITH {_POOL_SQL},
+_TURNS_SQL = f"""WITH RECURSIVE {_POOL_SQL},
 rp AS (SELECT conv_id, pool, (2 + {sql_draw('turns', 'conv_id')} % 11)::BIGINT AS num_turns,
         {sql_choice(sql_unit('style', 'conv_id'), RANDOM_WEIGHTS)} AS style FROM pools),
-rt AS (SELECT *, unnest(range(num_turns)) AS turn_no FROM rp),
+rt AS (SELECT *, unnest(range(num_turns)) AS turn_no FROM rp)"""
+
+# Every character appends to what came before it; a break draws the next chunk size.
+_CHARS_SQL = f"""
+tk AS (SELECT conv_id, turn_no, style, {_rn('chars', 10, 20, 80, 200)} AS n, 0::BIGINT AS i, '' AS t,
+              4 + {_rd('chunk')} % 9 AS chunk FROM rt WHERE style = 'random_chars'
+       UNION ALL
+       SELECT conv_id, turn_no, style, n, i + 1,
+              t || CASE WHEN i > 0 AND i % chunk = 0 THEN ' ' ELSE '' END
+              || substr('{y.ALPHANUMERIC}', ({_rd('char', 'i')} % {len(y.ALPHANUMERIC)} + 1)::BIGINT, 1),
+              CASE WHEN i > 0 AND i % chunk = 0 THEN 4 + {_rd('chunk', 'i')} % 9 ELSE chunk END
+       FROM tk WHERE i < n),
+tc AS (SELECT conv_id, turn_no, style, t FROM tk WHERE i = n)"""
+
+RANDOM_SQL = f"""{_TURNS_SQL},{_CHARS_SQL},
 tw AS (SELECT conv_id, turn_no, style, array_to_string(list_transform(
          range({_rn('words', 3, 5, 15, 30)}), lambda i: {_pk('word', 'i')}), ' ') AS t
        FROM rt WHERE style = 'random_words'),
@@ -211,20 +225,21 @@ tl AS (SELECT conv_id, turn_no, style, string_agg(x, ' ' ORDER BY s) AS t FROM l
        GROUP BY conv_id, turn_no, style)
 SELECT conv_id, turn_no, style, length(t) AS n_chars, md5(t) AS text_md5
 FROM (SELECT * FROM tw UNION ALL SELECT * FROM ts UNION ALL SELECT * FROM tm
-      UNION ALL SELECT * FROM tl)"""
+      UNION ALL SELECT * FROM tl UNION ALL SELECT * FROM tc)"""
 
 
 @query("gen_random", RANDOM_SQL)
 def gen_random(spark, sf_dir):
     d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
-    rows = _random_turns(spark, sf_dir, 12).filter("style <> 'random_chars'")
+    rows = _random_turns(spark, sf_dir, 12)
     text = y.random_text(F.col("style"), _random_pools(), d, y.user_bounds(F.col("turn_no")))
     return rows.withColumn("t", text).select(
         "conv_id", "turn_no", "style", F.length("t").cast("bigint").alias("n_chars"),
         F.md5("t").alias("text_md5"))
 
 
-@query("gen_random_chars")
+@query("gen_random_chars", f"""{_TURNS_SQL},{_CHARS_SQL}
+SELECT conv_id, turn_no, t AS text FROM tc""")
 def gen_random_chars(spark, sf_dir):
     d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
     low, high = y.user_bounds(F.col("turn_no"))["random_chars"]
@@ -273,9 +288,10 @@ mp AS (SELECT conv_id, pool, (2 + {sql_draw('turns', 'conv_id')} % 5)::BIGINT AS
          {sql_draw('page', 'conv_id')} AS d FROM pools),
 mj AS (SELECT mp.*, url, title FROM mp JOIN pg ON pg.no = mp.d % (SELECT count(*) FROM pages) + 1),
 mt AS (SELECT *, unnest(range(num_turns)) AS turn_no FROM mj),
-mu AS (SELECT *, trim(CASE WHEN turn_no = 0 THEN 'About ' || title || ' at ' || url || ': '
+mu AS (SELECT *, regexp_replace(CASE WHEN turn_no = 0 THEN 'About ' || title || ' at ' || url || ': '
            || {_pk('word', '1')} || ', ' || {_pk('word', '2')} || ' and ' || {_pk('word', '3')} || '.'
-         ELSE 'And ' || {_pk('word', '1')} || ',  what of ' || title || '?' END) AS user_text FROM mt)"""
+         ELSE 'And ' || {_pk('word', '1')} || ',  what of ' || title || '?' END,
+         '^[[:space:]]+|[[:space:]]+$', '', 'g') AS user_text FROM mt)"""
 
 
 @query("gen_template", f"""WITH {_MEDIA_CTE}

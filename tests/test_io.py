@@ -106,22 +106,44 @@ def test_manifest_file(spark, tmp_path, dataset_dir, by_conversation):
     assert profile["category_distribution"]["column"] == "topic"
     assert {c["value"] for c in profile["category_distribution"]["distribution"]} == {"even", "odd"}
     assert "agentic_metrics" not in profile
-    stored = r.read_manifest(spark, str(tmp_path / "m" / "dataset_type=text"), path, "text")
+    stored = r.read_manifest(spark, str(tmp_path / "m"), path, "text")
     assert stored.select("dataset.num_conversations").first()[0] == len(by_conversation)
     fresh = r.read_manifest(spark, str(tmp_path / "absent.json"), path, "text")
     assert fresh.select("dataset.num_conversations").first()[0] == len(by_conversation)
 
 
-def test_batch_manifests(spark, dataset_dir, by_conversation):
-    got = {x.dataset.type: x for x in regenerate_manifests(spark, str(dataset_dir)).collect()}
-    assert set(got) == {"text", "agentic"}  # the derived trace dataset is skipped
+def test_batch_manifests(spark, dataset_dir, by_conversation, tmp_path):
+    manifests, broken = regenerate_manifests(spark, str(dataset_dir))
+    got = {x.dataset.type: x for x in manifests.collect()}
+    assert set(got) == {"text", "agentic"} and not broken  # the derived trace dataset is skipped
     agentic = got["agentic"].distribution_profile.agentic_metrics
     n = len(by_conversation)
     assert agentic.tool_calls.total == 4 * n and agentic.errors.error_rate == 25.0
     assert agentic.success_score.histogram[0]["range"] == "0.5-0.5"
     assert got["text"].distribution_profile.agentic_metrics is None
-    assert got["text"].output_files == {"parquet": "multi_turn_text_chat.parquet"}
+    assert got["text"].output_files["parquet"] == "multi_turn_text_chat.parquet"
     assert got["agentic"].payload_scores.decode_breakdown.raw.tool_call_penalty == pytest.approx(0.4 * n)
+    w.write_manifests(manifests, str(tmp_path / "m"))
+    back = r.read_manifests(spark, str(tmp_path / "m")).collect()
+    assert {x.dataset.type: x.dataset.num_conversations for x in back} == {"text": n, "agentic": n}
+
+
+def test_datasets_are_told_apart_by_path(spark, dataset_dir, tmp_path, by_conversation):
+    rows = spark.read.parquet(str(dataset_dir / "multi_turn_text_chat.parquet"))
+    n = len(by_conversation)
+    for place in ("text/data/run.parquet", "pdf/data/run.parquet", "multi_turn_context.parquet"):
+        rows.repartition(2).write.parquet(str(tmp_path / place))
+    rows.withColumn("part", F.lit("a b")).union(rows.withColumn("part", F.lit("c"))).write \
+        .partitionBy("part").parquet(str(tmp_path / "random" / "parted.parquet"))
+    rows.write.csv(str(tmp_path / "text" / "data" / "run_rows.csv"))
+    manifests, broken = regenerate_manifests(spark, str(tmp_path), families={
+        "multi_turn_context.parquet": "repeat"})
+    got = {x.dataset_file: (x.dataset.type, x.dataset.num_conversations) for x in manifests.collect()}
+    assert got == {"text/data/run.parquet": ("text", n), "pdf/data/run.parquet": ("pdf", n),
+                   "multi_turn_context.parquet": ("repeat", n),
+                   "random/parted.parquet": ("random", 2 * n)} and not broken
+    files = {x.dataset_file: x.output_files for x in manifests.collect()}
+    assert files["text/data/run.parquet"] == {"parquet": "run.parquet", "rows_csv": "run_rows.csv"}
 
 
 def test_manifest_scans_its_input_once(spark, dataset_dir):
@@ -133,14 +155,22 @@ def test_manifest_scans_its_input_once(spark, dataset_dir):
     assert plan.count("FileScan parquet") == 1
 
 
-def test_batch_survives_a_broken_file(spark, tmp_path, dataset_dir):
+def test_a_dataset_with_a_broken_file_is_named_and_left_out(spark, tmp_path, dataset_dir):
     df = spark.read.parquet(str(dataset_dir / "multi_turn_text_chat.parquet"))
     df.write.parquet(str(tmp_path / "multi_turn_text_chat.parquet"))
+    df.repartition(4).write.parquet(str(tmp_path / "half.parquet"))
+    part = sorted((tmp_path / "half.parquet").glob("part-*.parquet"))[1]
+    part.write_bytes(part.read_bytes()[:-40])
     (tmp_path / "multi_turn_repeat_chat.parquet").write_bytes(b"not a parquet file")
-    rows = r.read_all_datasets(spark, str(tmp_path))
+    rows, broken = r.read_all_datasets(spark, str(tmp_path))
     assert rows.count() == df.count()
-    broken = [x.dataset_file for x in r.unread_files(spark, str(tmp_path), rows).collect()]
-    assert broken == ["multi_turn_repeat_chat"]
+    assert broken == ["half.parquet", "multi_turn_repeat_chat.parquet"]
+
+
+def test_json_array(spark, tmp_path):
+    w.write_json_array(spark.range(50).repartition(4), str(tmp_path / "rows"))
+    (file,) = (tmp_path / "rows").glob("part-*")
+    assert sorted(x["id"] for x in json.loads(file.read_text())) == list(range(50))
 
 
 def test_trace_rows_equal_replies(hot_messages):
