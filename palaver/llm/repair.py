@@ -19,11 +19,11 @@ id sort by the text.  Files of lost tasks are in no manifest and never read.
 from __future__ import annotations
 
 import json
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +40,12 @@ MIN_COUNT = 32
 SLOT_BITS = 18
 MAX_ROUNDS = 20
 MIN_GAIN = 0.02
-MEMO = 500_000
-MARKS = tuple("!#$%&*,.:;?")
-PLAIN_CHUNK = re.compile(b"([A-Za-z]+)([!#$%&*,.:;?]*)")
+MEMO = 700_000
+#: Closing marks; and the bytes of letters among the first 256 code points, which
+#: normalise to one letter each.
+MARKS = b"!#$%&*,.:;?"
+LETTERS = bytes([*range(65, 91), *range(97, 123), 0xC3,
+                 *(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7))])
 
 
 # ---------------------------------------------------------------- tokens
@@ -71,7 +74,8 @@ class Encoder:
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.plain = suffix and all(
-            self._ids(f"Ab{m}") == self._ids("ab") + self._ids(m) for m in (*MARKS, "!!", ".,"))
+            self._ids(w + m) == self._ids(w.lower()) + self._ids(m)
+            for w in ("Ab", "Éaß") for m in (*MARKS.decode(), "!!", ".,"))
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -88,8 +92,8 @@ class Encoder:
 
     def _by_ends(self, words: list[bytes]) -> None:
         """Words of one piece each: a piece ends with the suffix."""
-        for first in range(0, len(words), 5000):
-            part = words[first:first + 5000]
+        for first in range(0, len(words), 1000):
+            part = words[first:first + 1000]
             ids = self.library.encode_batch_fast([b" ".join(part).decode()],
                                                  add_special_tokens=False)[0].ids
             cuts = np.flatnonzero(self.ends[ids]) + 1
@@ -109,20 +113,20 @@ class Encoder:
         return chunks - known
 
     def _learn(self, chunks: set[bytes]) -> None:
-        chunks = self._recall(chunks)
-        composed, other = {}, []
-        for chunk in chunks:
-            parts = self.plain and PLAIN_CHUNK.fullmatch(chunk)
-            if parts:
-                composed[chunk] = parts[1].lower(), parts[2]
+        memo = self.memo
+        plain, words, tails, other = [], [], [], []
+        for chunk in self._recall(chunks):
+            word = chunk.rstrip(MARKS)
+            if self.plain and word and not word.translate(None, LETTERS):
+                plain.append(chunk)
+                words.append(word.lower())
+                tails.append(chunk[len(word):])
             else:
                 other.append(chunk)
-        memo = self.memo
-        self._by_ends(list(self._recall({w for w, _ in composed.values() if w not in memo})))
-        self._by_offsets(other + list({m for _, m in composed.values()
-                                       if m and m not in memo} - set(other)))
-        for chunk, (word, marks) in composed.items():
-            memo[chunk] = memo[word] + memo[marks] if marks else memo[word]
+        self._by_ends(list(self._recall(set(words).difference(memo))))
+        self._by_offsets(list(set(other).union(filter(None, tails)).difference(memo)))
+        memo[b""] = b""
+        memo.update(zip(plain, map(add, map(memo.get, words), map(memo.get, tails))))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
