@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from palaver.functions.content import json_list_length
 from palaver.functions.text import chars, share, tokens
 from palaver.operators.distribution import ranges
 
@@ -38,6 +39,26 @@ def failed() -> Column:
     return F.col("status") == "error"
 
 
+def explode_tool_calls(stored: DataFrame, column: str = "tool_calls",
+                       key: str = "conversation_id", detail: int = 60) -> DataFrame:
+    """The log of stored calls: ``conv_id, seq, tool, status, call, result, detail``.
+
+    The column is a JSON list of ``{tool, call, result}``; call and result stay JSON
+    text, as their fields differ from call to call.  ``detail`` is the error of a
+    result that has one, else the first characters of what it gave (``N/A`` if
+    nothing).  Rows without a valid list of calls have no row here.
+    """
+    calls = F.from_json(F.when(json_list_length(F.col(column)).isNotNull(), F.col(column)),
+                        "array<struct<tool:string,call:string,result:string>>")
+    rows = stored.select(F.col(key).alias(KEY), F.posexplode(calls).alias("_at", "_call")).select(
+        KEY, F.col("_at").cast("bigint").alias("seq"), "_call.*")
+    given = F.coalesce(F.get_json_object("result", "$.result"), F.lit("N/A"))
+    return rows.select(
+        KEY, "seq", "tool", F.get_json_object("result", "$.status").alias("status"), "call",
+        "result", F.coalesce(F.get_json_object("result", "$.error"), F.substring(given, 1, detail))
+        .alias("detail"))
+
+
 def run_counts(log: DataFrame, extra_chars: str | None = None) -> DataFrame:
     """Tool calls and errors per conversation."""
     extra = []

@@ -46,6 +46,46 @@ def first_calls(spark, sf_dir):
     return t.first_calls(tool_log(spark, sf_dir))
 
 
+def _stored_calls(spark, sf_dir):
+    """Runs with their calls as one JSON text; failed calls have an error besides the result."""
+    bad = F.col("status") == "error"
+    result = F.struct("status", F.when(bad, F.concat(F.lit("failed: "), "props")).alias("error"),
+                      F.col("props").alias("result"))
+    call = F.struct("seq", "tool", F.struct(F.col("seq").alias("event")).alias("call"),
+                    result.alias("result"))
+    calls = F.transform(F.array_sort(F.collect_list(call)),
+                        lambda c: F.struct(c["tool"].alias("tool"), c["call"].alias("call"),
+                                           c["result"].alias("result")))
+    return tool_log(spark, sf_dir).groupBy(F.col("conv_id").alias("conversation_id")).agg(
+        F.to_json(calls).alias("tool_calls"))
+
+
+@query("tool_usage_stored", f"""WITH {LOG_CTE}
+SELECT coalesce(tool, 'TOTAL') AS tool, count(*) AS count,
+       count(*) FILTER (status = 'success') AS success,
+       count(*) FILTER (status <> 'success') AS failure,
+       100.0::DOUBLE * (count(*) FILTER (status = 'success')) / count(*) AS rate
+FROM log GROUP BY ROLLUP (tool)""")
+def tool_usage_stored(spark, sf_dir):
+    return t.tool_usage(t.explode_tool_calls(_stored_calls(spark, sf_dir)))
+
+
+@query("run_tools_stored", f"""WITH {LOG_CTE}
+SELECT conv_id, tool, count(*) AS count FROM log GROUP BY ALL""")
+def run_tools_stored(spark, sf_dir):
+    return t.run_tools(t.explode_tool_calls(_stored_calls(spark, sf_dir)))
+
+
+@query("first_calls_stored", f"""WITH {LOG_CTE},
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY seq) AS call_no FROM log)
+SELECT conv_id, call_no - 1 AS seq, tool, status, call_no::INTEGER AS call_no,
+       CASE WHEN status = 'error' THEN 'failed: ' || props ELSE substr(props, 1, 60) END AS detail
+FROM n WHERE call_no <= 3""")
+def first_calls_stored(spark, sf_dir):
+    calls = t.explode_tool_calls(_stored_calls(spark, sf_dir))
+    return t.first_calls(calls, detail="detail", width=1_000_000)
+
+
 @query("success_score", f"""WITH {RUN_CTE}
 SELECT conv_id, task_type, num_turns, num_errors, success_metric,
        round(success_score, 9) AS success_score FROM runs""")

@@ -1,5 +1,7 @@
 """Sampling, allocation, mixing and schema alignment."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +121,19 @@ def test_usable_media(spark):
         assert r.got == r.ok, r.t
 
 
+def test_stored_tool_calls(spark):
+    calls = [{"tool": "a", "call": {"x": [1, 2]}, "result": {"status": "success", "result": "r" * 99}},
+             {"tool": "b", "call": {}, "result": {"status": "error", "error": "no", "result": "r"}},
+             {"tool": "a", "result": {"status": "success"}}, {"tool": "c"}]
+    rows = [(1, json.dumps(calls)), (2, "[]"), (3, "{broken"), (4, None)]
+    df = spark.createDataFrame(rows, "conversation_id bigint, tool_calls string")
+    log = t.explode_tool_calls(df)
+    got = [(r.conv_id, r.seq, r.tool, r.status, r.detail) for r in log.orderBy("seq").collect()]
+    assert got == [(1, 0, "a", "success", "r" * 60), (1, 1, "b", "error", "no"),
+                   (1, 2, "a", "success", "N/A"), (1, 3, "c", None, "N/A")]
+    assert json.loads(log.where("seq = 0").first().call) == {"x": [1, 2]}
+
+
 def test_invalid_messages(spark):
     rows = [(1, '[{"role":"user","content":"x"}]'), (2, "[]"), (3, "{oops"), (4, '{"a":1}'), (5, None)]
     df = spark.createDataFrame(rows, "id bigint, messages string")
