@@ -208,8 +208,8 @@ def compare_runs(runs: DataFrame, left: DataFrame | str, right: DataFrame | str)
     def key(k):
         return k.scalar() if isinstance(k, DataFrame) else F.lit(k)
 
-    shown = ["task_type", "num_turns", "num_tool_calls", "num_errors", "success_score",
-             "estimated_tokens", "total_characters"]
+    shown = ["task_type", "num_turns", "num_messages", "num_tool_calls", "num_errors",
+             "success_score", "estimated_tokens", "total_characters"]
     two = runs.select(
         F.when(F.col(KEY) == key(left), F.lit("left"))
          .when(F.col(KEY) == key(right), F.lit("right")).alias("side"), *shown

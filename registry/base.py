@@ -81,6 +81,13 @@ def typed_conversations(spark, sf_dir, granularity: str = "turn") -> DataFrame:
             .withColumn("num_tool_calls", calls.cast("bigint")))
 
 
+def typed_sizes(spark, sf_dir) -> DataFrame:
+    """Conversation sizes with dataset type and topic; one aggregate, no context scan."""
+    return (m.basic_metrics(messages(spark, sf_dir))
+            .withColumn("dataset_type", type_of(F.col("conv_id")))
+            .withColumn("topic", topic_of(F.col("conv_id"))))
+
+
 def tool_log(spark, sf_dir) -> DataFrame:
     """``events`` as a tool-call log: one run per user and calendar day."""
     failed = F.pmod(draw(SEED, "st", F.col("event_id")), F.lit(100)) < 15
@@ -97,6 +104,7 @@ def task_runs(spark, sf_dir) -> DataFrame:
     runs = (runs
             .withColumn("task_type", weighted_choice(draw(SEED, "task", key), TASK_WEIGHTS))
             .withColumn("num_turns", F.lit(2) + F.pmod(draw(SEED, "turns", key), F.lit(14)))
+            .withColumn("num_messages", F.col("num_turns") * 2 + 1)
             .withColumn("base_score", F.lit(0.7) + F.lit(0.3) * unit(draw(SEED, "base", key))))
     return toollog.with_success(runs)
 
@@ -165,6 +173,7 @@ runs0 AS (
 runs1 AS (
   SELECT *, {sql_choice(sql_unit('task', 'conv_id'), TASK_WEIGHTS)} AS task_type,
          2 + {sql_draw('turns', 'conv_id')} % 14 AS num_turns,
+         5 + 2 * ({sql_draw('turns', 'conv_id')} % 14) AS num_messages,
          total_characters // 4 AS estimated_tokens,
          0.7::DOUBLE + 0.3::DOUBLE * {sql_unit('base', 'conv_id')} AS base_score
   FROM runs0),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from palaver.operators import tags as tg
 from palaver.plans.manifest import build_manifests
-from registry.base import CONV_CTE, SEED, query, typed_conversations
+from registry.base import CONV_CTE, SEED, query, typed_conversations, typed_sizes
 from registry.distributions import LONG_CTE
 from registry.payloads import SUMS, score_sql
 
@@ -26,7 +26,7 @@ tagged AS (SELECT *, list_sort(list_distinct(auto || ['chat', 'synthetic'])) AS
 
 
 def _tagged(spark, sf_dir):
-    return tg.dataset_tags(typed_conversations(spark, sf_dir), user_tags=["chat", "synthetic"])
+    return tg.dataset_tags(typed_sizes(spark, sf_dir), user_tags=["chat", "synthetic"])
 
 
 @query("auto_tags", f"""WITH {TAG_CTE}

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from palaver.operators import payload as p
 from palaver.plans import profile as plans
-from registry.base import CONV_CTE, RUN_CTE, query, r6, task_runs, typed_conversations
+from registry.base import CONV_CTE, RUN_CTE, query, r6, task_runs, typed_conversations, typed_sizes
 
 SUMS = """count(*) AS n, sum(estimated_tokens) AS t, sum(total_characters) AS c,
        sum(num_turns) AS r, coalesce(avg(growth_ratio), 0.0) AS g, sum(num_tool_calls) AS x"""
@@ -109,7 +109,7 @@ SELECT dataset_type, conversations, total_tokens, round(total_seconds, 6) AS tot
        round(total_seconds / w / 60.0, 6) AS minutes_at_workers
 FROM s CROSS JOIN (VALUES (1), (5), (10), (20)) AS v(w)""")
 def time_est(spark, sf_dir):
-    out = plans.time_estimate(typed_conversations(spark, sf_dir))
+    out = plans.time_estimate(typed_sizes(spark, sf_dir))
     return (out.withColumn("total_seconds", r6("total_seconds"))
             .withColumn("minutes_at_workers", r6("minutes_at_workers")))
 
@@ -144,7 +144,7 @@ SELECT dataset_type, 'category', topic,
        round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY dataset_type), 6)
 FROM conv GROUP BY dataset_type, topic""")
 def run_summary(spark, sf_dir):
-    out = plans.run_summary(typed_conversations(spark, sf_dir), "dataset_type", "topic")
+    out = plans.run_summary(typed_sizes(spark, sf_dir), "dataset_type", "topic")
     return out.withColumn("value", r6("value"))
 
 

@@ -211,12 +211,13 @@ def overview_report(spark, sf_dir):
 @query("row_compare", f"""WITH {RUN_CTE},
 two AS (SELECT CASE WHEN conv_id = (SELECT min(conv_id) FROM log) THEN 'left' ELSE 'right' END
           AS side, task_type, num_turns::VARCHAR AS num_turns,
+          num_messages::VARCHAR AS num_messages,
           num_tool_calls::VARCHAR AS num_tool_calls, num_errors::VARCHAR AS num_errors,
           round(success_score, 6)::VARCHAR AS success_score,
           estimated_tokens::VARCHAR AS estimated_tokens,
           total_characters::VARCHAR AS total_characters
         FROM runs WHERE conv_id IN (SELECT min(conv_id) FROM log UNION SELECT max(conv_id) FROM log)),
-u AS (UNPIVOT two ON task_type, num_turns, num_tool_calls, num_errors, success_score,
+u AS (UNPIVOT two ON task_type, num_turns, num_messages, num_tool_calls, num_errors, success_score,
       estimated_tokens, total_characters INTO NAME metric VALUE value)
 SELECT metric, max(value) FILTER (side = 'left') AS left_value,
        max(value) FILTER (side = 'right') AS right_value FROM u GROUP BY metric""")
