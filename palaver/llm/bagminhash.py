@@ -184,9 +184,12 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return written(joined.mapInArrow(_verify, "a long, b long, similarity double"), "verified")
 
 
-def likely_pairs(id_: np.ndarray, component: np.ndarray, sketch: np.ndarray, best_only: bool
-                 ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket that are apart and likely enough; or each one's likeliest partner."""
+def likely_pairs(bucket: int, id_: np.ndarray, component: np.ndarray, sketch: np.ndarray,
+                 bands_: np.ndarray, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a bucket that are apart and likely enough; or each one's likeliest partner.
+
+    A pair that meets in several buckets is given by that of its first common band.
+    """
     a, b = [], []
     step = max(1, (8 << 20) // sketch.size)
     for low in range(0, len(id_), step):
@@ -200,11 +203,15 @@ def likely_pairs(id_: np.ndarray, component: np.ndarray, sketch: np.ndarray, bes
             other = other[row]
         else:
             row, other = np.nonzero(agree)
+            row, other = row[low + row < other], other[low + row < other]
+            own = bands_[part][row]
+            first = own[np.arange(len(row)), (own == bands_[other]).argmax(1)]
+            # Buckets that were dealt again are no band's.
+            here = (first == bucket) | ~(own == bucket).any(1)
+            row, other = row[here], other[here]
         a.append(id_[part][row])
         b.append(id_[other])
     a, b = np.concatenate(a), np.concatenate(b)
-    if not best_only:
-        a, b = a[a < b], b[a < b]
     return np.minimum(a, b), np.maximum(a, b)
 
 
@@ -213,8 +220,8 @@ def _candidates(apart: DataFrame, sketches: DataFrame, best_only: bool) -> DataF
     def pairs(c: list[np.ndarray]) -> pa.RecordBatch:
         bucket, *rest = c
         cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-        a, b = zip(*(likely_pairs(*(v[low:high] for v in rest), best_only) for low, high in zip(
-            np.append(0, cuts), np.append(cuts, len(bucket)))))
+        a, b = zip(*(likely_pairs(bucket[low], *(v[low:high] for v in rest), best_only)
+                     for low, high in zip(np.append(0, cuts), np.append(cuts, len(bucket)))))
         once = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])],
                                           names=["a", "b"])
@@ -225,6 +232,7 @@ def _candidates(apart: DataFrame, sketches: DataFrame, best_only: bool) -> DataF
             c = [v.to_numpy() for v in batch.columns[:3]]
             c.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8
                                    ).reshape(-1, REGISTERS))
+            c.append(batch.column(4).flatten().to_numpy().reshape(-1, BANDS))
             held.append(c)
             count += len(c[0])
             if count >= HELD_ROWS:
@@ -236,7 +244,7 @@ def _candidates(apart: DataFrame, sketches: DataFrame, best_only: bool) -> DataF
         if count:
             yield pairs([np.concatenate(v) for v in zip(*held)])
 
-    dealt = (apart.join(sketches, "id").select("bucket", "id", "component", "sketch")
+    dealt = (apart.join(sketches, "id").select("bucket", "id", "component", "sketch", "bands")
              .repartition("bucket").sortWithinPartitions("bucket"))
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -274,11 +282,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     links, tried = verified(stars, rows), stars
     groups = written(components(links), "groups")
     members = members.select("bucket", "id")
-    sketches = copies.select(F.col("copy_id").alias("id"), "sketch")
+    sketches = copies.select(F.col("copy_id").alias("id"), "sketch", "bands")
     for best_only in (True, False):
         placed = written(members.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("component")), "placed")
-        apart = _wide_buckets_again(placed, copies.select(F.col("copy_id").alias("id"), "bands"))
+        apart = _wide_buckets_again(placed, sketches.select("id", "bands"))
         pairs = written(_candidates(apart.distinct(), sketches, best_only).join(
             tried, ["a", "b"], "left_anti"), "apart-pairs")
         links, tried = links.union(verified(pairs, rows)), tried.union(pairs)

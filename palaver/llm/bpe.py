@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from palaver.llm.common import utf8
 
-MEMO = 300_000
+MEMO = 200_000
 MARKS = tuple("!#$%&*,.:;?")
 PLAIN_CHUNK = re.compile(b"([A-Za-z]+)([!#$%&*,.:;?]*)")
 OUTPUTS = {
