@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 
 from palaver.llm.common import ALNUM, LOWER, ODD, Words, mix, slices, utf8, written
 
-#: Places that a seed reads.  Any 13 tokens with one substitution keep one of them whole.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7, 8), (0, 1, 3, 4, 7, 9, 10), (0, 2, 3, 5, 8, 9, 11))
+#: Places that a seed reads.  Every stretch of at least ``MIN_TOKENS`` tokens of which ``MIN_SHARE``
+#: agree keeps one of them whole: of 26 tokens or more, a half is such a stretch, and the lengths
+#: from 13 to 25 were gone through.  Lower limits than these two have no such guarantee.
+MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7, 8), (0, 1, 3, 4, 7, 9, 10), (0, 2, 3, 5, 8, 9, 11),
+         (0, 1, 5, 6, 8, 9, 10), (0, 1, 4, 6, 9, 11, 12))
 FILTER_BITS = 1 << 23
 MIN_TOKENS = 13
 MIN_SHARE = 0.8

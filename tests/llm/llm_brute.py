@@ -74,3 +74,29 @@ def classes(docs, similarity=0.8):
                 x, y = top(a), top(b)
                 parent[max(x, y)] = min(x, y)
     return {i: top(i) for i in docs}
+
+
+def leaks(docs, items, min_tokens=13, min_share=(4, 5)):
+    """Pairs that agree at some shift, from an agreeing token to another, long and well enough."""
+    def tokens(text):
+        return re.findall(r"[a-z0-9]+", text.lower())
+
+    def stretch(same):
+        for i in (k for k, s in enumerate(same) if s):
+            n = 0
+            for j in range(i, len(same)):
+                n += same[j]
+                size = j + 1 - i
+                if same[j] and size >= min_tokens and min_share[1] * n >= min_share[0] * size:
+                    yield size, n
+
+    out = {}
+    for d, text in docs.items():
+        a = tokens(text)
+        for k, item in items.items():
+            b = tokens(item)
+            found = [x for shift in range(-len(b) + 1, len(a)) for x in stretch(
+                [a[i + shift] == b[i] for i in range(max(0, -shift), min(len(b), len(a) - shift))])]
+            if found:
+                out[d, k] = max(found)
+    return out

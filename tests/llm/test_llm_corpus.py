@@ -6,6 +6,7 @@ import hashlib
 import json
 import random
 import zlib
+from itertools import combinations
 from urllib.parse import urlparse
 
 import llm_brute
@@ -313,6 +314,31 @@ def test_leaks(spark):
     assert spacedseed.leaks(made, items.where("item_id = 99")).count() == 0
 
 
+def test_every_leak_keeps_a_seed():
+    for size in range(13, 26):
+        same = np.array([[k not in gone for k in range(size)]
+                         for gone in combinations(range(size), size // 5)])
+        seeded = np.zeros(len(same), bool)
+        for mask in spacedseed.MASKS:
+            for at in range(size - mask[-1]):
+                seeded |= same[:, np.array(mask) + at].all(1)
+        assert seeded.all(), (size, same[~seeded][0].astype(int))
+
+
+def test_leaks_with_substitutions_equal_brute_force(spark):
+    items = {70: " ".join(f"q{k}" for k in range(13)), 71: " ".join(f"r{k}" for k in range(100))}
+    docs = {}
+    for gone in ((3, 8), (4, 9), (2, 7), (2, 7, 8)):
+        docs[len(docs)] = " ".join("x" if k in gone else w for k, w in enumerate(items[70].split()))
+    for phase in range(5):
+        docs[len(docs)] = " ".join("x" if k % 5 == phase else w
+                                   for k, w in enumerate(items[71].split()))
+    got = {(r.doc_id, r.item_id) for r in spacedseed.leaks(
+        spark.createDataFrame(list(docs.items()), SCHEMA),
+        spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()}
+    assert got == set(llm_brute.leaks(docs, items))
+
+
 # ---------------------------------------------------------------- token shards
 
 def test_grammars_round_trip():
