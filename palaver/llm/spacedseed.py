@@ -6,9 +6,9 @@ benchmark items set bits of a filter of ``FILTER_BITS`` bits (its size does not
 depend on any table); training seeds that find no bit are dropped where they
 arise, the others are joined with the benchmark's seeds.  A hit puts an item
 beside a text at one shift.  There the tokens are compared one by one: the
-stretch of the item with the best sum of matches (+1) and substitutions
-(-``PENALTY``) is the overlap, and it counts as a leak if it has at least
-``min_tokens`` tokens of which ``min_share`` agree.
+longest stretch of which ``min_share`` agree is the overlap, and it counts as a
+leak if it has at least ``min_tokens`` tokens.  A stretch goes from one agreeing
+token to another, so a shorter passage is not filled up with its surroundings.
 
 Tokens are lower-cased runs of letters and digits.  Items of fewer tokens than
 the shortest mask have no seed and leak nothing.  NULL and empty texts have no
@@ -19,6 +19,7 @@ pairs, and texts of one id are searched separately.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,6 @@ MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7, 8), (0, 1, 3, 4, 7, 9, 10), (0,
 FILTER_BITS = 1 << 23
 MIN_TOKENS = 13
 MIN_SHARE = 0.8
-PENALTY = 2
 
 
 def seeds(words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -89,13 +89,24 @@ def filter_bits(seeds_of_items: DataFrame) -> np.ndarray:
     return out
 
 
-def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """Start, end and matches of the stretch with the largest sum."""
-    running = np.concatenate(([0], np.cumsum(np.where(same, 1, -PENALTY))))
-    gain = running - np.minimum.accumulate(running)
-    end = int(gain.argmax())
-    start = int(running[:end + 1].argmin())
-    return start, end, int(same[start:end].sum())
+def longest_stretch(same: np.ndarray, min_share: float) -> tuple[int, int, int]:
+    """Start, end and matches of the longest stretch between matches with ``min_share`` of them.
+
+    Of equally long ones, the first with most matches.
+    """
+    ends = np.flatnonzero(same) + 1
+    if not len(ends):
+        return 0, 0, 0
+    share = Fraction(min_share).limit_denominator(10 ** 6)
+    matches = np.concatenate(([0], np.cumsum(same, dtype=np.int64)))
+    running = share.denominator * matches - share.numerator * np.arange(len(matches))
+    # The first start of an end is where the least sum so far is not above the end's.
+    least = np.minimum.accumulate(np.where(same, running[:-1], np.iinfo(np.int64).max))
+    starts = np.searchsorted(-least, -running[ends])
+    size = ends - starts
+    longest = np.flatnonzero(size == size.max())
+    k = longest[(matches[ends[longest]] - matches[starts[longest]]).argmax()]
+    return int(starts[k]), int(ends[k]), int(matches[ends[k]] - matches[starts[k]])
 
 
 def _tokens(text: bytes) -> np.ndarray:
@@ -139,8 +150,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
                     if high <= low:
                         continue
                     same = last_tokens[low + shift:high + shift] == seen[item][low:high]
-                    start, end, matches = best_stretch(same)
-                    if end - start >= min_tokens and matches >= min_share * (end - start):
+                    start, end, matches = longest_stretch(same, min_share)
+                    if end - start >= min_tokens:
                         best = max(best or (0,), (end - start, matches, -(low + start + shift),
                                                   low + start))
                 if best:

@@ -339,6 +339,23 @@ def test_leaks_with_substitutions_equal_brute_force(spark):
     assert got == set(llm_brute.leaks(docs, items))
 
 
+def test_more_copied_text_keeps_a_leak(spark):
+    rnd = random.Random(11)
+    items = {70: " ".join(f"q{k}" for k in range(120)), 71: " ".join(f"r{k}" for k in range(60))}
+    docs = {0: " ".join("x" if k >= 20 and k % 4 == 0 else f"q{k}" for k in range(120)),
+            1: " ".join("x" if k < 20 or 60 <= k < 90 and k % 2 else f"q{k}" for k in range(120)),
+            2: " ".join(["x", *items[71].split()[5:17], "x", "x", "x"]), 3: ""}
+    for _ in range(150):
+        words = items[71].split()[rnd.randrange(40):][:rnd.randint(13, 40)]
+        share = rnd.choice((0.75, 0.8, 0.85))
+        docs[len(docs)] = " ".join(w if rnd.random() < share else "x" for w in ["x", *words, "y"])
+    got = {(r.doc_id, r.item_id): (r.overlap, r.matches) for r in spacedseed.leaks(
+        spark.createDataFrame(list(docs.items()), SCHEMA),
+        spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()}
+    assert (0, 70) in got and (2, 71) not in got
+    assert got == llm_brute.leaks(docs, items)
+
+
 # ---------------------------------------------------------------- token shards
 
 def test_grammars_round_trip():
