@@ -141,15 +141,17 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
             for id_, item, shifts, doc_text, item_text in zip(*(c.to_pylist() for c in batch)):
                 if doc_text != last_text:
                     last_text, last_tokens = doc_text, _tokens(doc_text)
-                if item not in seen:
-                    seen = {**seen, item: _tokens(item_text)} if len(seen) < 1000 else {
-                        item: _tokens(item_text)}
+                if item_text not in seen:
+                    if len(seen) >= 1000:
+                        seen = {}
+                    seen[item_text] = _tokens(item_text)
+                item_tokens = seen[item_text]
                 best = None
                 for shift in shifts:
-                    low, high = max(0, -shift), min(len(seen[item]), len(last_tokens) - shift)
+                    low, high = max(0, -shift), min(len(item_tokens), len(last_tokens) - shift)
                     if high <= low:
                         continue
-                    same = last_tokens[low + shift:high + shift] == seen[item][low:high]
+                    same = last_tokens[low + shift:high + shift] == item_tokens[low:high]
                     start, end, matches = longest_stretch(same, min_share)
                     if end - start >= min_tokens:
                         best = max(best or (0,), (end - start, matches, -(low + start + shift),

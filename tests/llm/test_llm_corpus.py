@@ -356,6 +356,13 @@ def test_more_copied_text_keeps_a_leak(spark):
     assert got == llm_brute.leaks(docs, items)
 
 
+def test_texts_of_one_item_id(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(30)) for c in "ab"]
+    items = spark.createDataFrame([(70, t) for t in texts], "item_id bigint, text string")
+    docs = spark.createDataFrame([(k, texts[k % 2]) for k in range(6)], SCHEMA)
+    assert sorted(r.doc_id for r in spacedseed.leaks(docs, items).collect()) == list(range(6))
+
+
 # ---------------------------------------------------------------- token shards
 
 def test_grammars_round_trip():
