@@ -16,8 +16,9 @@ these links connect needs no more comparison.  Representatives of a bucket that
 still apart are compared by a byte of each register: each is verified with its
 likeliest partner, and after that all pairs that are still apart and agree in
 ``LIKELY`` of the registers or more (four standard deviations below what a
-similarity of 0.8 gives).  A bucket with more than ``WIDE`` separate groups is first
-dealt again by each other band, so what is compared there has met twice.
+similarity of 0.8 gives).  A bucket of more than ``BLOCK`` representatives is cut into
+blocks, and any two of its blocks are compared by themselves, so no task needs a
+whole bucket and no pair of a bucket is left out.
 
 Words are parted by ASCII white space.  A text of one to four words is one shingle;
 an empty or NULL text has none and is a class of its own.  Rows of one id are one
@@ -43,6 +44,7 @@ REGISTERS = BANDS * ROWS
 WIDE = 5000
 LIKELY = 0.69
 HELD_ROWS = 20_000
+BLOCK = 2048
 _LEVEL = np.uint64(0xD6E8FEB86659FD93)
 _POINT = np.uint64(0xA0761D6478BD642F)
 
@@ -184,73 +186,120 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return written(joined.mapInArrow(_verify, "a long, b long, similarity double"), "verified")
 
 
-def likely_pairs(bucket: int, id_: np.ndarray, component: np.ndarray, sketch: np.ndarray,
-                 bands_: np.ndarray, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket that are apart and likely enough; or each one's likeliest partner.
+def likely_pairs(bucket: int, left: list[np.ndarray], right: list[np.ndarray] | None,
+                 best_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of two blocks of a bucket, or of one, that are apart and likely enough.
 
-    A pair that meets in several buckets is given by that of its first common band.
+    Blocks are ids, components, sketches and bands.  The pairs come with the number of
+    registers that agree.  With ``best_only``, each text and its likeliest partner; else
+    a pair that meets in several buckets is given by that of its first common band.
     """
-    a, b = [], []
-    step = max(1, (8 << 20) // sketch.size)
+    inside = right is None
+    id_, component, sketch, bands_ = left
+    id_2, component_2, sketch_2, bands_2 = left if inside else right
+    best, partner = np.zeros(len(id_2), np.int16), np.zeros(len(id_2), np.int64)
+    found = []
+    step = max(1, (8 << 20) // max(sketch_2.size, 1))
     for low in range(0, len(id_), step):
         part = slice(low, low + step)
-        agree = (sketch[part, None] == sketch).sum(2, dtype=np.int16)
-        agree[component[part, None] == component] = 0
+        agree = (sketch[part, None] == sketch_2).sum(2, dtype=np.int16)
+        agree[component[part, None] == component_2] = 0
         agree[agree < LIKELY * sketch.shape[1]] = 0
         if best_only:
             other = agree.argmax(1)
             row = np.flatnonzero(agree[np.arange(len(other)), other])
             other = other[row]
+            if not inside:
+                most = agree.max(0)
+                partner = np.where(most > best, low + agree.argmax(0), partner)
+                best = np.maximum(most, best)
         else:
             row, other = np.nonzero(agree)
-            row, other = row[low + row < other], other[low + row < other]
+            if inside:
+                row, other = row[low + row < other], other[low + row < other]
             own = bands_[part][row]
-            first = own[np.arange(len(row)), (own == bands_[other]).argmax(1)]
-            # Buckets that were dealt again are no band's.
-            here = (first == bucket) | ~(own == bucket).any(1)
-            row, other = row[here], other[here]
-        a.append(id_[part][row])
-        b.append(id_[other])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return np.minimum(a, b), np.maximum(a, b)
-
-
-def _candidates(apart: DataFrame, sketches: DataFrame, best_only: bool) -> DataFrame:
-    """Distinct likely pairs ``a, b`` of all buckets; buckets stream through the tasks."""
-    def pairs(c: list[np.ndarray]) -> pa.RecordBatch:
-        bucket, *rest = c
-        cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-        a, b = zip(*(likely_pairs(bucket[low], *(v[low:high] for v in rest), best_only)
-                     for low, high in zip(np.append(0, cuts), np.append(cuts, len(bucket)))))
-        once = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])],
-                                          names=["a", "b"])
+            first = own[np.arange(len(row)), (own == bands_2[other]).argmax(1)]
+            row, other = row[first == bucket], other[first == bucket]
+        found.append((id_[part][row], id_2[other], agree[row, other]))
+    if best_only and not inside:
+        row = np.flatnonzero(best)
+        found.append((id_2[row], id_[partner[row]], best[row]))
+    return tuple(np.concatenate(v) for v in zip(*found))
+
+
+def _dealt(placed: DataFrame) -> DataFrame:
+    """``bucket, i, j, side, id, component``: blocks ``i`` and ``j`` of buckets with several groups.
+
+    ``side`` is 1 for a member of block ``j`` where that is another block than ``i``.
+    """
+    sizes = placed.groupBy("bucket").agg(F.count_distinct("component").alias("groups"),
+                                         F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    known = placed.join(sizes.where("groups > 1"), "bucket")
+    own = F.pmod(F.xxhash64("id"), "blocks")
+    met = known.select("bucket", "id", "component", own.alias("own"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    return met.select("bucket", F.least("own", "other").alias("i"),
+                      F.greatest("own", "other").alias("j"),
+                      (F.col("own") > F.col("other")).cast("long").alias("side"), "id", "component")
+
+
+def _candidates(placed: DataFrame, sketches: DataFrame, best_only: bool) -> DataFrame:
+    """Distinct likely pairs ``a, b`` of all buckets; blocks stream through the tasks."""
+    def pairs(c: list[np.ndarray], cuts: np.ndarray) -> pa.RecordBatch:
+        bucket, _, _, side, *rest = c
+        found = []
+        for low, high in zip(np.append(0, cuts), np.append(cuts, len(bucket))):
+            block, second = [v[low:high] for v in rest], side[low:high] > 0
+            if second.any():
+                block, other = [v[~second] for v in block], [v[second] for v in block]
+            else:
+                other = None
+            if len(block[0]):
+                a, b, agree = likely_pairs(bucket[low], block, other, best_only)
+                found.append((np.full(len(a), bucket[low]), a, b, agree.astype(np.int64)))
+        columns = [np.concatenate(v) for v in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in columns],
+                                          names=["bucket", "a", "b", "agree"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
-            c = [v.to_numpy() for v in batch.columns[:3]]
-            c.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8
+            c = [v.to_numpy() for v in batch.columns[:6]]
+            c.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8
                                    ).reshape(-1, REGISTERS))
-            c.append(batch.column(4).flatten().to_numpy().reshape(-1, BANDS))
+            c.append(batch.column(7).flatten().to_numpy().reshape(-1, BANDS))
             held.append(c)
             count += len(c[0])
             if count >= HELD_ROWS:
                 c = [np.concatenate(v) for v in zip(*held)]
-                cut = int(np.searchsorted(c[0], c[0][-1]))
+                cuts = borders(c)
+                cut = int(cuts[-1]) if len(cuts) else 0
                 if cut:
-                    yield pairs([v[:cut] for v in c])
+                    yield pairs([v[:cut] for v in c], cuts[:-1])
                 held, count = [[v[cut:] for v in c]], len(c[0]) - cut
         if count:
-            yield pairs([np.concatenate(v) for v in zip(*held)])
+            c = [np.concatenate(v) for v in zip(*held)]
+            yield pairs(c, borders(c))
+
+    def borders(c: list[np.ndarray]) -> np.ndarray:
+        return np.flatnonzero(np.any([v[1:] != v[:-1] for v in c[:3]], axis=0)) + 1
 
-    dealt = (apart.join(sketches, "id").select("bucket", "id", "component", "sketch", "bands")
-             .repartition("bucket").sortWithinPartitions("bucket"))
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    keys = ["bucket", "i", "j"]
+    dealt = (_dealt(placed).join(sketches, "id")
+             .select(*keys, "side", "id", "component", "sketch", "bands")
+             .repartition(*keys).sortWithinPartitions(*keys))
+    found = dealt.mapInArrow(run, "bucket long, a long, b long, agree long")
+    if best_only:
+        found = found.groupBy("bucket", "a").agg(
+            F.max_by("b", F.struct("agree", -F.col("b"))).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _wide_buckets_again(placed: DataFrame, bands: DataFrame) -> DataFrame:
-    """Members of buckets with several groups, those of wide ones dealt again by other bands."""
+    """Members of buckets with several groups, those of wide ones dealt again by other bands.
+
+    ``classes`` does not use it: a pair with one common band would be lost.
+    """
     groups = placed.groupBy("bucket").agg(F.count_distinct("component").alias("groups"))
     known = placed.join(groups.where("groups > 1"), "bucket")
     again = known.where(F.col("groups") > WIDE).join(bands, "id").select(
@@ -286,8 +335,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     for best_only in (True, False):
         placed = written(members.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("component")), "placed")
-        apart = _wide_buckets_again(placed, sketches.select("id", "bands"))
-        pairs = written(_candidates(apart.distinct(), sketches, best_only).join(
+        pairs = written(_candidates(placed, sketches, best_only).join(
             tried, ["a", "b"], "left_anti"), "apart-pairs")
         links, tried = links.union(verified(pairs, rows)), tried.union(pairs)
         groups = written(components(links), "groups")

@@ -249,6 +249,39 @@ def test_wide_buckets_are_dealt_again(spark):
         [[2 * k, 2 * k + 1] for k in range(bagminhash.WIDE // 2 + 10)] + [[1, 2]])
 
 
+@pytest.mark.parametrize("best_only", (True, False))
+def test_large_buckets_lose_no_pair(spark, monkeypatch, best_only):
+    monkeypatch.setattr(bagminhash, "BLOCK", 64)
+    monkeypatch.setattr(bagminhash, "WIDE", 100)
+    rng = np.random.default_rng(3)
+    n, size = 400, bagminhash.REGISTERS
+    sketch = rng.integers(0, 256, (n, size)).astype(np.uint8)
+    for k in range(200):
+        kept = rng.random(size) < rng.choice((0.5, 0.8, 0.95))
+        sketch[rng.integers(n), kept] = sketch[rng.integers(n), kept]
+    component = np.where(np.arange(n) < 150, 0, np.arange(n))
+    # All share the band 7, and every third one the band 8; no other band is common.
+    bands = 1000 + np.arange(n * bagminhash.BANDS).reshape(n, -1)
+    bands[:, 0], bands[::3, 1] = 7, 8
+    placed = [(7, k, int(component[k])) for k in range(n)]
+    placed += [(8, k, int(component[k])) for k in range(0, n, 3)]
+    agree = (sketch[:, None] == sketch).sum(2) * (component[:, None] != component)
+    agree[agree < bagminhash.LIKELY * size] = 0
+    want = {(a, b) for a, b in zip(*np.nonzero(agree)) if a < b}
+    assert len(want) > 20
+    if best_only:
+        want = set()
+        for ids in (np.arange(n), np.arange(0, n, 3)):
+            part = agree[np.ix_(ids, ids)]
+            want |= {tuple(sorted((ids[k], ids[part[k].argmax()])))
+                     for k in range(len(ids)) if part[k].any()}
+    got = bagminhash._candidates(
+        spark.createDataFrame(placed, "bucket bigint, id bigint, component bigint"),
+        spark.createDataFrame([(k, sketch[k].tobytes(), bands[k].tolist()) for k in range(n)],
+                              "id bigint, sketch binary, bands array<bigint>"), best_only).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
 def test_one_row_of_each_class_stays(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(3, text, "a"), (3, text, "b"), (1, text + " x", "c"), (None, text, "d"), (8, None, "e"),
