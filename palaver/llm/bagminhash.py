@@ -18,7 +18,8 @@ likeliest partner, and after that all pairs that are still apart and agree in
 ``LIKELY`` of the registers or more (four standard deviations below what a
 similarity of 0.8 gives).  A bucket of more than ``BLOCK`` representatives is cut into
 blocks, and any two of its blocks are compared by themselves, so no task needs a
-whole bucket and no pair of a bucket is left out.
+whole bucket and no pair of a bucket is left out.  Blocks of one connected group are
+not compared with each other.
 
 Words are parted by ASCII white space.  A text of one to four words is one shingle;
 an empty or NULL text has none and is a class of its own.  Rows of one id are one
@@ -230,14 +231,33 @@ def likely_pairs(bucket: int, left: list[np.ndarray], right: list[np.ndarray] |
 def _dealt(placed: DataFrame) -> DataFrame:
     """``bucket, i, j, side, id, component``: blocks ``i`` and ``j`` of buckets with several groups.
 
-    ``side`` is 1 for a member of block ``j`` where that is another block than ``i``.
+    ``side`` is 1 for a member of block ``j`` where that is another block than ``i``.  A
+    component of ``BLOCK`` members or more has blocks of its own, which are not compared
+    with each other; smaller ones share blocks.
     """
-    sizes = placed.groupBy("bucket").agg(F.count_distinct("component").alias("groups"),
-                                         F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    known = placed.join(sizes.where("groups > 1"), "bucket")
-    own = F.pmod(F.xxhash64("id"), "blocks")
-    met = known.select("bucket", "id", "component", own.alias("own"),
-                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    large = F.col("n") >= BLOCK
+    sizes = parts.groupBy("bucket").agg(
+        F.count("*").alias("groups"),
+        F.ceil(F.sum(F.when(large, 0).otherwise(F.col("n"))) / BLOCK).alias("shared"),
+        F.sum(F.when(large, F.ceil(F.col("n") / BLOCK)).otherwise(0)).alias("owned"))
+    sizes = sizes.where("groups > 1")
+    before = Window.partitionBy("bucket").orderBy("component").rowsBetween(
+        Window.unboundedPreceding, -1)
+    owned = (parts.where(large).withColumn("many", F.ceil(F.col("n") / BLOCK))
+             .withColumn("start", F.coalesce(F.sum("many").over(before), F.lit(0)))
+             .select("bucket", "component", "many", "start"))
+    known = placed.join(sizes, "bucket").join(owned, ["bucket", "component"], "left")
+    # Blocks are numbered from 0: those that small components share, then the large ones' own.
+    salt = F.xxhash64("id")
+    start = F.col("shared") + F.col("start")
+    own = F.when(F.col("many").isNull(), F.pmod(salt, "shared")).otherwise(
+        start + F.pmod(salt, "many"))
+    met = known.select(
+        "bucket", "id", "component", own.alias("own"), start.alias("start"),
+        (start + F.col("many")).alias("end"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("shared") + F.col("owned") - 1)).alias("other"))
+    met = met.where("start is null or other < start or other >= end")
     return met.select("bucket", F.least("own", "other").alias("i"),
                       F.greatest("own", "other").alias("j"),
                       (F.col("own") > F.col("other")).cast("long").alias("side"), "id", "component")

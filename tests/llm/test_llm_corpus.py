@@ -282,6 +282,34 @@ def test_large_buckets_lose_no_pair(spark, monkeypatch, best_only):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_blocks_of_one_component_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "BLOCK", 50)
+    component = [0] * 1000 + [1] * 300 + [2] * 30 + list(range(3, 63))
+    placed = [(7, k, c) for k, c in enumerate(component)] + [(8, k, 0) for k in range(1000)]
+    placed += [(9, k, 0) for k in range(1000)] + [(9, 1300, 2)]
+    placed += [(10, k, component[k]) for k in range(900, 1100)]
+    rows = bagminhash._dealt(spark.createDataFrame(
+        placed, "bucket bigint, id bigint, component bigint")).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.bucket, r.i, r.j), ([], []))[r.side].append((r.id, r.component))
+    assert max(len(a) + len(b) for a, b in groups.values()) < 200
+    met = {}
+    for (bucket, i, j), (a, b) in groups.items():
+        pairs = combinations(a, 2) if i == j else ((x, y) for x in a for y in b)
+        kinds = {c for _, c in a + b}
+        assert len(kinds) > 1 or not kinds & {0, 1}
+        for (x, c), (y, d) in pairs:
+            if c != d:
+                met[bucket, min(x, y), max(x, y)] = met.get((bucket, min(x, y), max(x, y)), 0) + 1
+    want = {(7, x, y) for x, y in combinations(range(len(component)), 2)
+            if component[x] != component[y]} | {(9, k, 1300) for k in range(1000)}
+    want |= {(10, x, y) for x in range(900, 1000) for y in range(1000, 1100)}
+    assert set(met) == want and set(met.values()) == {1}
+    # The single text meets itself and each of 20 blocks; all others meet it once.
+    assert sum(r.bucket == 9 for r in rows) == 1000 + 1 + 20
+
+
 def test_one_row_of_each_class_stays(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(3, text, "a"), (3, text, "b"), (1, text + " x", "c"), (None, text, "d"), (8, None, "e"),
