@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm import bagminhash, bpe, licenses, repair, repetition, spacedseed, suffixdedup, toxicity, urlrules, warc
+from palaver.llm import (bagminhash, bpe, licenses, merkle, repair, repetition, spacedseed, suffixdedup,
+                         toxicity, urlrules, warc)
 from palaver.llm.common import crc_remainder, findable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +132,99 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.deduplicated(
         table(spark, sf_dir, "documents"), keep=["doc_id"],
         outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
+MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query("""
+    WITH RECURSIVE crc AS (
+        SELECT doc_id, text, source,
+               concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-'),
+                      coalesce(strlen(source) || ':' || source, '-'),
+                      coalesce(strlen(lang) || ':' || lang, '-'),
+                      coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-')) AS head,
+               list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(
+                       string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda crc, b: list_reduce(
+                       list_prepend(xor(crc, b), range(8)),
+                       lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384)
+                                         ELSE x >> 1 END)) AS inverted
+        FROM documents),
+    leaves AS (
+        SELECT doc_id, source,
+               sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               CASE WHEN inverted % 2 = 1
+                    THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':'
+                                                 || replace(text, chr(10), ''), '-'))
+                    ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS start
+        FROM crc),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+               count(*) OVER (PARTITION BY source) AS n
+        FROM leaves),
+    nodes AS (
+        SELECT source, 0 AS level, pos, n, leaf AS node FROM placed
+        UNION ALL
+        SELECT source, any_value(level) + 1, pos // 3, any_value(n + 2) // 3,
+               sha256(string_agg(node, '' ORDER BY pos))
+        FROM nodes WHERE n > 1 GROUP BY source, pos // 3),
+    tops AS (
+        SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos,
+               count(*) OVER () AS n
+        FROM nodes WHERE n = 1),
+    upper AS (
+        SELECT 0 AS level, pos, n, node FROM tops
+        UNION ALL
+        SELECT any_value(level) + 1, pos // 3, any_value(n + 2) // 3,
+               sha256(string_agg(node, '' ORDER BY pos))
+        FROM upper WHERE n > 1 GROUP BY pos // 3),
+    lower_steps AS (
+        SELECT a.source, a.level, a.pos,
+               coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+               coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+        FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source
+             AND a.level = b.level AND a.pos // 3 = b.pos // 3
+        WHERE a.n > 1 GROUP BY a.source, a.level, a.pos),
+    upper_steps AS (
+        SELECT a.level, a.pos,
+               coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+               coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+        FROM upper a JOIN upper b ON a.level = b.level AND a.pos // 3 = b.pos // 3
+        WHERE a.n > 1 GROUP BY a.level, a.pos),
+    climb AS (
+        SELECT doc_id, source, pos AS leaf_pos, 0 AS level, pos, n, start AS node, '' AS proof FROM placed
+        UNION ALL
+        SELECT c.doc_id, c.source, c.leaf_pos, c.level + 1, c.pos // 3, (c.n + 2) // 3,
+               sha256(s.l || c.node || s.r), c.proof || s.l || s.r
+        FROM climb c JOIN lower_steps s ON c.source IS NOT DISTINCT FROM s.source
+             AND c.level = s.level AND c.pos = s.pos
+        WHERE c.n > 1),
+    over AS (
+        SELECT c.doc_id, c.source, c.leaf_pos, 0 AS level, t.pos, t.n, c.node, c.proof
+        FROM climb c JOIN tops t ON c.source IS NOT DISTINCT FROM t.source WHERE c.n = 1
+        UNION ALL
+        SELECT o.doc_id, o.source, o.leaf_pos, o.level + 1, o.pos // 3, (o.n + 2) // 3,
+               sha256(s.l || o.node || s.r), o.proof || s.l || s.r
+        FROM over o JOIN upper_steps s ON o.level = s.level AND o.pos = s.pos
+        WHERE o.n > 1),
+    root AS (SELECT node AS root FROM upper WHERE n = 1)
+    SELECT p.doc_id, p.leaf, t.node AS subroot, root.root, sha256(o.proof) AS proof_sha256,
+           o.node AS folded_root, o.node = root.root AS verified
+    FROM placed p JOIN over o ON p.source IS NOT DISTINCT FROM o.source AND p.pos = o.leaf_pos AND o.n = 1
+         JOIN tops t ON t.source IS NOT DISTINCT FROM p.source CROSS JOIN root
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, source root, root and proof of every document, checked on partly tampered rows.
+
+    Rows whose id has an even crc32 (a NULL id: that of '') are checked without the
+    line feeds of their text.
+    """
+    docs = table(spark, sf_dir, "documents")
+    text = F.when(crc_remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    tampered = merkle.leaf([*(F.col(f) for f in MANIFEST_FIELDS[:-1]), F.coalesce(text, "text")])
+    rows = merkle.manifest(docs, "doc_id", "source", MANIFEST_FIELDS, {"tampered": tampered})
+    rows = rows.withColumn("folded_root", merkle.folded(F.col("tampered")))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
