@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm import (bagminhash, bpe, licenses, merkle, repair, repetition, spacedseed, suffixdedup,
-                         toxicity, urlrules, warc)
+from palaver.llm import (bagminhash, bpe, hmm, licenses, merkle, repair, repetition, spacedseed,
+                         suffixdedup, tokenalign, toxicity, urlrules, warc)
 from palaver.llm.common import crc_remainder, findable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +228,20 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("folded_root", merkle.folded(F.col("tampered")))
     return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"),
                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned groups and links of a byte-level and a piece tokenizer in every document."""
+    return tokenalign.alignment(table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_50k.json"),
+                                public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op11_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihood of every document by a hidden Markov model that saw no row of remainder 2."""
+    training = crc_remainder("doc_id", 7) != 2
+    rows = hmm.scores(table(spark, sf_dir, "documents"), training)
+    return rows.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known",
+                       "train_tokens", "base_score", "score")
