@@ -121,16 +121,21 @@ def tops(found: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, [level.where("n = 1").select("tree", "node") for level in found])
 
 
-def _down(found: list[DataFrame], top_paths: DataFrame, arity: int) -> DataFrame:
+def _down(found: list[DataFrame], top_paths: DataFrame | None, arity: int) -> DataFrame:
     """``tree, at, node, subroot, path`` of every node of the lowest level.
 
-    ``top_paths`` has ``t, subroot, path`` for the top of every tree.
+    ``top_paths`` has ``t, subroot, path`` for the top of every tree; without it the
+    tops are where paths end.
     """
     paths = None
     for level in reversed(found):
-        last = level.where("n = 1")
-        here = last.join(top_paths, _same(last, top_paths, "tree", "t")).select(
-            "tree", "at", "node", "subroot", "path")
+        here = level.where("n = 1")
+        if top_paths is None:
+            here = here.withColumns({"subroot": F.col("node"),
+                                     "path": F.array().cast(f"array<{_STEP}>")})
+        else:
+            here = here.join(top_paths, _same(here, top_paths, "tree", "t"))
+        here = here.select("tree", "at", "node", "subroot", "path")
         if paths is not None:
             above = paths.select(F.col("tree").alias("t"), F.col("at").alias("above"), "subroot",
                                  F.col("path").alias("rest"))
@@ -169,9 +174,7 @@ def manifest(docs: DataFrame, key: str, group: str, fields: Sequence[str],
     forest = written(placed(forest, "tree", ["source"], "merkle-tops"), "merkle-forest")
     upper = levels(forest.select("tree", "at", "n", "node"), arity)
     root = tops(upper).first()["node"]
-    start = docs.sparkSession.range(1).select(
-        F.lit("").alias("t"), F.lit(root).alias("subroot"), F.array().cast(f"array<{_STEP}>").alias("path"))
-    above = _down(upper, start, arity).select(F.col("at").alias("place"), "path")
+    above = _down(upper, None, arity).select(F.col("at").alias("place"), "path")
     top_paths = forest.join(above, F.col("at") == F.col("place")).select(
         F.col("source").alias("t"), F.col("node").alias("subroot"), "path")
     paths = _down(found, top_paths, arity).select(
