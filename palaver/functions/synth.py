@@ -242,13 +242,34 @@ def random_reply(topic: Column, pools: Mapping[str, Column], d: Draws, target: C
         word_count(text) > target * F.lit(1.3), cut_at_sentence(text, target)).otherwise(text))
 
 
-def extension_words(pool: Column, d: Draws, missing: Column) -> Column:
-    """Words of whole extension sentences, drawn until ``missing`` are there."""
+def shuffled_pool(pool: Column, d: Draws) -> Column:
+    """The pool in a seeded order of the row."""
+    placed = F.transform(pool, lambda x, i: F.struct(
+        d("shuffle", i).alias("drawn"), i.alias("at"), x.alias("value")))
+    return F.transform(F.array_sort(placed), lambda x: x["value"])
+
+
+def extension_words(pool: Column, d: Draws, missing: Column, use_up: bool = False) -> Column:
+    """Words of whole extension sentences, drawn until ``missing`` are there.
+
+    With ``use_up`` the pool is walked in a seeded order first; draws follow when it
+    is at its end.
+    """
     start = F.array().cast("array<string>")
-    return F.aggregate(
-        _steps(missing), start,
-        lambda acc, i: F.when(F.size(acc) < missing, F.concat(
-            acc, F.coalesce(words(pick(d("extension", i), pool)), start))).otherwise(acc))
+
+    def walk(order: Column | None) -> Column:
+        def sentence(i: Column) -> Column:
+            drawn = pick(d("extension", i), pool)
+            if order is None:
+                return drawn
+            return F.when(i < F.size(order), F.get(order, i.cast("int"))).otherwise(drawn)
+
+        return F.aggregate(
+            _steps(missing), start,
+            lambda acc, i: F.when(F.size(acc) < missing, F.concat(
+                acc, F.coalesce(words(sentence(i)), start))).otherwise(acc))
+
+    return bind(shuffled_pool(pool, d), walk) if use_up else walk(None)
 
 
 def render(template: Column, fills: Mapping[str, Column], pools: Mapping[str, Column], d: Draws,

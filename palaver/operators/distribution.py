@@ -9,6 +9,7 @@ is NULL are a group of their own.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,6 +25,12 @@ TURN_BUCKETS = (
     ("very_long (31+)", 30, None),
 )
 
+#: Distinct values up to which a bucket is ranked as it is, parts into which a larger
+#: one is cut, and how often.
+LARGE_BUCKET = 4096
+SPLITS = 1 << 14
+ROUNDS = 2
+
 
 def value_counts(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """``(keys, metric, value, n)`` for several numeric columns in one shuffle.
@@ -50,37 +57,90 @@ def _magnitude_bucket(value: Column) -> Column:
     return F.coalesce(F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(512.0)), F.lit(0.0))
 
 
+def _bucket_facts(work: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows, cells (an upper bound of distinct values) and range of every bucket."""
+    return work.groupBy(*by).agg(
+        F.sum("n").alias("_nb"), F.count(F.lit(1)).alias("_cells"),
+        F.min("value").alias("_min"), F.max("value").alias("_max"))
+
+
 def _ranked_buckets(work: DataFrame, keys: Sequence[str],
                     probabilities: Sequence[float]) -> DataFrame:
-    """Magnitude buckets that hold a wanted rank, with the ranks they hold."""
+    """Magnitude buckets that hold a wanted rank, with the ranks they hold (``_probes``)."""
     keys = list(keys)
-    per_bucket = work.groupBy(*keys, "_bkt").agg(F.sum("n").alias("_nb"))
-    along = Window.partitionBy(*keys).orderBy("_bkt")
-    ranked = per_bucket.select(
-        *keys, "_bkt", "_nb",
-        F.coalesce(F.sum("_nb").over(along.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"),
+    along = Window.partitionBy(*keys).orderBy("_b0")
+    ranked = _bucket_facts(work, [*keys, "_b0"]).select(
+        "*", F.coalesce(F.sum("_nb").over(along.rowsBetween(Window.unboundedPreceding, -1)),
+                        F.lit(0)).alias("_before"),
         F.sum("_nb").over(along.rowsBetween(Window.unboundedPreceding,
                                             Window.unboundedFollowing)).alias("_total"))
-    return (
-        ranked.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("_pos", (F.col("_total") - 1) * F.col("p"))
-        .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
-        .filter((F.col("_before") <= F.col("_hi"))
-                & (F.col("_before") + F.col("_nb") > F.col("_lo")))
-        .groupBy(*keys, "_bkt", "_before")
-        .agg(F.collect_list(F.struct("p", "_pos", "_lo", "_hi")).alias("_probes")))
-
-
-def _pick(work: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rank the distinct values inside the wanted buckets and interpolate."""
-    keys = list(keys)
-    inside = Window.partitionBy(*keys, "_bkt").orderBy("value").rowsBetween(
+    probes = F.transform(F.array(*[F.lit(float(p)) for p in probabilities]), lambda p: F.struct(
+        p.alias("p"), ((F.col("_total") - 1) * p).alias("_pos"),
+        F.floor((F.col("_total") - 1) * p).alias("_lo"),
+        F.ceil((F.col("_total") - 1) * p).alias("_hi")))
+    return _holding(ranked.withColumn("_probes", probes), [*keys, "_b0"])
+
+
+def _holding(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Buckets that hold a rank of ``_probes``, with these only."""
+    first, end = F.col("_before"), F.col("_before") + F.col("_nb")
+    held = F.filter("_probes", lambda x: (x["_hi"] >= first) & (x["_lo"] < end))
+    return (ranked.select(*by, "_before", "_cells", "_min", "_max", held.alias("_probes"))
+            .filter(F.size("_probes") > 0))
+
+
+def _split(work: DataFrame, wide: DataFrame, keys: Sequence[str], name: str
+           ) -> tuple[DataFrame, DataFrame]:
+    """Cells of ``wide`` buckets with their part of the bucket's range, and the wanted parts.
+
+    A bucket's own minimum and maximum are cut into ``SPLITS`` equal parts.
+    """
+    bounds = wide.select(*keys, F.col("_min").alias("_from"), F.col("_max").alias("_to"))
+    part = F.least(F.lit(SPLITS - 1), F.floor(
+        (F.col("value") - F.col("_from")) / (F.col("_to") - F.col("_from")) * SPLITS))
+    inside = (join_groups(work, bounds, keys).withColumn(name, part.cast("bigint"))
+              .drop("_from", "_to"))
+    earlier = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    facts = _bucket_facts(inside, [*keys, name]).withColumn(
+        "_earlier", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)))
+    ranked = join_groups(facts, wide.select(*keys, "_before", "_probes"), keys)
+    ranked = ranked.withColumn("_before", F.col("_before") + F.col("_earlier"))
+    return inside, _holding(ranked, [*keys, name])
+
+
+def _cells(work: DataFrame, wanted: DataFrame, keys: Sequence[str], by: Sequence[str],
+           rows: bool) -> DataFrame:
+    """Distinct values of the wanted buckets with the ranks they cover, once for each probe."""
+    if rows:
+        work = (join_groups(work, wanted.select(*by), by, "left_semi")
+                .groupBy(*by, "value").agg(F.sum("n").alias("n")))
+    inside = Window.partitionBy(*by).orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cells = (join_groups(work, wanted, [*keys, "_bkt"])
-             .withColumn("_end", F.col("_before") + F.sum("n").over(inside))
-             .withColumn("_start", F.col("_end") - F.col("n"))
-             .select(*keys, "value", "_start", "_end", F.inline("_probes")))
+    return (join_groups(work, wanted.select(*by, "_before", "_probes"), by)
+            .withColumn("_end", F.col("_before") + F.sum("n").over(inside))
+            .withColumn("_start", F.col("_end") - F.col("n"))
+            .select(*keys, "value", "_start", "_end", F.inline("_probes")))
+
+
+def _exact(work: DataFrame, keys: Sequence[str], probabilities: Sequence[float],
+           rows: bool) -> DataFrame:
+    """Locate the wanted ranks by ranges that get narrower, then rank what is in them.
+
+    A bucket of more than ``LARGE_BUCKET`` cells is cut again by its own range, up to
+    ``ROUNDS`` times.  A magnitude bucket has 2 ** 43 doubles at most (those nearest to
+    zero apart), so 2 ** 15 distinct values are ranked in one task at most.
+    """
+    keys, by = list(keys), [*keys, "_b0"]
+    work = work.withColumn("_b0", _magnitude_bucket(F.col("value")))
+    located = _ranked_buckets(work, keys, probabilities)
+    found = []
+    large = (F.col("_cells") > LARGE_BUCKET) & (F.col("_min") < F.col("_max"))
+    for number in range(1, ROUNDS + 1):
+        found.append(_cells(work, located.filter(~large), keys, by, rows))
+        work, located = _split(work, located.filter(large), by, f"_b{number}")
+        by = [*by, f"_b{number}"]
+    found.append(_cells(work, located, keys, by, rows))
+    cells = reduce(DataFrame.union, found)
 
     def at(rank: str) -> Column:
         return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end")),
@@ -96,13 +156,8 @@ def _pick(work: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def quantiles(counts: DataFrame, keys: Sequence[str],
               probabilities: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles of value counts: ``(keys, p, value)``.
-
-    First finds the magnitude bucket that holds each wanted rank from bucket
-    totals, then ranks values inside those buckets only.
-    """
-    work = counts.withColumn("_bkt", _magnitude_bucket(F.col("value")))
-    return _pick(work, _ranked_buckets(work, keys, probabilities), keys)
+    """Exact linear-interpolated quantiles of value counts: ``(keys, p, value)``."""
+    return _exact(counts, keys, probabilities, rows=False)
 
 
 def row_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
@@ -110,15 +165,10 @@ def row_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     """The same for columns with hardly any repeated values.
 
     Value counts of such a column are as large as the column.  Here the rows
-    are read twice and only those in a wanted bucket are shuffled.
+    are read again for each narrower range and only those in a wanted one are shuffled.
     """
-    by = [*keys, "metric"]
-    rows = (_long(df, keys, metrics).withColumn("n", F.lit(1).cast("bigint"))
-            .withColumn("_bkt", _magnitude_bucket(F.col("value"))))
-    wanted = _ranked_buckets(rows, by, probabilities)
-    hits = (join_groups(rows, wanted.select(*by, "_bkt"), [*by, "_bkt"], "left_semi")
-            .groupBy(*by, "_bkt", "value").agg(F.sum("n").alias("n")))
-    return _pick(hits, wanted, by)
+    rows = _long(df, keys, metrics).withColumn("n", F.lit(1).cast("bigint"))
+    return _exact(rows, [*keys, "metric"], probabilities, rows=True)
 
 
 def medians(counts: DataFrame, keys: Sequence[str], name: str = "median") -> DataFrame:

@@ -4,8 +4,8 @@ A session, a fine-tuning record and a stored conversation are one row for each
 conversation, so its messages meet in one array whatever their number.  A trace
 row carries the whole context up to its message.  Traces are built per
 ``(conversation, part)`` of ``PART_SIZE`` turn positions, which spreads a huge
-conversation over tasks; the arrays of earlier parts are then put before the
-part's own.  :func:`trace_index` is the linear form for when copied text is not
+conversation over tasks: a part's messages are gathered once, contexts are cut from
+them where one is wanted, and the messages of earlier parts are put before.  :func:`trace_index` is the linear form for when copied text is not
 wanted.
 """
 
@@ -60,29 +60,33 @@ def _scan_with_text(messages: DataFrame, part_size: int) -> DataFrame:
     return context_scan(messages.select(KEY, "turn", "role", "text"), part_size, buckets="_parts")
 
 
-def _earlier_parts(scanned: DataFrame) -> DataFrame:
-    """``(conv_id, _bkt, _earlier)``: messages of all parts before a later part.
+def _contexts(rows: DataFrame, wanted: Column, is_message: Column | None = None) -> DataFrame:
+    """A row for each ``wanted`` struct, with ``messages`` up to and including its position.
 
-    Conversations of one part, the usual ones, leave before anything is shuffled.
+    ``rows`` are scanned messages.  ``wanted`` is NULL for rows that end no context; its
+    first field is ``position``.  Rows that fail ``is_message`` only want a context.
+    A part's messages are gathered once, and contexts are cut from them for wanted
+    positions alone; the messages of earlier parts are put before them.
     """
-    long = scanned.filter(F.col("_parts") > 1)
-    entry = F.struct("turn", "role", F.col("text").alias("content"))
-    parts = long.groupBy(KEY, "_bkt").agg(_in_turn_order(entry).alias("m"))
+    entry = F.struct("position", "role", F.col("text").alias("content"))
+    if is_message is not None:
+        entry = F.when(is_message, entry)
+
+    def gathered(part: DataFrame) -> DataFrame:
+        whole = part.groupBy(KEY, "_bkt").agg(_in_turn_order(entry).alias("m"),
+                                              F.collect_list(wanted).alias("_w"))
+        return whole.select(KEY, "_bkt", F.get("m", F.lit(0))["position"].alias("_first"),
+                            _role_content(F.col("m")).alias("_m"), "_w")
+
+    none = F.array().cast("array<struct<role:string,content:string>>")
+    short = gathered(rows.filter(F.col("_parts") == 1)).withColumn("_earlier", none)
     before = Window.partitionBy(KEY).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select(KEY, "_bkt", _role_content(F.flatten(F.collect_list("m").over(before)))
-                        .alias("_earlier"))
-
-
-def _with_prefix(scanned: DataFrame) -> DataFrame:
-    """``messages``: all messages of the conversation up to and including each row."""
-    upto = Window.partitionBy(KEY, "_bkt").orderBy("turn").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    entry = F.struct("role", F.col("text").alias("content"))
-    local = scanned.withColumn("_own", F.collect_list(entry).over(upto))
-    whole = F.when(F.col("_earlier").isNull(), F.col("_own")).otherwise(
-        F.concat("_earlier", "_own"))
-    return (local.join(_earlier_parts(scanned), [KEY, "_bkt"], "left")
-            .withColumn("messages", whole).drop("_own", "_earlier"))
+    long = gathered(rows.filter(F.col("_parts") > 1)).withColumn(
+        "_earlier", F.flatten(F.collect_list("_m").over(before)))
+    each = short.union(long).select(KEY, "_first", "_m", "_earlier", F.explode("_w").alias("_w"))
+    own = F.slice("_m", F.lit(1), (F.col("_w.position") - F.col("_first") + 1).cast("int"))
+    return each.select(KEY, "_w.*", F.when(F.size("_earlier") == 0, own).otherwise(
+        F.concat("_earlier", own)).alias("messages"))
 
 
 def _delay() -> Column:
@@ -92,10 +96,11 @@ def _delay() -> Column:
 
 def trace(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """One row per assistant message with the context up to it."""
-    rows = _with_prefix(_scan_with_text(messages, part_size)).filter(is_role("assistant"))
-    return rows.select(F.col(KEY).alias("session_id"), "turn",
-                       "messages", output_tokens(F.col("text")).alias("output_length"),
-                       _delay().alias("delay"))
+    reply = F.when(is_role("assistant"), F.struct(
+        "position", "turn", output_tokens(F.col("text")).alias("output_length"),
+        _delay().alias("delay")))
+    return _contexts(_scan_with_text(messages, part_size), reply).select(
+        F.col(KEY).alias("session_id"), "turn", "messages", "output_length", "delay")
 
 
 def trace_index(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
@@ -115,10 +120,10 @@ def trace_index(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
 
 def word_trace(messages: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Pair-based trace: contexts end at every second message, length in words."""
-    rows = _with_prefix(_scan_with_text(messages, part_size))
-    ends = rows.filter((F.col("position") >= 3) & (F.col("position") % 2 == 1))
-    return ends.select(F.col(KEY).alias("session_id"), "turn", "messages",
-                       word_count(F.col("text")).alias("output_length"))
+    end = F.when((F.col("position") >= 3) & (F.col("position") % 2 == 1), F.struct(
+        "position", "turn", word_count(F.col("text")).alias("output_length")))
+    return _contexts(_scan_with_text(messages, part_size), end).select(
+        F.col(KEY).alias("session_id"), "turn", "messages", "output_length")
 
 
 def mixed_trace(messages: DataFrame, granularity: str | Column = "turn",
@@ -136,17 +141,17 @@ def mixed_trace(messages: DataFrame, granularity: str | Column = "turn",
                            buckets="_parts")
     # entry_no is 1-based: entry i = entry_no - 1 covers 2 * i + 3 messages.
     entry_no = F.when(F.col("_by_turn"), F.col("reply_no")).otherwise(F.col("position"))
-    wanted = scanned.filter(~F.col("_by_turn") | is_role("assistant")).select(
+    entries = scanned.filter(~F.col("_by_turn") | is_role("assistant")).select(
         F.col(KEY), entry_no.alias("entry"),
         F.least(F.col("num_messages"), entry_no * 2 + 1).alias("position"),
         F.col("cum_chars").alias("output_length"))
-    # Entries that end at the same message share one context.
-    ends = wanted.groupBy(KEY, "position").agg(
-        F.collect_list(F.struct("entry", "output_length")).alias("_entries"))
-    contexts = _with_prefix(scanned).select(KEY, "position", "messages")
-    return contexts.join(ends, [KEY, "position"]).select(
-        F.col(KEY).alias("session_id"), "messages", F.inline("_entries")).select(
-        "session_id", "entry", "messages", "output_length")
+    # Lean rows find the part in which their context ends.
+    placed = entries.join(scanned.select(KEY, "position", "_bkt", "_parts"), [KEY, "position"])
+    rows = scanned.select(KEY, "_bkt", "_parts", "position", "role", "text").unionByName(
+        placed, allowMissingColumns=True)
+    end = F.when(F.col("entry").isNotNull(), F.struct("position", "entry", "output_length"))
+    return _contexts(rows, end, F.col("entry").isNull()).select(
+        F.col(KEY).alias("session_id"), "entry", "messages", "output_length")
 
 
 def replay_trace(messages: DataFrame, default_length: int = 100, nested: bool = True,
@@ -156,12 +161,16 @@ def replay_trace(messages: DataFrame, default_length: int = 100, nested: bool =
         rows = _scan_with_text(messages, part_size)
     else:
         rows = messages.select(KEY, "turn", "role", chars(F.col("text")).alias("n_chars"))
-    ahead = neighbour(rows, [KEY], turn_bucket("turn", part_size), ["turn"],
-                      {"next_role": "role", "next_chars": "text" if nested else "n_chars"})
+    # Only the length of the next message is wanted, so its text stays where it is.
     if nested:
-        ahead = _with_prefix(ahead.withColumn("next_chars", chars(F.col("next_chars"))))
+        rows = rows.withColumn("n_chars", chars(F.col("text")))
+    ahead = neighbour(rows, [KEY], turn_bucket("turn", part_size), ["turn"],
+                      {"next_role": "role", "next_chars": "n_chars"})
     length = F.when(F.col("next_role") == "assistant", F.col("next_chars")).otherwise(
         F.lit(default_length)).cast("bigint")
+    if nested:
+        ahead = _contexts(ahead, F.struct("position", "turn", length.alias("output_length")))
+        length = F.col("output_length")
     shown = ["messages"] if nested else []
     return ahead.select(F.col(KEY).alias("session_id"), "turn", *shown,
                         length.alias("output_length"))
@@ -187,12 +196,13 @@ def replay_split(messages: DataFrame, by_role: bool = True,
                    F.struct(F.col("next_role").alias("role"),
                             F.col("next_text").alias("content")))
     new_turn = F.filter(pair, lambda m: m["role"].isNotNull())
+    start = F.when(starts, F.struct(
+        "position", "turn", before.alias("prefix_messages"),
+        (F.col("cum_chars") - chars(F.col("text"))).alias("prefix_chars"), new_turn.alias("new_turn")))
     # The exchange starts after the prefix, which therefore lacks the last message.
-    prefix = F.slice("messages", 1, before.cast("int"))
-    return _with_prefix(ahead).filter(starts).select(
-        F.col(KEY).alias("session_id"), "turn", before.alias("prefix_messages"),
-        (F.col("cum_chars") - chars(F.col("text"))).alias("prefix_chars"),
-        prefix.alias("prefix"), new_turn.alias("new_turn"))
+    return _contexts(ahead, start).select(
+        F.col(KEY).alias("session_id"), "turn", "prefix_messages", "prefix_chars",
+        F.slice("messages", F.lit(1), F.col("prefix_messages").cast("int")).alias("prefix"), "new_turn")
 
 
 def fine_tuning(messages: DataFrame) -> DataFrame:

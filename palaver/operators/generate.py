@@ -127,13 +127,15 @@ def pick_from_table(rows: DataFrame, pool: DataFrame, pool_id: str, drawn: Colum
     numbered = hash_rank(pool.withColumn("_pd", draw(seed, "pool", F.col(pool_id))),
                          by, "_pd", [pool_id], "_no").drop("_pd")
     if by:
-        sizes = pool.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-        sized = rows.join(sizes, by)
-        size = F.col("_size")
+        # Groups are few (kinds, topics), so their sizes are one value, not a join on few keys.
+        group = F.struct(*by)
+        sizes = pool.dropna(subset=by).groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n"))
+        held = sizes.agg(F.map_from_entries(F.collect_list(F.struct("g", "n")))).scalar()
+        size = F.try_element_at(held, group)
     else:
-        sized, size = rows, pool.agg(F.count(F.lit(1))).scalar()
-    wanted = sized.withColumn("_no", F.pmod(drawn, size) + 1)
-    return wanted.join(numbered, [*by, "_no"]).drop("_no", "_size")
+        size = pool.agg(F.count(F.lit(1))).scalar()
+    wanted = rows.withColumn("_no", F.pmod(drawn, size) + 1)
+    return wanted.join(numbered, [*by, "_no"]).drop("_no")
 
 
 def by_turn_kind(turns: DataFrame) -> DataFrame:
@@ -142,10 +144,14 @@ def by_turn_kind(turns: DataFrame) -> DataFrame:
 
 
 def sized_reply(text: Column, target: Column, extensions: Column, d: Draws,
-                pad_then_trim: bool = False) -> Column:
-    """A reply brought to its target length with drawn extension sentences."""
+                pad_then_trim: bool = False, use_up: bool = False) -> Column:
+    """A reply brought to its target length with drawn extension sentences.
+
+    With ``use_up`` every extension is used once, in a seeded order, before any is
+    drawn again.
+    """
     missing = F.greatest(F.lit(0).cast("bigint"), target - F.size(words(text)))
-    return fit_words(text, extension_words(extensions, d, missing), target, pad_then_trim)
+    return fit_words(text, extension_words(extensions, d, missing, use_up), target, pad_then_trim)
 
 
 def chat_messages(turns: DataFrame, system_prompt: Column, user_text: Column,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -160,3 +160,37 @@ def first_and_last(messages: DataFrame, width: int = 100) -> DataFrame:
     return lean.groupBy(KEY).agg(
         F.min_by("role", "turn").alias("first_role"), F.min_by("text", "turn").alias("first_text"),
         F.max_by("role", "turn").alias("last_role"), F.max_by("text", "turn").alias("last_text"))
+
+
+# What a sample row shows besides its sizes, by family.
+SAMPLE_FIELDS = {
+    "text": ("topic",), "reasoning": ("topic",),
+    "pdf": ("paper_title", "paper_arxiv_id", "conversation_type"),
+    "image": ("image_topic", "conversation_type"),
+    "agentic": ("task_type", "success_score", "num_tool_calls", "num_errors"),
+}
+SAMPLE_SIZES = ("num_turns", "num_messages", "total_characters", "estimated_tokens")
+
+
+def family_fields(columns: Sequence[str], kind: Column) -> Column:
+    """The fields of a row's family as JSON text; NULL for families without any.
+
+    Columns that the table lacks and fields without a value are left out; scores have
+    two decimals.
+    """
+    out = F.lit(None).cast("string")
+    for family, names in SAMPLE_FIELDS.items():
+        shown = [(F.format_string("%.2f", F.col(n)) if n == "success_score" else F.col(n)).alias(n)
+                 for n in names if n in columns]
+        if shown:
+            out = F.when(kind == family, F.to_json(F.struct(*shown))).otherwise(out)
+    return out
+
+
+def sample_rows(conversations: DataFrame, messages: DataFrame, kind: Column,
+                width: int = 100) -> DataFrame:
+    """Rows for display: id, family fields, sizes, first and last message cut to ``width``."""
+    rows = conversations.select(KEY, kind.alias("family"),
+                                family_fields(conversations.columns, kind).alias("fields"),
+                                *[c for c in SAMPLE_SIZES if c in conversations.columns])
+    return rows.join(first_and_last(messages, width), KEY)

@@ -2,50 +2,78 @@
 
 Rows are ordered by a seeded draw over their id.  An exact sample is then all
 rows up to a cut-off: bucket counts locate the bucket in which the wanted rank
-falls, only that bucket is ranked, and the rows themselves are filtered where
-they lie - they are not shuffled.
+falls, bucket within bucket until few rows are left to rank, and the rows
+themselves are filtered where they lie - they are not shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from palaver.functions.draws import draw
 from palaver.operators.payload import additive_inputs, score_columns
-from palaver.operators.scan import hash_bucket, join_groups, prefix_sums
+from palaver.operators.scan import HASH_BITS, hash_bucket, join_groups, prefix_sums
 
 MIN_BALANCED_ROWS = 10
+#: Rows up to which an edge is ranked as it is.
+EDGE_ROWS = 4096
+
+
+def _digits(bits: int) -> list[tuple[int, int]]:
+    """Shift and width of the digits of a 32-bit draw, leading ones first."""
+    ends = [min(32, (k + 1) * bits) for k in range(-(-32 // bits))]
+    return [(32 - end, end - k * bits) for k, end in enumerate(ends)]
 
 
 def sample_cutoffs(df: DataFrame, ids: Sequence[str], seed: int, by: Sequence[str] = (),
                    n: int | None = None, quotas: DataFrame | None = None,
-                   salt: str = "sample") -> DataFrame:
+                   salt: str = "sample", bits: int = HASH_BITS) -> DataFrame:
     """``(by..., cut)``: the last kept ``(draw, ids)`` of every stratum.
 
     Strata with fewer rows than wanted have no row here; they are kept whole.
     ``quotas`` holds ``by`` columns and ``quota``; otherwise every stratum
     gets ``n``.
+
+    The rank is found digit by digit: a stratum is counted by the leading ``bits``
+    of the draw, and as long as the digit that holds the rank has more than ``EDGE_ROWS``
+    rows, these are counted by the next digit.  Ranked are the rows left then, at most
+    ``EDGE_ROWS`` or those of one draw: a 4,000-millionth of the stratum.
     """
     by = list(by)
     rows = df.select(*by, *ids, draw(seed, salt, *[F.col(i) for i in ids]).alias("_d"))
-    rows = rows.withColumn("_bkt", hash_bucket("_d"))
-    counts = rows.groupBy(*by, "_bkt").agg(F.count(F.lit(1)).alias("_nb"))
-    along = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("_before", F.coalesce(F.sum("_nb").over(along), F.lit(0)))
     if quotas is not None:
-        placed = join_groups(placed, quotas.select(*by, F.col("quota").alias("_q")), by)
+        wanted = quotas.select(*by, F.col("quota").alias("_left"))
     else:
-        placed = placed.withColumn("_q", F.lit(n).cast("bigint"))
-    edge = (placed.filter((F.col("_before") < F.col("_q"))
-                          & (F.col("_before") + F.col("_nb") >= F.col("_q")))
-            .select(*by, "_bkt", (F.col("_q") - F.col("_before")).alias("_left")))
-    inside = Window.partitionBy(*by, "_bkt").orderBy("_d", *ids)
-    return (join_groups(rows, edge, [*by, "_bkt"])
-            .withColumn("_rn", F.row_number().over(inside))
-            .filter(F.col("_rn") == F.col("_left"))
-            .select(*by, F.struct("_d", *ids).alias("cut")))
+        wanted = None
+    digits, path, cuts = _digits(bits), list(by), []
+    for level, (shift, width) in enumerate(digits):
+        digit = f"_b{level}"
+        if level:
+            rows = join_groups(rows, wanted.select(*path), path)
+        rows = rows.withColumn(digit, F.pmod(F.shiftright("_d", shift), F.lit(1 << width)))
+        counts = rows.groupBy(*path, digit).agg(F.count(F.lit(1)).alias("_nb"))
+        along = Window.partitionBy(*path).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("_before", F.coalesce(F.sum("_nb").over(along), F.lit(0)))
+        if wanted is None:
+            placed = placed.withColumn("_left", F.lit(n).cast("bigint"))
+        else:
+            placed = join_groups(placed, wanted.select(*path, "_left"), path)
+        path = [*path, digit]
+        edge = (placed.filter((F.col("_before") < F.col("_left"))
+                              & (F.col("_before") + F.col("_nb") >= F.col("_left")))
+                .select(*path, "_nb", (F.col("_left") - F.col("_before")).alias("_left")))
+        last = level == len(digits) - 1
+        near = edge if last else edge.filter(F.col("_nb") <= EDGE_ROWS)
+        inside = Window.partitionBy(*path).orderBy("_d", *ids)
+        cuts.append(join_groups(rows, near, path)
+                    .withColumn("_rn", F.row_number().over(inside))
+                    .filter(F.col("_rn") == F.col("_left"))
+                    .select(*by, F.struct("_d", *ids).alias("cut")))
+        wanted = edge.filter(F.col("_nb") > EDGE_ROWS)
+    return reduce(DataFrame.union, cuts)
 
 
 def exact_sample(df: DataFrame, n: int, ids: Sequence[str], seed: int,
@@ -78,11 +106,6 @@ def stratified_sample(df: DataFrame, by: str, ids: Sequence[str], seed: int,
     return joined.filter(F.col("cut").isNull() | (here <= F.col("cut"))).drop("cut")
 
 
-def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in an explicit order."""
-    return df.orderBy(*order).limit(n)
-
-
 def shuffled(df: DataFrame, seed: int, ids: Sequence[str], salt: str = "order") -> DataFrame:
     """Rows in a seeded order (a range-partitioned sort)."""
     return df.orderBy(draw(seed, salt, *[F.col(i) for i in ids]), *ids)

@@ -70,13 +70,11 @@ def dataset_tags(conversations: DataFrame, key: str = "dataset_type",
 
 
 def tag_index(tagged: DataFrame, key: str = "dataset_type") -> DataFrame:
-    """Tag with its dataset count and dataset list, most used first.
-
-    The input has one row per dataset, so a list is as long as the catalogue.
-    """
-    return (tagged.select(key, F.explode("all_tags").alias("tag")).groupBy("tag").agg(
-        F.count(F.lit(1)).alias("datasets"), F.array_sort(F.collect_list(key)).alias("members"))
-        .orderBy(F.desc("datasets"), "tag"))
+    """A row for each tag and dataset with the tag's number of datasets, most used first."""
+    members = tagged.select(F.explode("all_tags").alias("tag"), F.col(key).alias("member"))
+    used = members.groupBy("tag").agg(F.count(F.lit(1)).alias("datasets"))
+    return members.join(used, "tag").select("tag", "datasets", "member").orderBy(
+        F.desc("datasets"), "tag", "member")
 
 
 def with_all_tags(tagged: DataFrame, required: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palaver.operators.assemble import profile_input
 from palaver.plans.manifest import build_manifests
-from palaver.sources.readers import list_files, read_all_datasets
+from palaver.sources.readers import find_datasets, list_files, read_all_datasets
 
 FAMILIES = ("text", "reasoning", "random", "repeat", "pdf", "image", "agentic", "mixed")
 
@@ -26,38 +26,49 @@ def dataset_family(key: Column, families: Mapping[str, str] | None = None) -> Co
     return out
 
 
-def exports_of(files: list[str], dataset: str) -> dict[str, str]:
-    """The dataset and files beside it whose names begin with its name, by kind."""
-    folder, _, name = dataset.rpartition("/")
-    stem = name.removesuffix(".parquet")
-    found = {"parquet": name}
-    for path in sorted(files):
-        where, _, other = path.rpartition("/")
-        if where == folder and other != name and other.startswith(stem):
-            found[other[len(stem):].strip("_.").replace(".", "_")] = other
-    return found
+def exports_of(files: DataFrame, datasets: DataFrame) -> DataFrame:
+    """``dataset_file, output_files``: each dataset and what lies beside it, by kind.
+
+    Beside a dataset are files and directories of its folder whose names begin with
+    its name; the rest of the name is the kind.  ``files`` has ``below``, the paths of all
+    files.
+    """
+    parts = F.split("below", "/")
+    # A directory is an export as a whole, so every leading part of a path counts.
+    leading = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(
+        F.array_join(F.slice(parts, F.lit(1), k - 1), "/").alias("folder"),
+        F.element_at(parts, k).alias("other")))
+    beside = files.select(F.inline(leading)).distinct()
+    name = F.element_at(F.split("dataset_file", "/"), -1)
+    named = datasets.select(
+        "dataset_file", name.alias("name"),
+        F.array_join(F.slice(F.split("dataset_file", "/"), F.lit(1), F.size(F.split("dataset_file", "/")) - 1),
+                     "/").alias("folder"),
+        F.regexp_replace(name, r"\.parquet$", "").alias("stem"))
+    found = (named.join(beside, "folder").filter(F.startswith("other", "stem"))
+             .withColumn("kind", F.when(F.col("other") == F.col("name"), "parquet").otherwise(F.replace(
+                 F.regexp_replace(F.substr("other", F.length("stem") + 1), r"^[_.]+|[_.]+$", ""),
+                 F.lit("."), F.lit("_")))))
+    return found.groupBy("dataset_file").agg(F.map_from_entries(F.array_sort(F.collect_set(
+        F.struct("kind", "other")))).alias("output_files"))
 
 
 def regenerate_manifests(spark: SparkSession, root: str, seed: int = 42,
                          families: Mapping[str, str] | None = None, **options
-                         ) -> tuple[DataFrame, list[str]]:
+                         ) -> tuple[DataFrame, DataFrame]:
     """A manifest row for each dataset below ``root``, and the datasets left out.
 
     All datasets are read in one job and grouped by their path; one with an
-    unreadable file is left out and named.
+    unreadable file is left out and named.  Datasets, exports and broken files are
+    tables joined by the dataset, so the plan is the same for any number of them.
     """
     rows, broken = read_all_datasets(spark, root)
-    key = F.col("dataset_file")
-    base = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
-    below = [r.path.split(base, 1)[-1] for r in list_files(spark, root).toLocalIterator()]
-    # A directory is an export as a whole, so every leading part of a path counts.
-    top = {"/".join(p.split("/")[:k + 1]) for p in below for k in range(p.count("/") + 1)}
-    listed = rows.select("dataset_file").distinct()
-    outputs = F.create_map().cast("map<string,string>")
-    for name in sorted(r.dataset_file for r in listed.toLocalIterator()):
-        pairs = [F.lit(x) for pair in exports_of(sorted(top), name).items() for x in pair]
-        outputs = F.when(key == name, F.create_map(*pairs)).otherwise(outputs)
     manifests = build_manifests(profile_input(rows), "dataset_file", seed,
-                                kind=dataset_family(key, families), output_files=outputs,
+                                kind=dataset_family(F.col("dataset_file"), families),
                                 keep_key=True, **options)
-    return manifests, broken
+    base = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
+    below = F.substr("path", F.instr("path", base) + F.lit(len(base)))
+    files = list_files(spark, root).select(below.alias("below"))
+    outputs = exports_of(files, find_datasets(spark, root).select("dataset_file").distinct())
+    found = manifests.drop("output_files").join(outputs, "dataset_file", "left")
+    return found.select(manifests.columns), broken

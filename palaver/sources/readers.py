@@ -5,17 +5,19 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from py4j.protocol import Py4JError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from palaver.operators.assemble import profile_input
 from palaver.operators.mix import SOURCE
+from palaver.operators.order import first_rows
 from palaver.operators.sampling import exact_sample
 from palaver.plans.manifest import build_manifests
 from palaver.sources import schemas
 
+#: No Parquet file of conversations without rows is longer.
+FOOTER_BYTES = 1 << 16
 
 def read_dataset(spark: SparkSession, path: str, family: str, columns: Sequence[str] | None = None,
                  sample_size: int | None = None, seed: int = 42) -> DataFrame:
@@ -36,9 +38,9 @@ def read_traces(spark: SparkSession, path: str) -> DataFrame:
 
 def read_metadata(spark: SparkSession, path: str, schema: str, order: Sequence[str],
                   count: int | None = None) -> DataFrame:
-    """Source metadata (a JSON array file), cut to ``count`` in a given order."""
+    """Source metadata (a JSON array file), cut to the first ``count`` of a given order."""
     df = spark.read.schema(schema).option("multiLine", True).json(path)
-    return df.orderBy(*order).limit(count) if count is not None else df
+    return first_rows(df, count, order) if count is not None else df
 
 
 def read_sources(spark: SparkSession, sources: Sequence[Mapping[str, object]]) -> dict[str, DataFrame]:
@@ -102,35 +104,70 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def find_datasets(spark: SparkSession, root: str, pattern: str = "*.parquet",
-                  skip: str = "trace") -> list[str]:
-    """Datasets below ``root`` by their path there, derived exports left out."""
-    keys = list_files(spark, root, pattern).select(
-        dataset_key(F.col("path"), root).alias("key")).distinct()
-    return sorted(r.key for r in keys.toLocalIterator()
-                  if r.key and skip not in r.key.rsplit("/", 1)[-1])
+                  skip: str = "trace") -> DataFrame:
+    """``dataset_file, path`` of every file of the datasets below ``root``.
 
+    ``dataset_file`` is a dataset's path there; derived exports are left out.
+    """
+    files = list_files(spark, root, pattern).withColumn(
+        "dataset_file", dataset_key(F.col("path"), root))
+    return files.filter(_is_dataset(F.col("dataset_file"), skip)).select("dataset_file", "path")
 
-def readable(spark: SparkSession, path: str) -> bool:
-    """Whether all files of a dataset can be opened; only their footers are read."""
-    try:
-        spark.read.option("ignoreCorruptFiles", False).parquet(path).count()
-    except (AnalysisException, PySparkException, Py4JError):
-        return False
-    return True
+
+def _is_dataset(key: Column, skip: str) -> Column:
+    name = F.element_at(F.split(key, "/"), -1)
+    return (key != "") & ~F.contains(name, F.lit(skip))
+
+
+def _stored_rows(spark: SparkSession, root: str, pattern: str, skip: str) -> DataFrame:
+    """Rows of all datasets with ``dataset_file`` and ``path``; what cannot be read is passed over."""
+    reader = (spark.read.schema(schemas.family_schema("mixed")).option("recursiveFileLookup", True)
+              .option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True))
+    path = F.col("_metadata.file_path")
+    rows = reader.parquet(root).withColumns({"dataset_file": dataset_key(path, root), "path": path})
+    return rows.filter(_is_dataset(F.col("dataset_file"), skip))
+
+
+def _closed_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """``path`` of small files with both marks of a Parquet file: those without rows are such.
+
+    The bound on the length reaches the listing, so no larger file is opened.
+    """
+    mark = F.lit("PAR1").cast("binary")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", pattern).load(root).filter(F.col("length") <= FOOTER_BYTES)
+            .filter(F.startswith("content", mark) & F.endswith("content", mark)
+                    & (F.col("length") > 12)).select("path", F.lit(True).alias("closed")))
+
+
+def broken_datasets(spark: SparkSession, root: str, pattern: str = "*.parquet",
+                    skip: str = "trace") -> DataFrame:
+    """``dataset_file, broken_files`` of the datasets that cannot be read as a whole.
+
+    A file is whole if it can be opened and as many rows can be decoded as its
+    footer states: counting rows without columns reads footers only, counting them by
+    a hash of all columns reads every page.  A file without rows needs its marks.  Each is
+    one aggregate over all files, so the plan is the same for any number of datasets.
+    """
+    rows = _stored_rows(spark, root, pattern, skip)
+    columns = [c for c in rows.columns if c not in ("dataset_file", "path")]
+    stated = rows.groupBy("path").agg(F.count(F.lit(1)).alias("stated"))
+    decoded = rows.groupBy("path").agg(F.count(F.xxhash64(*columns)).alias("decoded"))
+    whole = F.when(F.col("stated") > 0, F.col("stated") == F.coalesce("decoded", F.lit(0))
+                   ).otherwise(F.col("closed"))
+    return (find_datasets(spark, root, pattern, skip).join(stated, "path", "left")
+            .join(decoded, "path", "left").join(_closed_files(spark, root, pattern), "path", "left")
+            .filter(~F.coalesce(whole, F.lit(False))).groupBy("dataset_file")
+            .agg(F.count(F.lit(1)).alias("broken_files")))
 
 
 def read_all_datasets(spark: SparkSession, root: str, pattern: str = "*.parquet",
-                      skip: str = "trace") -> tuple[DataFrame, list[str]]:
+                      skip: str = "trace") -> tuple[DataFrame, DataFrame]:
     """Rows of all datasets below ``root``, and the datasets that cannot be read.
 
     ``dataset_file`` is the path of a row's dataset below ``root``.  A dataset with
     an unreadable file is left out as a whole, so no result counts a part of it.
     """
-    found = find_datasets(spark, root, pattern, skip)
-    broken = [k for k in found if not readable(spark, f"{root.rstrip('/')}/{k}")]
-    good = [f"{root.rstrip('/')}/{k}" for k in found if k not in broken]
-    reader = spark.read.schema(schemas.family_schema("mixed")).option("recursiveFileLookup", True)
-    rows = (reader.option("ignoreCorruptFiles", False).parquet(*good) if good
-            else spark.createDataFrame([], schemas.family_schema("mixed")))
-    path = F.col("_metadata.file_path") if good else F.lit("")
-    return rows.withColumn("dataset_file", dataset_key(path, root)), broken
+    broken = broken_datasets(spark, root, pattern, skip)
+    rows = _stored_rows(spark, root, pattern, skip).drop("path")
+    return rows.join(broken.select("dataset_file"), "dataset_file", "left_anti"), broken

@@ -59,14 +59,18 @@ def write_manifests(manifests: DataFrame, path: str, mode: str = "errorifexists"
 def write_json_array(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON array over all rows.
 
-    A single document needs a single writer, so this is for sets that one file
-    should hold; the rows stream through it.
+    The rows are written as lines in parallel, beside ``path``; a single document needs
+    a single writer, which only puts these lines together.
     """
-    lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).coalesce(1)
-    at = F.monotonically_increasing_id()
-    (lines.select(F.concat(F.when(at == 0, F.lit("[")).otherwise(F.lit(",")), "value").alias("value"))
-     .union(rows.sparkSession.createDataFrame([("]",)], "value string")).coalesce(1)
+    spark, lines = rows.sparkSession, path.rstrip("/") + "_lines"
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(lines)
+    stored = spark.read.schema("value string").text(lines).coalesce(1)
+    comma = F.when(F.monotonically_increasing_id() == 0, F.lit("")).otherwise(F.lit(","))
+    ends = [spark.range(1).select(F.lit(mark).alias("value")) for mark in "[]"]
+    (ends[0].union(stored.select(F.concat(comma, "value").alias("value"))).union(ends[1]).coalesce(1)
      .write.mode(mode).text(path))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(lines)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def subset_name(base: str, kind: str, *parts: object) -> str:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from palaver.operators import metrics as m
-from registry.base import CONV_CTE, SCAN_CTE, messages, query, r6
+from registry.base import CONV_CTE, SCAN_CTE, messages, query, r6, typed_conversations
 
 
 @query("conv_metrics", f"""WITH {CONV_CTE}
@@ -145,3 +145,17 @@ def filter_all(spark, sf_dir):
     return _filterable(spark, sf_dir).filter(
         F.col("topic").isin("coding_help", "tutoring") & (F.col("num_turns") >= 2)
         & (F.col("estimated_tokens") > 200))
+
+
+@query("sample_rows", f"""WITH {CONV_CTE},
+ends AS (SELECT conv_id, min_by(role, turn) AS first_role, min_by(substr(text, 1, 100), turn) AS first_text,
+         max_by(role, turn) AS last_role, max_by(substr(text, 1, 100), turn) AS last_text
+         FROM conversations GROUP BY conv_id)
+SELECT conv_id, dataset_type AS family, CASE WHEN dataset_type IN ('text', 'reasoning')
+         THEN '{{"topic":"' || topic || '"}}' WHEN dataset_type = 'agentic'
+         THEN '{{"num_tool_calls":' || num_tool_calls || '}}' END AS fields,
+       num_turns, num_messages, total_characters, estimated_tokens, first_role, first_text, last_role,
+       last_text FROM conv JOIN ends USING (conv_id)""")
+def sample_rows(spark, sf_dir):
+    rows = typed_conversations(spark, sf_dir)
+    return m.sample_rows(rows, messages(spark, sf_dir), F.col("dataset_type"))

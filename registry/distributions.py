@@ -222,3 +222,31 @@ FROM labelled GROUP BY quality, lang""")
 def null_group_frequency(spark, sf_dir):
     out = d.frequency(labelled(spark, sf_dir), ["quality"], "lang")
     return out.withColumn("percentage", r6("percentage"))
+
+
+@query("merged_profile", """
+SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS total, min(n_chars) AS min, max(n_chars) AS max,
+       round(avg(n_chars), 6) AS mean, round(coalesce(stddev_samp(n_chars), 0.0), 4) AS stdev,
+       true AS quantiles_within, true AS distinct_within
+FROM documents GROUP BY lang""")
+def merged_profile(spark, sf_dir):
+    """Profiles of languages merged from those of their sources, held against exact ranks."""
+    from palaver.plans import sketch as sk
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    parts = sk.sketch_profile(docs, ["lang", "source"], ["n_chars"], ["doc_id"])
+    merged = sk.merge_profiles(parts, ["lang"], ["source"])
+    values = sk.profile_values(merged, ["lang"], d.PERCENTILES)
+    distinct = sk.distinct_values(merged, ["lang"]).select("lang", "distinct")
+    probes = values.select("lang", F.posexplode("quantiles").alias("at", "q"))
+    ranks = docs.join(probes, "lang").groupBy("lang", "at").agg(
+        F.count_if(F.col("n_chars") < F.col("q")).alias("below"),
+        F.count_if(F.col("n_chars") <= F.col("q")).alias("upto"), F.count(F.lit(1)).alias("rows"))
+    p = F.get(F.array(*[F.lit(x) for x in d.PERCENTILES]), F.col("at"))
+    slack = F.lit(2 * sk.rank_error()) * F.col("rows") + 1
+    near = (F.col("below") - slack <= p * F.col("rows")) & (p * F.col("rows") <= F.col("upto") + slack)
+    within = ranks.groupBy("lang").agg(F.every(near).alias("quantiles_within"))
+    exact = F.abs(F.col("distinct") - F.col("n")) <= 5 * sk.distinct_error() * F.col("n") + 1
+    return values.join(within, "lang").join(distinct, "lang").select(
+        "lang", "n", *[F.col(c).cast("bigint").alias(c) for c in ("total", "min", "max")],
+        r6("mean").alias("mean"), F.round("stdev", 4).alias("stdev"), "quantiles_within",
+        exact.alias("distinct_within"))

@@ -250,8 +250,7 @@ def gen_random_chars(spark, sf_dir):
 @query("gen_random_reply")
 def gen_random_reply(spark, sf_dir):
     d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
-    rows = g.with_target_words(_random_turns(spark, sf_dir, 4), SEED, ranges={
-        "short": (20, 40), "medium": (40, 80), "long": (80, 120)})
+    rows = g.with_target_words(_random_turns(spark, sf_dir, 12), SEED)
     reply = y.random_reply(F.col("style"), _random_pools(), d, F.col("target_words"))
     return rows.select("conv_id", "turn_no", "style", "target_words", reply.alias("reply"))
 
@@ -391,3 +390,46 @@ def gen_openers(spark, sf_dir):
                                draw(SEED, "template", F.col("conv_id"), F.col("turn_no")),
                                SEED, ["kind"])
     return picked.select("conv_id", "turn_no", "kind", "item_id", F.md5("text").alias("text_md5"))
+
+
+_SIZED_SQL = f"""WITH pool AS (SELECT list(n_name ORDER BY n_nationkey) AS pool FROM nation),
+b AS (SELECT conv_id, turn AS turn_no, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS bw,
+        (5 + {sql_draw('target', 'conv_id', 'turn')} % 120)::BIGINT AS target FROM conversations),
+o AS (SELECT b.*, pool, list_transform(list_sort(list_transform(range(len(pool)), lambda i:
+        {{'d': {sql_draw('shuffle', 'conv_id', 'turn_no', 'i')}, 'i': i}})), lambda s: s.i) AS place
+      FROM b CROSS JOIN pool),
+x AS (SELECT *, unnest(range(greatest(0, target - len(bw)))) AS i FROM o WHERE len(bw) < target),
+e AS (SELECT conv_id, turn_no, i, target - len(bw) AS missing, string_split(CASE WHEN i < len(pool)
+        THEN pool[place[(i + 1)::BIGINT] + 1]
+        ELSE pool[({sql_draw('extension', 'conv_id', 'turn_no', 'i')} % len(pool) + 1)::BIGINT] END, ' ') AS w
+      FROM x),
+r AS (SELECT *, coalesce(sum(len(w)) OVER (PARTITION BY conv_id, turn_no ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e),
+p AS (SELECT conv_id, turn_no, flatten(list(w ORDER BY i)) AS ext FROM r WHERE before < missing
+      GROUP BY conv_id, turn_no),
+c AS (SELECT conv_id, turn_no, target, len(bw) AS n, CASE WHEN len(bw) < target
+        THEN array_to_string(bw || ext, ' ') WHEN len(bw) > target * 1.3 THEN array_to_string(bw[1:target], ' ')
+        ELSE array_to_string(bw, ' ') END AS t FROM b LEFT JOIN p USING (conv_id, turn_no)),
+f AS (SELECT *, CASE WHEN n > target * 1.3 AND strpos(reverse(t), '.') > 0
+        AND length(t) - strpos(reverse(t), '.') > 0.7 * length(t)
+        THEN substr(t, 1, length(t) - strpos(reverse(t), '.') + 1) ELSE t END AS reply FROM c)
+SELECT conv_id, turn_no, target, CASE WHEN n < target THEN 'padded' WHEN n > target * 1.3 THEN 'trimmed'
+       ELSE 'kept' END AS sized, length(reply) AS n_chars, md5(reply) AS text_md5 FROM f"""
+
+
+@query("gen_sized_reply", _SIZED_SQL)
+def gen_sized_reply(spark, sf_dir):
+    """Every message brought to a drawn length; a pool of names is used up before it repeats."""
+    from palaver.functions.draws import draw, uniform_int
+    pool = table(spark, sf_dir, "nation").agg(F.transform(F.array_sort(F.collect_list(
+        F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"]).alias("pool")).scalar()
+    rows = messages(spark, sf_dir).select("conv_id", F.col("turn").alias("turn_no"), "text").withColumns(
+        {"pool": pool, "target": uniform_int(
+            draw(SEED, "target", F.col("conv_id"), F.col("turn_no")), 5, 124)})
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    reply = g.sized_reply(F.col("text"), F.col("target"), F.col("pool"), d, use_up=True)
+    n = F.size(words(F.col("text")))
+    sized = F.when(n < F.col("target"), "padded").when(n > F.col("target") * 1.3, "trimmed").otherwise("kept")
+    return rows.select("conv_id", "turn_no", "target", sized.alias("sized"), reply.alias("reply")).select(
+        "conv_id", "turn_no", "target", "sized", F.length("reply").cast("bigint").alias("n_chars"),
+        F.md5("reply").alias("text_md5"))

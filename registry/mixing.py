@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from palaver.operators import metrics as m
 from palaver.operators import mix as x
 from palaver.operators import sampling as s
+from palaver.operators.order import first_rows, row_at, rows_between
 from palaver.plans import profile as plans
 from registry.base import (CONV_CTE, SEED, SOURCE_WEIGHTS, TOPIC_SQL, TYPE_SQL, messages, query,
                            r6, sql_draw, table, topic_of, type_of, typed_conversations)
@@ -58,8 +59,37 @@ def null_group_stratified(spark, sf_dir):
 @query("first_n", f"""WITH {SIZED_CTE}
 SELECT conv_id, num_turns, estimated_tokens FROM sized ORDER BY conv_id LIMIT 50""")
 def first_n(spark, sf_dir):
-    return s.first_rows(_sized(spark, sf_dir).select("conv_id", "num_turns", "estimated_tokens"),
-                        50, ["conv_id"])
+    return first_rows(_sized(spark, sf_dir).select("conv_id", "num_turns", "estimated_tokens"),
+                      50, ["conv_id"])
+
+
+@query("row_at", """
+SELECT * FROM (SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts, event_id LIMIT 1 OFFSET 4321)
+UNION ALL
+SELECT * FROM (SELECT event_id, ts, user_id, event_type FROM events ORDER BY event_type, user_id, event_id
+               LIMIT 1 OFFSET 7000)""")
+def row_at_position(spark, sf_dir):
+    """Single rows by their position in an order of time and in one of strings."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return row_at(events, 4321, ["ts", "event_id"]).union(
+        row_at(events, 7000, ["event_type", "user_id", "event_id"]))
+
+
+@query("rows_between", """
+SELECT doc_id, source, n_chars FROM documents ORDER BY source, n_chars, doc_id LIMIT 100 OFFSET 60""")
+def positions(spark, sf_dir):
+    """A slice of positions: the 100 rows after the first 60."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return rows_between(docs, 60, 160, ["source", "n_chars", "doc_id"])
+
+
+@query("first_half", """
+SELECT event_id, event_type FROM (SELECT *, row_number() OVER (ORDER BY event_type, ts, event_id) AS k,
+  count(*) OVER () AS n FROM events) WHERE k <= 5000""")
+def first_half(spark, sf_dir):
+    """Many first rows of an order of strings and times, filtered where they lie."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    return first_rows(events, 5000, ["event_type", "ts", "event_id"]).drop("ts")
 
 
 @query("shuffled", f"""

@@ -49,6 +49,38 @@ def test_quantiles(frame, by_rows):
     assert len(got) == len(SHAPES) * len(d.PERCENTILES)
 
 
+@pytest.fixture
+def small_buckets(monkeypatch):
+    monkeypatch.setattr(d, "LARGE_BUCKET", 4)
+    monkeypatch.setattr(d, "SPLITS", 8)
+
+
+@pytest.mark.parametrize("by_rows", [False, True])
+def test_wide_buckets_are_cut_by_their_own_range(frame, small_buckets, by_rows):
+    test_quantiles(frame, by_rows)
+
+
+@pytest.mark.parametrize("by_rows", [False, True])
+def test_unix_times_are_ranked_in_several_buckets(spark, by_rows):
+    n = 300_000
+    times = spark.range(n, numPartitions=4).select(
+        (F.lit(1.7e9) + F.pmod(F.col("id") * 7919, F.lit(n))).alias("v"))
+    if by_rows:
+        work = d._long(times, [], ["v"]).withColumn("n", F.lit(1).cast("bigint"))
+        out = d.row_quantiles(times, [], ["v"], [0.0, 0.37, 1.0])
+    else:
+        work = d.value_counts(times, [], ["v"])
+        out = d.quantiles(work, ["metric"], [0.0, 0.37, 1.0])
+    assert {r.p: r.value for r in out.collect()} == {
+        0.0: 1.7e9, 0.37: pytest.approx(1.7e9 + 0.37 * (n - 1), abs=1e-6), 1.0: 1.7e9 + n - 1}
+    work = work.withColumn("_b0", d._magnitude_bucket(F.col("value")))
+    first = d._ranked_buckets(work, ["metric"], [0.5])
+    assert first.first()["_cells"] > 100_000
+    inside, narrow = d._split(work, first, ["metric", "_b0"], "_b1")
+    assert inside.select("_b1").distinct().count() > 10_000
+    assert narrow.first()["_cells"] < d.LARGE_BUCKET
+
+
 def test_summary(frame):
     got = {r.g: r for r in d.numeric_summary(frame, ["g"], ["v"]).collect()}
     for g, values in SHAPES.items():

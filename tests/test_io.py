@@ -115,7 +115,7 @@ def test_manifest_file(spark, tmp_path, dataset_dir, by_conversation):
 def test_batch_manifests(spark, dataset_dir, by_conversation, tmp_path):
     manifests, broken = regenerate_manifests(spark, str(dataset_dir))
     got = {x.dataset.type: x for x in manifests.collect()}
-    assert set(got) == {"text", "agentic"} and not broken  # the derived trace dataset is skipped
+    assert set(got) == {"text", "agentic"} and broken.isEmpty()  # the derived trace dataset is skipped
     agentic = got["agentic"].distribution_profile.agentic_metrics
     n = len(by_conversation)
     assert agentic.tool_calls.total == 4 * n and agentic.errors.error_rate == 25.0
@@ -141,7 +141,7 @@ def test_datasets_are_told_apart_by_path(spark, dataset_dir, tmp_path, by_conver
     got = {x.dataset_file: (x.dataset.type, x.dataset.num_conversations) for x in manifests.collect()}
     assert got == {"text/data/run.parquet": ("text", n), "pdf/data/run.parquet": ("pdf", n),
                    "multi_turn_context.parquet": ("repeat", n),
-                   "random/parted.parquet": ("random", 2 * n)} and not broken
+                   "random/parted.parquet": ("random", 2 * n)} and broken.isEmpty()
     files = {x.dataset_file: x.output_files for x in manifests.collect()}
     assert files["text/data/run.parquet"] == {"parquet": "run.parquet", "rows_csv": "run_rows.csv"}
 
@@ -162,15 +162,43 @@ def test_a_dataset_with_a_broken_file_is_named_and_left_out(spark, tmp_path, dat
     part = sorted((tmp_path / "half.parquet").glob("part-*.parquet"))[1]
     part.write_bytes(part.read_bytes()[:-40])
     (tmp_path / "multi_turn_repeat_chat.parquet").write_bytes(b"not a parquet file")
+    df.filter("false").write.parquet(str(tmp_path / "none.parquet"))
+    # The page of a column is overwritten; the footer is whole.
+    df.union(df).coalesce(1).write.parquet(str(tmp_path / "page.parquet"))
+    (part,) = (tmp_path / "page.parquet").glob("part-*.parquet")
+    data = bytearray(part.read_bytes())
+    data[4:len(data) // 3] = bytes(len(data) // 3 - 4)
+    part.write_bytes(bytes(data))
+    for crc in (tmp_path / "page.parquet").glob(".*.crc"):
+        crc.unlink()
     rows, broken = r.read_all_datasets(spark, str(tmp_path))
     assert rows.count() == df.count()
-    assert broken == ["half.parquet", "multi_turn_repeat_chat.parquet"]
+    assert sorted((b.dataset_file, b.broken_files) for b in broken.collect()) == [
+        ("half.parquet", 1), ("multi_turn_repeat_chat.parquet", 1), ("page.parquet", 1)]
+
+
+def test_batch_plan_does_not_grow_with_the_datasets(spark, dataset_dir, tmp_path):
+    def size(root):
+        manifests, broken = regenerate_manifests(spark, str(root))
+        return [len(x._jdf.queryExecution().analyzed().treeString().splitlines())
+                for x in (manifests, broken)]
+
+    df = spark.read.parquet(str(dataset_dir / "multi_turn_text_chat.parquet"))
+    df.write.parquet(str(tmp_path / "d0.parquet"))
+    before = size(tmp_path)
+    for k in range(1, 4):
+        df.write.parquet(str(tmp_path / f"d{k}.parquet"))
+    assert size(tmp_path) == before
 
 
 def test_json_array(spark, tmp_path):
     w.write_json_array(spark.range(50).repartition(4), str(tmp_path / "rows"))
     (file,) = (tmp_path / "rows").glob("part-*")
     assert sorted(x["id"] for x in json.loads(file.read_text())) == list(range(50))
+    assert not (tmp_path / "rows_lines").exists()
+    w.write_json_array(spark.range(0), str(tmp_path / "none"))
+    (file,) = (tmp_path / "none").glob("part-*")
+    assert json.loads(file.read_text()) == []
 
 
 def test_trace_rows_equal_replies(hot_messages):
