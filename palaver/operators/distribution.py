@@ -9,7 +9,6 @@ is NULL are a group of their own.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -25,11 +24,9 @@ TURN_BUCKETS = (
     ("very_long (31+)", 30, None),
 )
 
-#: Distinct values up to which a bucket is ranked as it is, parts into which a larger
-#: one is cut, and how often.
-LARGE_BUCKET = 4096
-SPLITS = 1 << 14
-ROUNDS = 2
+#: Equal parts into which a bucket that holds a wanted rank is cut, and how often.
+SPLITS = 1 << 20
+ROUNDS = 1
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -89,23 +86,26 @@ def _holding(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
             .filter(F.size("_probes") > 0))
 
 
-def _split(work: DataFrame, wide: DataFrame, keys: Sequence[str], name: str
+def _split(work: DataFrame, wanted: DataFrame, by: Sequence[str], name: str
            ) -> tuple[DataFrame, DataFrame]:
-    """Cells of ``wide`` buckets with their part of the bucket's range, and the wanted parts.
+    """Cells of ``wanted`` buckets with their part of the bucket's range, and the wanted parts.
 
     A bucket's own minimum and maximum are cut into ``SPLITS`` equal parts.
     """
-    bounds = wide.select(*keys, F.col("_min").alias("_from"), F.col("_max").alias("_to"))
-    part = F.least(F.lit(SPLITS - 1), F.floor(
-        (F.col("value") - F.col("_from")) / (F.col("_to") - F.col("_from")) * SPLITS))
-    inside = (join_groups(work, bounds, keys).withColumn(name, part.cast("bigint"))
-              .drop("_from", "_to"))
-    earlier = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-    facts = _bucket_facts(inside, [*keys, name]).withColumn(
-        "_earlier", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)))
-    ranked = join_groups(facts, wide.select(*keys, "_before", "_probes"), keys)
-    ranked = ranked.withColumn("_before", F.col("_before") + F.col("_earlier"))
-    return inside, _holding(ranked, [*keys, name])
+    bounds = wanted.select(*by, "_before", "_probes", F.col("_min").alias("_from"),
+                           F.col("_max").alias("_to"))
+    place = F.floor((F.col("value") - F.col("_from")) / (F.col("_to") - F.col("_from")) * SPLITS)
+    part = F.when(F.col("_to") > F.col("_from"), F.least(F.lit(SPLITS - 1), place)).otherwise(0)
+    inside = join_groups(work, bounds, by).withColumn(name, part.cast("bigint"))
+    # The bucket's rank and probes are the same in all its cells.
+    facts = inside.groupBy(*by, name).agg(
+        F.sum("n").alias("_nb"), F.count(F.lit(1)).alias("_cells"), F.min("value").alias("_min"),
+        F.max("value").alias("_max"), F.first("_before").alias("_before"),
+        F.first("_probes").alias("_probes"))
+    earlier = Window.partitionBy(*by).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = facts.withColumn("_before", F.col("_before") + F.coalesce(
+        F.sum("_nb").over(earlier), F.lit(0)))
+    return inside.drop("_before", "_probes", "_from", "_to"), _holding(ranked, [*by, name])
 
 
 def _cells(work: DataFrame, wanted: DataFrame, keys: Sequence[str], by: Sequence[str],
@@ -123,24 +123,21 @@ def _cells(work: DataFrame, wanted: DataFrame, keys: Sequence[str], by: Sequence
 
 
 def _exact(work: DataFrame, keys: Sequence[str], probabilities: Sequence[float],
-           rows: bool) -> DataFrame:
+           rows: bool, rounds: int = ROUNDS) -> DataFrame:
     """Locate the wanted ranks by ranges that get narrower, then rank what is in them.
 
-    A bucket of more than ``LARGE_BUCKET`` cells is cut again by its own range, up to
-    ``ROUNDS`` times.  A magnitude bucket has 2 ** 43 doubles at most (those nearest to
-    zero apart), so 2 ** 15 distinct values are ranked in one task at most.
+    The magnitude bucket that holds a rank is cut by its own range, and so on for
+    ``rounds``.  A bucket holds 2 ** 43 doubles at most (those nearest to zero apart), so
+    parts of the first round hold 2 ** 23 at most, or a millionth of a bucket's evenly
+    spread values.
     """
     keys, by = list(keys), [*keys, "_b0"]
     work = work.withColumn("_b0", _magnitude_bucket(F.col("value")))
     located = _ranked_buckets(work, keys, probabilities)
-    found = []
-    large = (F.col("_cells") > LARGE_BUCKET) & (F.col("_min") < F.col("_max"))
-    for number in range(1, ROUNDS + 1):
-        found.append(_cells(work, located.filter(~large), keys, by, rows))
-        work, located = _split(work, located.filter(large), by, f"_b{number}")
+    for number in range(1, rounds + 1):
+        work, located = _split(work, located, by, f"_b{number}")
         by = [*by, f"_b{number}"]
-    found.append(_cells(work, located, keys, by, rows))
-    cells = reduce(DataFrame.union, found)
+    cells = _cells(work, located, keys, by, rows)
 
     def at(rank: str) -> Column:
         return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end")),
@@ -155,20 +152,23 @@ def _exact(work: DataFrame, keys: Sequence[str], probabilities: Sequence[float],
 
 
 def quantiles(counts: DataFrame, keys: Sequence[str],
-              probabilities: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles of value counts: ``(keys, p, value)``."""
-    return _exact(counts, keys, probabilities, rows=False)
+              probabilities: Sequence[float], rounds: int = ROUNDS) -> DataFrame:
+    """Exact linear-interpolated quantiles of value counts: ``(keys, p, value)``.
+
+    ``rounds`` cuts a bucket again that many times; it changes no result.
+    """
+    return _exact(counts, keys, probabilities, False, rounds)
 
 
 def row_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
-                  probabilities: Sequence[float]) -> DataFrame:
+                  probabilities: Sequence[float], rounds: int = ROUNDS) -> DataFrame:
     """The same for columns with hardly any repeated values.
 
     Value counts of such a column are as large as the column.  Here the rows
     are read again for each narrower range and only those in a wanted one are shuffled.
     """
     rows = _long(df, keys, metrics).withColumn("n", F.lit(1).cast("bigint"))
-    return _exact(rows, [*keys, "metric"], probabilities, rows=True)
+    return _exact(rows, [*keys, "metric"], probabilities, True, rounds)
 
 
 def medians(counts: DataFrame, keys: Sequence[str], name: str = "median") -> DataFrame:

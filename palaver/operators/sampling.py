@@ -9,71 +9,53 @@ themselves are filtered where they lie - they are not shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from palaver.functions.draws import draw
 from palaver.operators.payload import additive_inputs, score_columns
-from palaver.operators.scan import HASH_BITS, hash_bucket, join_groups, prefix_sums
+from palaver.operators.scan import hash_bucket, join_groups, prefix_sums
 
 MIN_BALANCED_ROWS = 10
-#: Rows up to which an edge is ranked as it is.
-EDGE_ROWS = 4096
-
-
-def _digits(bits: int) -> list[tuple[int, int]]:
-    """Shift and width of the digits of a 32-bit draw, leading ones first."""
-    ends = [min(32, (k + 1) * bits) for k in range(-(-32 // bits))]
-    return [(32 - end, end - k * bits) for k, end in enumerate(ends)]
+#: Bits of a draw by which its rows are counted, and those of the bucket that holds a rank.
+DIGITS = (12, 20)
 
 
 def sample_cutoffs(df: DataFrame, ids: Sequence[str], seed: int, by: Sequence[str] = (),
                    n: int | None = None, quotas: DataFrame | None = None,
-                   salt: str = "sample", bits: int = HASH_BITS) -> DataFrame:
+                   salt: str = "sample", digits: Sequence[int] = DIGITS) -> DataFrame:
     """``(by..., cut)``: the last kept ``(draw, ids)`` of every stratum.
 
     Strata with fewer rows than wanted have no row here; they are kept whole.
     ``quotas`` holds ``by`` columns and ``quota``; otherwise every stratum
     gets ``n``.
 
-    The rank is found digit by digit: a stratum is counted by the leading ``bits``
-    of the draw, and as long as the digit that holds the rank has more than ``EDGE_ROWS``
-    rows, these are counted by the next digit.  Ranked are the rows left then, at most
-    ``EDGE_ROWS`` or those of one draw: a 4,000-millionth of the stratum.
+    The rank is found digit by digit (``digits`` are their bits, leading ones first): rows
+    are counted by the first digit of their draw, those with the digit that holds the
+    rank by the next, and so on.  With all 32 bits in use the rows ranked in the end
+    share one draw: a 4,000-millionth of the stratum.
     """
-    by = list(by)
+    path = list(by)
     rows = df.select(*by, *ids, draw(seed, salt, *[F.col(i) for i in ids]).alias("_d"))
-    if quotas is not None:
-        wanted = quotas.select(*by, F.col("quota").alias("_left"))
-    else:
-        wanted = None
-    digits, path, cuts = _digits(bits), list(by), []
-    for level, (shift, width) in enumerate(digits):
-        digit = f"_b{level}"
-        if level:
-            rows = join_groups(rows, wanted.select(*path), path)
+    shift = 32
+    for level, width in enumerate(digits):
+        digit, shift = f"_b{level}", shift - width
         rows = rows.withColumn(digit, F.pmod(F.shiftright("_d", shift), F.lit(1 << width)))
-        counts = rows.groupBy(*path, digit).agg(F.count(F.lit(1)).alias("_nb"))
+        wanted = [] if level == 0 else [F.max("_left").alias("_left")]
+        counts = rows.groupBy(*path, digit).agg(F.count(F.lit(1)).alias("_nb"), *wanted)
+        if level == 0 and quotas is not None:
+            counts = join_groups(counts, quotas.select(*by, F.col("quota").alias("_left")), by)
+        elif level == 0:
+            counts = counts.withColumn("_left", F.lit(n).cast("bigint"))
         along = Window.partitionBy(*path).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
-        placed = counts.withColumn("_before", F.coalesce(F.sum("_nb").over(along), F.lit(0)))
-        if wanted is None:
-            placed = placed.withColumn("_left", F.lit(n).cast("bigint"))
-        else:
-            placed = join_groups(placed, wanted.select(*path, "_left"), path)
+        before = F.coalesce(F.sum("_nb").over(along), F.lit(0))
         path = [*path, digit]
-        edge = (placed.filter((F.col("_before") < F.col("_left"))
-                              & (F.col("_before") + F.col("_nb") >= F.col("_left")))
-                .select(*path, "_nb", (F.col("_left") - F.col("_before")).alias("_left")))
-        last = level == len(digits) - 1
-        near = edge if last else edge.filter(F.col("_nb") <= EDGE_ROWS)
-        inside = Window.partitionBy(*path).orderBy("_d", *ids)
-        cuts.append(join_groups(rows, near, path)
-                    .withColumn("_rn", F.row_number().over(inside))
-                    .filter(F.col("_rn") == F.col("_left"))
-                    .select(*by, F.struct("_d", *ids).alias("cut")))
-        wanted = edge.filter(F.col("_nb") > EDGE_ROWS)
-    return reduce(DataFrame.union, cuts)
+        edge = (counts.withColumn("_left", F.col("_left") - before)
+                .filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_nb"))).select(*path, "_left"))
+        rows = join_groups(rows.select(*by, *ids, "_d", *path[len(by):]), edge, path)
+    inside = Window.partitionBy(*path).orderBy("_d", *ids)
+    return (rows.withColumn("_rn", F.row_number().over(inside)).filter(F.col("_rn") == F.col("_left"))
+            .select(*by, F.struct("_d", *ids).alias("cut")))
 
 
 def exact_sample(df: DataFrame, n: int, ids: Sequence[str], seed: int,

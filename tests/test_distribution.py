@@ -37,11 +37,14 @@ def frame(spark):
 
 
 @pytest.mark.parametrize("by_rows", [False, True])
-def test_quantiles(frame, by_rows):
+@pytest.mark.parametrize("rounds, parts", [(d.ROUNDS, d.SPLITS), (0, 1), (3, 8)])
+def test_quantiles(frame, monkeypatch, by_rows, rounds, parts):
+    """Buckets cut by their own range, not at all, or in many rounds give the same quantiles."""
+    monkeypatch.setattr(d, "SPLITS", parts)
     if by_rows:
-        out = d.row_quantiles(frame, ["g"], ["v"], d.PERCENTILES)
+        out = d.row_quantiles(frame, ["g"], ["v"], d.PERCENTILES, rounds)
     else:
-        out = d.quantiles(d.value_counts(frame, ["g"], ["v"]), ["g", "metric"], d.PERCENTILES)
+        out = d.quantiles(d.value_counts(frame, ["g"], ["v"]), ["g", "metric"], d.PERCENTILES, rounds)
     got = {(r.g, r.p): r.value for r in out.collect()}
     for g, values in SHAPES.items():
         for p in d.PERCENTILES:
@@ -49,17 +52,6 @@ def test_quantiles(frame, by_rows):
     assert len(got) == len(SHAPES) * len(d.PERCENTILES)
 
 
-@pytest.fixture
-def small_buckets(monkeypatch):
-    monkeypatch.setattr(d, "LARGE_BUCKET", 4)
-    monkeypatch.setattr(d, "SPLITS", 8)
-
-
-@pytest.mark.parametrize("by_rows", [False, True])
-def test_wide_buckets_are_cut_by_their_own_range(frame, small_buckets, by_rows):
-    test_quantiles(frame, by_rows)
-
-
 @pytest.mark.parametrize("by_rows", [False, True])
 def test_unix_times_are_ranked_in_several_buckets(spark, by_rows):
     n = 300_000
@@ -77,8 +69,8 @@ def test_unix_times_are_ranked_in_several_buckets(spark, by_rows):
     first = d._ranked_buckets(work, ["metric"], [0.5])
     assert first.first()["_cells"] > 100_000
     inside, narrow = d._split(work, first, ["metric", "_b0"], "_b1")
-    assert inside.select("_b1").distinct().count() > 10_000
-    assert narrow.first()["_cells"] < d.LARGE_BUCKET
+    assert inside.select("_b1").distinct().count() > 100_000
+    assert narrow.first()["_cells"] < 4
 
 
 def test_summary(frame):

@@ -81,15 +81,9 @@ def test_sample_by_short_digits(spark, monkeypatch):
     want = {n: {r.id for r in s.exact_sample(df, n, ["id"], 42).collect()} for n in (1, 700, 2999)}
     strata = {tuple(r) for r in s.stratified_sample(df, "g", ["id"], 1, k=300).collect()}
     cuts = s.sample_cutoffs(df, ["id"], 42, n=700).collect()
-    monkeypatch.setattr(s, "EDGE_ROWS", 3)
-    assert s._digits(12) == [(20, 12), (8, 12), (0, 8)] and len(s._digits(2)) == 16
-    monkeypatch.setattr(s, "_digits", lambda bits: [(28, 4), (24, 4), (20, 4), (0, 20)])
+    for digits in ((2, 2, 28), (4, 4, 4), (32,)):
+        assert s.sample_cutoffs(df, ["id"], 42, n=700, digits=digits).collect() == cuts
+    monkeypatch.setattr(s.sample_cutoffs, "__defaults__", (*s.sample_cutoffs.__defaults__[:-1], (3, 3, 26)))
     for n, ids in want.items():
         assert {r.id for r in s.exact_sample(df, n, ["id"], 42).collect()} == ids and len(ids) == n
     assert {tuple(r) for r in s.stratified_sample(df, "g", ["id"], 1, k=300).collect()} == strata
-    # Three rounds of two bits are needed before a digit has few enough rows.
-    monkeypatch.undo()
-    monkeypatch.setattr(s, "EDGE_ROWS", 100)
-    monkeypatch.setattr(s, "_digits", lambda bits: [(32 - bits * (k + 1), bits) for k in range(3)] + [
-        (0, 32 - 3 * bits)])
-    assert s.sample_cutoffs(df, ["id"], 42, n=700, bits=2).collect() == cuts
