@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from palaver.functions.text import bind
 from palaver.operators.sampling import shuffled, stratified_sample
 
 SOURCE = "source_dataset"
@@ -38,29 +39,55 @@ def with_available(sources: DataFrame, conversations: DataFrame) -> DataFrame:
     return sources.join(counts, [SOURCE])
 
 
+def _listed(sources: DataFrame) -> DataFrame:
+    """All sources in one array ``s`` by position; it is as long as the configuration."""
+    return sources.agg(F.array_sort(F.collect_list(
+        F.struct("position", SOURCE, "available", "weight"))).alias("s"))
+
+
+def _shares(sources: Column, normalise: bool) -> Column:
+    """The sources with their share of all weights; equal ones when all weights are zero."""
+    def shared(total: Column) -> Column:
+        def share(x: Column) -> Column:
+            if not normalise:
+                return x["weight"]
+            return F.when(total == 0, F.lit(1.0) / F.size(sources)).otherwise(x["weight"] / total)
+
+        return F.transform(sources, lambda x: F.struct(
+            share(x).alias("share"), (-x["position"]).alias("order"), x[SOURCE].alias(SOURCE),
+            x["available"].alias("available")))
+
+    return bind(F.aggregate(sources, F.lit(0.0), lambda t, x: t + x["weight"]), shared)
+
+
 def normalised_weights(sources: DataFrame) -> DataFrame:
     """Weights over the loaded sources; equal when all are zero."""
-    facts = sources.agg(F.struct(F.sum("weight").alias("total"),
-                                 F.count(F.lit(1)).alias("k")).alias("f"))
-    total, k = facts.select("f.total").scalar(), facts.select("f.k").scalar()
-    share = F.when(total == 0, F.lit(1.0) / k).otherwise(F.col("weight") / total)
-    return sources.withColumn("share", share)
+    return _listed(sources).select(F.inline(_shares(F.col("s"), True))).select(
+        SOURCE, "available", "share")
 
 
 def allocate_weighted(sources: DataFrame, n: int, normalise: bool = True) -> DataFrame:
     """Rows per source: floor(n * share), remainder to the heaviest, capped.
 
-    A shortfall of a small source is not given to the others.
+    A shortfall of a small source is not given to the others.  Shares, remainder and
+    heaviest source come from one array, so the counts are read once.
     """
-    rated = (normalised_weights(sources) if normalise
-             else sources.withColumn("share", F.col("weight")))
-    rated = rated.withColumn("wanted", F.floor(F.lit(n) * F.col("share")).cast("bigint"))
-    rest = F.greatest(F.lit(0).cast("bigint"),
-                      F.lit(n) - rated.agg(F.sum("wanted")).scalar())
-    heaviest = rated.agg(F.max_by(SOURCE, F.struct(F.col("share"), -F.col("position")))).scalar()
-    wanted = F.col("wanted") + F.when(F.col(SOURCE) == heaviest, rest).otherwise(F.lit(0))
-    return rated.select(SOURCE, "share", "available", wanted.alias("wanted"),
-                        F.least(wanted, F.col("available")).alias("quota"))
+    whole = F.lit(n).cast("bigint")
+
+    def floor(x: Column) -> Column:
+        return F.floor(whole * x["share"]).cast("bigint")
+
+    def allocated(rated: Column) -> Column:
+        given = F.aggregate(rated, F.lit(0).cast("bigint"), lambda t, x: t + floor(x))
+        rest = F.greatest(F.lit(0).cast("bigint"), whole - given)
+        return bind(F.struct(rest.alias("rest"), F.array_max(rated).alias("heaviest")), lambda f: F.transform(
+            rated, lambda x: F.struct(
+                x[SOURCE].alias(SOURCE), x["share"].alias("share"), x["available"].alias("available"),
+                (floor(x) + F.when(x["order"] == f["heaviest"]["order"], f["rest"]).otherwise(0))
+                .alias("wanted"))))
+
+    out = _listed(sources).select(F.inline(bind(_shares(F.col("s"), normalise), allocated)))
+    return out.withColumn("quota", F.least("wanted", "available"))
 
 
 def allocate_equal(sources: DataFrame, n: int) -> DataFrame:
@@ -69,9 +96,7 @@ def allocate_equal(sources: DataFrame, n: int) -> DataFrame:
     The source list is a configuration list, so numbering it in one array is
     bounded by that list.
     """
-    listed = sources.agg(F.array_sort(F.collect_list(
-        F.struct("position", SOURCE, "available"))).alias("s"))
-    numbered = listed.select(F.size("s").cast("bigint").alias("k"), F.posexplode("s"))
+    numbered = _listed(sources).select(F.size("s").cast("bigint").alias("k"), F.posexplode("s"))
     extra = F.when(F.col("pos") < F.lit(n) % F.col("k"), F.lit(1)).otherwise(F.lit(0))
     wanted = (F.call_function("div", F.lit(n).cast("bigint"), F.col("k")) + extra).cast("bigint")
     available = F.col("col.available")

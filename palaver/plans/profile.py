@@ -164,7 +164,11 @@ def mixture_summary(mixed: DataFrame, key: str = "source_dataset") -> DataFrame:
     counted = mixed.groupBy(key).agg(
         F.count(F.lit(1)).alias("count"), F.avg("num_turns").alias("avg_turns"),
         F.avg("estimated_tokens").alias("avg_tokens"))
-    return d.with_share(counted, [])
+    # Sources are few: one array holds them, so that the mixture is drawn once.
+    listed = counted.agg(F.collect_list(F.struct(*counted.columns)).alias("rows"),
+                         F.sum("count").alias("whole"))
+    return listed.select("whole", F.inline("rows")).select(
+        *counted.columns, share(F.col("count"), F.col("whole")).alias("percentage"))
 
 
 def column_inspection(df: DataFrame) -> DataFrame:

@@ -165,7 +165,7 @@ def mix_summary(spark, sf_dir):
 def _source_frames(spark, sf_dir):
     """Sources with different columns, as families have."""
     docs = table(spark, sf_dir, "documents")
-    text = docs.filter("source is not null").select(
+    text = docs.select(
         F.col("doc_id").cast("string").alias("conversation_id"),
         F.length("text").cast("bigint").alias("total_characters"), F.col("source").alias("topic"),
         "lang")
@@ -179,10 +179,10 @@ def _source_frames(spark, sf_dir):
 
 @query("schema_union", """
 SELECT doc_id::VARCHAR AS conversation_id, 0::BIGINT AS num_turns, '[]' AS messages,
-       length(text)::BIGINT AS total_characters, 'text' AS source_dataset,
+       coalesce(length(text), 0)::BIGINT AS total_characters, 'text' AS source_dataset,
        coalesce(source, '') AS topic, '' AS task_type, 0.0::DOUBLE AS success_score,
        0::BIGINT AS num_errors, '' AS image_url, lang
-FROM documents WHERE source IS NOT NULL
+FROM documents
 UNION ALL
 SELECT o_orderkey::VARCHAR, 0, '[]', 0, 'agentic', '', coalesce(o_orderpriority, ''),
        coalesce(o_totalprice, 0.0), 0, '', NULL FROM orders""")
@@ -197,7 +197,7 @@ def schema_union(spark, sf_dir):
 SELECT doc_id::VARCHAR AS conversation_id, length(text)::BIGINT AS total_characters,
        'text' AS source_dataset, source AS topic, NULL AS task_type,
        NULL::DOUBLE AS success_score, 0::BIGINT AS num_errors
-FROM documents WHERE source IS NOT NULL
+FROM documents
 UNION ALL
 SELECT o_orderkey::VARCHAR, NULL, 'agentic', NULL, o_orderpriority, o_totalprice, 0 FROM orders""")
 def schema_union_parity(spark, sf_dir):
@@ -211,8 +211,8 @@ _STD = ("'' AS system_prompt, 0::BIGINT AS num_turns, 0::BIGINT AS num_messages,
 
 
 @query("schema_inter", f"""
-SELECT doc_id::VARCHAR AS conversation_id, length(text)::BIGINT AS total_characters,
-       'text' AS source_dataset, {_STD} FROM documents WHERE source IS NOT NULL
+SELECT doc_id::VARCHAR AS conversation_id, coalesce(length(text), 0)::BIGINT AS total_characters,
+       'text' AS source_dataset, {_STD} FROM documents
 UNION ALL BY NAME
 SELECT o_orderkey::VARCHAR AS conversation_id, 0::BIGINT AS total_characters,
        'agentic' AS source_dataset, {_STD} FROM orders""")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from palaver.operators import payload as p
 from palaver.plans import profile as plans
-from registry.base import CONV_CTE, RUN_CTE, query, r6, task_runs, typed_conversations, typed_sizes
+from registry.base import CONV_CTE, RUN_CTE, query, r6, task_runs, tool_log, typed_conversations, typed_sizes
 
 SUMS = """count(*) AS n, sum(estimated_tokens) AS t, sum(total_characters) AS c,
        sum(num_turns) AS r, coalesce(avg(growth_ratio), 0.0) AS g, sum(num_tool_calls) AS x"""
@@ -149,14 +149,23 @@ def run_summary(spark, sf_dir):
 
 
 @query("payload_runs", f"""WITH {RUN_CTE},
+firsts AS (SELECT conv_id, min_by(length(props), seq) AS first_chars FROM log GROUP BY conv_id),
+grown AS (SELECT runs.*, CASE WHEN num_tool_calls >= 2 THEN CASE WHEN first_chars > 0
+            THEN total_characters::DOUBLE / first_chars ELSE 0.0 END END AS growth_ratio
+          FROM runs JOIN firsts USING (conv_id)),
 agg AS (SELECT task_type, count(*) AS n, sum(estimated_tokens) AS t, sum(total_characters) AS c,
-        sum(num_turns) AS r, 0.0 AS g, sum(num_tool_calls) AS x FROM runs GROUP BY task_type),
+        sum(num_turns) AS r, coalesce(avg(growth_ratio), 0.0) AS g, sum(num_tool_calls) AS x
+        FROM grown GROUP BY task_type),
 {score_sql('agg', "'agentic'")}
 SELECT task_type, n AS conversations, round(pre, 6) AS prefill_score,
        round(dec, 6) AS decode_score, round(0.5 * pre + 0.5 * dec, 6) AS total_payload_score
 FROM scored""")
 def payload_runs(spark, sf_dir):
-    runs = task_runs(spark, sf_dir).withColumn("growth_ratio", F.lit(None).cast("double"))
+    first = tool_log(spark, sf_dir).groupBy("conv_id").agg(
+        F.min_by(F.length("props"), "seq").alias("first_chars"))
+    grown = F.when(F.col("first_chars") > 0, F.col("total_characters") / F.col("first_chars")).otherwise(0.0)
+    runs = task_runs(spark, sf_dir).join(first, "conv_id").withColumn(
+        "growth_ratio", F.when(F.col("num_tool_calls") >= 2, grown))
     out = p.payload_scores(runs, "task_type", kind=F.lit("agentic"), breakdown=False)
     return out.select("task_type", "conversations", *[
         r6(c).alias(c) for c in ("prefill_score", "decode_score", "total_payload_score")])
