@@ -247,12 +247,98 @@ def gen_random_chars(spark, sf_dir):
     return rows.select("conv_id", "turn_no", y.random_characters(d, low, high).alias("text"))
 
 
-@query("gen_random_reply")
+def _reply_sql() -> str:
+    """Blocks one after the other until the target is reached, each step from the draws of its number."""
+    def d(salt, *idx):
+        return sql_draw(salt, "conv_id", "turn_no", "blk", *idx)
+
+    def u(salt, *idx):
+        return sql_unit(salt, "conv_id", "turn_no", "blk", *idx)
+
+    def pk(salt, *idx):
+        return f"pool[({d(salt, *idx)} % len(pool) + 1)::BIGINT]"
+
+    def between(low, high, salt, *idx):
+        return f"({low} + {d(salt, *idx)} % {high - low + 1})::BIGINT"
+
+    def joined(n, var, item, sep="' '"):
+        return f"array_to_string(list_transform(range({n}), lambda {var}: {item}), {sep})"
+
+    def run(alphabet, salt, low, high):
+        quoted = alphabet.replace("'", "''")
+        return joined(between(low, high, salt + "_n", "k"), "j",
+                      f"substr('{quoted}', ({d(salt, 'k', 'j')} % {len(alphabet)} + 1)::BIGINT, 1)", "''")
+
+    bounds = y.ECHO_BOUNDS
+    words_ = joined(between(*bounds["random_words"], "words"), "w", pk("word", "w"))
+    state = "{'t': '', 'k': " + between(4, 12, "chunk") + "}"
+    broken = "x.k > 0 AND x.k % acc.k = 0"
+    characters = f"""list_reduce(list_prepend({state}, list_transform(range({between(*bounds["random_chars"], "chars")}),
+        lambda k: {{'t': '', 'k': k}})), lambda acc, x: {{'t': acc.t || CASE WHEN {broken} THEN ' ' ELSE '' END
+        || substr('{y.ALPHANUMERIC}', ({d("char", "x.k")} % {len(y.ALPHANUMERIC)} + 1)::BIGINT, 1),
+        'k': CASE WHEN {broken} THEN {between(4, 12, "chunk", "x.k")} ELSE acc.k END}}).t"""
+    sentences = joined(between(*bounds["random_sentences"], "sentences"), "k", f"""{pk('subject', 'k')}
+        || CASE WHEN {u('has_adverb', 'k')} < 0.4 THEN ' ' || {pk('adverb', 'k')} ELSE '' END
+        || ' ' || {pk('verb', 'k')} || ' ' || {pk('object', 'k')}
+        || CASE WHEN {u('has_phrase', 'k')} < 0.5 THEN ' ' || {pk('phrase', 'k')} ELSE '' END || '.'""")
+    real = f"(-1000.0::DOUBLE + 2000.0::DOUBLE * {u('number', 'k')})"
+    shown = " ".join(f"WHEN {n - 1} THEN printf('%.{n}f', {real})" for n in range(1, 7))
+    number = f"""CASE {d('format', 'k')} % 4 WHEN 0 THEN ({d('number', 'k')} % 10000)::VARCHAR
+        WHEN 1 THEN CASE {d('digits', 'k')} % 6 {shown} END
+        WHEN 2 THEN '0x' || lpad(upper(to_hex({d('number', 'k')} % 16777216)), 6, '0')
+        ELSE (100000 + {d('number', 'k')} % 99900000)::VARCHAR END"""
+    mixed = joined(between(*bounds["random_mixed"], "parts"), "k", f"""CASE
+        {sql_choice(u('kind', 'k'), y.MIXED_WEIGHTS)} WHEN 'word' THEN {pk('word', 'k')}
+        WHEN 'number' THEN {number} WHEN 'symbol' THEN {run(y.SYMBOLS, 'symbol', 1, 4)}
+        ELSE {run(y.ALPHANUMERIC, 'run', 3, 10)} END""")
+    n = between(*bounds["random_lorem"], "words")
+    lengths = f"list_transform(range(ceil({n} / 4.0)::BIGINT), lambda s: {between(4, 12, 'length', 's')})"
+    word = pk("word", "(x.start + q)::BIGINT")
+    comma = f"CASE WHEN x.size > 5 AND {u('has_comma', 'x.s')} < 0.4 THEN 2 + {d('comma', 'x.s')} % (x.size - 3) ELSE -1 END"
+    lorem = f"""array_to_string(list_transform(list_filter(list_transform(range(ceil({n} / 4.0)::BIGINT), lambda s: {{
+        's': s, 'start': coalesce(list_sum(({lengths})[1:s]), 0)::BIGINT,
+        'size': least(({lengths})[s + 1], {n} - coalesce(list_sum(({lengths})[1:s]), 0))::BIGINT}}),
+        lambda x: x.size > 0), lambda x: {joined('x.size', 'q', f"""CASE WHEN q = 0
+            THEN upper(substr({word}, 1, 1)) || lower(substr({word}, 2)) ELSE {word} END
+            || CASE WHEN q = {comma} THEN ',' ELSE '' END""")} || '.'), ' ')"""
+    bullets = joined(between(3, 6, "items"), "j", "'- ' || " + joined(
+        between(3, 8, "words", "j"), "w", pk("word", "j", "w")), "chr(10)")
+    numbered = joined(between(2, 5, "points"), "j", f"(j + 1)::VARCHAR || '. ' || {pk('point', 'j')}", "chr(10)")
+    count = "len(list_filter(regexp_split_to_array({0}, '\\s+'), lambda w: w <> ''))"
+    return f"""{_TURNS_SQL},
+plan AS (SELECT conv_id, num_turns FROM rp), {_phase_sql(5, 20)},
+started AS (SELECT conv_id, turn_no, style, pool, target_words FROM rt JOIN sized USING (conv_id, turn_no)),
+blocks AS (
+  SELECT conv_id, turn_no, style, pool, target_words, 0::BIGINT AS blk, '' AS t, 0::BIGINT AS n FROM started
+  UNION ALL
+  SELECT conv_id, turn_no, style, pool, target_words, blk + 1,
+         CASE WHEN blk = 0 THEN b ELSE t || chr(10) || chr(10) || b END,
+         n + {count.format('b')} - CASE WHEN kind IN ('list', 'numbered')
+             THEN len(string_split(b, chr(10))) ELSE 0 END
+  FROM (SELECT *, CASE kind WHEN 'filler' THEN {pk('filler')} WHEN 'list' THEN {bullets}
+          WHEN 'numbered' THEN {numbered} ELSE CASE style WHEN 'random_chars' THEN {characters}
+            WHEN 'random_sentences' THEN {sentences} WHEN 'random_mixed' THEN {mixed}
+            WHEN 'random_lorem' THEN {lorem} ELSE {words_} END END AS b
+        FROM (SELECT *, {sql_choice(u('block'), y.BLOCK_WEIGHTS)} AS kind FROM blocks
+              WHERE n < target_words AND blk < target_words))),
+whole AS (SELECT conv_id, turn_no, any_value(style) AS style, any_value(target_words) AS target_words,
+            arg_max(t, blk) AS t FROM blocks GROUP BY conv_id, turn_no),
+counted AS (SELECT *, list_filter(regexp_split_to_array(t, '\\s+'), lambda w: w <> '') AS ws FROM whole),
+short AS (SELECT *, array_to_string(ws[1:target_words], ' ') AS s FROM counted),
+cut AS (SELECT *, CASE WHEN len(ws) > target_words * 1.3 THEN CASE WHEN strpos(reverse(s), '.') > 0
+          AND length(s) - strpos(reverse(s), '.') > 0.7 * length(s)
+          THEN substr(s, 1, length(s) - strpos(reverse(s), '.') + 1) ELSE s END ELSE t END AS reply FROM short)
+SELECT conv_id, turn_no, style, target_words, length(reply) AS n_chars, md5(reply) AS reply_md5 FROM cut"""
+
+
+@query("gen_random_reply", _reply_sql())
 def gen_random_reply(spark, sf_dir):
     d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
     rows = g.with_target_words(_random_turns(spark, sf_dir, 12), SEED)
     reply = y.random_reply(F.col("style"), _random_pools(), d, F.col("target_words"))
-    return rows.select("conv_id", "turn_no", "style", "target_words", reply.alias("reply"))
+    return rows.withColumn("reply", reply).select(
+        "conv_id", "turn_no", "style", "target_words", F.length("reply").cast("bigint").alias("n_chars"),
+        F.md5("reply").alias("reply_md5"))
 
 
 TEMPLATE = "About {title} at {url}: {word}, {word} and {missing}{word}."

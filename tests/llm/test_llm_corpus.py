@@ -199,6 +199,32 @@ def test_repeated_rows_and_ids(spark):
     assert left[3:] == [(6, 5, 5), (6, 5, 5), (6, 400, 0)]
 
 
+def test_texts_of_one_id_and_checksum_are_not_copies(spark):
+    """Two texts of 160 bytes with equal crc32, and many short rows without an id."""
+    rnd = random.Random(9)
+    first = bytes(rnd.choice(b"abcdefghij") for _ in range(160))
+    other = bytearray(rnd.choice(b"klmnopqrst") for _ in range(156)) + b"\0\0\0\0"
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ 0xEDB88320 if n & 1 else n >> 1
+        table.append(n)
+    want, have = zlib.crc32(first) ^ 0xFFFFFFFF, zlib.crc32(bytes(other[:156])) ^ 0xFFFFFFFF
+    back = want
+    for _ in range(4):
+        k = next(i for i in range(256) if table[i] >> 24 == back >> 24)
+        back = ((back ^ table[k]) << 8 | k) & 0xFFFFFFFF
+    other[156:] = (back ^ have).to_bytes(4, "little")
+    assert zlib.crc32(first) == zlib.crc32(bytes(other))
+    rows = [(None, first), (None, bytes(other)), (5, first[:99])] + [(None, b"")] * 50 + [(None, None)]
+    docs = spark.createDataFrame([(i, None if t is None else bytearray(t)) for i, t in rows],
+                                 "doc_id bigint, text binary")
+    got = suffixdedup.deduplicated(docs, outputs=("n_bytes", "n_removed")).collect()
+    assert len(got) == len(rows) and sum(r.n_removed for r in got) == 0
+    again = suffixdedup.deduplicated(docs.union(docs), outputs=("n_bytes", "n_removed")).collect()
+    assert sum(r.n_removed for r in again) == 320
+
+
 def test_blind_trie_sorts():
     rnd = np.random.default_rng(4)
     strings = rnd.integers(0, 3, (400, 40)).astype(np.uint8)
@@ -237,49 +263,59 @@ def test_classes_equal_brute_force(spark, documents):
     assert got == llm_brute.classes(docs)
 
 
-def test_wide_buckets_are_dealt_again(spark):
-    n = bagminhash.WIDE + 20
-    placed = spark.createDataFrame([(7, i, i) for i in range(n)] + [
-        (8, 1, 1), (8, 2, 2), (9, 5, 3), (9, 6, 3)], "bucket bigint, id bigint, component bigint")
-    bands = spark.createDataFrame([(i, [7, 10_000 + i // 2, 1_000_000 + i]) for i in range(n)],
-                                  "id bigint, bands array<bigint>")
-    again = bagminhash._wide_buckets_again(placed, bands).groupBy("bucket").agg(
-        F.sort_array(F.collect_list("id")).alias("ids")).where("size(ids) > 1").collect()
-    assert sorted(r.ids for r in again) == sorted(
-        [[2 * k, 2 * k + 1] for k in range(bagminhash.WIDE // 2 + 10)] + [[1, 2]])
-
-
-@pytest.mark.parametrize("best_only", (True, False))
-def test_large_buckets_lose_no_pair(spark, monkeypatch, best_only):
-    monkeypatch.setattr(bagminhash, "BLOCK", 64)
-    monkeypatch.setattr(bagminhash, "WIDE", 100)
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """Blocks of a bucket join what pairs verified one by one join, with fewer links than members."""
     rng = np.random.default_rng(3)
     n, size = 400, bagminhash.REGISTERS
-    sketch = rng.integers(0, 256, (n, size)).astype(np.uint8)
-    for k in range(200):
-        kept = rng.random(size) < rng.choice((0.5, 0.8, 0.95))
-        sketch[rng.integers(n), kept] = sketch[rng.integers(n), kept]
+    weight = 12 * 100 + 8 * bagminhash.BANDS + size
+    monkeypatch.setattr(bagminhash, "BLOCK", 64 * weight)
+    common = [np.sort(rng.integers(0, 1 << 62, 100)).astype(np.uint64) for _ in range(4)]
+    bags, sketch = [], rng.integers(0, 256, (n, size)).astype(np.uint8)
+    lead = [np.flatnonzero(np.arange(n) % 4 == k)[0] for k in range(4)]
+    for k in range(n):
+        kept = rng.random(100) < rng.choice((0.85, 0.92, 0.97))
+        h = np.where(kept, common[k % 4], rng.integers(0, 1 << 62, 100).astype(np.uint64))
+        bags.append((np.sort(h), np.ones(100, np.int64)))
+        same = rng.random(size) < rng.choice((0.6, 0.8, 0.95))
+        sketch[k, same] = sketch[lead[k % 4], same]
     component = np.where(np.arange(n) < 150, 0, np.arange(n))
     # All share the band 7, and every third one the band 8; no other band is common.
     bands = 1000 + np.arange(n * bagminhash.BANDS).reshape(n, -1)
     bands[:, 0], bands[::3, 1] = 7, 8
-    placed = [(7, k, int(component[k])) for k in range(n)]
-    placed += [(8, k, int(component[k])) for k in range(0, n, 3)]
-    agree = (sketch[:, None] == sketch).sum(2) * (component[:, None] != component)
-    agree[agree < bagminhash.LIKELY * size] = 0
-    want = {(a, b) for a, b in zip(*np.nonzero(agree)) if a < b}
-    assert len(want) > 20
-    if best_only:
-        want = set()
-        for ids in (np.arange(n), np.arange(0, n, 3)):
-            part = agree[np.ix_(ids, ids)]
-            want |= {tuple(sorted((ids[k], ids[part[k].argmax()])))
-                     for k in range(len(ids)) if part[k].any()}
-    got = bagminhash._candidates(
-        spark.createDataFrame(placed, "bucket bigint, id bigint, component bigint"),
-        spark.createDataFrame([(k, sketch[k].tobytes(), bands[k].tolist()) for k in range(n)],
-                              "id bigint, sketch binary, bands array<bigint>"), best_only).collect()
-    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    placed = [(7, k, int(component[k]), weight) for k in range(n)]
+    placed += [(8, k, int(component[k]), weight) for k in range(0, n, 3)]
+    agree = (sketch[:, None] == sketch).sum(2)
+    links = [(0, k) for k in range(150)]
+    for x, y in zip(*np.nonzero(agree >= bagminhash.LIKELY * size)):
+        if x < y and component[x] != component[y] and bagminhash.overlap(bags[x], bags[y]) >= 0.8:
+            links.append((int(x), int(y)))
+    assert len(links) > 600
+    dealt = bagminhash._dealt(spark.createDataFrame(
+        placed, "bucket bigint, id bigint, component bigint, weight bigint"))
+    held = spark.createDataFrame(
+        [(k, sketch[k].tobytes(), bands[k].tolist(), h.tobytes() + c.astype(np.uint32).tobytes())
+         for k, (h, c) in enumerate(bags)], "id bigint, sketch binary, bands array<bigint>, bag binary")
+    got = bagminhash._links_of_blocks(dealt.join(held, "id")).collect()
+    for r in got:
+        assert r.similarity == pytest.approx(bagminhash.overlap(bags[r.a], bags[r.b])) and r.similarity >= 0.8
+
+    def groups(pairs):
+        above = list(range(n))
+        for x, y in pairs:
+            while above[x] != x:
+                x = above[x]
+            while above[y] != y:
+                y = above[y]
+            above[max(x, y)] = min(x, y)
+        def top(x):
+            return x if above[x] == x else top(above[x])
+        return [top(x) for x in range(n)]
+
+    assert groups(links[:150] + [(r.a, r.b) for r in got]) == groups(links)
+    inside = bagminhash.joining_links(7, [
+        np.arange(n), component, sketch, bands, [h.tobytes() + c.astype(np.uint32).tobytes() for h, c in bags]],
+        None)
+    assert len(inside) < 250 and groups(links[:150] + [x[:2] for x in inside]) == groups(links)
 
 
 def test_blocks_of_one_component_do_not_meet(spark, monkeypatch):
@@ -289,7 +325,7 @@ def test_blocks_of_one_component_do_not_meet(spark, monkeypatch):
     placed += [(9, k, 0) for k in range(1000)] + [(9, 1300, 2)]
     placed += [(10, k, component[k]) for k in range(900, 1100)]
     rows = bagminhash._dealt(spark.createDataFrame(
-        placed, "bucket bigint, id bigint, component bigint")).collect()
+        [(*p, 1) for p in placed], "bucket bigint, id bigint, component bigint, weight bigint")).collect()
     groups = {}
     for r in rows:
         groups.setdefault((r.bucket, r.i, r.j), ([], []))[r.side].append((r.id, r.component))
@@ -314,9 +350,10 @@ def test_one_row_of_each_class_stays(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(3, text, "a"), (3, text, "b"), (1, text + " x", "c"), (None, text, "d"), (8, None, "e"),
             (9, "", "f"), (None, None, "g")]
-    docs = spark.createDataFrame(rows, SCHEMA + ", id string")
+    docs = spark.createDataFrame([(*r, 5, "z") for r in rows], SCHEMA + ", id string, __row int, __id string")
     kept = bagminhash.one_of_each(docs)
     assert kept.columns == docs.columns
+    assert {(r["__row"], r["__id"]) for r in kept.collect()} == {(5, "z")}
     assert sorted(r.id for r in kept.collect()) == ["c", "d", "e", "f", "g"]
     assert bagminhash.one_of_each(docs.where("doc_id = 77")).count() == 0
 

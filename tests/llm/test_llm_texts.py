@@ -82,9 +82,11 @@ def test_tokens_equal_the_library(documents, encode):
     library = Tokenizer.from_file(PATH)
     data = [t.encode() for t in texts]
     if encode == "queue":
-        found = [bpe.Bpe(PATH).encode(t) for t in data[:3]]
-        own = bpe.load(PATH)
-        found = [own.encode(t) for t in data]
+        own = bpe.Bpe(PATH)
+        ids, at = own.encode(*arrays(texts))
+        spelled, place = own.spell(ids)
+        found = [(ids[x:y].tobytes(), bytes(spelled[place[x]:max(place[y] - 1, place[x])]))
+                 for x, y in zip(at, at[1:])]
     else:
         found = [(i.tobytes(), None) for i in repair.Encoder(PATH).encode(data)]
     for text, (ids, decoded) in zip(texts, found):
@@ -94,6 +96,21 @@ def test_tokens_equal_the_library(documents, encode):
             assert decoded.decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_memo_of_pieces_is_bounded_by_bytes():
+    memo = bpe._Memo(lambda key: (key,) * 10, 20_000)
+    for _ in range(2):
+        for k in range(3000):
+            assert memo[f"piece{k}"] == (f"piece{k}",) * 10
+            assert memo["often"] == ("often",) * 10
+    assert memo.weight <= 20_000 and len(memo) + len(memo.older) < 200 and "often" in memo
+    own = bpe.Bpe(PATH)
+    own.pieces.limit = 5_000
+    texts = random_texts(["a", "b", "c", " "], 200, 60)
+    ids, at = own.encode(*arrays(texts))
+    want, _ = bpe.load(PATH).encode(*arrays(texts))
+    assert np.array_equal(ids, want) and len(own.pieces) < 60
+
+
 def test_with_tokens_over_odd_rows(odd_rows):
     got = bpe.with_tokens(odd_rows, PATH, outputs=("n_tokens", "ids", "decoded", "ids_sha256"))
     assert got.columns == ["doc_id", "text", "__words", "score", "n_tokens", "ids", "decoded",

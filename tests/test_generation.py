@@ -75,12 +75,29 @@ def test_random_reply_reaches_its_target(turns):
                 assert [x.split(". ")[0] for x in lines] == [str(k + 1) for k in range(len(lines))]
 
 
-def test_registered_replies_reach_their_target(spark):
+def test_registered_replies_have_the_default_ranges(spark):
     rows = QUERIES["gen_random_reply"](spark, SF_DIR).collect()
-    assert rows
-    for r in rows:
-        n = len(r.reply.split())
-        assert 0 < n <= max(r.target_words * 1.3, r.target_words + 1)
+    assert rows and all(r.n_chars > 0 for r in rows)
+    assert min(r.target_words for r in rows) >= 20 and max(r.target_words for r in rows) > 250
+
+
+@pytest.mark.parametrize("target", [3, 9, 30])
+def test_a_pool_is_used_up_before_it_repeats(spark, target):
+    pool = ["a b.", "c", "d e f", "g h", "i"]
+    df = spark.range(40).select("id", F.lit("x y").alias("t"))
+    reply = g.sized_reply(F.col("t"), F.lit(target).cast("bigint"), y.fixed_pool(pool),
+                          y.Draws(SEED, (F.col("id"),)), use_up=True)
+    orders = set()
+    for r in df.select(reply.alias("r")).collect():
+        words = r.r.split()
+        assert words[:2] == ["x", "y"] and target <= len(words) < target + 3
+        rest, used = words[2:], []
+        while rest and len(used) < len(pool):
+            used.append(next(p for p in pool if rest[:len(p.split())] == p.split()))
+            rest = rest[len(used[-1].split()):]
+        assert len(set(used)) == len(used) and (not rest or len(used) == len(pool))
+        orders.add(tuple(used))
+    assert len(orders) > 3
 
 
 def test_sized_reply(spark):
