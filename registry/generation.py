@@ -1,14 +1,15 @@
 """Synthetic conversations, grown from the given tables.
 
 One conversation is generated per conversation id of the message table; word
-pools are the words of its own first message, so the work and the data both
-come from the tables.
+pools are the words of all its messages, templates and extensions come from other
+tables, so the work and the data both come from the tables.
 """
 
 from pyspark.sql import functions as F
 
 from palaver.functions import synth as y
-from palaver.functions.text import fit_words, words
+from palaver.functions.draws import draw, pick, uniform_int
+from palaver.functions.text import words
 from palaver.operators import generate as g
 from palaver.operators.assemble import conversation_rows
 from registry.base import (SEED, TOPIC_WEIGHTS, messages, query, sql_choice, sql_draw, sql_unit,
@@ -31,6 +32,11 @@ def _ids(spark, sf_dir):
 _IDS_SQL = "ids AS (SELECT DISTINCT conv_id FROM conversations)"
 
 
+def _upper(text: str) -> str:
+    """Upper case as Unicode has it: one letter becomes two, which DuckDB keeps as one."""
+    return f"replace(upper({text}), 'ẞ', 'SS')"
+
+
 def _turn_case(bucket: str) -> str:
     draw = sql_draw("turns", "conv_id")
     return (f"CASE {bucket} WHEN 0 THEN 2 + {draw} % 4 WHEN 1 THEN 6 + {draw} % 10 "
@@ -81,21 +87,27 @@ def gen_lengths(spark, sf_dir):
 
 
 def _pools(spark, sf_dir):
-    """First message of every conversation, as words."""
-    first = messages(spark, sf_dir).filter("turn = 0")
-    return first.select("conv_id", words(F.col("text")).alias("pool"))
+    """The words of all messages of every conversation, in order."""
+    said = F.coalesce(words(F.col("text")), F.array().cast("array<string>"))
+    told = messages(spark, sf_dir).groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", said.alias("w")))).alias("m"))
+    return told.select("conv_id", F.flatten(F.transform("m", lambda x: x["w"])).alias("pool"))
 
 
-_POOL_SQL = r"""pools AS (SELECT conv_id, list_filter(regexp_split_to_array(text, '\s+'),
-   lambda w: w <> '') AS pool FROM conversations WHERE turn = 0)"""
+_POOL_SQL = r"""pools AS (SELECT conv_id, flatten(list(list_filter(regexp_split_to_array(text, '\s+'),
+   lambda w: w <> '') ORDER BY turn)) AS pool FROM conversations GROUP BY conv_id)"""
 
 
 def _repeat_turns(spark, sf_dir, most=9):
+    """Turns with a base of the style: a drawn word, its first letters, or 2 to 9 words from there on."""
     plan = g.uniform_turns(g.with_topic(_pools(spark, sf_dir), REPEAT_WEIGHTS, SEED, "style"),
                            2, most, SEED)
-    base = F.when(F.col("style") == "single_word", F.col("pool")[0]).when(
-        F.col("style") == "letter_repeat", F.substring(F.col("pool")[0], 1, 3)).otherwise(
-        F.array_join(F.slice("pool", 1, 4), " "))
+    at = (F.pmod(draw(SEED, "base", F.col("conv_id")), F.size("pool")) + 1).cast("int")
+    size = uniform_int(draw(SEED, "size", F.col("conv_id")), 2, 9).cast("int")
+    word = F.try_element_at("pool", at)
+    base = F.when(F.col("style") == "single_word", word).when(
+        F.col("style") == "letter_repeat", F.substring(word, 1, 3)).otherwise(
+        F.array_join(F.slice("pool", at, size), " "))
     return g.turn_rows(plan.withColumn("base", base).drop("pool"), _tasks(spark))
 
 
@@ -111,9 +123,11 @@ def _repeat_cte(most: int) -> str:
     return f"""{_POOL_SQL},
 rp AS (SELECT conv_id, pool, (2 + {sql_draw('turns', 'conv_id')} % {most - 1})::BIGINT AS num_turns,
         {sql_choice(sql_unit('style', 'conv_id'), REPEAT_WEIGHTS)} AS style FROM pools),
-rb AS (SELECT conv_id, num_turns, style, CASE style WHEN 'single_word' THEN pool[1]
-        WHEN 'letter_repeat' THEN substr(pool[1], 1, 3)
-        ELSE array_to_string(pool[1:4], ' ') END AS base FROM rp),
+rs AS (SELECT *, ({sql_draw('base', 'conv_id')} % len(pool) + 1)::BIGINT AS at_,
+        (2 + {sql_draw('size', 'conv_id')} % 8)::BIGINT AS size_ FROM rp),
+rb AS (SELECT conv_id, num_turns, style, CASE style WHEN 'single_word' THEN pool[at_]
+        WHEN 'letter_repeat' THEN substr(pool[at_], 1, 3)
+        ELSE array_to_string(pool[at_:at_ + size_ - 1], ' ') END AS base FROM rs),
 rt AS (SELECT *, unnest(range(num_turns)) AS turn_no FROM rb),
 rn AS (SELECT *, (CASE style WHEN 'single_word' THEN 5 + {_R} % 96 WHEN 'phrase_repeat' THEN 3 + {_R} % 48
         WHEN 'counting_repeat' THEN 5 + {_R} % 26 WHEN 'letter_repeat' THEN 50 + {_R} % 451
@@ -218,7 +232,7 @@ l6 AS (SELECT *, unnest(range(size::BIGINT)) AS q FROM l5),
 l7 AS (SELECT *, pool[({sql_draw('word', 'conv_id', 'turn_no', '(start + q)::BIGINT')} % len(pool) + 1)::BIGINT]
          AS w FROM l6),
 l8 AS (SELECT conv_id, turn_no, style, s, string_agg(CASE WHEN q = 0
-         THEN upper(substr(w, 1, 1)) || lower(substr(w, 2)) ELSE w END
+         THEN {_upper('substr(w, 1, 1)')} || lower(substr(w, 2)) ELSE w END
          || CASE WHEN q = comma THEN ',' ELSE '' END, ' ' ORDER BY q) || '.' AS x
        FROM l7 GROUP BY conv_id, turn_no, style, s),
 tl AS (SELECT conv_id, turn_no, style, string_agg(x, ' ' ORDER BY s) AS t FROM l8
@@ -299,7 +313,7 @@ def _reply_sql() -> str:
         's': s, 'start': coalesce(list_sum(({lengths})[1:s]), 0)::BIGINT,
         'size': least(({lengths})[s + 1], {n} - coalesce(list_sum(({lengths})[1:s]), 0))::BIGINT}}),
         lambda x: x.size > 0), lambda x: {joined('x.size', 'q', f"""CASE WHEN q = 0
-            THEN upper(substr({word}, 1, 1)) || lower(substr({word}, 2)) ELSE {word} END
+            THEN {_upper(f'substr({word}, 1, 1)')} || lower(substr({word}, 2)) ELSE {word} END
             || CASE WHEN q = {comma} THEN ',' ELSE '' END""")} || '.'), ' ')"""
     bullets = joined(between(3, 6, "items"), "j", "'- ' || " + joined(
         between(3, 8, "words", "j"), "w", pk("word", "j", "w")), "chr(10)")
@@ -351,7 +365,6 @@ def _pages(spark, sf_dir):
 
 def _media_turns(spark, sf_dir):
     plan = g.uniform_turns(_pools(spark, sf_dir), 2, 6, SEED)
-    from palaver.functions.draws import draw
     picked = g.pick_from_table(plan, _pages(spark, sf_dir), "page_id",
                                draw(SEED, "page", F.col("conv_id")), SEED)
     return g.by_turn_kind(g.turn_rows(picked, _tasks(spark)))
@@ -385,34 +398,54 @@ def gen_template(spark, sf_dir):
     return _media_turns(spark, sf_dir).select("conv_id", "turn_no", _rendered().alias("user_text"))
 
 
-FILLER = "please note that this goes on for a while longer."
-
-
-def _reply(user_text):
-    template = F.lit("You said {word} here: {count} times in {length} characters.")
-    base = y.repeat_reply(F.col("style"), template, F.col("base"), user_text)
-    return fit_words(base, F.array(*[F.lit(w) for w in FILLER.split()]), F.col("target_words"))
+def _names(spark, sf_dir, name, key, value):
+    """A column of a small table as one array, by key."""
+    return table(spark, sf_dir, name).agg(F.transform(F.array_sort(F.collect_list(
+        F.struct(key, value))), lambda x: x[value])).scalar()
 
 
 def generated_messages(spark, sf_dir):
-    turns = g.with_target_words(_repeat_turns(spark, sf_dir), SEED)
-    turns = turns.withColumn("user_text", _repeat_text())
-    return g.chat_messages(turns, F.concat(F.lit("Style: "), F.col("style")), F.col("user_text"),
-                           _reply(F.col("user_text")))
+    """Repetitive chats: reply templates named after regions, extended by names of nations."""
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    turns = g.with_target_words(_repeat_turns(spark, sf_dir), SEED).withColumns(
+        {"user_text": _repeat_text(), "regions": _names(spark, sf_dir, "region", "r_regionkey", "r_name"),
+         "nations": _names(spark, sf_dir, "nation", "n_nationkey", "n_name")})
+    template = F.concat(F.lit("In "), pick(d("template"), F.col("regions")),
+                        F.lit(" they say {word} here: {count} times in {length} characters."))
+    reply = y.repeat_reply(F.col("style"), template, F.col("base"), F.col("user_text"))
+    reply = g.sized_reply(reply, F.col("target_words"), F.col("nations"), d)
+    return g.chat_messages(turns, F.concat(F.lit("Style: "), F.col("style")), F.col("user_text"), reply)
 
 
 _GEN_CTE = f"""{_repeat_cte(9)},
 plan AS (SELECT conv_id, num_turns FROM rb), {_phase_sql(5, 20)},
-gr AS (SELECT ru.*, target_words, list_filter(regexp_split_to_array('You said ' || base || ' here: '
+names AS (SELECT (SELECT list(r_name ORDER BY r_regionkey) FROM region) AS regions,
+            (SELECT list(n_name ORDER BY n_nationkey) FROM nation) AS nations),
+gr AS (SELECT ru.*, target_words, list_filter(regexp_split_to_array('In '
+        || regions[({sql_draw('template', 'conv_id', 'turn_no')} % len(regions) + 1)::BIGINT]
+        || ' they say ' || base || ' here: '
         || ((length(user_text) - length(replace(user_text, base, ''))) // length(base))
         || ' times in ' || length(user_text) || ' characters.', '\\s+'), lambda w: w <> '') AS bw
-       FROM ru JOIN sized USING (conv_id, turn_no)),
-gp AS (SELECT *, CASE WHEN len(bw) < target_words THEN bw || flatten(list_transform(
-         range(ceil((target_words - len(bw)) / {len(FILLER.split())}.0)::BIGINT),
-         lambda i: string_split('{FILLER}', ' '))) ELSE bw END AS rw FROM gr),
+       FROM ru JOIN sized USING (conv_id, turn_no) CROSS JOIN names),
+gx AS (SELECT conv_id, turn_no, target_words - len(bw) AS missing, unnest(range(target_words - len(bw))) AS i
+       FROM gr WHERE len(bw) < target_words),
+gw AS (SELECT conv_id, turn_no, missing, i, string_split(
+         nations[({sql_draw('extension', 'conv_id', 'turn_no', 'i')} % len(nations) + 1)::BIGINT], ' ') AS w
+       FROM gx CROSS JOIN names),
+gb AS (SELECT *, coalesce(sum(len(w)) OVER (PARTITION BY conv_id, turn_no ORDER BY i
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM gw),
+ge AS (SELECT conv_id, turn_no, flatten(list(w ORDER BY i)) AS ext FROM gb WHERE before < missing
+       GROUP BY conv_id, turn_no),
+gs AS (SELECT gr.*, ext, array_to_string(bw[1:target_words], ' ') AS short FROM gr
+       LEFT JOIN ge USING (conv_id, turn_no)),
+gp AS (SELECT *, CASE WHEN len(bw) < target_words THEN array_to_string(bw || ext, ' ')
+         WHEN len(bw) > target_words * 1.3 THEN CASE WHEN strpos(reverse(short), '.') > 0
+           AND length(short) - strpos(reverse(short), '.') > 0.7 * length(short)
+           THEN substr(short, 1, length(short) - strpos(reverse(short), '.') + 1) ELSE short END
+         ELSE array_to_string(bw, ' ') END AS reply FROM gs),
 msgs AS (SELECT conv_id, 0::BIGINT AS turn, 'system' AS role, 'Style: ' || style AS text FROM rb
   UNION ALL SELECT conv_id, turn_no * 2 + 1, 'user', user_text FROM ru
-  UNION ALL SELECT conv_id, turn_no * 2 + 2, 'assistant', array_to_string(rw, ' ') FROM gp)"""
+  UNION ALL SELECT conv_id, turn_no * 2 + 2, 'assistant', reply FROM gp)"""
 
 
 @query("gen_messages", f"""WITH {_GEN_CTE}
@@ -439,19 +472,29 @@ def gen_conversations(spark, sf_dir):
                                                 lambda x: x.cast("string")), ",").alias("cumulative"))
 
 
-@query("gen_multimodal", f"""WITH {_MEDIA_CTE}
+@query("gen_multimodal", f"""WITH {_MEDIA_CTE},
+mr AS (SELECT *, array_to_string(list_transform(range((5 + {_rd('words')} % 16)::BIGINT),
+         lambda i: {_pk('word', 'i')}), ' ') AS reply,
+         'Look at ' || pool[({sql_draw('system', 'conv_id')} % len(pool) + 1)::BIGINT] AS prompt FROM mu)
 SELECT conv_id, count(*) AS num_turns, (1 + 2 * count(*))::BIGINT AS num_messages,
-       (7 + sum(length(user_text)) + 2 * count(*))::BIGINT AS total_characters,
-       max(CASE WHEN turn_no = 0 THEN url END) AS media_url
-FROM mu GROUP BY conv_id""")
+       any_value(prompt) AS system_prompt,
+       (length(any_value(prompt)) + sum(length(user_text)) + sum(length(reply)))::BIGINT AS total_characters,
+       max(CASE WHEN turn_no = 0 THEN url END) AS media_url,
+       md5(string_agg(reply, chr(10) ORDER BY turn_no)) AS replies_md5
+FROM mr GROUP BY conv_id""")
 def gen_multimodal(spark, sf_dir):
-    rows = _media_turns(spark, sf_dir)
-    made = g.chat_messages(rows, F.lit("Look it"), _rendered(), F.lit("ok"), "file", F.col("url"))
+    """Conversations about a page, with drawn prompts and replies."""
+    d = y.Draws(SEED, (F.col("conv_id"), F.col("turn_no")))
+    prompt = F.concat(F.lit("Look at "), pick(draw(SEED, "system", F.col("conv_id")), F.col("pool")))
+    made = g.chat_messages(_media_turns(spark, sf_dir), prompt, _rendered(),
+                           y.random_words(F.col("pool"), d, 5, 20), "file", F.col("url"))
     conv = conversation_rows(made, typed_parts=True)
     first = F.element_at("messages", 2)["parts"]
+    replies = F.transform(F.filter("messages", lambda m: m["role"] == "assistant"), lambda m: m["content"])
     return conv.select(
-        F.col("conversation_id").alias("conv_id"), "num_turns", "num_messages", "total_characters",
-        F.element_at(first, 2)["file"]["url"].alias("media_url"))
+        F.col("conversation_id").alias("conv_id"), "num_turns", "num_messages", "system_prompt",
+        "total_characters", F.element_at(first, 2)["file"]["url"].alias("media_url"),
+        F.md5(F.array_join(replies, "\n")).alias("replies_md5"))
 
 
 def _templates(spark, sf_dir):
@@ -470,7 +513,6 @@ n AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY {sql_draw('pool',
 SELECT conv_id, turn_no, k.kind, item_id, md5(text) AS text_md5
 FROM k JOIN n ON n.kind = k.kind AND n.no = {sql_draw('template', 'conv_id', 'turn_no')} % n.size + 1""")
 def gen_openers(spark, sf_dir):
-    from palaver.functions.draws import draw
     turns = g.by_turn_kind(g.turn_rows(g.uniform_turns(_ids(spark, sf_dir), 2, 25, SEED)))
     picked = g.pick_from_table(turns, _templates(spark, sf_dir), "item_id",
                                draw(SEED, "template", F.col("conv_id"), F.col("turn_no")),
@@ -506,7 +548,6 @@ SELECT conv_id, turn_no, target, CASE WHEN n < target THEN 'padded' WHEN n > tar
 @query("gen_sized_reply", _SIZED_SQL)
 def gen_sized_reply(spark, sf_dir):
     """Every message brought to a drawn length; a pool of names is used up before it repeats."""
-    from palaver.functions.draws import draw, uniform_int
     pool = table(spark, sf_dir, "nation").agg(F.transform(F.array_sort(F.collect_list(
         F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"]).alias("pool")).scalar()
     rows = messages(spark, sf_dir).select("conv_id", F.col("turn").alias("turn_no"), "text").withColumns(
