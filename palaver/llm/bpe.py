@@ -8,8 +8,8 @@ vocabulary strings, with a blank between tokens where the file names no decoder.
 
 Normalising and cutting into pieces follow the tokenizer file, by the public
 library's own components.  Where the cutting drops white space, texts are first
-split on it and equal chunks are encoded once per worker; that memo is bounded
-and only saves time.
+split on it and equal chunks of a slice are encoded once.  A worker remembers the ids of
+pieces in two generations of about ``MEMO_BYTES`` each, which only saves time.
 
 NULL is the empty text: no token, and the digests of nothing.  Repeated rows give
 repeated rows; other columns are passed through only by :func:`with_tokens`.
@@ -21,7 +21,9 @@ import hashlib
 import heapq
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -29,28 +31,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import utf8
+from palaver.llm.common import SPACED, slices, utf8
 
-MEMO = 200_000
+MEMO_BYTES = 64 << 20
+BLOCK_BYTES = 8 << 20
 MARKS = tuple("!#$%&*,.:;?")
 PLAIN_CHUNK = re.compile(b"([A-Za-z]+)([!#$%&*,.:;?]*)")
 OUTPUTS = {
     "n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType(),
     "ids_sha256": T.StringType(), "decoded_sha256": T.StringType(),
 }
+#: What a dict needs for an entry besides key and value.
+ENTRY_BYTES = 104
 _loaded: dict[str, "Bpe"] = {}
 
 
 class _Memo(dict):
-    """A dict that computes what it lacks and starts anew when it is full."""
+    """A dict that computes what it lacks and forgets what was not asked for lately.
 
-    def __init__(self, compute, limit: int = MEMO):
+    When its entries weigh ``limit`` bytes they become the older generation, of
+    which those that are asked for again come back.
+    """
+
+    def __init__(self, compute, limit: int = MEMO_BYTES):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.weight = compute, limit, 0
+        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.compute(key)
-        if len(self) >= self.limit:
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self.weight += getsizeof(key) + getsizeof(value) + ENTRY_BYTES
+        if self.weight > self.limit:
+            self.older, self.weight = dict(self), 0
             self.clear()
         self[key] = value
         return value
@@ -87,7 +101,9 @@ class Bpe:
         #: chunks of letters and closing marks need no library call if it folds them so
         self.plain = all(self._pieces(f"Ab{m}") == ["ab", m] for m in MARKS + ("!!", ".,"))
         self.pieces = _Memo(self._encode_piece)
-        self.chunks = _Memo(self._encode_chunk)
+        #: strings of all ids, each before a blank, and where they begin
+        words = [self.strings.get(i, b"") + b" " for i in range(max(self.strings) + 1)]
+        self.spelled = pa.array(words, pa.large_binary())
 
     def _pieces(self, text: str) -> list[str]:
         if self.normalizer:
@@ -156,22 +172,46 @@ class Bpe:
         """Vocabulary strings of ``ids``, a blank between them."""
         return b" ".join(map(self.strings.__getitem__, ids))
 
-    def _encode_chunk(self, chunk: bytes) -> tuple[bytes, bytes]:
+    def _encode_chunk(self, chunk: bytes) -> tuple[int, ...] | list[int]:
         plain = self.plain and PLAIN_CHUNK.fullmatch(chunk)
         if plain:
             ids = self.pieces[plain[1].lower().decode()]
-            if plain[2]:
-                ids += self.pieces[plain[2].decode()]
-        else:
-            ids = self._ids(chunk.decode("utf-8", "replace"))
-        return np.array(ids, "<u4").tobytes(), self.decode(ids)
-
-    def encode(self, text: bytes) -> tuple[bytes, bytes]:
-        """Ids as little-endian 32-bit integers, and the decoded text."""
+            return ids + self.pieces[plain[2].decode()] if plain[2] else ids
+        return self._ids(chunk.decode("utf-8", "replace"))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a slice of texts, one after the other, and where those of each begin and end."""
         if not self.by_chunk:
-            return self._encode_chunk(text)
-        found = [self.chunks[c] for c in text.split()]
-        return b"".join([f[0] for f in found]), b" ".join([f[1] for f in found if f[0]])
+            lists = [self._encode_chunk(data[x:y].tobytes()) for x, y in zip(offsets, offsets[1:])]
+            return (np.fromiter(chain.from_iterable(lists), "<u4"),
+                    np.concatenate([[0], np.cumsum([len(i) for i in lists], dtype=np.int64)]))
+        inside = SPACED[data]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        borders = offsets[:-1][offsets[:-1] < len(data)]
+        first[borders] = inside[borders]
+        starts = np.flatnonzero(first)
+        # Chunks follow each other once the white space is gone.
+        places = np.concatenate([[0], np.cumsum(inside)])
+        cuts = np.append(places[starts], places[-1]).astype(np.int64)
+        chunks = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data[inside])])
+        coded = chunks.dictionary_encode()
+        lists = [self._encode_chunk(c) for c in coded.dictionary.to_pylist()]
+        sizes = np.array([len(i) for i in lists], np.int64)
+        flat = np.fromiter(chain.from_iterable(lists), "<u4", int(sizes.sum()))
+        code = coded.indices.to_numpy()
+        from_, size = (np.cumsum(sizes) - sizes)[code], sizes[code]
+        end = np.cumsum(size)
+        ids = flat[np.repeat(from_ - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+        return ids, np.concatenate([[0], end])[np.searchsorted(starts, offsets)]
+
+    def spell(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Vocabulary strings of all ids, each before a blank, and where each begins."""
+        found = self.spelled.take(pa.array(ids.astype(np.int64)))
+        if not len(found):
+            return b"", np.zeros(1, np.int64)
+        return memoryview(found.buffers()[2]), np.frombuffer(found.buffers()[1], np.int64)[:len(found) + 1]
 
 
 def load(path: str) -> Bpe:
@@ -181,14 +221,24 @@ def load(path: str) -> Bpe:
     return _loaded[path]
 
 
-def _value(name: str, ids: bytes, decoded: bytes):
+def _values(name: str, ids: np.ndarray, at: np.ndarray, spelled: tuple) -> pa.Array:
+    """A column for texts whose ids lie between places ``at``."""
     if name == "n_tokens":
-        return len(ids) // 4
+        return pa.array(np.diff(at))
     if name == "ids":
-        return np.frombuffer(ids, "<u4").astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
+    if name == "ids_sha256":
+        data, borders = memoryview(ids.astype("<u4")).cast("B") if len(ids) else b"", 4 * at
+        ends = borders[1:]
+    else:
+        data, place = spelled
+        borders = place[at]
+        # No blank after the last token of a text.
+        ends = np.maximum(borders[1:] - 1, borders[:-1])
+    parts = (data[x:y] for x, y in zip(borders[:-1].tolist(), ends.tolist()))
     if name == "decoded":
-        return decoded.decode()
-    return hashlib.sha256(ids if name == "ids_sha256" else decoded).hexdigest()
+        return pa.array([bytes(p).decode() for p in parts], pa.string())
+    return pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())
 
 
 def with_tokens(docs: DataFrame, path: str, text: str = "text",
@@ -201,18 +251,16 @@ def with_tokens(docs: DataFrame, path: str, text: str = "text",
     keep = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
     schema = T.StructType([docs.schema[c] for c in keep]
                           + [T.StructField(o, OUTPUTS[o]) for o in outputs])
+    spells = {"decoded", "decoded_sha256"} & set(outputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            texts = batch.column(len(keep))
-            for row in range(0, len(texts), 500):
-                found = [bpe.encode(t) for t in texts[row:row + 500].to_pylist()]
-                made = [pa.array([_value(o, *f) for f in found],
-                                 pa.list_(pa.int32()) if o == "ids"
-                                 else pa.int64() if o == "n_tokens" else pa.string())
-                        for o in outputs]
-                rest = [c.slice(row, 500) for c in batch.columns[:len(keep)]]
+            for row, end, data, offsets in slices(batch.column(len(keep)), BLOCK_BYTES):
+                ids, at = bpe.encode(data, offsets)
+                spelled = bpe.spell(ids) if spells else None
+                made = [_values(o, ids, at, spelled) for o in outputs]
+                rest = [c.slice(row, end - row) for c in batch.columns[:len(keep)]]
                 yield pa.RecordBatch.from_arrays(rest + made, names=schema.names)
 
     rows = docs.select(*(F.col(f"`{c}`") for c in keep), utf8(text).alias("__bytes"))
