@@ -111,8 +111,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: s
 def train(rows: DataFrame, epochs: int = 6, **settings: float) -> Model:
     """Fit on a bounded table of ``draw, label, text``.
 
-    Texts become coordinates where they lie; one task then learns from the
-    bounded rows in the order of their draw.
+    Texts become coordinates where they lie; only the bounded rows then meet in one
+    task, which learns from them in the order of their draw.
     """
     def to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +147,7 @@ def train(rows: DataFrame, epochs: int = 6, **settings: float) -> Model:
             [pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([w[at]]),
              pa.array([model.bias()])], names=["places", "weights", "bias"])
 
-    learned = (rows.mapInArrow(to_features, "draw long, label int, at array<int>").coalesce(1)
+    learned = (rows.mapInArrow(to_features, "draw long, label int, at array<int>").repartition(1)
                .mapInArrow(fit, "places array<int>, weights array<double>, bias double").first())
     if learned is None:
         return Model(np.zeros(0, np.int32), np.zeros(0), START_BIAS)
