@@ -142,7 +142,7 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
     return rows.select("id", "tie", "text").mapInArrow(run, ANCHOR)
 
 
-ANCHOR = ("core long, around long, id long, tie int, place int, low short, high short, "
+ANCHOR = ("core long, around long, id long, tie long, place int, low short, high short, "
           "done boolean")
 
 
@@ -228,7 +228,7 @@ def settle_cores(rows: DataFrame, chunk_size: int = CHUNK, held_rows: int = HELD
             goes_on = hot and last[0] == c[0][0]
             yield out(settle(c, last, goes_on, number)[0])
 
-    return rows.mapInArrow(run, "core long, id long, tie int, place int, low short, high short, "
+    return rows.mapInArrow(run, "core long, id long, tie long, place int, low short, high short, "
                            "chunk long, hot boolean")
 
 
@@ -377,7 +377,7 @@ def windows_of(wanted: DataFrame, rows: DataFrame) -> DataFrame:
 
     texts = rows.select("id", "tie", "text").dropDuplicates(["id", "tie"])
     return per_text.join(texts, ["id", "tie"]).select("id", "tie", "anchors", "text").mapInArrow(
-        run, "core long, chunk long, hot boolean, id long, tie int, place int, low short, "
+        run, "core long, chunk long, hot boolean, id long, tie long, place int, low short, "
         "high short, around binary")
 
 
@@ -428,7 +428,7 @@ def sorted_suffixes(windows: DataFrame, chunk_size: int = CHUNK) -> DataFrame:
 
     dealt = windows.repartition("core", "chunk").sortWithinPartitions("core", "chunk")
     return dealt.mapInArrow(
-        run, "id long, tie int, start long, stop long, h1 long, h2 long")
+        run, "id long, tie long, start long, stop long, h1 long, h2 long")
 
 
 SPAN_NAMES = ["id", "tie", "start", "stop", "h1", "h2"]
@@ -442,7 +442,7 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     body = utf8(text)
     return docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns),
                        F.coalesce(F.col(doc_id).cast("long"), least).alias("id"),
-                       (F.crc32(body) - (1 << 31)).cast("int").alias("tie"), body.alias("text"))
+                       F.xxhash64(body).alias("tie"), body.alias("text"))
 
 
 def covered_spans(rows: DataFrame, chunk_size: int = CHUNK, held_rows: int = HELD_ROWS
@@ -524,8 +524,13 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     part.columns[:at] + [pa.array(values[o], arrow.get(o, pa.int64()))
                                          for o in outputs], names=schema.names)
 
-    same = Window.partitionBy("id", "tie").orderBy("id", "tie")
-    joined = rows.join(covered_spans(rows, **sizes), ["id", "tie"], "left").withColumn(
+    # A row is a copy only of a row with the same text; texts that are too short to have
+    # a repeat need neither a number nor spans, however many there are.
+    long = rows.where(F.octet_length("text") >= LENGTH)
+    same = Window.partitionBy("id", "tie", F.sha2("text", 256)).orderBy("id", "tie")
+    long = long.join(covered_spans(rows, **sizes), ["id", "tie"], "left").withColumn(
         "copy", F.row_number().over(same))
-    return joined.select(*(f"`in_{c}`" for c in keep), "text", "copy", "spans").mapInArrow(
-        run, schema)
+    short = rows.where(F.octet_length("text") < LENGTH).withColumns(
+        {"copy": F.lit(1), "spans": F.lit(None).cast(long.schema["spans"].dataType)})
+    wanted = [*(f"`in_{c}`" for c in keep), "text", "copy", "spans"]
+    return long.select(*wanted).union(short.select(*wanted)).mapInArrow(run, schema)
