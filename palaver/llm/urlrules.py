@@ -5,19 +5,26 @@ subdomains where the path starts with the rule's, and the longest rule wins.
 Other URLs are judged by association rules.  Their transactions are the tokens
 of labelled URLs (domain suffixes, path segments, query keys) with the label as one
 more item; a URL's label is what the list says, else what a labels table says of
-its id.  FP-growth mines them; rules with a label as their consequent are pruned
-by confidence and support.  Each rule is posted under its rarest token, and what
+its id.  Tokens that always stand together (the constant parts of a host's URLs) count
+as one, under the first of their names: they would fit the same URLs in every combination.
+FP-growth mines what is left; rules with a label as their consequent are pruned
+by confidence and by support, which is a share of the labelled URLs and ``LEAST_ROWS``
+of them at least.  Each rule is posted under its rarest token, and what
 it is posted under is looked up by the distinct token sets of the URLs, so equal
 sets are judged once.  Of all rules that fit, the one with the highest
 confidence (then the longest, then the one of most support, then allow) decides;
 without one the URL is allowed.
 
 NULL and URLs without ``://`` have an empty host and path and no token, and are
-allowed.  Without a labelled URL there is no rule.  Repeated rows are judged alike.
+allowed.  Without a labelled URL there is no rule.  Repeated rows are judged alike, and
+ties of rules are settled by their tokens.  Only id and URL are read, so other columns
+may have any name; an empty table has an empty result.  URLs are read whole.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +32,7 @@ from pyspark.sql import functions as F
 from palaver.llm.common import written
 
 MIN_SUPPORT = 0.002
+LEAST_ROWS = 5
 MIN_CONFIDENCE = 0.8
 LABEL = "label="
 #: Hosts, paths and verdicts of the list.
@@ -89,17 +97,36 @@ def parsed(pages: DataFrame, url: str = "url") -> DataFrame:
             .withColumn("verdict", F.col("__listed.verdict")).drop("__listed"))
 
 
+def leading_tokens(rows: DataFrame, least: int) -> DataFrame:
+    """``leaders``: one array of the tokens of at least ``least`` of the ``row, tokens``.
+
+    Of tokens that stand in exactly the same rows, only the first is in it.  It holds at
+    most the mean number of a row's tokens divided by the least share of the rows.
+    """
+    row = F.xxhash64("row")
+    tokens = rows.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(row).alias("h1"),
+        F.bit_xor(F.xxhash64(row, F.lit(1))).alias("h2"))
+    alike = tokens.where(F.col("n") >= least).groupBy("n", "h1", "h2").agg(F.min("token").alias("token"))
+    return alike.agg(F.collect_set("token").alias("leaders"))
+
+
 def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+                min_confidence: float = MIN_CONFIDENCE, least_rows: int = LEAST_ROWS) -> DataFrame:
     """``posted, antecedent, verdict, confidence, support`` of rows ``tokens, verdict``."""
-    items = written(labelled.select(F.array_append(
-        "tokens", F.concat(F.lit(LABEL), F.col("verdict"))).alias("items")), "transactions")
-    if items.isEmpty():
+    rows = written(labelled.withColumn("row", F.monotonically_increasing_id()), "labelled-urls")
+    total = rows.count()
+    least = max(least_rows, math.ceil(min_support * total))
+    if total < least:
         return labelled.sparkSession.createDataFrame([], (
             "posted string, antecedent array<string>, verdict string, "
             "confidence double, support double"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(
-        items)
+    usual = F.array_intersect("tokens", leading_tokens(rows, least).scalar())
+    items = written(rows.select(F.array_append(
+        usual, F.concat(F.lit(LABEL), F.col("verdict"))).alias("items")), "transactions")
+    # Half a row less, so that no rounding leaves out a set of exactly that many.
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total,
+                     minConfidence=min_confidence).fit(items)
     label = F.element_at("consequent", 1)
     rules = model.associationRules.where(label.startswith(LABEL)).where(
         ~F.exists("antecedent", lambda t: t.startswith(LABEL)))
