@@ -13,13 +13,15 @@ Texts with equal multisets form a copy class first, and one representative stand
 for it.  Signatures are cut into bands.  Every representative is compared with the
 smallest one that shares a bucket with it, exactly, by multiset overlap.  What
 these links connect needs no more comparison.  Representatives of a bucket that are
-still apart are compared by a byte of each register: each is verified with its
-likeliest partner, and after that all pairs that are still apart and agree in
-``LIKELY`` of the registers or more (four standard deviations below what a
-similarity of 0.8 gives).  A bucket of more than ``BLOCK`` representatives is cut into
-blocks, and any two of its blocks are compared by themselves, so no task needs a
-whole bucket and no pair of a bucket is left out.  Blocks of one connected group are
-not compared with each other.
+still apart are compared by a byte of each register; pairs that agree in ``LIKELY`` of
+them or more (four standard deviations below what a similarity of 0.8 gives) are
+verified in the same task, likeliest first.  A pair that other links have
+joined meanwhile needs no verification, and a link is given only where it joins two
+groups, so a task gives fewer links than it has members, however many pairs it goes
+through.  Sketches travel to the blocks first, and shingles only of members that have a
+likely partner there.  A bucket of more than ``BLOCK`` bytes is cut into blocks, and any two of its
+blocks are compared by themselves, so no task needs a whole bucket and no pair of a
+bucket is left out.  Blocks of one connected group are not compared with each other.
 
 Words are parted by ASCII white space.  A text of one to four words is one shingle;
 an empty or NULL text has none and is a class of its own.  Rows of one id are one
@@ -35,17 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import ODD, Words, grams, mix, slices, utf8, written
+from palaver.llm.common import ODD, Words, grams, mix, sifted, slices, utf8, written
 from palaver.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 7
 REGISTERS = BANDS * ROWS
-WIDE = 5000
 LIKELY = 0.69
-HELD_ROWS = 20_000
-BLOCK = 2048
+BLOCK = 8 << 20
 _LEVEL = np.uint64(0xD6E8FEB86659FD93)
 _POINT = np.uint64(0xA0761D6478BD642F)
 
@@ -179,7 +179,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of at least ``SIMILARITY``, by their whole texts."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = written(rows.join(ids, "id", "left_semi"), "candidate-texts")
+    texts = written(sifted(rows, ids).join(ids, "id", "left_semi"), "candidate-texts")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
     # The last join sorts by ``a``, so a text with many partners is cut up once.
@@ -187,55 +187,120 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return written(joined.mapInArrow(_verify, "a long, b long, similarity double"), "verified")
 
 
-def likely_pairs(bucket: int, left: list[np.ndarray], right: list[np.ndarray] | None,
-                 best_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of two blocks of a bucket, or of one, that are apart and likely enough.
+def bags(rows: DataFrame) -> DataFrame:
+    """``id, bag`` of the columns ``id`` and ``text`` (bytes): sorted hashes, then counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in slices(batch.column(1), 1 << 20):
+                doc, h, weight = shingles(data, offsets)
+                at = np.searchsorted(doc, np.arange(end - row + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(row, end - row), pa.array(
+                        [h[x:y].tobytes() + weight[x:y].astype(np.uint32).tobytes()
+                         for x, y in zip(at, at[1:])], pa.binary())], names=["id", "bag"])
+
+    return rows.select("id", "text").mapInArrow(run, "id long, bag binary")
+
+
+def _opened(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(bag) // 12
+    return np.frombuffer(bag, np.uint64, n), np.frombuffer(bag, np.uint32, n, 8 * n).astype(np.int64)
+
+
+class _Groups:
+    """Groups of places that links have joined; a group's name is a place of it."""
+
+    def __init__(self, component: np.ndarray):
+        _, first, group = np.unique(component, return_index=True, return_inverse=True)
+        self.above = first[group]
+
+    def name(self, place: int) -> int:
+        while self.above[place] != place:
+            self.above[place] = place = self.above[self.above[place]]
+        return place
+
+    def join(self, x: int, y: int) -> None:
+        self.above[max(x, y)] = min(x, y)
 
-    Blocks are ids, components, sketches and bands.  The pairs come with the number of
-    registers that agree.  With ``best_only``, each text and its likeliest partner; else
-    a pair that meets in several buckets is given by that of its first common band.
+    def names(self) -> np.ndarray:
+        while (self.above != self.above[self.above]).any():
+            self.above = self.above[self.above]
+        return self.above
+
+
+class _Block:
+    """Members of a block, or of two, with the likely pairs of those that are apart.
+
+    Blocks are ids, components, sketches, bands and bags.  A pair that meets in several
+    buckets is looked at in that of its first common band.
     """
-    inside = right is None
-    id_, component, sketch, bands_ = left
-    id_2, component_2, sketch_2, bands_2 = left if inside else right
-    best, partner = np.zeros(len(id_2), np.int16), np.zeros(len(id_2), np.int64)
-    found = []
-    step = max(1, (8 << 20) // max(sketch_2.size, 1))
-    for low in range(0, len(id_), step):
-        part = slice(low, low + step)
-        agree = (sketch[part, None] == sketch_2).sum(2, dtype=np.int16)
-        agree[component[part, None] == component_2] = 0
-        agree[agree < LIKELY * sketch.shape[1]] = 0
-        if best_only:
-            other = agree.argmax(1)
-            row = np.flatnonzero(agree[np.arange(len(other)), other])
-            other = other[row]
-            if not inside:
-                most = agree.max(0)
-                partner = np.where(most > best, low + agree.argmax(0), partner)
-                best = np.maximum(most, best)
-        else:
-            row, other = np.nonzero(agree)
-            if inside:
+
+    def __init__(self, bucket: int, left: list, right: list | None):
+        self.bucket, self.inside, self.n = bucket, right is None, len(left[0])
+        self.left, self.right = left, left if right is None else right
+        whole = [left] if right is None else [left, right]
+        self.ids = np.concatenate([side[0] for side in whole])
+        self.bags = sum((side[4] for side in whole), [])
+        self.groups = _Groups(np.concatenate([side[1] for side in whole]))
+
+    def likely(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places of two members and the registers in which they agree, part by part."""
+        (_, _, sketch, bands_, _), (_, _, sketch_2, bands_2, _) = self.left, self.right
+        shift = 0 if self.inside else self.n
+        step = max(1, (8 << 20) // max(sketch_2.size, 1))
+        for low in range(0, self.n, step):
+            part = slice(low, min(low + step, self.n))
+            agree = (sketch[part, None] == sketch_2).sum(2, dtype=np.int16)
+            names = self.groups.names()
+            agree[names[part][:, None] == names[shift:shift + len(sketch_2)]] = 0
+            row, other = np.nonzero(agree >= LIKELY * sketch.shape[1])
+            if self.inside:
                 row, other = row[low + row < other], other[low + row < other]
+            if not len(row):
+                continue
             own = bands_[part][row]
-            first = own[np.arange(len(row)), (own == bands_2[other]).argmax(1)]
-            row, other = row[first == bucket], other[first == bucket]
-        found.append((id_[part][row], id_2[other], agree[row, other]))
-    if best_only and not inside:
-        row = np.flatnonzero(best)
-        found.append((id_2[row], id_[partner[row]], best[row]))
-    return tuple(np.concatenate(v) for v in zip(*found))
+            first = own[np.arange(len(row)), (own == bands_2[other]).argmax(1)] == self.bucket
+            row, other = row[first], other[first]
+            yield low + row, shift + other, agree[row, other]
+
+    def active(self) -> np.ndarray:
+        """Places of members that have a likely partner."""
+        found = np.zeros(len(self.ids), bool)
+        for x, y, _ in self.likely():
+            found[x] = found[y] = True
+        return np.flatnonzero(found)
+
+    def links(self) -> list[tuple[int, int, float]]:
+        """Links ``a, b, similarity`` that join what is apart, likeliest pairs first."""
+        opened, found = {}, []
+
+        def look(place: int) -> tuple[np.ndarray, np.ndarray]:
+            if place not in opened:
+                opened[place] = _opened(self.bags[place])
+            return opened[place]
+
+        for x, y, agree in self.likely():
+            for k in np.argsort(-agree, kind="stable").tolist():
+                gx, gy = self.groups.name(int(x[k])), self.groups.name(int(y[k]))
+                if gx == gy:
+                    continue
+                s = overlap(look(int(x[k])), look(int(y[k])))
+                if s >= SIMILARITY:
+                    self.groups.join(gx, gy)
+                    a, b = self.ids[x[k]], self.ids[y[k]]
+                    found.append((min(a, b), max(a, b), s))
+        return found
 
 
 def _dealt(placed: DataFrame) -> DataFrame:
     """``bucket, i, j, side, id, component``: blocks ``i`` and ``j`` of buckets with several groups.
 
-    ``side`` is 1 for a member of block ``j`` where that is another block than ``i``.  A
-    component of ``BLOCK`` members or more has blocks of its own, which are not compared
-    with each other; smaller ones share blocks.
+    ``placed`` has ``bucket, id, component, weight``.  ``side`` is 1 for a member of block
+    ``j`` where that is another block than ``i``.  A component that weighs ``BLOCK`` or
+    more has blocks of its own, which are not compared with each other; others share
+    blocks.
     """
-    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    parts = placed.groupBy("bucket", "component").agg(F.sum("weight").alias("n"))
     large = F.col("n") >= BLOCK
     sizes = parts.groupBy("bucket").agg(
         F.count("*").alias("groups"),
@@ -263,70 +328,67 @@ def _dealt(placed: DataFrame) -> DataFrame:
                       (F.col("own") > F.col("other")).cast("long").alias("side"), "id", "component")
 
 
-def _candidates(placed: DataFrame, sketches: DataFrame, best_only: bool) -> DataFrame:
-    """Distinct likely pairs ``a, b`` of all buckets; blocks stream through the tasks."""
-    def pairs(c: list[np.ndarray], cuts: np.ndarray) -> pa.RecordBatch:
-        bucket, _, _, side, *rest = c
-        found = []
-        for low, high in zip(np.append(0, cuts), np.append(cuts, len(bucket))):
-            block, second = [v[low:high] for v in rest], side[low:high] > 0
-            if second.any():
-                block, other = [v[~second] for v in block], [v[second] for v in block]
-            else:
-                other = None
-            if len(block[0]):
-                a, b, agree = likely_pairs(bucket[low], block, other, best_only)
-                found.append((np.full(len(a), bucket[low]), a, b, agree.astype(np.int64)))
-        columns = [np.concatenate(v) for v in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in columns],
-                                          names=["bucket", "a", "b", "agree"])
+def _map_blocks(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work(block, key, sides)`` over ``bucket, i, j, side, id, component, sketch, bands, bag``.
+
+    Blocks stream through the tasks, one or a pair of them at a time.  ``work`` gives
+    columns in the order of ``schema``; ``sides`` are the sides of the members.
+    """
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def members(rows: list) -> list:
+        return [np.array([r[k] for r in rows], np.int64) for k in (1, 2)] + [
+            np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, REGISTERS),
+            np.array([r[4] for r in rows], np.int64).reshape(-1, BANDS), [r[5] for r in rows]]
+
+    def made(key: tuple, held: list) -> pa.RecordBatch | None:
+        sides = [[r for r in held if r[0] == side] for side in (0, 1)]
+        both = key[1] != key[2]
+        if not sides[0] or both and not sides[1]:
+            return None
+        block = _Block(key[0], members(sides[0]), members(sides[1]) if both else None)
+        return pa.RecordBatch.from_arrays(
+            work(block, key, np.repeat([0, 1], [len(s) for s in sides])), names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        held, at = [], None
         for batch in batches:
-            c = [v.to_numpy() for v in batch.columns[:6]]
-            c.append(np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8
-                                   ).reshape(-1, REGISTERS))
-            c.append(batch.column(7).flatten().to_numpy().reshape(-1, BANDS))
-            held.append(c)
-            count += len(c[0])
-            if count >= HELD_ROWS:
-                c = [np.concatenate(v) for v in zip(*held)]
-                cuts = borders(c)
-                cut = int(cuts[-1]) if len(cuts) else 0
-                if cut:
-                    yield pairs([v[:cut] for v in c], cuts[:-1])
-                held, count = [[v[cut:] for v in c]], len(c[0]) - cut
-        if count:
-            c = [np.concatenate(v) for v in zip(*held)]
-            yield pairs(c, borders(c))
-
-    def borders(c: list[np.ndarray]) -> np.ndarray:
-        return np.flatnonzero(np.any([v[1:] != v[:-1] for v in c[:3]], axis=0)) + 1
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != at:
+                    found = made(at, held) if held else None
+                    if found is not None:
+                        yield found
+                    held, at = [], row[:3]
+                held.append(row[3:])
+        found = made(at, held) if held else None
+        if found is not None:
+            yield found
 
     keys = ["bucket", "i", "j"]
-    dealt = (_dealt(placed).join(sketches, "id")
-             .select(*keys, "side", "id", "component", "sketch", "bands")
-             .repartition(*keys).sortWithinPartitions(*keys))
-    found = dealt.mapInArrow(run, "bucket long, a long, b long, agree long")
-    if best_only:
-        found = found.groupBy("bucket", "a").agg(
-            F.max_by("b", F.struct("agree", -F.col("b"))).alias("b"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rows = rows.select(*keys, "side", "id", "component", "sketch", "bands", "bag")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def _wide_buckets_again(placed: DataFrame, bands: DataFrame) -> DataFrame:
-    """Members of buckets with several groups, those of wide ones dealt again by other bands.
+def _active(dealt: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``dealt`` that have a likely partner in their block; only sketches are moved."""
+    def work(block: _Block, key: tuple, sides: np.ndarray) -> list[pa.Array]:
+        at = block.active()
+        names = np.concatenate([block.left[1], block.right[1]])[at]
+        return [pa.array(np.full(len(at), k, np.int64)) for k in key] + [
+            pa.array(sides[at]), pa.array(block.ids[at]), pa.array(names)]
+
+    rows = dealt.join(kept, "id").withColumn("bag", F.lit(b""))
+    return _map_blocks(rows, work,
+                       "bucket long, i long, j long, side long, id long, component long").distinct()
 
-    ``classes`` does not use it: a pair with one common band would be lost.
-    """
-    groups = placed.groupBy("bucket").agg(F.count_distinct("component").alias("groups"))
-    known = placed.join(groups.where("groups > 1"), "bucket")
-    again = known.where(F.col("groups") > WIDE).join(bands, "id").select(
-        F.explode(F.array_except("bands", F.array("bucket"))).alias("other"), "bucket", "id",
-        "component")
-    again = again.select(F.xxhash64("bucket", "other").alias("bucket"), "id", "component")
-    return known.where(F.col("groups") <= WIDE).select("bucket", "id", "component").union(again)
+
+def _links_of_blocks(rows: DataFrame) -> DataFrame:
+    """Links of all blocks of ``bucket, i, j, side, id, component, sketch, bands, bag``."""
+    def work(block: _Block, key: tuple, sides: np.ndarray) -> list[pa.Array]:
+        a, b, s = zip(*found) if (found := block.links()) else ([], [], [])
+        return [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())]
+
+    return _map_blocks(rows, work, "a long, b long, similarity double")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -348,17 +410,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     members = written(placed.join(led, "bucket"), "members")
     stars = written(members.where("id <> lead").groupBy(F.col("id").alias("b"))
                     .agg(F.min("lead").alias("a")).select("a", "b"), "stars")
-    links, tried = verified(stars, rows), stars
+    links = verified(stars, rows)
+    groups = written(components(links), "groups")
+    weight = F.col("n") * 12 + 8 * BANDS + REGISTERS
+    kept = copies.select(F.col("copy_id").alias("id"), weight.alias("weight"), "sketch", "bands")
+    grouped = members.select("bucket", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
+    placed = grouped.join(kept.select("id", "weight"), "id").select(
+        "bucket", "id", F.coalesce("component", "id").alias("component"), "weight")
+    kept = kept.select("id", "sketch", "bands")
+    dealt = written(_dealt(placed), "blocks")
+    active = written(_active(dealt, sifted(kept, dealt.select("id"))), "active")
+    ids = active.select("id").distinct()
+    needed = sifted(rows, ids).join(ids, "id", "left_semi")
+    # All by id, so bags are moved to it once; an id with several texts has each of them.
+    full = active.join(bags(needed), "id").join(sifted(kept, ids), "id").dropDuplicates(
+        ["bucket", "i", "j", "side", "id", "bag", "sketch"])
+    links = links.union(written(_links_of_blocks(full), "block-links"))
     groups = written(components(links), "groups")
-    members = members.select("bucket", "id")
-    sketches = copies.select(F.col("copy_id").alias("id"), "sketch", "bands")
-    for best_only in (True, False):
-        placed = written(members.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("component")), "placed")
-        pairs = written(_candidates(placed, sketches, best_only).join(
-            tried, ["a", "b"], "left_anti"), "apart-pairs")
-        links, tried = links.union(verified(pairs, rows)), tried.union(pairs)
-        groups = written(components(links), "groups")
 
     by_copy = copies.join(groups.withColumnRenamed("node", "copy_id"), "copy_id", "left").select(
         "k1", "k2", "n", "copy_id", F.coalesce("component", "copy_id").alias("class_id"))
@@ -374,8 +442,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     # An id with several texts stays if one of them leads a class.
     chosen = written(classes(docs, doc_id, text).where(F.col(doc_id) == F.col("class_id"))
-                     .select(F.col(doc_id).alias("__id")).distinct(), "chosen")
-    first = Window.partitionBy("__id").orderBy(F.col(text).asc_nulls_first())
-    kept = (docs.join(chosen, F.col(doc_id) == F.col("__id"))
-            .withColumn("__row", F.row_number().over(first)).where("__row = 1"))
-    return kept.select(docs.columns).union(docs.where(F.col(doc_id).isNull()))
+                     .select(F.col(doc_id).alias("id")).distinct(), "chosen")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("in"),
+                       F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    first = Window.partitionBy("id").orderBy(F.col("text").asc_nulls_first())
+    kept = rows.join(chosen, "id").withColumn("number", F.row_number().over(first)).where("number = 1")
+    return kept.select("in.*").union(docs.where(F.col(f"`{doc_id}`").isNull()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -38,11 +39,13 @@ def findable(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors see.
 
-    Only where the setting is missing (a local test session) a temporary folder
-    of this machine takes its place.
+    Only in a local session without the setting (tests) a temporary folder of this
+    machine takes its place; on a cluster its executors would not see one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^,]*(,[^,]*)?\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="palaver-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -80,6 +83,27 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+#: Bits of the filter by :func:`sifted`; it weighs 2 MB.
+SIFT_BITS = 1 << 24
+
+
+def sifted(rows: DataFrame, ids: DataFrame, key: str = "id", bits: int = SIFT_BITS) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``ids``; none that is in it goes.
+
+    A filter of fixed size, whatever the number of ids, so that texts nobody asks for
+    are not shuffled to a join.  When it is full it lets all rows pass.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    # At most bits / 32768 rows of 4 kB.
+    maps = ids.where(F.col(key).isNotNull()).groupBy(
+        F.bitmap_bucket_number(place).alias("__part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substr("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    tested = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("__part"))
+    return tested.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(rows.columns)
+
+
 def utf8(column: str | Column) -> Column:
     """The UTF-8 bytes of a text, empty for NULL."""
     column = F.col(column) if isinstance(column, str) else column

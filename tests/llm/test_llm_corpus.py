@@ -20,6 +20,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from palaver.llm import bagminhash, components, queries, repair, spacedseed, suffixdedup, urlrules
 from palaver.llm import warc
+from palaver.llm.common import sifted
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -140,6 +141,43 @@ def test_url_rules_are_mined(spark):
         assert urlparse(rows[r.page_id][1]).netloc == r.host
 
 
+def test_mined_rules_equal_a_plain_enumeration(spark):
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(80):
+        tokens = {t for t in "abcdefg" if rnd.random() < 0.4}
+        tokens |= {"h"} if "a" in tokens else set()  # always together with a
+        label = "block" if "b" in tokens and rnd.random() < 0.95 or rnd.random() < 0.1 else "allow"
+        rows.append((sorted(tokens), label))
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string").repartition(3)
+    got = {(tuple(sorted(r.antecedent)), r.verdict): (r.confidence, r.support) for r in
+           urlrules.mined_rules(labelled, 0.1, 0.7, 5).collect()}
+    want = {}
+    for size in range(1, 8):
+        for chosen in combinations("abcdefg", size):
+            fitting = [v for t, v in rows if set(chosen) <= set(t)]
+            for verdict in ("allow", "block"):
+                n = fitting.count(verdict)
+                if n >= 8 and n / len(fitting) >= 0.7:
+                    want[chosen, verdict] = n / len(fitting), n / 80
+    assert len(want) > 5 and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_long_urls_end(spark):
+    """One URL of 40 segments, and a host whose URLs have 30 constant parts."""
+    parts = "/".join(f"p{chr(97 + k // 10)}{chr(97 + k % 10)}" for k in range(30))
+    segments = "/".join(f"s{chr(97 + k // 10)}{chr(97 + k % 10)}" for k in range(40))
+    rows = [(0, f"http://one.org/{segments}")]
+    rows += [(k, f"http://many.org/{parts}/{k}?x={k}") for k in range(1, 60)]
+    rows += [(k, f"http://other{k}.org/") for k in range(60, 100)]
+    pages = spark.createDataFrame(rows + [(200, f"http://many.org/{parts}")], "page_id bigint, url string")
+    labels = spark.createDataFrame([(k, "block" if 0 < k < 60 else "allow") for k in range(100)],
+                                   "page_id bigint, verdict string")
+    got = {r.page_id: r.verdict for r in urlrules.judge(pages, labels).collect()}
+    assert got[0] == "allow" and got[30] == got[200] == "block" and got[99] == "allow"
+
+
 # ---------------------------------------------------------------- suffix-array dedup
 
 def check_repeats(spark, rows, **sizes):
@@ -295,7 +333,12 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     held = spark.createDataFrame(
         [(k, sketch[k].tobytes(), bands[k].tolist(), h.tobytes() + c.astype(np.uint32).tobytes())
          for k, (h, c) in enumerate(bags)], "id bigint, sketch binary, bands array<bigint>, bag binary")
-    got = bagminhash._links_of_blocks(dealt.join(held, "id")).collect()
+    active = bagminhash._active(dealt, held.drop("bag"))
+    likely = {(int(x), int(y)) for x, y in zip(*np.nonzero(agree >= bagminhash.LIKELY * size))
+              if x < y and component[x] != component[y]}
+    assert {r.id for r in active.collect()} == {k for pair in likely for k in pair}
+    assert active.count() < dealt.count()
+    got = bagminhash._links_of_blocks(active.join(held, "id")).collect()
     for r in got:
         assert r.similarity == pytest.approx(bagminhash.overlap(bags[r.a], bags[r.b])) and r.similarity >= 0.8
 
@@ -312,9 +355,9 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
         return [top(x) for x in range(n)]
 
     assert groups(links[:150] + [(r.a, r.b) for r in got]) == groups(links)
-    inside = bagminhash.joining_links(7, [
+    inside = bagminhash._Block(7, [
         np.arange(n), component, sketch, bands, [h.tobytes() + c.astype(np.uint32).tobytes() for h, c in bags]],
-        None)
+        None).links()
     assert len(inside) < 250 and groups(links[:150] + [x[:2] for x in inside]) == groups(links)
 
 
@@ -373,6 +416,19 @@ def test_estimates_are_unbiased():
     assert abs(np.mean(errors)) < 0.015 and np.std(errors) < 0.05
 
 
+def test_filter_of_ids_loses_none(spark):
+    rows = spark.range(20_000).select((F.col("id") * 977 - 5000).alias("id"), F.lit("x").alias("text"))
+    rows = rows.union(spark.createDataFrame([(None, "y")], "id bigint, text string"))
+    ids = rows.where("id % 50 = 0").select("id").union(rows.where("id is null").select("id"))
+    want = {r.id for r in ids.collect()} - {None}
+    for bits in (1 << 24, 1 << 15, 64):
+        got = sifted(rows, ids, bits=bits)
+        found = {r.id for r in got.collect()}
+        assert got.columns == rows.columns and want <= found
+        assert bits == 64 or len(found) < 3 * len(want) or bits < 1 << 20
+    assert sifted(rows, ids.where("false")).count() == 0
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(300, 301), (5, 5)]
     got = {r.node: r.component for r in components.components(
