@@ -281,12 +281,47 @@ class _Trie:
         return found
 
 
+def multikey_quicksort(words: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Stable order of rows of ``words`` within their groups.
+
+    All segments that are not in order yet are parted at once: by a word of theirs into
+    those below, equal and above a pivot, the median of three.  Equal ones go on
+    with the next word, the others with the same.
+    """
+    order = np.argsort(group, kind="stable")
+    n, width = words.shape
+    new = np.ones(n, bool)
+    new[1:] = group[order[1:]] != group[order[:-1]]
+    level = np.zeros(n, np.int64)
+    while True:
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, n))
+        open_ = (sizes > 1) & (level[starts] < width)
+        if not open_.any():
+            return order
+        at = np.flatnonzero(np.repeat(open_, sizes))
+        sizes = sizes[open_]
+        first = np.cumsum(sizes) - sizes
+        members = order[at]
+        value = words[members, level[at]]
+        low, middle, high = value[first], value[first + sizes // 2], value[first + sizes - 1]
+        pivot = np.maximum(np.minimum(low, middle), np.minimum(np.maximum(low, middle), high))
+        pivot = np.repeat(pivot, sizes)
+        part = (value >= pivot).astype(np.int64) + (value > pivot)
+        key = np.repeat(np.arange(len(sizes)) * 3, sizes) + part
+        turn = np.argsort(key, kind="stable")
+        order[at] = members[turn]
+        key = key[turn]
+        new[at[1:]] |= key[1:] != key[:-1]
+        level[at] += part[turn] == 1
+
+
 def deep_shallow(group: np.ndarray, strings: np.ndarray, skip: int) -> np.ndarray:
     """Order of equally long strings within groups, all alike in the first ``skip`` bytes."""
     n, width = strings.shape
     shallow = min(SHALLOW, width - skip) // 8 * 8
     words = np.ascontiguousarray(strings[:, skip:skip + shallow]).view(">u8").astype(np.uint64)
-    order = np.lexsort((*words.T[::-1], group))
+    order = multikey_quicksort(words, group)
     tied = np.zeros(n, bool)
     tied[1:] = (group[order[1:]] == group[order[:-1]]) & (
         words[order[1:]] == words[order[:-1]]).all(1)

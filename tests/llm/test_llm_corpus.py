@@ -263,6 +263,15 @@ def test_texts_of_one_id_and_checksum_are_not_copies(spark):
     assert sum(r.n_removed for r in again) == 320
 
 
+@pytest.mark.parametrize("n, kinds, groups", [(0, 2, 1), (1, 2, 1), (500, 2, 1), (3000, 3, 40), (3000, 1 << 60, 7)])
+def test_multikey_quicksort(n, kinds, groups):
+    rng = np.random.default_rng(n)
+    words = rng.integers(0, kinds, (n, 6)).astype(np.uint64) << np.uint64(3)
+    group = rng.integers(0, groups, n)
+    want = np.lexsort((*words.T[::-1], group))
+    assert np.array_equal(suffixdedup.multikey_quicksort(words, group), want)
+
+
 def test_blind_trie_sorts():
     rnd = np.random.default_rng(4)
     strings = rnd.integers(0, 3, (400, 40)).astype(np.uint8)
