@@ -353,13 +353,14 @@ def _map_blocks(rows: DataFrame, work, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:3] != at:
-                    found = made(at, held) if held else None
-                    if found is not None:
-                        yield found
-                    held, at = [], row[:3]
-                held.append(row[3:])
+            for k in range(0, batch.num_rows, 500):
+                for row in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns)):
+                    if row[:3] != at:
+                        found = made(at, held) if held else None
+                        if found is not None:
+                            yield found
+                        held, at = [], row[:3]
+                    held.append(row[3:])
         found = made(at, held) if held else None
         if found is not None:
             yield found

@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 
 from palaver.llm.common import SPACED, slices, utf8
 
-MEMO_BYTES = 64 << 20
-BLOCK_BYTES = 8 << 20
+MEMO_BYTES = 24 << 20
+BLOCK_BYTES = 4 << 20
 MARKS = tuple("!#$%&*,.:;?")
 PLAIN_CHUNK = re.compile(b"([A-Za-z]+)([!#$%&*,.:;?]*)")
 OUTPUTS = {
