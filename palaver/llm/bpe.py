@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from palaver.llm.common import SPACED, slices, utf8
 
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 40 << 20
 BLOCK_BYTES = 4 << 20
 MARKS = tuple("!#$%&*,.:;?")
 PLAIN_CHUNK = re.compile(b"([A-Za-z]+)([!#$%&*,.:;?]*)")
