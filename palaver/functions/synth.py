@@ -255,21 +255,33 @@ def extension_words(pool: Column, d: Draws, missing: Column, use_up: bool = Fals
     With ``use_up`` the pool is walked in a seeded order first; draws follow when it
     is at its end.
     """
-    start = F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+    zero = F.lit(0).cast("bigint")
+
+    # An aggregate copies what it holds at every step, so it only counts: words and sentences.
+    def enough(drawn: Column) -> Column:
+        return F.aggregate(
+            drawn, F.struct(zero.alias("words"), zero.alias("sentences")),
+            lambda acc, s: F.when(acc["words"] < missing, F.struct(
+                (acc["words"] + F.size(s)).alias("words"),
+                (acc["sentences"] + 1).alias("sentences"))).otherwise(acc),
+            lambda acc: acc["sentences"].cast("int"))
 
-    def walk(order: Column | None) -> Column:
+    def walk(told: Column, order: Column | None = None) -> Column:
         def sentence(i: Column) -> Column:
-            drawn = pick(d("extension", i), pool)
-            if order is None:
-                return drawn
-            return F.when(i < F.size(order), F.get(order, i.cast("int"))).otherwise(drawn)
+            drawn = pick(d("extension", i), told)
+            if order is not None:
+                drawn = F.when(i < F.size(order), F.get(order, i.cast("int"))).otherwise(drawn)
+            return F.coalesce(drawn, none)
 
-        return F.aggregate(
-            _steps(missing), start,
-            lambda acc, i: F.when(F.size(acc) < missing, F.concat(
-                acc, F.coalesce(words(sentence(i)), start))).otherwise(acc))
+        least = F.greatest(F.lit(1), F.array_min(F.transform(told, F.size)))
+        return bind(F.transform(_steps(F.ceil(missing / least)), sentence),
+                    lambda drawn: F.flatten(F.slice(drawn, F.lit(1), enough(drawn))))
+
+    def spoken(told: Column) -> Column:
+        return bind(shuffled_pool(told, d), lambda order: walk(told, order)) if use_up else walk(told)
 
-    return bind(shuffled_pool(pool, d), walk) if use_up else walk(None)
+    return bind(F.transform(pool, lambda s: F.coalesce(words(s), none)), spoken)
 
 
 def render(template: Column, fills: Mapping[str, Column], pools: Mapping[str, Column], d: Draws,

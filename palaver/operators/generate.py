@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from palaver.functions.content import media_content
 from palaver.functions.draws import draw, uniform_int, weighted_choice
-from palaver.functions.text import fit_words, words
+from palaver.functions.text import bind, fit_words, words
 from palaver.functions.synth import Draws, extension_words
 from palaver.operators.scan import hash_rank
 
@@ -150,8 +150,13 @@ def sized_reply(text: Column, target: Column, extensions: Column, d: Draws,
     With ``use_up`` every extension is used once, in a seeded order, before any is
     drawn again.
     """
-    missing = F.greatest(F.lit(0).cast("bigint"), target - F.size(words(text)))
-    return fit_words(text, extension_words(extensions, d, missing, use_up), target, pad_then_trim)
+    # Bound, as every step of the extension reads ``missing`` and the fit reads both others often.
+    def fit(reply: Column) -> Column:
+        missing = F.greatest(F.lit(0).cast("bigint"), target - F.size(words(reply)))
+        extension = bind(missing, lambda n: extension_words(extensions, d, n, use_up))
+        return bind(extension, lambda added: fit_words(reply, added, target, pad_then_trim))
+
+    return bind(text, fit)
 
 
 def chat_messages(turns: DataFrame, system_prompt: Column, user_text: Column,

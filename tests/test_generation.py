@@ -115,6 +115,34 @@ def test_sized_reply(spark):
     assert got[2] == " ".join(["x"] * 52)
 
 
+def test_sized_reply_makes_its_text_once(spark):
+    df = spark.createDataFrame([(1, "one two")], "id bigint, t string")
+    reply = g.sized_reply(F.upper("t"), F.lit(40).cast("bigint"), y.fixed_pool(["a b.", "c", ""]),
+                          y.Draws(SEED, (F.col("id"),)))
+    df = df.select(reply.alias("r"))
+    assert df._jdf.queryExecution().analyzed().toString().count("upper(") == 1
+    words = df.first().r.split(" ")
+    assert words[:2] == ["ONE", "TWO"] and len(words) in (40, 41)
+    # Drawn one after the other, whole sentences only.
+    assert all(words[k + 1] == "b." for k in range(2, len(words)) if words[k] == "a")
+
+
+def test_extension_words_take_the_first_draws(spark):
+    """The same words as drawing sentence by sentence until there are enough."""
+    pool, draws = ["a b c.", "", "d", None], y.Draws(SEED, (F.col("id"),))
+    column = F.array(*[F.lit(p) for p in pool])
+    steps = F.array(*[F.pmod(draws("extension", F.lit(k).cast("bigint")), F.lit(len(pool)))
+                      for k in range(12)])
+    rows = spark.range(60).select(
+        "id", steps.alias("at"), (F.col("id") % 13).alias("n")).select(
+        "n", "at", y.extension_words(column, draws, F.col("n")).alias("got")).collect()
+    for r in rows:
+        want = []
+        for k in r["at"][:r["n"]]:
+            want += (pool[k] or "").split() if len(want) < r["n"] else []
+        assert r["got"] == want
+
+
 def test_pad_then_trim(spark):
     df = spark.createDataFrame([("a b c",)], "t string")
     ext = F.array(*[F.lit(f"e{i}.") for i in range(30)])
