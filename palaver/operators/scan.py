@@ -70,11 +70,23 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: Column,
     The bucket column stays in the result (``bucket_name``): further windows
     over ``(keys, bucket)`` need no shuffle.  ``buckets`` names a column for the
     number of buckets of the key.  With ``whole_keys`` rows are dealt by key
-    alone, for results that need the rows of a key together anyway.  Keys must
+    alone, for results that need the rows of a key together anyway; each key is
+    then one scan, so rows that come dealt by key are made only once.  Keys must
     not be NULL; rows without a key are left out.
     """
     totals = dict(totals or {})
     keys = list(keys)
+    if whole_keys and not buckets:
+        rows = with_key(df, keys).repartition(*keys).withColumn(bucket_name, bucket)
+        of_key = Window.partitionBy(*keys).orderBy(*order)
+        first = Window.unboundedPreceding
+        upto = of_key.rowsBetween(first, Window.currentRow)
+        whole = of_key.rowsBetween(first, Window.unboundedFollowing)
+        out = {n: F.sum(measure).over(upto) for n, measure in sums.items()}
+        out |= {dst: F.sum(sums[src]).over(whole) for dst, src in totals.items()}
+        return rows.select(*[c for c in rows.columns if c not in out],
+                           *[c.alias(n) for n, c in out.items()])
+
     dealt = keys if whole_keys else [*keys, bucket]
     shared = with_key(df, keys).repartition(*dealt).withColumn(bucket_name, bucket)
 

@@ -143,6 +143,12 @@ def test_extension_words_take_the_first_draws(spark):
         assert r["got"] == want
 
 
+def test_conversations_are_generated_once(spark):
+    df = QUERIES["gen_conversations"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate inline") == 1
+
+
 def test_pad_then_trim(spark):
     df = spark.createDataFrame([("a b c",)], "t string")
     ext = F.array(*[F.lit(f"e{i}.") for i in range(30)])

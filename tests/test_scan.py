@@ -62,6 +62,17 @@ def test_sparse_positions(spark):
     assert {r.t: r.s for r in got.collect()} == want
 
 
+def test_whole_keys_scan_equals_bucketed_scan(spark):
+    rng = random.Random(5)
+    data = [(k, t, rng.randint(0, 9)) for k in (1, 2, 3, None) for t in rng.sample(range(50), 12 * (k or 1))]
+    df = spark.createDataFrame(data, "k bigint, t bigint, v bigint")
+    got, want = (prefix_sums(df, ["k"], turn_bucket("t", 7), ["t"], {"s": F.col("v")}, {"all": "s"},
+                             whole_keys=whole) for whole in (True, False))
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got.select(want.columns)) == rows(want)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_source_scan_per_context_scan(spark):
     msgs = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     df = m.conversation_metrics(msgs, block=2)
