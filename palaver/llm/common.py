@@ -189,19 +189,28 @@ def run_hashes(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Words:
-    """Words of a slice of texts: document, length in bytes, hash, place in the slice."""
+    """Words of a slice of texts: document, length in bytes, hash, place in the slice.
+
+    Hashes take some numbers of eight bytes for each byte while they are made; without
+    ``hashed`` there are none.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray = SPACED,
-                 fold: np.ndarray = SAME):
+                 fold: np.ndarray = SAME, hashed: bool = True):
         inside = table[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         borders = offsets[:-1][offsets[:-1] < len(data)]
         first[borders] = inside[borders]
         self.starts = np.flatnonzero(first)
-        kept = fold[data[inside]]
-        place = np.cumsum(inside)[self.starts] - 1
-        self.lengths, self.hashes = run_hashes(kept, place)
+        if hashed:
+            kept = fold[data[inside]]
+            place = np.cumsum(inside)[self.starts] - 1
+            self.lengths, self.hashes = run_hashes(kept, place)
+        else:
+            last = inside.copy()
+            last[:-1] &= ~inside[1:] | first[1:]
+            self.lengths = np.flatnonzero(last) + 1 - self.starts
         self.ends = self.starts + self.lengths
         #: index of the first word of each document, and the end of the last
         self.bounds = np.searchsorted(self.starts, offsets)
@@ -210,6 +219,15 @@ class Words:
         self.inside = inside
 
 
+def coded(kept: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Codes of runs of bytes that stand one after the other, and the distinct runs by code."""
+    borders = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    found = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(borders), pa.py_buffer(kept)]
+    ).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
 def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """First word index and hash of every run of ``n`` words within a document."""
     total = len(words.hashes)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import LOWER, SPACED, Words, mix, slices, utf8, written
+from palaver.llm.common import LOWER, SPACED, Words, coded, mix, slices, utf8, written
 
 STATES = 8
 OWN = 1 << 13
@@ -48,8 +48,8 @@ SEED_STEPS = 8
 STEPS = 3
 #: Tokens that the shares of the corpus add to each state.
 PRIOR = 200.0
-BLOCK_BYTES = 8 << 20
-BLOCK_TOKENS = 2 << 20
+BLOCK_BYTES = 4 << 20
+BLOCK_TOKENS = 1 << 20
 #: Stands for the end of a text; no word has a line feed.
 END = b"\n"
 _SEQUENCE = T.StructType([
@@ -65,13 +65,8 @@ _SEQUENCE = T.StructType([
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Text and code of every word, and the distinct words by code."""
-    found = Words(data, offsets, SPACED, LOWER)
-    kept = LOWER[data[found.inside]]
-    borders = np.concatenate([[0], np.cumsum(found.lengths)]).astype(np.int64)
-    array = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(found.lengths), [None, pa.py_buffer(borders), pa.py_buffer(kept)])
-    coded = array.dictionary_encode()
-    return found.doc, coded.indices.to_numpy(), coded.dictionary
+    found = Words(data, offsets, SPACED, LOWER, hashed=False)
+    return found.doc, *coded(LOWER[data[found.inside]], found.lengths)
 
 
 def shapes(words: pa.Array) -> np.ndarray:

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -74,6 +75,23 @@ def test_recursions_equal_sums_over_all_paths(states):
     assert np.allclose(model.expect(flat, offsets), sum(c for _, c in want), rtol=1e-4, atol=1e-4)
 
 
+def test_blocks_take_bounded_memory():
+    rnd = np.random.default_rng(2)
+    letters = np.frombuffer(b"abcdefghijklmno  ", np.uint8)
+    data = letters[rnd.integers(0, len(letters), hmm.BLOCK_BYTES)]
+    classes = rnd.integers(0, 50, hmm.BLOCK_TOKENS).astype("<u2")
+    model = random_model(rnd, hmm.STATES, 50)
+    offsets = np.arange(0, len(data) + 1, 1 << 12)
+    places = np.arange(0, len(classes) + 1, 1 << 7)
+    for work, limit in ((lambda: hmm.words_of(data, offsets), 60 << 20),
+                        (lambda: model.expect(classes, places), 150 << 20)):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < limit
+
+
 def test_rounds_raise_the_likelihood(monkeypatch):
     monkeypatch.setattr(hmm, "PRIOR", 0.0)
     rnd = np.random.default_rng(4)
