@@ -23,7 +23,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import shared_folder, slices, spread, utf8, written
+from palaver.llm.common import LOWER, Words, byte_class, coded, shared_folder, slices, spread, utf8, written
 
 END_ID = 1
 SHARD_IDS = 2_000_000
@@ -46,6 +45,7 @@ MEMO = 700_000
 MARKS = b"!#$%&*,.:;?"
 LETTERS = bytes([*range(65, 91), *range(97, 123), 0xC3,
                  *(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7))])
+_MARK, _LETTER = ~byte_class(MARKS), ~byte_class(LETTERS)
 
 
 # ---------------------------------------------------------------- tokens
@@ -113,30 +113,57 @@ class Encoder:
         return chunks - known
 
     def _learn(self, chunks: set[bytes]) -> None:
-        memo = self.memo
-        plain, words, tails, other = [], [], [], []
-        for chunk in self._recall(chunks):
-            word = chunk.rstrip(MARKS)
-            if self.plain and word and not word.translate(None, LETTERS):
-                plain.append(chunk)
-                words.append(word.lower())
-                tails.append(chunk[len(word):])
-            else:
-                other.append(chunk)
-        self._by_ends(list(self._recall(set(words).difference(memo))))
-        self._by_offsets(list(set(other).union(filter(None, tails)).difference(memo)))
-        memo[b""] = b""
-        memo.update(zip(plain, map(add, map(memo.get, words), map(memo.get, tails))))
+        chunks = self._recall(chunks)
+        words = {c for c in chunks if not c.translate(None, LETTERS)} if self.plain else set()
+        self._by_ends(list(words))
+        self._by_offsets(list(chunks - words))
+
+    def _parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Text and code of every chunk, and the distinct chunks by code.
+
+        Letters in lower case and the marks that close them are chunks of their own.
+        """
+        found = Words(data, offsets, hashed=False)
+        text, lengths, kept = found.doc, found.lengths, data[found.inside]
+        if self.plain and len(lengths):
+            ends = np.cumsum(lengths)
+            begins = ends - lengths
+            tails = np.maximum.accumulate(np.where(_MARK[kept], 0, np.arange(1, len(kept) + 1)))
+            tails = np.maximum(tails[ends - 1], begins)
+            strange = np.concatenate([[0], np.cumsum(~_LETTER[kept])])
+            plain = (tails > begins) & (strange[tails] == strange[begins])
+            kept = np.where(np.repeat(plain, lengths), LOWER[kept], kept)
+            parted = plain & (tails < ends)
+            number = np.repeat(np.arange(len(ends)), 1 + parted)
+            starts = begins[number]
+            second = np.flatnonzero(parted) + np.cumsum(parted)[parted]
+            starts[second] = tails[parted]
+            text, lengths = text[number], np.diff(starts, append=len(kept))
+        code, chunks = coded(kept, lengths)
+        return text, code, chunks.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
+        offsets = np.cumsum([0, *map(len, texts)])
+        ids, at = self.encode_slice(np.frombuffer(b"".join(texts), np.uint8), offsets)
+        return [ids[low:high] for low, high in zip(at, at[1:])]
+
+    def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and where each text's begin, and the end.
+
+        The memo is asked once for each distinct chunk of the slice.
+        """
+        text, code, chunks = self._parts(data, offsets)
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
-        missing = set().union(*split).difference(self.memo)
+        missing = set(chunks).difference(self.memo)
         if missing:
             self._learn(missing)
-        get = self.memo.__getitem__
-        return [np.frombuffer(b"".join(map(get, chunks)), "<u4") for chunks in split]
+        found = [self.memo[c] for c in chunks]
+        table = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, size = (np.cumsum(lengths) - lengths)[code], lengths[code]
+        of_text = np.bincount(text, size, len(offsets) - 1).astype(np.int64)
+        return table[_runs(starts, size)], np.concatenate([[0], np.cumsum(of_text)])
 
 
 @lru_cache(maxsize=2)
@@ -340,11 +367,11 @@ def write(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text:
                 "n_docs": len(ids), "n_ids": held}])
 
         for batch in batches:
-            for row, end, _, _ in slices(batch.column(1)):
-                found = tokenizer.encode(batch.column(1).slice(row, end - row).to_pylist())
-                for doc, some in zip(batch.column(0).slice(row, end - row).to_pylist(), found):
+            for row, end, data, offsets in slices(batch.column(1)):
+                found, at = tokenizer.encode_slice(data, offsets)
+                for k, doc in enumerate(batch.column(0).slice(row, end - row).to_pylist()):
                     doc_ids.append(doc)
-                    ids.append(np.append(some, np.uint32(end_id)))
+                    ids.append(np.append(found[at[k]:at[k + 1]], np.uint32(end_id)))
                     held += len(ids[-1])
                     if held >= SHARD_IDS:
                         yield close()

@@ -96,6 +96,23 @@ def test_tokens_equal_the_library(documents, encode):
             assert decoded.decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_memo_of_chunks_is_asked_once_for_each():
+    asked = []
+
+    class Asked(dict):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    own, texts = repair.Encoder(PATH), ["Haus, haus HAUS. 7a! ?! " * 50, "", "haus", "Haus"]
+    own.memo = Asked()
+    library = Tokenizer.from_file(PATH)
+    for text, ids in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == [b",", b".", b"7a!", b"?!", b"haus"]
+    assert own.encode([]) == []
+
+
 def test_memo_of_pieces_is_bounded_by_bytes():
     memo = bpe._Memo(lambda key: (key,) * 10, 20_000)
     for _ in range(2):
